@@ -8,14 +8,20 @@ per parameter combination with a different meaning.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.operators import retail
+from quarry.operators import catalog, era_views, quality, reports, retail, screening, statistics
 from quarry.sources.model import era_from_driver, retail_from_driver
+from quarry.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Analyte picked for the drill-down key (ERA-17): the user's selection.
+OBSERVATION_CAS = 7
+OBSERVATION_MATRIX = "SO"
+
 
 def _retail(op) -> Query:
     return lambda spark, sf_dir: op(retail_from_driver(spark, sf_dir))
@@ -25,8 +31,35 @@ def _era(op) -> Query:
     return lambda spark, sf_dir: op(era_from_driver(spark, sf_dir))
 
 
+def _both(op) -> Query:
+    return lambda spark, sf_dir: op(era_from_driver(spark, sf_dir), retail_from_driver(spark, sf_dir))
+
+
+def _model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    t = dict(retail_from_driver(spark, sf_dir).tables())
+    t.update(era_from_driver(spark, sf_dir).tables())
+    return t
+
+
+LOADED_SOURCES = {"customer": "customer.parquet", "nation": "nation.parquet",
+                  "region": "region.parquet", "part": "part.parquet",
+                  "orders": "orders.parquet", "lineitem": "lineitem.parquet"}
+
+
+def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.row_counts({name: (read_table(spark, sf_dir, name), src)
+                               for name, src in LOADED_SOURCES.items()})
+
+
+def _null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _model_tables(spark, sf_dir)
+    tables.pop("dim_matrix"), tables.pop("dim_qualifiers")
+    return quality.null_profile(tables)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
+        # retail (RET-01..09)
         "monthly_summary": _retail(retail.monthly_summary),
         "customer_report": _retail(retail.customer_report),
         "product_performance": _retail(retail.product_performance),
@@ -37,5 +70,66 @@ def registry() -> dict[str, Query]:
         "monthly_kpi": _retail(retail.monthly_kpi),
         "orders_by_category": _retail(retail.orders_by_category),
         "order_line_export": _retail(retail.order_line_export),
+        # catalog (CAT-01, 03, 04)
+        "table_inventory": lambda spark, d: catalog.table_inventory(_model_tables(spark, d)),
+        "row_counts": _row_counts,
+        "orders_preview": _retail(lambda m: catalog.preview(m.orders, 10)),
+        # data quality (DQ-01..09)
+        "null_profile": _null_profile,
+        "orphan_customers": _retail(quality.orphan_customers),
+        "orphan_products": _retail(quality.orphan_products),
+        "samples_without_results": _era(quality.samples_without_results),
+        "analytes_without_rsl": _era(quality.analytes_without_rsl),
+        "nondetect_pct": _era(quality.nondetect_pct),
+        "qualified_results": _era(quality.qualified_results),
+        "qc_panel": _era(quality.qc_panel),
+        "pk_violations": _both(quality.pk_violations),
+        "fk_violations": _both(quality.fk_violations),
+        # ERA views and summaries (ERA-01..09)
+        "screening_comparison": _era(era_views.screening_comparison),
+        "detection_summary": _era(era_views.detection_summary),
+        "location_summary": _era(era_views.location_summary),
+        "exceedances": _era(era_views.exceedances),
+        "copcs_view": _era(era_views.copcs_view),
+        "load_summary": _era(era_views.load_summary),
+        "matrix_distribution": _era(era_views.matrix_distribution),
+        "qualifier_distribution": _era(era_views.qualifier_distribution),
+        "rsl_coverage": _era(era_views.rsl_coverage),
+        # screening (ERA-10..14)
+        "screening_counts": _era(screening.screening_counts),
+        "screening_summary_validated": _era(partial(screening.screening_summary,
+                                                    exclude_rejected=True)),
+        "location_exceedances_residential_all": _era(partial(
+            screening.location_exceedances, scenario="residential", matrix="all")),
+        "location_exceedances_industrial_soil": _era(partial(
+            screening.location_exceedances, scenario="industrial", matrix="soil")),
+        "hazard_index_residential": _era(partial(screening.hazard_index, scenario="residential")),
+        "hazard_index_industrial": _era(partial(screening.hazard_index, scenario="industrial")),
+        # statistics (ERA-15..20) and report tables (RPT-01..05)
+        "detection_frequency": _era(statistics.detection_frequency),
+        "eligible_analytes": _era(statistics.eligible_analytes),
+        "analyte_observations": _era(partial(statistics.analyte_observations,
+                                             cas_rn=OBSERVATION_CAS,
+                                             matrix_code=OBSERVATION_MATRIX)),
+        "analyte_statistics": _era(statistics.analyte_statistics),
+        "epc_summary": _era(statistics.epc_summary),
+        "background_comparison": _era(statistics.background_comparison),
+        "table_samples": _era(reports.table_samples),
+        "table_detection": _era(reports.table_detection),
+        "table_screening": _era(reports.table_screening),
+        "table_copc": _era(reports.table_copc),
+        "table_epc": _era(statistics.table_epc),
     }
+    for scenario, matrix in SCREENING_VARIANTS:
+        suffix = f"{scenario}_{matrix}"
+        q[f"screening_summary_{suffix}"] = _era(partial(screening.screening_summary,
+                                                        scenario=scenario, matrix=matrix))
+        q[f"copc_{suffix}"] = _era(partial(screening.copc, scenario=scenario, matrix=matrix))
     return q
+
+
+# (industrial, groundwater) equals (residential, groundwater): the tap-water
+# threshold does not depend on the scenario.
+SCREENING_VARIANTS = [("residential", "all"), ("residential", "soil"),
+                      ("residential", "groundwater"), ("industrial", "all"),
+                      ("industrial", "soil")]
