@@ -28,25 +28,42 @@ def mean_of(sum_col: Column, count_col: Column) -> Column:
 
 
 def monthly_summary(m: RetailModel) -> DataFrame:
-    """RET-01: month -> distinct orders, distinct customers, revenue, mean line."""
-    o = m.orders
-    return (o.groupBy(F.date_trunc("month", "order_date").cast("date").alias("month"))
+    """RET-01: month -> distinct orders, distinct customers, revenue, mean line.
+
+    Lines are first reduced to one row per (month, order, customer) - map-side,
+    about four lines per order - so the two distinct counts expand and
+    shuffle order-level rows instead of line-level rows.
+    """
+    per_order = (m.orders
+                 .groupBy(F.date_trunc("month", "order_date").cast("date").alias("month"),
+                          "order_id", "customer_id")
+                 .agg(exact_sum("total_amount").alias("rev"),
+                      F.count("total_amount").alias("n")))
+    return (per_order.groupBy("month")
             .agg(F.countDistinct("order_id").alias("order_count"),
                  F.countDistinct("customer_id").alias("customer_count"),
-                 exact_sum("total_amount").alias("revenue"),
-                 F.count("total_amount").alias("_n"))
+                 F.sum("rev").alias("revenue"),
+                 F.sum("n").alias("_n"))
             .select("month", "order_count", "customer_count", "revenue",
                     mean_of(F.col("revenue"), F.col("_n")).alias("avg_order_value"))
             .orderBy("month"))
 
 
 def _orders_by_customer(m: RetailModel) -> DataFrame:
-    return (m.orders.groupBy("customer_id")
-            .agg(F.countDistinct("order_id").alias("total_orders"),
-                 exact_sum("total_amount").alias("total_revenue"),
-                 F.count("total_amount").alias("_n"),
-                 F.min("order_date").alias("first_order"),
-                 F.max("order_date").alias("last_order")))
+    """Per customer: distinct orders, revenue, line count, first/last date.
+
+    Two exact levels instead of a distinct aggregate: (customer, order) pairs
+    first, then per customer; the count of pairs is the distinct order count.
+    """
+    pairs = (m.orders.groupBy("customer_id", "order_id")
+             .agg(exact_sum("total_amount").alias("rev"), F.count("total_amount").alias("n"),
+                  F.min("order_date").alias("lo"), F.max("order_date").alias("hi")))
+    return (pairs.groupBy("customer_id")
+            .agg(F.count("order_id").alias("total_orders"),
+                 F.sum("rev").alias("total_revenue"),
+                 F.sum("n").alias("_n"),
+                 F.min("lo").alias("first_order"),
+                 F.max("hi").alias("last_order")))
 
 
 def customer_report(m: RetailModel) -> DataFrame:
@@ -67,10 +84,14 @@ def customer_report(m: RetailModel) -> DataFrame:
 
 
 def _orders_by_product(m: RetailModel) -> DataFrame:
-    return (m.orders.groupBy("product_id")
-            .agg(F.countDistinct("order_id").alias("times_ordered"),
-                 F.sum("quantity").alias("total_quantity_sold"),
-                 exact_sum("total_amount").alias("total_revenue")))
+    """Per product: distinct orders (count of (product, order) pairs),
+    quantity and revenue."""
+    pairs = (m.orders.groupBy("product_id", "order_id")
+             .agg(F.sum("quantity").alias("qty"), exact_sum("total_amount").alias("rev")))
+    return (pairs.groupBy("product_id")
+            .agg(F.count("order_id").alias("times_ordered"),
+                 F.sum("qty").alias("total_quantity_sold"),
+                 F.sum("rev").alias("total_revenue")))
 
 
 def product_performance(m: RetailModel) -> DataFrame:

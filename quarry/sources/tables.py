@@ -10,6 +10,11 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations")
 
+# The driver's tables are read-only, so one DataFrame per (session, path) is
+# reused by every query: the file listing and footer-based schema discovery
+# happen once per session instead of once per query.
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
@@ -17,4 +22,10 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one table; projections and filters applied later reach the scan."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    key = (id(spark), path)
+    df = _READ_CACHE.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READ_CACHE[key] = df
+    return df
