@@ -1,0 +1 @@
+"""Incremental ingest of lab deliveries with Structured Streaming."""
