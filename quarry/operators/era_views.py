@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import percent, ratio, round_half_up, sum_when
-from quarry.plans.era_base import detected, TAP, result_rows, view_level
+from quarry.plans.era_base import TAP, detected, result_rows, sample_fact, view_level
 from quarry.sources.model import EraModel
 
 CONC_SUM = "decimal(38,6)"
@@ -77,7 +77,10 @@ def exceedances(m: EraModel) -> DataFrame:
                      "result_unit", "detection_limit", "detect_flag", "lab_qualifier",
                      "detection_status", "screening_level", "hazard_quotient",
                      F.lit("EXCEEDS").alias("screening_status"), "carcinogen")
-            .orderBy(F.col("hazard_quotient").desc_nulls_last()))
+            # Row-level output: unique tie-breakers after the HQ, so the range
+            # partitioning of the sort can split a run of equal HQs.
+            .orderBy(F.col("hazard_quotient").desc_nulls_last(), "sample_id", "cas_rn",
+                     "result_value", "detect_flag", "lab_qualifier"))
 
 
 def copcs_view(m: EraModel) -> DataFrame:
@@ -137,8 +140,7 @@ def location_summary(m: EraModel) -> DataFrame:
                          .agg(F.countDistinct("sample_id").alias("sample_count"),
                               F.min("sample_date").alias("first_sample"),
                               F.max("sample_date").alias("last_sample")))
-    r = m.results.select("sample_id", "cas_rn", "detect_flag")
-    per_group_results = (r.join(s.select("sample_id", "location_id", "matrix_code"), "sample_id")
+    per_group_results = (sample_fact(m, ["cas_rn", "detect_flag"], ["location_id", "matrix_code"])
                          .groupBy("location_id", "matrix_code")
                          .agg(F.countDistinct("cas_rn").alias("analytes_tested"),
                               sum_when(detected()).alias("total_detections")))
@@ -181,8 +183,7 @@ def matrix_distribution(m: EraModel) -> DataFrame:
     per_matrix = (s.groupBy("matrix_code")
                   .agg(F.countDistinct("sample_id").alias("sample_count"),
                        F.countDistinct("location_id").alias("location_count")))
-    results_per_matrix = (m.results.select("sample_id").join(s.select("sample_id", "matrix_code"),
-                                                             "sample_id")
+    results_per_matrix = (sample_fact(m, [], ["matrix_code"])
                           .groupBy("matrix_code").agg(F.count(F.lit(1)).alias("result_count")))
     g = (per_matrix.join(mat, "matrix_code", "inner")
          .join(results_per_matrix, "matrix_code", "left"))

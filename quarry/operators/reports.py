@@ -30,7 +30,7 @@ def table_samples(m: EraModel) -> DataFrame:
     return (s.select("sample_id", "location_id", "location_type", "sample_date", "matrix_name",
                      "depth_top_ft", "depth_bottom_ft",
                      F.coalesce(F.col("analytes"), F.lit(0)).cast("bigint").alias("analytes"))
-            .orderBy("sample_date", "location_id"))
+            .orderBy("sample_date", "location_id", "sample_id"))
 
 
 def table_detection(m: EraModel) -> DataFrame:

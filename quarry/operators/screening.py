@@ -104,7 +104,8 @@ def location_exceedances(m: EraModel, scenario: str = "residential",
                          matrix: str = "all") -> DataFrame:
     """ERA-13: every exceeding detect with location and depth, HQ (2 dp) desc."""
     _check(scenario, matrix)
-    f = _screened_detects(m, scenario, matrix, result_cols=["result_value", "result_unit"],
+    f = _screened_detects(m, scenario, matrix,
+                          result_cols=["result_value", "result_unit", "sample_id"],
                           sample_cols=["location_id", "matrix_code", "sample_date",
                                        "depth_top_ft", "depth_bottom_ft"])
     x = f.filter(F.col("result_value") > F.col("screening_level"))
@@ -116,8 +117,10 @@ def location_exceedances(m: EraModel, scenario: str = "residential",
                      "analyte_name", "result_value", "result_unit", "screening_level",
                      round_half_up(ratio("result_value", "screening_level"), 2)
                      .alias("hazard_quotient"),
-                     "sample_date", "depth_top_ft", "depth_bottom_ft")
-            .orderBy(F.col("hazard_quotient").desc_nulls_last()))
+                     "sample_date", "depth_top_ft", "depth_bottom_ft", "sample_id", "cas_rn")
+            .orderBy(F.col("hazard_quotient").desc_nulls_last(), "location_id", "sample_date",
+                     "sample_id", "cas_rn", "result_value")
+            .drop("sample_id", "cas_rn"))
 
 
 def hazard_index(m: EraModel, scenario: str = "residential", matrix: str = "all") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import as_double, percent, ratio, round_half_up, sum_when
 from quarry.functions.tquantile import Z_UCL, t95
-from quarry.plans.era_base import detected, TAP, result_rows
+from quarry.plans.era_base import TAP, detected, result_rows, sample_fact
 from quarry.sources.model import EraModel
 from decimal import Decimal
 
@@ -33,12 +33,11 @@ def _x() -> Column:
         .otherwise((F.col("detection_limit") * F.lit(Decimal("0.5"))).cast(X_TYPE))
 
 
-def moments(f: DataFrame, keys: list[str], with_unit: bool = False) -> DataFrame:
+def moments(f: DataFrame, keys: list[str]) -> DataFrame:
     """Algebraic per-group aggregates for the statistics.
 
     n, n_det, min/max of detects, max DL of non-detects, and exact sums and
-    sums of squares of detects and of substituted values; optionally the
-    (smallest) unit of the group, a deterministic stand-in for "first row".
+    sums of squares of detects and of substituted values.
     """
     x = _x()
     det = F.when(detected(), F.col("result_value").cast(X_TYPE))
@@ -53,11 +52,27 @@ def moments(f: DataFrame, keys: list[str], with_unit: bool = False) -> DataFrame
         F.sum(x.cast(SUM_X)).alias("sum_x"),
         F.sum((x * x).cast(SUM_X2)).alias("sumsq_x"),
     ]
-    if with_unit:
-        aggs.append(F.min("result_unit").alias("result_unit"))
     return f.groupBy(*keys).agg(*aggs)
 
 
+def pair_moments(f: DataFrame) -> DataFrame:
+    """``moments`` per (cas_rn, matrix_code) plus the group's unit.
+
+    The heavy aggregation keys on (cas_rn, matrix_code, result_unit), so all
+    of its buffers are fixed-width (hash aggregation, map-side partials); the
+    units of a pair are merged in a second aggregation over one row per pair
+    and unit. Sums re-add exactly (DECIMAL), counts add, min/max compose.
+    """
+    per_unit = moments(f, ["cas_rn", "matrix_code", "result_unit"])
+    return per_unit.groupBy("cas_rn", "matrix_code").agg(
+        F.sum("n").alias("n"), F.sum("n_det").alias("n_det"),
+        F.min("min_det").alias("min_det"), F.max("max_det").alias("max_det"),
+        F.max("max_dl_nd").alias("max_dl_nd"),
+        F.sum("sum_det").alias("sum_det"), F.sum("sumsq_det").alias("sumsq_det"),
+        F.sum("sum_x").alias("sum_x"), F.sum("sumsq_x").alias("sumsq_x"),
+        F.min("result_unit").alias("result_unit"))
+
+
 def sample_sd(s: str, ss: str, n: str) -> Column:
     """Sample standard deviation (ddof 1) from exact sums; NULL for n < 2."""
     nn = as_double(n)
@@ -116,12 +131,13 @@ def analyte_observations(m: EraModel, cas_rn, matrix_code: str) -> DataFrame:
     """ERA-17: the rows behind one analyte and matrix, by date (keyed on the
     (cas_rn, matrix_code) pair, not on a display label)."""
     f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag",
-                                    "lab_qualifier"],
+                                    "lab_qualifier", "sample_id"],
                     sample_cols=["sample_date", "location_id"], matrix_code=matrix_code,
                     result_filter=F.col("cas_rn") == F.lit(cas_rn))
     return (f.select("result_value", "detection_limit", "detect_flag", "lab_qualifier",
-                     "sample_date", "location_id")
-            .orderBy("sample_date"))
+                     "sample_date", "location_id", "sample_id")
+            .orderBy("sample_date", "location_id", "sample_id", "result_value", "detect_flag")
+            .drop("sample_id"))
 
 
 # --------------------------------------------------------------- STAT-A
@@ -172,18 +188,6 @@ def analyte_statistics(m: EraModel) -> DataFrame:
 
 # --------------------------------------------------------------- STAT-B
 
-def _copc_pairs(m: EraModel) -> DataFrame:
-    """(cas_rn, matrix_code) with a detect above the residential threshold
-    (soil) or the tap threshold (groundwater)."""
-    f = result_rows(m, result_cols=["result_value"], sample_cols=["matrix_code"],
-                    detects_only=True, levels_inner=True,
-                    level_cols=["rsl_residential_soil_mg_kg", TAP])
-    mc = F.col("matrix_code")
-    exceeds = (((mc == "SO") & (F.col("result_value") > F.col("rsl_residential_soil_mg_kg")))
-               | ((mc == "GW") & (F.col("result_value") > F.col(TAP))))
-    return f.filter(exceeds).select("cas_rn", "matrix_code").distinct()
-
-
 def _pair_level() -> Column:
     mc = F.col("matrix_code")
     return F.when(mc == "SO", F.col("rsl_residential_soil_mg_kg")).when(mc == "GW", F.col(TAP))
@@ -192,16 +196,23 @@ def _pair_level() -> Column:
 def epc_summary(m: EraModel) -> DataFrame:
     """ERA-19 (STAT-B): exposure point concentration of every COPC pair.
 
+    A pair (analyte, SO or GW) is a COPC when one of its detects exceeds the
+    residential threshold. The threshold is constant per pair, so that holds
+    exactly when the pair's maximum detect exceeds it: one aggregation over
+    the fact gives both the COPC test and the EPC inputs - no second pass,
+    no semi join of the fact against a pair list.
+
     t-UCL95 needs >= 80% detects and at least 4 detects; z-UCL95 >= 50%;
     else the maximum detect; else half the largest DL. HQ = EPC / threshold
-    (2 dp), NULL when either is 0 or missing. The pair list is a left semi
-    join, so only COPC rows reach the aggregation.
+    (2 dp), NULL when either is 0 or missing.
     """
     f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag",
                                     "result_unit"],
                     sample_cols=["matrix_code"])
-    f = f.join(_copc_pairs(m), ["cas_rn", "matrix_code"], "left_semi")
-    g = moments(f, ["cas_rn", "matrix_code"], with_unit=True)
+    f = f.filter(F.col("matrix_code").isin("SO", "GW"))
+    lv = m.levels.select("cas_rn", "rsl_residential_soil_mg_kg", TAP)
+    g = (pair_moments(f).join(lv, "cas_rn", "inner").withColumn("rsl", _pair_level())
+         .filter(F.col("max_det") > F.col("rsl")))
     n, nd = F.col("n"), F.col("n_det")
     mean_x = mean("sum_x", "n")
     sd_x = sample_sd("sum_x", "sumsq_x", "n")
@@ -213,12 +224,9 @@ def epc_summary(m: EraModel) -> DataFrame:
            .otherwise(as_double("max_dl_nd") / F.lit(2.0)))
     method = (F.when(t_branch, F.lit("t-UCL95")).when(z_branch, F.lit("z-UCL95"))
               .when(nd > 0, F.lit("Max Detect")).otherwise(F.lit("1/2 DL")))
-    lv = m.levels.select("cas_rn", "rsl_residential_soil_mg_kg", TAP)
-    x = (g.withColumn("epc", epc).withColumn("method", method)
-         .join(lv, "cas_rn", "left").withColumn("rsl", _pair_level()))
-    x = _names(m, x)
+    x = _names(m, g.withColumn("epc", epc).withColumn("method", method))
     return (x.select("cas_rn", "matrix_code", "analyte_name", "matrix_name",
-                     F.col("n").alias("n"),
+                     F.col("n").cast("bigint").alias("n"),
                      F.concat(F.format_number(percent("n_det", "n"), 0), F.lit("%"))
                      .alias("detect_pct"),
                      F.when(F.col("epc") != 0, round_half_up("epc", 4)).alias("epc"),
@@ -236,8 +244,7 @@ def table_epc(m: EraModel) -> DataFrame:
     f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag",
                                     "result_unit"],
                     sample_cols=["matrix_code"], detects_only=True)
-    g = moments(f.filter(F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()),
-                ["cas_rn", "matrix_code"], with_unit=True)
+    g = pair_moments(f.filter(F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()))
     n = F.col("n")
     mean_d = mean("sum_det", "n")
     sd_d = sample_sd("sum_det", "sumsq_det", "n")
@@ -248,7 +255,8 @@ def table_epc(m: EraModel) -> DataFrame:
     x = (g.withColumn("epc", epc).withColumn("method", method)
          .join(lv, "cas_rn", "left").withColumn("rsl", _pair_level()))
     x = _names(m, x)
-    return (x.select("cas_rn", "matrix_code", "analyte_name", "matrix_name", "n",
+    return (x.select("cas_rn", "matrix_code", "analyte_name", "matrix_name",
+                     F.col("n").cast("bigint").alias("n"),
                      round_half_up(mean_d, 4).alias("mean"),
                      round_half_up("max_det", 4).alias("max"),
                      round_half_up("epc", 4).alias("epc"),
@@ -262,26 +270,26 @@ def table_epc(m: EraModel) -> DataFrame:
 def background_comparison(m: EraModel) -> DataFrame:
     """ERA-20: detects by analyte, matrix and area (Background when the
     location name contains "Background", else Site): n, min, max, mean (4 dp).
-    The area is decided per sample, before the results join."""
-    s = samples_area(m)
-    r = m.results.select("sample_id", "cas_rn", "result_value", "detect_flag").filter(detected())
-    per_pair = (r.join(s, "sample_id")
+
+    Detects are reduced per (analyte, matrix, location) first; the location
+    name - and so the area - is attached to that reduced relation.
+    """
+    f = sample_fact(m, ["cas_rn", "result_value", "detect_flag"], ["matrix_code", "location_id"])
+    per_loc = (f.filter(detected())
+               .groupBy("cas_rn", "matrix_code", "location_id")
+               .agg(F.count(F.lit(1)).alias("n"), F.min("result_value").alias("min_val"),
+                    F.max("result_value").alias("max_val"),
+                    F.sum(F.col("result_value").cast("decimal(38,6)")).alias("_sum")))
+    loc = m.locations.select("location_id", "location_name")
+    area = (F.when(F.col("location_name").contains("Background"), F.lit("Background"))
+            .otherwise(F.lit("Site")))
+    per_area = (per_loc.join(loc, "location_id", "left").withColumn("area", area)
                 .groupBy("cas_rn", "matrix_code", "area")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("result_value").alias("min_val"),
-                     F.max("result_value").alias("max_val"),
-                     F.sum(F.col("result_value").cast("decimal(38,6)")).alias("_sum")))
-    g = (_names(m, per_pair).groupBy("analyte_name", "matrix_name", "area")
+                .agg(F.sum("n").alias("n"), F.min("min_val").alias("min_val"),
+                     F.max("max_val").alias("max_val"), F.sum("_sum").alias("_sum")))
+    g = (_names(m, per_area).groupBy("analyte_name", "matrix_name", "area")
          .agg(F.sum("n").cast("bigint").alias("n"), F.min("min_val").alias("min_val"),
               F.max("max_val").alias("max_val"), F.sum("_sum").alias("_sum")))
     return (g.select("analyte_name", "matrix_name", "area", "n", "min_val", "max_val",
                      round_half_up(ratio("_sum", "n"), 4).alias("mean_val"))
             .orderBy("analyte_name", "matrix_name", "area"))
-
-
-def samples_area(m: EraModel) -> DataFrame:
-    loc = m.locations.select("location_id", "location_name")
-    return (m.samples.select("sample_id", "location_id", "matrix_code")
-            .join(loc, "location_id", "left")
-            .select("sample_id", "matrix_code",
-                    F.when(F.col("location_name").contains("Background"), F.lit("Background"))
-                    .otherwise(F.lit("Site")).alias("area")))

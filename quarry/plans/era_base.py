@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 
 from quarry.sources.model import EraModel
 
+
+
 def detected() -> Column:
     """The result is a detect."""
     return F.col("detect_flag") == "Y"
 
+
 # Scenario -> soil threshold column; groundwater always screens against the
 # residential tap-water threshold.
 SCENARIO_SOIL = {
@@ -57,6 +60,23 @@ def samples_with(m: EraModel, cols: Sequence[str] = (), location_cols: Sequence[
     return s
 
 
+SAMPLE_ATTRS = ("matrix_code", "location_id", "sample_date")
+
+
+def sample_fact(m: EraModel, result_cols: Sequence[str], sample_cols: Sequence[str]) -> DataFrame:
+    """Results inner-joined to samples, with the given columns of each.
+
+    Uses the stored pre-joined fact when the model has one and the sample
+    columns are among those it carries; otherwise joins samples on
+    ``sample_id`` (results on the streamed side).
+    """
+    rcols = list(dict.fromkeys(["sample_id", *result_cols]))
+    if m.fact is not None and set(sample_cols) <= set(SAMPLE_ATTRS):
+        return m.fact.select(*rcols, *[c for c in sample_cols if c not in rcols])
+    s = m.samples.select("sample_id", *[c for c in sample_cols if c != "sample_id"])
+    return m.results.select(*rcols).join(s, "sample_id", "inner")
+
+
 def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Sequence[str] = (),
                 location_cols: Sequence[str] = (), matrix_cols: Sequence[str] = (),
                 analyte_cols: Sequence[str] = (), level_cols: Sequence[str] = (),
@@ -74,13 +94,33 @@ def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Se
         need.add("detect_flag")
     if qualifier_cols:
         need.add("lab_qualifier")
-    r = m.results.select(*sorted(need))
-    if detects_only:
-        r = r.filter(detected())
-    if result_filter is not None:
-        r = r.filter(result_filter)
-    s = samples_with(m, sample_cols, location_cols, matrix_cols, matrix_code)
-    f = r.join(s, "sample_id", "inner")
+    scols = set(sample_cols)
+    if location_cols:
+        scols.add("location_id")
+    if matrix_cols or matrix_code:
+        scols.add("matrix_code")
+    if m.fact is not None and scols <= set(SAMPLE_ATTRS):
+        # Pre-joined fact: filters on the matrix prune partitions; location
+        # names join the fact directly on location_id.
+        f = m.fact.select(*sorted(need | scols))
+        if matrix_code:
+            f = f.filter(F.col("matrix_code") == matrix_code)
+        if detects_only:
+            f = f.filter(detected())
+        if result_filter is not None:
+            f = f.filter(result_filter)
+        if location_cols:
+            f = f.join(m.locations.select("location_id", *location_cols), "location_id", "left")
+        if matrix_cols:
+            f = f.join(m.matrix.select("matrix_code", *matrix_cols), "matrix_code", "left")
+    else:
+        r = m.results.select(*sorted(need))
+        if detects_only:
+            r = r.filter(detected())
+        if result_filter is not None:
+            r = r.filter(result_filter)
+        s = samples_with(m, sample_cols, location_cols, matrix_cols, matrix_code)
+        f = r.join(s, "sample_id", "inner")
     if analyte_cols:
         f = f.join(m.analytes.select("cas_rn", *analyte_cols), "cas_rn", "left")
     if level_cols or levels_inner:

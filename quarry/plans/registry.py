@@ -7,13 +7,15 @@ per parameter combination with a different meaning.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators import catalog, era_views, quality, reports, retail, screening, statistics
-from quarry.sources.model import era_from_driver, retail_from_driver
+from quarry.plans.store import era_store, retail_store
+from quarry.sources.model import EraModel, RetailModel, era_from_driver, retail_from_driver
 from quarry.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,21 +25,35 @@ OBSERVATION_CAS = 7
 OBSERVATION_MATRIX = "SO"
 
 
+def use_store() -> bool:
+    """Queries read the materialised model store unless QUARRY_STORE=0, in
+    which case every query adapts the driver's tables itself."""
+    return os.environ.get("QUARRY_STORE", "1") != "0"
+
+
+def era_model(spark: SparkSession, sf_dir: str) -> EraModel:
+    return era_store(spark, sf_dir) if use_store() else era_from_driver(spark, sf_dir)
+
+
+def retail_model(spark: SparkSession, sf_dir: str) -> RetailModel:
+    return retail_store(spark, sf_dir) if use_store() else retail_from_driver(spark, sf_dir)
+
+
 def _retail(op) -> Query:
-    return lambda spark, sf_dir: op(retail_from_driver(spark, sf_dir))
+    return lambda spark, sf_dir: op(retail_model(spark, sf_dir))
 
 
 def _era(op) -> Query:
-    return lambda spark, sf_dir: op(era_from_driver(spark, sf_dir))
+    return lambda spark, sf_dir: op(era_model(spark, sf_dir))
 
 
 def _both(op) -> Query:
-    return lambda spark, sf_dir: op(era_from_driver(spark, sf_dir), retail_from_driver(spark, sf_dir))
+    return lambda spark, sf_dir: op(era_model(spark, sf_dir), retail_model(spark, sf_dir))
 
 
 def _model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    t = dict(retail_from_driver(spark, sf_dir).tables())
-    t.update(era_from_driver(spark, sf_dir).tables())
+    t = dict(retail_model(spark, sf_dir).tables())
+    t.update(era_model(spark, sf_dir).tables())
     return t
 
 

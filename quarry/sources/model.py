@@ -48,6 +48,10 @@ class EraModel:
     levels: DataFrame
     samples: DataFrame
     results: DataFrame
+    # Optional: results already joined to their samples (inner) and carrying
+    # the sample's matrix_code, location_id and sample_date (see
+    # ``quarry.plans.store``); plans use it instead of joining samples again.
+    fact: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {"dim_locations": self.locations, "dim_analytes": self.analytes,

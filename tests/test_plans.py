@@ -17,9 +17,16 @@ def test_no_python_udf(spark, small_sf, key):
         assert node not in p, f"{key} runs Python: {node}"
 
 
-def test_filter_and_columns_reach_scan(spark, small_sf):
-    df = entry.queries()["analyte_observations"](spark, small_sf)
-    p = plan(df)
+def test_filter_and_columns_reach_scan(spark, small_sf, monkeypatch):
+    q = entry.queries()["analyte_observations"]
+    # Store path: the matrix filter prunes partitions, the analyte filter is
+    # pushed into the Parquet reader.
+    p = plan(q(spark, small_sf))
+    assert "PartitionFilters: [isnotnull(matrix_code" in p
+    assert "EqualTo(cas_rn,7)" in p
+    # Direct path: filters and column pruning reach the driver's scan.
+    monkeypatch.setenv("QUARRY_STORE", "0")
+    p = plan(q(spark, small_sf))
     assert "PushedFilters: [IsNotNull(l_partkey), EqualTo(l_partkey,7)" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in p
     assert "l_shipdate" not in p  # an unused column is not read
