@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import count_when, ratio, round_half_up
 from quarry.plans.era_base import (MATRIX_FILTER, result_rows, scenario_level,
-                                   scenario_level_cols)
+                                   scenario_level_cols, soil_column, validated)
 from quarry.sources.model import EraModel
 
 
 def _check(scenario: str, matrix: str) -> None:
-    if scenario not in ("residential", "industrial"):
-        raise ValueError(f"unknown scenario {scenario!r}")
+    soil_column(scenario)
     if matrix not in MATRIX_FILTER:
         raise ValueError(f"unknown matrix filter {matrix!r}")
 
@@ -33,11 +32,11 @@ def screening_summary(m: EraModel, scenario: str = "residential", matrix: str =
     that key, is attached to the reduced rows.
     """
     _check(scenario, matrix)
-    rejected = (F.coalesce(F.col("lab_qualifier"), F.lit("")) != "R") if exclude_rejected else None
-    f = result_rows(m, result_cols=["result_value", "result_unit"]
-                    + (["lab_qualifier"] if exclude_rejected else []),
+    if exclude_rejected:
+        m = validated(m, exclude_rejected=True)
+    f = result_rows(m, result_cols=["result_value", "result_unit"],
                     sample_cols=["matrix_code"], detects_only=True,
-                    matrix_code=MATRIX_FILTER[matrix], result_filter=rejected)
+                    matrix_code=MATRIX_FILTER[matrix])
     per_pair = (f.groupBy("cas_rn", "matrix_code", "result_unit")
                 .agg(F.count(F.lit(1)).alias("n"), F.min("result_value").alias("lo"),
                      F.max("result_value").alias("hi")))

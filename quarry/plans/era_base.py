@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.sources.model import EraModel
+from quarry.sources.reference_data import THRESHOLD_COLUMNS
 
 
 
@@ -140,12 +141,52 @@ def view_level() -> Column:
             .when(mc == "DW", F.col(TAP)))
 
 
+def soil_column(scenario: str) -> str:
+    """Soil threshold column of a scenario: residential / industrial, or any
+    of the eight threshold columns named directly (a whitelist, never text
+    spliced into a query)."""
+    if scenario in SCENARIO_SOIL:
+        return SCENARIO_SOIL[scenario]
+    if scenario in THRESHOLD_COLUMNS:
+        return scenario
+    raise ValueError(f"unknown scenario {scenario!r}")
+
+
 def scenario_level(scenario: str) -> Column:
     """Threshold of the screening pages: SO by scenario, GW tap, else NULL."""
     mc = F.col("matrix_code")
-    return (F.when(mc == "SO", F.col(SCENARIO_SOIL[scenario]))
+    return (F.when(mc == "SO", F.col(soil_column(scenario)))
             .when(mc == "GW", F.col(TAP)))
 
 
 def scenario_level_cols(scenario: str) -> list[str]:
-    return sorted({SCENARIO_SOIL[scenario], TAP})
+    return sorted({soil_column(scenario), TAP})
+
+
+def validated(m: EraModel, exclude_rejected: bool = True,
+              sample_types: Sequence[str] | None = None) -> EraModel:
+    """The model restricted to usable data, for any operator.
+
+    ``exclude_rejected`` drops results whose qualifier is marked
+    ``use_result = FALSE`` (R, rejected); unknown and empty qualifiers stay.
+    ``sample_types`` keeps only samples of those types (e.g. ``["N"]`` leaves
+    out field duplicates, blanks and spikes) and their results.
+    """
+    results, samples, fact = m.results, m.samples, m.fact
+    if exclude_rejected:
+        rejected = m.qualifiers.filter(~F.col("use_result")).select(
+            F.col("qualifier").alias("lab_qualifier"))
+        results = results.join(F.broadcast(rejected), "lab_qualifier", "left_anti") \
+            .select(*m.results.columns)
+        if fact is not None:
+            fact = fact.join(F.broadcast(rejected), "lab_qualifier", "left_anti") \
+                .select(*m.fact.columns)
+    if sample_types is not None:
+        samples = samples.filter(F.col("sample_type").isin(list(sample_types)))
+        keep = samples.select("sample_id")
+        results = results.join(keep, "sample_id", "left_semi")
+        if fact is not None:
+            fact = fact.join(keep, "sample_id", "left_semi")
+    return EraModel(locations=m.locations, analytes=m.analytes, matrix=m.matrix,
+                    qualifiers=m.qualifiers, levels=m.levels, samples=samples,
+                    results=results, fact=fact)

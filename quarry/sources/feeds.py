@@ -14,7 +14,7 @@ import datetime as dt
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -269,9 +269,11 @@ def load_screening_levels(df: DataFrame, load_date: dt.date) -> DataFrame:
 def upsert_replace_levels(existing: DataFrame | None, loads: list[DataFrame]) -> DataFrame:
     """ING-08: INSERT OR REPLACE by cas_rn - the latest load wins.
 
-    ``loads`` are typed threshold frames in load order; rows inside one load
-    keep the last occurrence of a key (file order). One window partitioned by
-    cas_rn picks the survivor; no global sort.
+    ``loads`` are typed threshold frames in load order; inside one load the
+    last occurrence of a key wins (scan order). The survivor per key is a
+    ``max_by`` aggregation on (load, position): partial aggregation keeps one
+    candidate per key and task, so a key repeated a billion times costs no
+    more than one that appears once (no window over a whole key group).
     """
     frames = [] if existing is None else [existing.withColumn("_seq", F.lit(-1))]
     for i, ld in enumerate(loads):
@@ -279,10 +281,11 @@ def upsert_replace_levels(existing: DataFrame | None, loads: list[DataFrame]) ->
     allrows = frames[0]
     for f in frames[1:]:
         allrows = allrows.unionByName(f)
+    cols = [c for c in allrows.columns if c != "_seq"]
     allrows = allrows.withColumn("_pos", F.monotonically_increasing_id())
-    w = Window.partitionBy("cas_rn").orderBy(F.col("_seq").desc(), F.col("_pos").desc())
-    return (allrows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .drop("_rn", "_seq", "_pos"))
+    return (allrows.groupBy("cas_rn")
+            .agg(F.max_by(F.struct(*cols), F.struct("_seq", "_pos")).alias("_v"))
+            .select("_v.*"))
 
 
 def analytes_from_levels(existing: DataFrame, levels: DataFrame) -> DataFrame:

@@ -86,8 +86,3 @@ def dim_matrix(spark: SparkSession) -> DataFrame:
 
 def dim_qualifiers(spark: SparkSession) -> DataFrame:
     return F.broadcast(spark.createDataFrame(QUALIFIERS, QUALIFIER_SCHEMA))
-
-
-def analyte_group_prefixes(spark: SparkSession) -> DataFrame:
-    rows = [(p, g, i) for i, (p, g) in enumerate(ANALYTE_GROUP_PREFIXES)]
-    return F.broadcast(spark.createDataFrame(rows, "prefix string, analyte_group string, priority int"))

@@ -184,3 +184,22 @@ def test_validated_screening_drops_rejected(spark, m):
              "analyte_name", "matrix_name")
     assert out[("Analyte A", "Soil")]["max_conc"] == D(12)
     assert out[("Analyte A", "Soil")]["detections"] == 3
+
+
+def test_validated_model_and_any_threshold_column(spark, m):
+    from pyspark.sql import functions as F
+    from quarry.plans.era_base import validated
+    from quarry.sources.model import EraModel
+    rej = m.results.withColumn(
+        "lab_qualifier", F.when(F.col("result_value") == 12, F.lit("R")).otherwise(F.col("lab_qualifier")))
+    m2 = validated(EraModel(**{**m.__dict__, "results": rej}))
+    assert m2.results.count() == 18
+    stats = {(r.cas_rn, r.matrix_code): r for r in statistics.analyte_statistics(m2).collect()}
+    assert stats[("A", "SO")].n_total == 4
+    only_n = validated(m, exclude_rejected=False, sample_types=["X"])
+    assert only_n.results.count() == 0
+    out = by(screening.screening_summary(m, "rsl_industrial_soil_mg_kg", "soil"),
+             "analyte_name", "matrix_name")
+    assert out[("Analyte A", "Soil")]["screening_level"] == D(50)
+    with pytest.raises(ValueError):
+        screening.screening_summary(m, "drop table", "all")
