@@ -114,12 +114,22 @@ def qc_panel(m: EraModel) -> DataFrame:
 # ------------------------------------------------------------- DQ-08/09
 
 def key_checks(table: str, df: DataFrame, key: str) -> DataFrame:
-    """Duplicate and NULL values of a declared primary key, one pass each."""
-    dup = (df.select(key).filter(F.col(key).isNotNull()).groupBy(key).count()
-           .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("violations"))
-           .select(F.lit(table).alias("table_name"), F.lit(key).alias("column_name"),
-                   F.lit("PRIMARY KEY UNIQUE").alias("constraint_type"), "violations"))
-    return dup.unionByName(not_null_check(table, df, key, "PRIMARY KEY NOT NULL"))
+    """Duplicate and NULL values of a declared primary key in one aggregation:
+    rows per key value (partial aggregation absorbs a hot key), then the
+    number of non-NULL values seen more than once and the rows with a NULL key.
+    """
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    g = per_key.agg(
+        F.count(F.when(F.col(key).isNotNull() & (F.col("n") > 1), F.lit(1))).alias("dup"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("nul"))
+    kinds = F.explode(F.array(
+        F.struct(F.lit("PRIMARY KEY UNIQUE").alias("constraint_type"),
+                 F.col("dup").cast("bigint").alias("violations")),
+        F.struct(F.lit("PRIMARY KEY NOT NULL").alias("constraint_type"),
+                 F.col("nul").cast("bigint").alias("violations"))))
+    return g.select(F.lit(table).alias("table_name"), F.lit(key).alias("column_name"),
+                    kinds.alias("k")).select("table_name", "column_name", "k.constraint_type",
+                                             "k.violations")
 
 
 def not_null_check(table: str, df: DataFrame, col: str, kind: str = "NOT NULL") -> DataFrame:
