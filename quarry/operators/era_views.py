@@ -8,7 +8,7 @@ on the non-splittable side of an outer join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import percent, ratio, round_half_up, sum_when
@@ -196,20 +196,20 @@ def matrix_distribution(m: EraModel) -> DataFrame:
 def qualifier_distribution(m: EraModel) -> DataFrame:
     """ERA-08: raw qualifier -> count and % of all results (1 dp).
 
-    '' and NULL stay two groups, both labelled "None". The fact is reduced to
-    one row per qualifier value before the window, which therefore sees a
-    handful of rows, never the fact.
+    '' and NULL stay two groups, both labelled "None". The grand total is a
+    scalar subquery over the per-qualifier counts (one value), so no window
+    and no single-partition step is needed.
     """
     per_q = m.results.groupBy("lab_qualifier").agg(F.count(F.lit(1)).alias("count"))
+    total = per_q.agg(F.sum("count").alias("total"))
     q = m.qualifiers.select(F.col("qualifier").alias("lab_qualifier"), "qualifier_name",
                             "detection_status")
-    g = (per_q.join(q, "lab_qualifier", "left")
-         .withColumn("_total", F.sum("count").over(Window.partitionBy())))
+    g = per_q.join(q, "lab_qualifier", "left")
     return (g.select(F.coalesce(F.nullif(F.col("lab_qualifier"), F.lit("")), F.lit("None"))
                      .alias("qualifier"),
                      "qualifier_name", "detection_status", "count",
-                     round_half_up(percent("count", "_total"), 1).alias("percentage"))
-            .orderBy(F.col("count").desc()))
+                     round_half_up(percent(F.col("count"), total.scalar()), 1).alias("percentage"))
+            .orderBy(F.col("count").desc(), F.col("qualifier")))
 
 
 def rsl_coverage(m: EraModel) -> DataFrame:
