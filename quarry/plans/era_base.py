@@ -61,7 +61,7 @@ def samples_with(m: EraModel, cols: Sequence[str] = (), location_cols: Sequence[
     return s
 
 
-SAMPLE_ATTRS = ("matrix_code", "location_id", "sample_date")
+SAMPLE_ATTRS = ("matrix_code", "location_id", "sample_date", "depth_top_ft", "depth_bottom_ft")
 
 
 def sample_fact(m: EraModel, result_cols: Sequence[str], sample_cols: Sequence[str]) -> DataFrame:
@@ -78,6 +78,11 @@ def sample_fact(m: EraModel, result_cols: Sequence[str], sample_cols: Sequence[s
     return m.results.select(*rcols).join(s, "sample_id", "inner")
 
 
+def stored_levels(m: EraModel) -> bool:
+    """The model's pre-joined fact carries the thresholds of each result."""
+    return m.fact is not None and "has_level" in m.fact.columns
+
+
 def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Sequence[str] = (),
                 location_cols: Sequence[str] = (), matrix_cols: Sequence[str] = (),
                 analyte_cols: Sequence[str] = (), level_cols: Sequence[str] = (),
@@ -89,6 +94,9 @@ def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Se
     ``level_cols`` adds threshold columns plus ``has_level`` (TRUE when a
     threshold row exists). ``levels_inner`` keeps only results with one,
     which is exact whenever a query can only select such rows.
+
+    On a stored model the sample attributes, and the thresholds when stored,
+    come from the pre-joined fact: no join, matrix filters prune partitions.
     """
     need = {"sample_id", "cas_rn", *result_cols}
     if detects_only or "detect_flag" in result_cols:
@@ -100,21 +108,25 @@ def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Se
         scols.add("location_id")
     if matrix_cols or matrix_code:
         scols.add("matrix_code")
+    want_levels = bool(level_cols) or levels_inner
     if m.fact is not None and scols <= set(SAMPLE_ATTRS):
-        # Pre-joined fact: filters on the matrix prune partitions; location
-        # names join the fact directly on location_id.
-        f = m.fact.select(*sorted(need | scols))
+        levels_here = want_levels and stored_levels(m)
+        lcols = {*level_cols, "has_level"} if levels_here else set()
+        f = m.fact.select(*sorted(need | scols | lcols))
         if matrix_code:
             f = f.filter(F.col("matrix_code") == matrix_code)
         if detects_only:
             f = f.filter(detected())
         if result_filter is not None:
             f = f.filter(result_filter)
+        if levels_here and levels_inner:
+            f = f.filter(F.col("has_level"))
         if location_cols:
             f = f.join(m.locations.select("location_id", *location_cols), "location_id", "left")
         if matrix_cols:
             f = f.join(m.matrix.select("matrix_code", *matrix_cols), "matrix_code", "left")
     else:
+        levels_here = False
         r = m.results.select(*sorted(need))
         if detects_only:
             r = r.filter(detected())
@@ -124,7 +136,7 @@ def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Se
         f = r.join(s, "sample_id", "inner")
     if analyte_cols:
         f = f.join(m.analytes.select("cas_rn", *analyte_cols), "cas_rn", "left")
-    if level_cols or levels_inner:
+    if want_levels and not levels_here:
         lv = m.levels.select("cas_rn", *level_cols, F.lit(True).alias("has_level"))
         f = f.join(lv, "cas_rn", "inner" if levels_inner else "left")
     if qualifier_cols:

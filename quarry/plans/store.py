@@ -5,12 +5,16 @@ checkpoint folder (``spark.checkpoint.dir``) and every query then reads the
 written tables. Two things are done at load time so no query repeats them:
 
 * the result fact is stored with the attributes of its sample
-  (``matrix_code``, ``location_id``, ``sample_date``, ``sample_matched``), so
+  (``matrix_code``, ``location_id``, ``sample_date``, depths,
+  ``sample_matched``), so
   the one large-large join (results x samples on ``sample_id``) runs once
   instead of in every query; the table is partitioned by ``matrix_code``, so
   a matrix filter prunes whole directories, and clustered and sorted by
   ``cas_rn`` inside, so per-analyte aggregations collapse map-side and an
   analyte filter skips row groups by their min/max;
+* when the threshold key is unique, each result also carries its analyte's
+  thresholds (``has_level``), so row-level threshold comparisons need no
+  join and no shuffle of the fact by analyte;
 * the retail fact (line items x order headers) is stored joined and
   clustered by order, so per-order pre-aggregation collapses map-side.
 
@@ -29,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from quarry.plans.era_base import SAMPLE_ATTRS
 from quarry.session import scratch_path
 from quarry.sources import reference_data as ref
 from quarry.sources.model import EraModel, RetailModel, era_from_driver, retail_from_driver
@@ -36,10 +41,9 @@ from quarry.sources.tables import table_path
 
 ERA_INPUTS = ("customer", "part", "orders", "lineitem")
 RETAIL_INPUTS = ("customer", "nation", "region", "part", "orders", "lineitem")
-SAMPLE_ATTRS = ("matrix_code", "location_id", "sample_date")
 MARKER = "_COMPLETE"
 # Bumped whenever the stored layout changes, so an old store is not reused.
-STORE_VERSION = 3
+STORE_VERSION = 5
 
 # (session, sf_dir, kind) -> True if this process built the store, False if
 # it found a complete one (reported by the bench).
@@ -92,16 +96,36 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None,
     w.parquet(path)
 
 
-def enriched_results(m: EraModel) -> DataFrame:
+LEVEL_ATTRS = (*ref.THRESHOLD_COLUMNS, "carcinogen", "target_organ")
+
+
+def levels_unique(m: EraModel) -> bool:
+    """True when no cas_rn has two threshold rows (the declared key holds).
+
+    One small aggregation over the threshold table at build time; only then
+    are thresholds stored on the fact rows (a duplicated key would multiply
+    result rows)."""
+    return m.levels.groupBy("cas_rn").count().filter(F.col("count") > 1).limit(1).count() == 0
+
+
+def enriched_results(m: EraModel, with_levels: bool = False) -> DataFrame:
     """Every result with its sample's attributes (LEFT: results without a
-    sample keep NULL attributes and ``sample_matched`` FALSE)."""
+    sample keep NULL attributes and ``sample_matched`` FALSE) and, when
+    ``with_levels``, its analyte's thresholds (``has_level`` TRUE when a
+    threshold row exists)."""
     s = m.samples.select("sample_id", *SAMPLE_ATTRS, F.lit(True).alias("sample_matched"))
-    return (m.results.join(s, "sample_id", "left")
-            .withColumn("sample_matched", F.coalesce(F.col("sample_matched"), F.lit(False))))
+    out = (m.results.join(s, "sample_id", "left")
+           .withColumn("sample_matched", F.coalesce(F.col("sample_matched"), F.lit(False))))
+    if with_levels:
+        lv = m.levels.select("cas_rn", *LEVEL_ATTRS, F.lit(True).alias("has_level"))
+        out = (out.join(lv, "cas_rn", "left")
+               .withColumn("has_level", F.coalesce(F.col("has_level"), F.lit(False))))
+    return out
 
 
 def write_era(m: EraModel, root: str) -> None:
-    _write(enriched_results(m), os.path.join(root, "fact_results"), "matrix_code", ("cas_rn",))
+    _write(enriched_results(m, levels_unique(m)), os.path.join(root, "fact_results"),
+           "matrix_code", ("cas_rn",))
     _write(m.samples, os.path.join(root, "fact_samples"), cluster_by=("sample_id",))
     _write(m.locations, os.path.join(root, "dim_locations"))
     _write(m.analytes, os.path.join(root, "dim_analytes"))
@@ -111,8 +135,11 @@ def write_era(m: EraModel, root: str) -> None:
 
 def read_era(spark: SparkSession, root: str, adapted: EraModel) -> EraModel:
     fact_path = os.path.join(root, "fact_results")
-    # Explicit schema: the partition column stays a string whatever its values.
-    fact = spark.read.schema(enriched_results(adapted).schema).parquet(fact_path)
+    # Explicit schema (the partition column stays a string whatever its
+    # values); whether thresholds were stored is read from the files.
+    stored = spark.read.parquet(fact_path).columns
+    schema = enriched_results(adapted, "has_level" in stored).schema
+    fact = spark.read.schema(schema).parquet(fact_path)
     results = fact.select(*adapted.results.columns)
     return EraModel(
         locations=spark.read.parquet(os.path.join(root, "dim_locations")),

@@ -48,9 +48,10 @@ class EraModel:
     levels: DataFrame
     samples: DataFrame
     results: DataFrame
-    # Optional: results already joined to their samples (inner) and carrying
-    # the sample's matrix_code, location_id and sample_date (see
-    # ``quarry.plans.store``); plans use it instead of joining samples again.
+    # Optional: results already joined to their samples (inner), carrying the
+    # sample's matrix, location, date and depths and, when stored, the
+    # analyte's thresholds (see ``quarry.plans.store``); plans use it instead
+    # of joining samples or thresholds again.
     fact: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:

@@ -80,3 +80,23 @@ def test_interrupted_store_is_rebuilt(spark, small_sf, tmp_path):
     assert back.samples.count() == m.samples.count()
     assert back.results.count() == m.results.count()
     assert back.fact.count() == m.results.join(m.samples, "sample_id").count()
+
+
+def test_stored_thresholds_remove_the_threshold_join(spark, small_sf):
+    """Row-level threshold screens read thresholds stored on the fact rows:
+    the plan has no join on cas_rn for them."""
+    p = entry.queries()["copc_residential_all"](spark, small_sf)
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "ref_screening_levels" not in plan
+    assert "fact_results" in plan
+
+
+def test_duplicate_threshold_keys_keep_the_join(spark, small_sf):
+    """If the threshold key were not unique, thresholds are not stored on the
+    fact (that would multiply result rows)."""
+    from quarry.plans.store import enriched_results, levels_unique
+    from quarry.sources.model import EraModel, era_from_driver
+    m = era_from_driver(spark, small_sf)
+    dup = EraModel(**{**m.__dict__, "levels": m.levels.unionByName(m.levels.limit(1))})
+    assert levels_unique(m) and not levels_unique(dup)
+    assert enriched_results(m, True).count() == m.results.count()
