@@ -5,8 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+from tests.plans import plan
 
 
 @pytest.mark.parametrize("key", sorted(entry.queries()))

@@ -62,7 +62,8 @@ def test_store_and_direct_plans_agree(spark, small_sf, key, monkeypatch):
 def test_store_fact_is_partitioned_by_matrix(spark, small_sf):
     from quarry.plans.store import era_store
     m = era_store(spark, small_sf)
-    plan = m.fact.filter("matrix_code = 'SO'")._jdf.queryExecution().executedPlan().toString()
+    from tests.plans import plan as explain
+    plan = explain(m.fact.filter("matrix_code = 'SO'"))
     assert "PartitionFilters: [isnotnull(matrix_code" in plan and "(matrix_code" in plan
 
 
@@ -86,7 +87,8 @@ def test_stored_thresholds_remove_the_threshold_join(spark, small_sf):
     """Row-level threshold screens read thresholds stored on the fact rows:
     the plan has no join on cas_rn for them."""
     p = entry.queries()["copc_residential_all"](spark, small_sf)
-    plan = p._jdf.queryExecution().executedPlan().toString()
+    from tests.plans import plan as explain
+    plan = explain(p)
     assert "ref_screening_levels" not in plan
     assert "fact_results" in plan
 
