@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,20 +51,23 @@ STORE_VERSION = 5
 BUILT: dict[tuple[int, str, str], bool] = {}
 
 _CACHE: dict[tuple[int, str, str], object] = {}
+# One build at a time per process: queries started from several threads wait
+# for the first build instead of writing the same store concurrently.
+_LOCK = threading.RLock()
 
 
 def fingerprint(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
-    """Hash of (path, size, mtime) of every input file, from Spark's file
-    listing (works on any file system Spark reads; contents are not read).
-    The listing is one row per file, so collecting it is bounded by the
-    number of files, not by the data."""
+    """Fingerprint of the input files (path, size, mtime) from Spark's file
+    listing: contents are never read, and the per-file hashes are summed on
+    the executors (order-independent), so one row reaches the driver however
+    many files there are."""
     paths = [table_path(sf_dir, n) for n in names]
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-             .select("path", "length", "modificationTime").collect())
-    h = hashlib.sha1()
-    for r in sorted(files, key=lambda r: r.path):
-        h.update(f"{r.path}:{r.length}:{r.modificationTime}".encode())
-    return h.hexdigest()[:16]
+    h = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    row = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+           .select("path", "length", "modificationTime")
+           .agg(F.count(F.lit(1)).alias("files"), F.sum(h).alias("hash"))).first()
+    raw = f"{sorted(paths)}:{row['files']}:{row['hash']}".encode()
+    return hashlib.sha1(raw).hexdigest()[:16]
 
 
 def _done(spark: SparkSession, root: str) -> bool:
@@ -167,25 +171,27 @@ def read_retail(spark: SparkSession, root: str) -> RetailModel:
 def era_store(spark: SparkSession, sf_dir: str) -> EraModel:
     """The ERA model of ``sf_dir``, materialised on first use."""
     key = (id(spark), sf_dir, "era")
-    if key not in _CACHE:
-        fp = fingerprint(spark, sf_dir, ERA_INPUTS)
-        root = scratch_path(spark, f"era-model-v{STORE_VERSION}-{fp}")
-        adapted = era_from_driver(spark, sf_dir)
-        BUILT[key] = not _done(spark, root)
-        if BUILT[key]:
-            write_era(adapted, root)
-        _CACHE[key] = read_era(spark, root, adapted)
-    return _CACHE[key]
+    with _LOCK:
+        if key not in _CACHE:
+            fp = fingerprint(spark, sf_dir, ERA_INPUTS)
+            root = scratch_path(spark, f"era-model-v{STORE_VERSION}-{fp}")
+            adapted = era_from_driver(spark, sf_dir)
+            BUILT[key] = not _done(spark, root)
+            if BUILT[key]:
+                write_era(adapted, root)
+            _CACHE[key] = read_era(spark, root, adapted)
+        return _CACHE[key]
 
 
 def retail_store(spark: SparkSession, sf_dir: str) -> RetailModel:
     """The retail model of ``sf_dir``, materialised on first use."""
     key = (id(spark), sf_dir, "retail")
-    if key not in _CACHE:
-        fp = fingerprint(spark, sf_dir, RETAIL_INPUTS)
-        root = scratch_path(spark, f"retail-model-v{STORE_VERSION}-{fp}")
-        BUILT[key] = not _done(spark, root)
-        if BUILT[key]:
-            write_retail(retail_from_driver(spark, sf_dir), root)
-        _CACHE[key] = read_retail(spark, root)
-    return _CACHE[key]
+    with _LOCK:
+        if key not in _CACHE:
+            fp = fingerprint(spark, sf_dir, RETAIL_INPUTS)
+            root = scratch_path(spark, f"retail-model-v{STORE_VERSION}-{fp}")
+            BUILT[key] = not _done(spark, root)
+            if BUILT[key]:
+                write_retail(retail_from_driver(spark, sf_dir), root)
+            _CACHE[key] = read_retail(spark, root)
+        return _CACHE[key]
