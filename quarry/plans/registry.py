@@ -8,6 +8,7 @@ per parameter combination with a different meaning.
 from __future__ import annotations
 
 import os
+import warnings
 from collections.abc import Callable
 from functools import partial
 
@@ -31,12 +32,25 @@ def use_store() -> bool:
     return os.environ.get("QUARRY_STORE", "1") != "0"
 
 
+def _stored(build, direct, spark: SparkSession, sf_dir: str):
+    """The stored model, or the plain adapters when the store is switched off
+    or cannot be written (same rows either way; the store only saves work)."""
+    if not use_store():
+        return direct(spark, sf_dir)
+    try:
+        return build(spark, sf_dir)
+    except Exception as e:  # noqa: BLE001 - e.g. no writable checkpoint folder
+        warnings.warn(f"model store unavailable ({type(e).__name__}: {e}); "
+                      "queries adapt the input tables directly", RuntimeWarning)
+        return direct(spark, sf_dir)
+
+
 def era_model(spark: SparkSession, sf_dir: str) -> EraModel:
-    return era_store(spark, sf_dir) if use_store() else era_from_driver(spark, sf_dir)
+    return _stored(era_store, era_from_driver, spark, sf_dir)
 
 
 def retail_model(spark: SparkSession, sf_dir: str) -> RetailModel:
-    return retail_store(spark, sf_dir) if use_store() else retail_from_driver(spark, sf_dir)
+    return _stored(retail_store, retail_from_driver, spark, sf_dir)
 
 
 def _retail(op) -> Query:

@@ -102,3 +102,16 @@ def test_duplicate_threshold_keys_keep_the_join(spark, small_sf):
     dup = EraModel(**{**m.__dict__, "levels": m.levels.unionByName(m.levels.limit(1))})
     assert levels_unique(m) and not levels_unique(dup)
     assert enriched_results(m, True).count() == m.results.count()
+
+
+def test_store_failure_falls_back_to_adapters(spark, small_sf, monkeypatch):
+    from quarry.plans import registry as reg
+
+    def broken(spark, sf_dir):
+        raise PermissionError("read-only checkpoint folder")
+
+    monkeypatch.setattr(reg, "era_store", broken)
+    with pytest.warns(RuntimeWarning):
+        got = collect_sorted(entry.queries()["epc_summary"](spark, small_sf))
+    monkeypatch.setenv("QUARRY_STORE", "0")
+    assert got == collect_sorted(entry.queries()["epc_summary"](spark, small_sf))
