@@ -33,11 +33,14 @@ def _x() -> Column:
         .otherwise((F.col("detection_limit") * F.lit(Decimal("0.5"))).cast(X_TYPE))
 
 
-def moments(f: DataFrame, keys: list[str]) -> DataFrame:
+def moments(f: DataFrame, keys: list[str], det_sums: bool = True,
+            x_sums: bool = True) -> DataFrame:
     """Algebraic per-group aggregates for the statistics.
 
     n, n_det, min/max of detects, max DL of non-detects, and exact sums and
-    sums of squares of detects and of substituted values.
+    sums of squares of detects (``det_sums``) and of substituted values
+    (``x_sums``); a statistic asks only for the sums it uses, as the DECIMAL
+    sums of squares are the costly part of the aggregation.
     """
     x = _x()
     det = F.when(detected(), F.col("result_value").cast(X_TYPE))
@@ -47,15 +50,17 @@ def moments(f: DataFrame, keys: list[str]) -> DataFrame:
         F.min(F.when(detected(), F.col("result_value"))).alias("min_det"),
         F.max(F.when(detected(), F.col("result_value"))).alias("max_det"),
         F.max(F.when(~detected(), F.col("detection_limit"))).alias("max_dl_nd"),
-        F.sum(det.cast(SUM_X)).alias("sum_det"),
-        F.sum((det * det).cast(SUM_X2)).alias("sumsq_det"),
-        F.sum(x.cast(SUM_X)).alias("sum_x"),
-        F.sum((x * x).cast(SUM_X2)).alias("sumsq_x"),
     ]
+    if det_sums:
+        aggs += [F.sum(det.cast(SUM_X)).alias("sum_det"),
+                 F.sum((det * det).cast(SUM_X2)).alias("sumsq_det")]
+    if x_sums:
+        aggs += [F.sum(x.cast(SUM_X)).alias("sum_x"),
+                 F.sum((x * x).cast(SUM_X2)).alias("sumsq_x")]
     return f.groupBy(*keys).agg(*aggs)
 
 
-def pair_moments(f: DataFrame) -> DataFrame:
+def pair_moments(f: DataFrame, det_sums: bool = True, x_sums: bool = True) -> DataFrame:
     """``moments`` per (cas_rn, matrix_code) plus the group's unit.
 
     The heavy aggregation keys on (cas_rn, matrix_code, result_unit), so all
@@ -63,13 +68,13 @@ def pair_moments(f: DataFrame) -> DataFrame:
     units of a pair are merged in a second aggregation over one row per pair
     and unit. Sums re-add exactly (DECIMAL), counts add, min/max compose.
     """
-    per_unit = moments(f, ["cas_rn", "matrix_code", "result_unit"])
+    per_unit = moments(f, ["cas_rn", "matrix_code", "result_unit"], det_sums, x_sums)
+    sums = [c for c in ("sum_det", "sumsq_det", "sum_x", "sumsq_x") if c in per_unit.columns]
     return per_unit.groupBy("cas_rn", "matrix_code").agg(
         F.sum("n").alias("n"), F.sum("n_det").alias("n_det"),
         F.min("min_det").alias("min_det"), F.max("max_det").alias("max_det"),
         F.max("max_dl_nd").alias("max_dl_nd"),
-        F.sum("sum_det").alias("sum_det"), F.sum("sumsq_det").alias("sumsq_det"),
-        F.sum("sum_x").alias("sum_x"), F.sum("sumsq_x").alias("sumsq_x"),
+        *[F.sum(c).alias(c) for c in sums],
         F.min("result_unit").alias("result_unit"))
 
 
@@ -211,7 +216,8 @@ def epc_summary(m: EraModel) -> DataFrame:
                     sample_cols=["matrix_code"])
     f = f.filter(F.col("matrix_code").isin("SO", "GW"))
     lv = m.levels.select("cas_rn", "rsl_residential_soil_mg_kg", TAP)
-    g = (pair_moments(f).join(lv, "cas_rn", "inner").withColumn("rsl", _pair_level())
+    g = (pair_moments(f, det_sums=False).join(lv, "cas_rn", "inner")
+         .withColumn("rsl", _pair_level())
          .filter(F.col("max_det") > F.col("rsl")))
     n, nd = F.col("n"), F.col("n_det")
     mean_x = mean("sum_x", "n")
@@ -244,7 +250,8 @@ def table_epc(m: EraModel) -> DataFrame:
     f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag",
                                     "result_unit"],
                     sample_cols=["matrix_code"], detects_only=True)
-    g = pair_moments(f.filter(F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()))
+    g = pair_moments(f.filter(F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()),
+                     x_sums=False)
     n = F.col("n")
     mean_d = mean("sum_det", "n")
     sd_d = sample_sd("sum_det", "sumsq_det", "n")
