@@ -1,7 +1,12 @@
-"""The ERA base relation: results joined to samples and dimensions.
+"""The ERA base relation: results with their sample, analyte and thresholds.
 
-Join order is chosen so the result fact (the only large relation) is
-shuffled as little as possible:
+On a stored model (``quarry.plans.store``, the default for registered
+queries) the result fact already carries its sample's attributes and, when
+the key is unique, its thresholds: plans select columns from it, matrix
+filters prune partitions, and no large join runs.
+
+Without a store the joins are ordered so the result fact (the only large
+relation) is shuffled as little as possible:
 
 * location and matrix attributes are attached to *samples* first (samples are
   several times smaller than results), then results join samples once on
@@ -9,12 +14,11 @@ shuffled as little as possible:
   sample's partition;
 * analyte attributes and thresholds are both keyed on ``cas_rn``; after the
   first of the two joins the fact is already partitioned on ``cas_rn``, so the
-  second one adds no shuffle (or both become broadcasts when AQE sees small
-  dimensions);
+  second one adds no shuffle (or both become broadcasts when they are small);
 * the fixed matrix and qualifier lists are broadcast.
 
-Only the columns a query asks for are joined; Catalyst prunes the rest down
-to the Parquet scans.
+Only the columns a query asks for are selected; Catalyst prunes the rest
+down to the Parquet scans.
 """
 
 from __future__ import annotations
@@ -28,7 +32,6 @@ from quarry.sources.model import EraModel
 from quarry.sources.reference_data import THRESHOLD_COLUMNS
 
 
-
 def detected() -> Column:
     """The result is a detect."""
     return F.col("detect_flag") == "Y"

@@ -2,13 +2,13 @@
 
 The adapters (or feed loads) are written once per input to the shared
 checkpoint folder (``spark.checkpoint.dir``) and every query then reads the
-written tables. Two things are done at load time so no query repeats them:
+written tables. Work done once at load time so no query repeats it:
 
 * the result fact is stored with the attributes of its sample
   (``matrix_code``, ``location_id``, ``sample_date``, depths,
-  ``sample_matched``), so
-  the one large-large join (results x samples on ``sample_id``) runs once
-  instead of in every query; the table is partitioned by ``matrix_code``, so
+  ``sample_matched``), so the one large-large join (results x samples on
+  ``sample_id``) runs once instead of in every query; the table is
+  partitioned by ``matrix_code``, so
   a matrix filter prunes whole directories, and clustered and sorted by
   ``cas_rn`` inside, so per-analyte aggregations collapse map-side and an
   analyte filter skips row groups by their min/max;
