@@ -11,7 +11,6 @@ target (the reference deletes and re-inserts row by row).
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,14 +110,21 @@ def raw_table_name(file_stem: str) -> str:
 
 
 def register_raw(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """ING-03: every feed directory below ``directory`` becomes one raw view."""
+    """ING-03: every feed directory below ``directory`` becomes one raw view.
+
+    The feed directories come from Spark's file listing (any file system
+    Spark reads); only the distinct directory names reach the driver.
+    """
+    root = directory.rstrip("/")
+    files = discover_files(spark, root, f"*.{fmt}")
+    parent = F.element_at(F.split(F.col("path"), "/"), -2)
+    own = root.split("/")[-1]
+    feeds = sorted(r.feed for r in files.select(parent.alias("feed")).distinct().collect()
+                   if r.feed and r.feed != own)
     out = {}
-    for entry in sorted(os.listdir(directory)):
-        p = os.path.join(directory, entry)
-        if not os.path.isdir(p):
-            continue
+    for entry in feeds:
         feed = entry[len("sample_"):] if entry.startswith("sample_") else entry
-        df = read_feed(spark, p, feed if feed in FEED_SCHEMAS else None, fmt)
+        df = read_feed(spark, f"{root}/{entry}", feed if feed in FEED_SCHEMAS else None, fmt)
         name = raw_table_name(entry)
         df.createOrReplaceTempView(name)
         out[name] = df
