@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,7 @@ def ingest_available(spark: SparkSession, feed_dir: str, target_dir: str,
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    if not os.path.isdir(target_dir):
+    try:
+        return spark.read.parquet(target_dir).count()
+    except AnalysisException:  # nothing delivered yet: no table
         return 0
-    return spark.read.parquet(target_dir).count()
