@@ -13,6 +13,8 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from quarry.operators import catalog, era_views, quality, reports, retail, screening, statistics
 from quarry.plans.store import era_store, retail_store
@@ -87,6 +89,21 @@ def _null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.null_profile(tables)
 
 
+def reported(df: DataFrame) -> DataFrame:
+    """Report types at the query boundary: DECIMAL columns are handed out as
+    DOUBLE (as a pandas consumer receives them); all sums and comparisons
+    before this point stay exact DECIMAL."""
+    if not any(isinstance(f.dataType, DecimalType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _reporting(fn: Query) -> Query:
+    return lambda spark, sf_dir: reported(fn(spark, sf_dir))
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         # retail (RET-01..09)
@@ -155,7 +172,7 @@ def registry() -> dict[str, Query]:
         q[f"screening_summary_{suffix}"] = _era(partial(screening.screening_summary,
                                                         scenario=scenario, matrix=matrix))
         q[f"copc_{suffix}"] = _era(partial(screening.copc, scenario=scenario, matrix=matrix))
-    return q
+    return {k: _reporting(v) for k, v in q.items()}
 
 
 # (industrial, groundwater) equals (residential, groundwater): the tap-water
