@@ -18,8 +18,8 @@ written tables. Work done once at load time so no query repeats it:
 * the retail fact (line items x order headers) is stored joined and
   clustered by order, so per-order pre-aggregation collapses map-side.
 
-A store is keyed by a fingerprint of the input files (path, size, mtime), so
-changed inputs get a new store; a ``_COMPLETE`` marker is written last, so a
+A store is keyed by a fingerprint of the input files (path, size, mtime) and
+a hash of the code that defines it, so changed inputs or code get a new store; a ``_COMPLETE`` marker is written last, so a
 store interrupted by a lost executor or driver is rebuilt, never half-read.
 Writes are overwrites, so a retried build is idempotent.
 """
@@ -46,6 +46,21 @@ MARKER = "_COMPLETE"
 # Bumped whenever the stored layout changes, so an old store is not reused.
 STORE_VERSION = 5
 
+
+def _code_tag() -> str:
+    """Hash of the code that defines the stored tables (adapters, feed loads
+    and this module): a store written by other code is never reused."""
+    import inspect
+    import sys
+    h = hashlib.sha1()
+    for name in ("quarry.sources.model", "quarry.sources.feeds", __name__):
+        mod = sys.modules.get(name)
+        if mod is None:
+            __import__(name)
+            mod = sys.modules[name]
+        h.update(inspect.getsource(mod).encode())
+    return h.hexdigest()[:8]
+
 # (session, sf_dir, kind) -> True if this process built the store, False if
 # it found a complete one (reported by the bench).
 BUILT: dict[tuple[int, str, str], bool] = {}
@@ -174,7 +189,7 @@ def era_store(spark: SparkSession, sf_dir: str) -> EraModel:
     with _LOCK:
         if key not in _CACHE:
             fp = fingerprint(spark, sf_dir, ERA_INPUTS)
-            root = scratch_path(spark, f"era-model-v{STORE_VERSION}-{fp}")
+            root = scratch_path(spark, f"era-model-v{STORE_VERSION}-{_code_tag()}-{fp}")
             adapted = era_from_driver(spark, sf_dir)
             BUILT[key] = not _done(spark, root)
             if BUILT[key]:
@@ -189,7 +204,7 @@ def retail_store(spark: SparkSession, sf_dir: str) -> RetailModel:
     with _LOCK:
         if key not in _CACHE:
             fp = fingerprint(spark, sf_dir, RETAIL_INPUTS)
-            root = scratch_path(spark, f"retail-model-v{STORE_VERSION}-{fp}")
+            root = scratch_path(spark, f"retail-model-v{STORE_VERSION}-{_code_tag()}-{fp}")
             BUILT[key] = not _done(spark, root)
             if BUILT[key]:
                 write_retail(retail_from_driver(spark, sf_dir), root)
