@@ -189,6 +189,7 @@ def validated(m: EraModel, exclude_rejected: bool = True,
     """
     results, samples, fact = m.results, m.samples, m.fact
     if exclude_rejected:
+        # The qualifier code list is a fixed table of a few rows: broadcast.
         rejected = m.qualifiers.filter(~F.col("use_result")).select(
             F.col("qualifier").alias("lab_qualifier"))
         results = results.join(F.broadcast(rejected), "lab_qualifier", "left_anti") \
