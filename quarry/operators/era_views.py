@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import percent, ratio, round_half_up, sum_when
-from quarry.plans.era_base import TAP, detected, result_rows, sample_fact, view_level
+from quarry.plans.era_base import (TAP, detected, result_rows, sample_fact, stored_analytes,
+                                   view_level, with_analyte_names)
 from quarry.sources.model import EraModel
 
 CONC_SUM = "decimal(38,6)"
@@ -45,12 +46,17 @@ def screening_comparison(m: EraModel) -> DataFrame:
                     "carcinogen"))
 
 
-def _exceeding_rows(m: EraModel) -> DataFrame:
-    """Rows of the comparison view with status EXCEEDS (threshold row required)."""
+def _exceeding_rows(m: EraModel, analyte_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of the comparison view with status EXCEEDS (threshold row required).
+
+    ``analyte_cols`` are taken along only when the stored fact carries them;
+    otherwise the caller joins them to the (much smaller) exceeding rows.
+    """
     f = result_rows(
         m, result_cols=["result_value", "result_unit", "detection_limit", "detect_flag",
                         "lab_qualifier"],
         sample_cols=["location_id", "sample_date", "matrix_code"],
+        analyte_cols=list(analyte_cols) if stored_analytes(m) else [],
         level_cols=["rsl_residential_soil_mg_kg", TAP, "carcinogen"], levels_inner=True)
     return (f.withColumn("screening_level", view_level())
             .filter(F.col("result_value") > F.col("screening_level"))
@@ -65,11 +71,11 @@ def exceedances(m: EraModel) -> DataFrame:
     The filter needs a threshold, so thresholds join inner and the remaining
     dimensions are attached to the (much smaller) exceeding rows only.
     """
-    x = _exceeding_rows(m)
+    names = ("analyte_name", "analyte_group")
+    x = with_analyte_names(m, _exceeding_rows(m, names), names)
     s_loc = m.locations.select("location_id", "location_name")
     x = (x.join(s_loc, "location_id", "left")
          .join(m.matrix.select("matrix_code", "matrix_name"), "matrix_code", "left")
-         .join(m.analytes.select("cas_rn", "analyte_name", "analyte_group"), "cas_rn", "left")
          .join(m.qualifiers.select(F.col("qualifier").alias("lab_qualifier"), "detection_status"),
                "lab_qualifier", "left"))
     return (x.select("sample_id", "location_id", "location_name", "sample_date", "matrix_code",

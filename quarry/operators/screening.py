@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import count_when, ratio, round_half_up
 from quarry.plans.era_base import (MATRIX_FILTER, result_rows, scenario_level,
-                                   scenario_level_cols, soil_column, validated)
+                                   scenario_level_cols, soil_column, stored_analytes,
+                                   validated, with_analyte_names)
 from quarry.sources.model import EraModel
 
 
@@ -106,12 +107,13 @@ def location_exceedances(m: EraModel, scenario: str = "residential",
     f = _screened_detects(m, scenario, matrix,
                           result_cols=["result_value", "result_unit", "sample_id"],
                           sample_cols=["location_id", "matrix_code", "sample_date",
-                                       "depth_top_ft", "depth_bottom_ft"])
+                                       "depth_top_ft", "depth_bottom_ft"],
+                          analyte_cols=["analyte_name"] if stored_analytes(m) else [])
     x = f.filter(F.col("result_value") > F.col("screening_level"))
+    x = with_analyte_names(m, x, ["analyte_name"])
     x = (x.join(m.locations.select("location_id", "location_name", "location_type"),
                 "location_id", "left")
-         .join(m.matrix.select("matrix_code", "matrix_name"), "matrix_code", "left")
-         .join(m.analytes.select("cas_rn", "analyte_name"), "cas_rn", "left"))
+         .join(m.matrix.select("matrix_code", "matrix_name"), "matrix_code", "left"))
     return (x.select("location_id", "location_name", "location_type", "matrix_name",
                      "analyte_name", "result_value", "result_unit", "screening_level",
                      round_half_up(ratio("result_value", "screening_level"), 2)

@@ -81,6 +81,19 @@ def sample_fact(m: EraModel, result_cols: Sequence[str], sample_cols: Sequence[s
     return m.results.select(*rcols).join(s, "sample_id", "inner")
 
 
+def stored_analytes(m: EraModel) -> bool:
+    """The model's pre-joined fact carries each result's analyte name and group."""
+    return m.fact is not None and "analyte_name" in m.fact.columns
+
+
+def with_analyte_names(m: EraModel, f: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Attach analyte attributes to (already reduced) result rows: a join on
+    cas_rn, unless the rows already carry them from the stored fact."""
+    if all(c in f.columns for c in cols):
+        return f
+    return f.join(m.analytes.select("cas_rn", *cols), "cas_rn", "left")
+
+
 def stored_levels(m: EraModel) -> bool:
     """The model's pre-joined fact carries the thresholds of each result."""
     return m.fact is not None and "has_level" in m.fact.columns
@@ -115,7 +128,9 @@ def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Se
     if m.fact is not None and scols <= set(SAMPLE_ATTRS):
         levels_here = want_levels and stored_levels(m)
         lcols = {*level_cols, "has_level"} if levels_here else set()
-        f = m.fact.select(*sorted(need | scols | lcols))
+        analytes_here = bool(analyte_cols) and set(analyte_cols) <= set(m.fact.columns)
+        acols = set(analyte_cols) if analytes_here else set()
+        f = m.fact.select(*sorted(need | scols | lcols | acols))
         if matrix_code:
             f = f.filter(F.col("matrix_code") == matrix_code)
         if detects_only:
@@ -129,7 +144,7 @@ def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Se
         if matrix_cols:
             f = f.join(m.matrix.select("matrix_code", *matrix_cols), "matrix_code", "left")
     else:
-        levels_here = False
+        levels_here = analytes_here = False
         r = m.results.select(*sorted(need))
         if detects_only:
             r = r.filter(detected())
@@ -137,7 +152,7 @@ def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Se
             r = r.filter(result_filter)
         s = samples_with(m, sample_cols, location_cols, matrix_cols, matrix_code)
         f = r.join(s, "sample_id", "inner")
-    if analyte_cols:
+    if analyte_cols and not analytes_here:
         f = f.join(m.analytes.select("cas_rn", *analyte_cols), "cas_rn", "left")
     if want_levels and not levels_here:
         lv = m.levels.select("cas_rn", *level_cols, F.lit(True).alias("has_level"))

@@ -14,7 +14,8 @@ written tables. Work done once at load time so no query repeats it:
   analyte filter skips row groups by their min/max;
 * when the threshold key is unique, each result also carries its analyte's
   thresholds (``has_level``), so row-level threshold comparisons need no
-  join and no shuffle of the fact by analyte;
+  join and no shuffle of the fact by analyte; likewise the analyte's name
+  and group when the analyte key is unique;
 * the retail fact (line items x order headers) is stored joined and
   clustered by order, so per-order pre-aggregation collapses map-side.
 
@@ -118,6 +119,17 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None,
 LEVEL_ATTRS = (*ref.THRESHOLD_COLUMNS, "carcinogen", "target_organ")
 
 
+ANALYTE_ATTRS = ("analyte_name", "analyte_group")
+
+
+def key_unique(df: DataFrame, key: str) -> bool:
+    """True when no key value has two rows (the declared key holds). One
+    small aggregation over a dimension at build time; only then are its
+    attributes stored on the fact rows (a duplicated key would multiply
+    result rows)."""
+    return df.groupBy(key).count().filter(F.col("count") > 1).limit(1).count() == 0
+
+
 def levels_unique(m: EraModel) -> bool:
     """True when no cas_rn has two threshold rows (the declared key holds).
 
@@ -127,11 +139,13 @@ def levels_unique(m: EraModel) -> bool:
     return m.levels.groupBy("cas_rn").count().filter(F.col("count") > 1).limit(1).count() == 0
 
 
-def enriched_results(m: EraModel, with_levels: bool = False) -> DataFrame:
+def enriched_results(m: EraModel, with_levels: bool = False,
+                     with_analytes: bool = False) -> DataFrame:
     """Every result with its sample's attributes (LEFT: results without a
-    sample keep NULL attributes and ``sample_matched`` FALSE) and, when
+    sample keep NULL attributes and ``sample_matched`` FALSE); when
     ``with_levels``, its analyte's thresholds (``has_level`` TRUE when a
-    threshold row exists)."""
+    threshold row exists); when ``with_analytes``, the analyte's name and
+    group."""
     s = m.samples.select("sample_id", *SAMPLE_ATTRS, F.lit(True).alias("sample_matched"))
     out = (m.results.join(s, "sample_id", "left")
            .withColumn("sample_matched", F.coalesce(F.col("sample_matched"), F.lit(False))))
@@ -139,12 +153,14 @@ def enriched_results(m: EraModel, with_levels: bool = False) -> DataFrame:
         lv = m.levels.select("cas_rn", *LEVEL_ATTRS, F.lit(True).alias("has_level"))
         out = (out.join(lv, "cas_rn", "left")
                .withColumn("has_level", F.coalesce(F.col("has_level"), F.lit(False))))
+    if with_analytes:
+        out = out.join(m.analytes.select("cas_rn", *ANALYTE_ATTRS), "cas_rn", "left")
     return out
 
 
 def write_era(m: EraModel, root: str) -> None:
-    _write(enriched_results(m, levels_unique(m)), os.path.join(root, "fact_results"),
-           "matrix_code", ("cas_rn",))
+    _write(enriched_results(m, levels_unique(m), key_unique(m.analytes, "cas_rn")),
+           os.path.join(root, "fact_results"), "matrix_code", ("cas_rn",))
     _write(m.samples, os.path.join(root, "fact_samples"), cluster_by=("sample_id",))
     _write(m.locations, os.path.join(root, "dim_locations"))
     _write(m.analytes, os.path.join(root, "dim_analytes"))
@@ -157,7 +173,7 @@ def read_era(spark: SparkSession, root: str, adapted: EraModel) -> EraModel:
     # Explicit schema (the partition column stays a string whatever its
     # values); whether thresholds were stored is read from the files.
     stored = spark.read.parquet(fact_path).columns
-    schema = enriched_results(adapted, "has_level" in stored).schema
+    schema = enriched_results(adapted, "has_level" in stored, "analyte_name" in stored).schema
     fact = spark.read.schema(schema).parquet(fact_path)
     results = fact.select(*adapted.results.columns)
     return EraModel(
