@@ -48,7 +48,8 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("key", ["epc_summary", "location_summary", "background_comparison",
                                  "screening_summary_residential_soil", "table_samples",
-                                 "monthly_summary", "null_profile"])
+                                 "monthly_summary", "null_profile", "exceedances",
+                                 "location_exceedances_residential_all"])
 def test_store_and_direct_plans_agree(spark, small_sf, key, monkeypatch):
     """The materialised store (pre-joined fact) and the plain adapters give
     the same rows."""
@@ -104,6 +105,27 @@ def test_duplicate_threshold_keys_keep_the_join(spark, small_sf):
     assert enriched_results(m, True).count() == m.results.count()
 
 
+def test_stored_analytes_remove_the_analyte_join(spark, small_sf):
+    """Exceedance reports read analyte names stored on the fact rows: the
+    analyte dimension is not scanned."""
+    from tests.plans import plan as explain
+    for key in ("exceedances", "location_exceedances_residential_all"):
+        plan = explain(entry.queries()[key](spark, small_sf))
+        assert "dim_analytes" not in plan
+        assert "fact_results" in plan
+
+
+def test_duplicate_analyte_keys_keep_the_join(spark, small_sf):
+    """If the analyte key were not unique, names are not stored on the fact
+    (that would multiply result rows)."""
+    from quarry.plans.store import enriched_results, key_unique
+    from quarry.sources.model import era_from_driver
+    m = era_from_driver(spark, small_sf)
+    dup = m.analytes.unionByName(m.analytes.limit(1))
+    assert key_unique(m.analytes, "cas_rn") and not key_unique(dup, "cas_rn")
+    assert enriched_results(m, False, True).count() == m.results.count()
+
+
 def test_store_failure_falls_back_to_adapters(spark, small_sf, monkeypatch):
     from quarry.plans import registry as reg
 
