@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import langid
+from quarry.llm import langid, quality
 from quarry.llm.common import crc_mod, table
 
 
@@ -16,8 +16,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels are learned outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = quality.fit(quality.training_sample(docs, labels.where(~held_out)))
+    rated = quality.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return rated.select("doc_id", "held_out", "score", "predicted", "size_difference")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_quality": op2_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
