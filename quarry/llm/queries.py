@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import langid, quality
+from quarry.llm import bpe, langid, pieces, quality, tokencount
 from quarry.llm.common import crc_mod, table
 
 
@@ -25,9 +26,26 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "held_out", "score", "predicted", "size_difference")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every whole text."""
+    docs = table(spark, sf_dir, "documents")
+    return tokencount.count_tokens(docs, pieces.Vocabulary.load(), keep=["doc_id"])
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text by seeded merge-dropout, and whether they decode to it."""
+    docs = table(spark, sf_dir, "documents")
+    vocabulary = pieces.Vocabulary.load()
+    encoded = bpe.encode(docs, vocabulary, keep=["doc_id", "text"])
+    return bpe.decode_column(encoded, vocabulary).select(
+        "doc_id", "token_ids", "n_tokens", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
+    "op3_token_counts": op3_token_counts,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {}
