@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,12 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once a row: a lambda variable is bound
+    to it, where a plain reference inside a lambda is computed for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def crc_mod(col: str, m: int) -> Column:
     """crc32 of the id written as text, modulo ``m`` (null ids: null)."""
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(m))

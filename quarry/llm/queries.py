@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, pieces, quality, tokencount
-from quarry.llm.common import crc_mod, table
+from quarry.llm import bpe, langid, mixing, pieces, quality, spotsigs, surrogates, tokencount
+from quarry.llm.common import crc_mod, table, text_or_empty
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,11 +41,44 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "token_ids", "n_tokens", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document, in the order of their first position."""
+    mixed = mixing.curriculum(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return (mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken",
+                         F.round(F.array_min("copies.position"), 6).alias("first_position"))
+            .repartitionByRange(F.col("first_position").asc_nulls_last())
+            .sortWithinPartitions(F.col("first_position").asc_nulls_last()))
+
+
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and how alike they are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text_or_empty().alias("text"))
+    rows = spotsigs.with_next(docs.withColumn("sigs", spotsigs.signatures(F.col("text"))), "doc_id", ["text", "sigs"])
+    rows = rows.withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text")))
+    rows = rows.withColumn("edited_sigs", spotsigs.signatures(F.col("edited")))
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("sigs")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
+        spotsigs.likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal data replaced, and the types found in it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, types_column="entity_types")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
     "op3_token_counts": op3_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
+    "op4_mixing": op4_mixing,
+    "op8_spotsigs": op8_spotsigs,
+    "op6_pii": op6_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
