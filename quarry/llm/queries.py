@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, mixing, pieces, quality, spotsigs, surrogates, tokencount
+from quarry.llm import bpe, langid, licenses, mixing, pieces, quality, spotsigs, surrogates, tokencount
 from quarry.llm.common import crc_mod, table, text_or_empty
 
 
@@ -71,6 +71,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(docs, types_column="entity_types")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licence sentences and licences of every whole text."""
+    return licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -79,6 +84,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op8_spotsigs": op8_spotsigs,
     "op6_pii": op6_pii,
+    "op7_licenses": op7_licenses,
 }
 
 ORACLE_SQL: dict[str, str] = {}
