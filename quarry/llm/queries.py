@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, licenses, mixing, pieces, quality, spotsigs, surrogates, tokencount
+from quarry.llm import bpe, langid, licenses, mixing, nndescent, pieces, quality, spotsigs, surrogates, tokencount
 from quarry.llm.common import crc_mod, table, text_or_empty
 
 
@@ -76,6 +76,11 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and representative of every embedding at cosine 0.9."""
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_spotsigs": op8_spotsigs,
     "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
