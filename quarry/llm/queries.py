@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, licenses, mixing, nndescent, pieces, quality, spotsigs, surrogates, tokencount
+from quarry.llm import bpe, langid, licenses, mixing, ngramjoin, nndescent, pieces, quality, spotsigs, surrogates, tokencount
 from quarry.llm.common import crc_mod, table, text_or_empty
 
 
@@ -46,8 +46,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.curriculum(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return (mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken",
                          F.round(F.array_min("copies.position"), 6).alias("first_position"))
-            .repartitionByRange(F.col("first_position").asc_nulls_last())
-            .sortWithinPartitions(F.col("first_position").asc_nulls_last()))
+            .repartitionByRange(F.col("first_position").asc_nulls_last(), "doc_id")
+            .sortWithinPartitions(F.col("first_position").asc_nulls_last(), "doc_id"))
 
 
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under the 4-word Jaccard join."""
+    return ngramjoin.linked_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -91,6 +96,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_licenses": op7_licenses,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op5_ngram_join": op5_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
