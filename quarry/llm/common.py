@@ -43,11 +43,19 @@ def crc_mod(col: str, m: int) -> Column:
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(m))
 
 
-def words_of(text: str) -> list[str]:
-    """Python's side of WORD: only the six ASCII white-space characters separate."""
-    for c in "\t\n\x0b\x0c\r":
-        text = text.replace(c, " ")
-    return [w for w in text.split(" ") if w]
+def carried(docs: DataFrame, keep: list[str] | None, without: list[str], new: list[str]) -> list[str]:
+    """The input columns an operator hands on: ``keep``, or all but ``without``. A
+    column named like one of the operator's ``new`` ones is replaced by it."""
+    keep = [c for c in docs.columns if c not in without] if keep is None else keep
+    return [c for c in keep if c not in new]
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:

@@ -14,7 +14,7 @@ Defined cases: a null or empty text, or one without a letter, gets ``und`` and
 score 0. Repeated rows each get their row. Without labelled rows every text is
 ``und``. Words without a letter (numbers, rules) carry no evidence. Ties between
 languages go to the first in code-point order. Other columns of the input are
-ignored, whatever their names.
+carried; one named like an output column is replaced by it.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import carried, unused
+
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START, _END = 2, 3  # border marks, no code points of letters
@@ -322,19 +324,18 @@ def training_sample(docs: DataFrame, text: str, label: str, key: str, *, per_lab
 
 
 def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", keep: list[str] | None = None,
-             batch_words: int = 1_000_000) -> DataFrame:
+             prefix: str = "", batch_words: int = 1_000_000) -> DataFrame:
     """Label every whole text: the columns ``keep`` (default: all others but the
-    text), lang_pred, score (share of the posterior mass), n_words, n_switches."""
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    extra = "lang_pred string, score double, n_words long, n_switches long"
-    clash = set(keep) & {"lang_pred", "score", "n_words", "n_switches"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} would be written twice; leave them out of keep")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields] + [extra])
+    text), lang_pred, score (share of the posterior mass), n_words, n_switches, these
+    four with ``prefix`` before their names."""
+    new = [prefix + c for c in ("lang_pred", "score", "n_words", "n_switches")]
+    keep, body = carried(docs, keep, [text], new), unused(docs, "text_")
+    rows = docs.select(*keep, F.col(text).cast("string").alias(body))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields]
+                       + [f"`{c}` {t}" for c, t in zip(new, ("string", "double", "long", "long"))])
     if model is None:
-        return rows.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
-                           F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_switches"))
+        return rows.select(*keep, F.lit(UNKNOWN).alias(new[0]), F.lit(0.0).alias(new[1]),
+                           *[F.lit(0).cast("long").alias(c) for c in new[2:]])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -344,7 +345,7 @@ def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", kee
             _CACHE.clear()
             cache = _CACHE[m.key] = _WordScores(m)
         for pdf in batches:
-            tokens = [(t or "").split() for t in pdf["__text"]]
+            tokens = [(t or "").split() for t in pdf[body]]
             result = np.zeros((len(pdf), 3))
             names = np.full(len(pdf), UNKNOWN, dtype=object)
             at = 0
@@ -365,9 +366,8 @@ def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", kee
                 share = mass.max(axis=1) / np.where(some, worded, 1)
                 result[at:end] = np.stack([np.minimum(share, 1.0) * some, worded, switches * some], axis=1)
                 at = end
-            out = pdf.drop(columns="__text")
-            yield out.assign(lang_pred=names, score=result[:, 0], n_words=result[:, 1].astype(np.int64),
-                             n_switches=result[:, 2].astype(np.int64))
+            out = pdf.drop(columns=body)
+            yield out.assign(**dict(zip(new, (names, result[:, 0], *result[:, 1:].astype(np.int64).T))))
 
     return rows.mapInPandas(label, schema)
 

@@ -5,8 +5,9 @@ spelling, holders and years abstracted) and looked up in the table of known lice
 sentences. The identifiers found, in order, are matched against rules: a licence's
 sentences in their order, each at most ``REACH`` sentences behind the one before.
 
-A sentence runs to a full stop, question or exclamation mark before white space, to
-a colon at a line's end, or to a blank line. As lines before a licence line may lack a stop, every stretch of a
+A sentence runs to a full stop, question or exclamation mark (behind more than one
+letter, so not in "v. 2") or a colon (but that of an SPDX line) before white space,
+or to a blank line. As lines before a licence line may lack a stop, every stretch of a
 sentence that starts at a line's start is looked up too, the longest first, and so
 is every single line; a sentence counts once.
 
@@ -15,7 +16,7 @@ fixed list of this module. Texts without any of the words that every known sente
 holds are not cut at all.
 
 Defined cases: null and empty texts give empty arrays. Repeated rows each get their
-row; other columns are ignored or carried, whatever their names.
+row; other columns are carried, and one named like an output column is replaced by it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import let, text_or_empty
+from quarry.llm.common import carried, let, text_or_empty
 
 #: Most sentences from one sentence of a rule to its next.
 REACH = 4
@@ -36,7 +37,6 @@ SENTENCES = {
     "mit-short-3": "This project is licensed under the MIT License.",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-    "mit-grant-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "mit-as-is": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     "mit-liability": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     "apache-title": "Apache License",
@@ -47,7 +47,7 @@ SENTENCES = {
     "apache-see": "See the License for the specific language governing permissions and limitations under the License.",
     "gpl3-short": "This work is licensed under the GNU General Public License, version 3.",
     "gpl2-short": "This work is licensed under the GNU General Public License, version 2.",
-    "gpl3-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl3-notice": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl2-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "gpl-see": "See the GNU General Public License for more details.",
@@ -87,8 +87,7 @@ SENTENCES = {
 #: match whose sentences all belong to a longer match is dropped.
 RULES = [
     ("MIT", ["mit-grant", "mit-notice", "mit-as-is", "mit-liability"]),
-    ("MIT", ["mit-grant-notice", "mit-as-is", "mit-liability"]),
-    ("MIT", ["mit-title", "mit-grant"]), ("MIT", ["mit-title", "mit-grant-notice"]),
+    ("MIT", ["mit-title", "mit-grant"]),
     ("MIT", ["mit-short"]), ("MIT", ["mit-short-2"]), ("MIT", ["mit-short-3"]), ("MIT", ["spdx-mit"]),
     ("Apache-2.0", ["apache-notice", "apache-copy", "apache-as-is", "apache-see"]),
     ("Apache-2.0", ["apache-notice", "apache-as-is"]), ("Apache-2.0", ["apache-notice"]),
@@ -111,7 +110,7 @@ RULES = [
 ]
 
 #: Some of these stand in every known sentence (checked by a test).
-HINTS = ("licen", "permission", "warrant", "redistribut", "copyright", "rights reserved", "public domain",
+HINTS = ("licen", "permission", "warrant", "redistribut", "copyright", "reserved", "domain",
          "liab", "mpl", "spdx")
 _END = "\u0001"
 
@@ -136,7 +135,7 @@ def _table() -> Column:
 def sentence_ids(text: Column) -> Column:
     """array<struct<at, id>>: the known sentences of a text by sentence number."""
     known = _table()
-    cut = F.regexp_replace(text, r"(?<=[.!?])\s+|(?<=:)[ \t]*\n\s*|\n[ \t]*\n", _END)
+    cut = F.regexp_replace(text, r"(?<=[^\s.][^\s.][.!?])\s+|(?<=:)(?<!dentifier:)\s+|\n[ \t]*\n", _END)
 
     def lookup(sentence: Column, at: Column) -> Column:
         lines = F.split(sentence, "\n")
@@ -184,9 +183,6 @@ def licences(found: Column) -> Column:
 def scan(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (default: all others but the text), sentences (at, id) and
     licenses (license, first and last sentence, number of sentences)."""
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    clash = set(keep) & {"sentences", "licenses"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} would be written twice; leave them out of keep")
+    keep = carried(docs, keep, [text], ["sentences", "licenses"])
     return (docs.select(*keep, sentence_ids(text_or_empty(text)).alias("sentences"))
             .select(*keep, "sentences", let(F.col("sentences"), licences).alias("licenses")))

@@ -100,7 +100,7 @@ def demand_time(share: Column, times: Column, rates: Column) -> Column:
         a, b = F.element_at(rates, s["i"]), F.element_at(rates, s["i"] + 1)
         t0, t1 = F.element_at(times, s["i"]), F.element_at(times, s["i"] + 1)
         ends = ~s["done"] & ((s["left"] <= area) | (s["i"] == F.size(times) - 1))
-        slope = (b - a) / (t1 - t0)
+        slope = F.coalesce((b - a) / F.nullif(t1 - t0, F.lit(0.0)), F.lit(0.0))
         root = F.sqrt(F.greatest(a * a + 2 * slope * s["left"], F.lit(0.0)))
         inside = F.least(t0 + F.coalesce(2 * s["left"] / F.nullif(a + root, F.lit(0.0)), F.lit(0.0)), t1)
         return F.struct(
@@ -142,7 +142,7 @@ def curriculum(docs: DataFrame, *, text: str = "text", source: str = "source", k
         left = F.greatest(quota - (begin + k * F.col("source_size")), F.lit(0))
         words = F.when(left * 2 >= F.col("size"), F.col("size")).otherwise(F.lit(0)) if whole else F.least(
             left, F.col("size"))
-        middle = (begin + k * F.col("source_size") + words / 2) / F.col("target")
+        middle = (begin + k * F.col("source_size") + words / 2) / F.nullif(F.col("target"), F.lit(0.0))
         return F.struct(demand_time(F.least(middle, F.lit(1.0)), F.col("times"), F.col("rates")).alias("position"),
                         words.cast("long").alias("words"))
 

@@ -10,7 +10,8 @@ into the score, the probability of label 1.
 Defined cases: a null or empty text has difference 0 and gets that point's score.
 Repeated rows each get their row. Rows with a null label teach nothing. With only
 one label (or none) among the rows to learn from, every score is the share of label
-1 (0.5 without rows). Of the inputs only the text is read for a score.
+1 (0.5 without rows). Of the inputs only the text is read for a score; the others are
+carried, and one named like an output column is replaced by it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ import zstandard as zs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import carried, unused
+
 LEVEL = 3
 
 
@@ -142,11 +145,9 @@ def score(docs: DataFrame, model: CompressionModel, *, text: str = "text",
           keep: list[str] | None = None) -> DataFrame:
     """Score every whole text: the columns ``keep`` (default: all others but the
     text), size_difference, score, predicted."""
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    clash = set(keep) & {"size_difference", "score", "predicted"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} would be written twice; leave them out of keep")
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
+    keep = carried(docs, keep, [text], ["size_difference", "score", "predicted"])
+    body = unused(docs, "text_")
+    rows = docs.select(*keep, F.col(text).cast("string").alias(body))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields]
                        + ["size_difference double", "score double", "predicted int"])
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -155,9 +156,9 @@ def score(docs: DataFrame, model: CompressionModel, *, text: str = "text",
         m = shared.value
         pair = (_compressor(m.good), _compressor(m.bad)) if m.good and m.bad else None
         for pdf in batches:
-            x = np.array([difference(t or "", *pair, m.block) if pair else 0.0 for t in pdf["__text"]], dtype=float)
+            x = np.array([difference(t or "", *pair, m.block) if pair else 0.0 for t in pdf[body]], dtype=float)
             p = 1 / (1 + np.exp(-np.clip(m.slope * x + m.offset, -35, 35)))
-            yield pdf.drop(columns="__text").assign(size_difference=x, score=p,
+            yield pdf.drop(columns=body).assign(size_difference=x, score=p,
                                                     predicted=(p >= 0.5).astype(np.int32))
 
     return rows.mapInPandas(rate, schema)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import bpe, langid, licenses, mixing, ngramjoin, nndescent, pieces, quality, spotsigs, surrogates, tokencount
 from quarry.llm.common import crc_mod, table, text_or_empty
+from quarry.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,5 +99,3 @@ QUERIES = {
     "op10_embedding_dedup": op10_embedding_dedup,
     "op5_ngram_join": op5_ngram_join,
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import let, text_or_empty
+from quarry.llm.common import let, text_or_empty, unused
 
 #: The anchors, common words of English, German, French and Spanish.
 ANCHORS = (
@@ -84,28 +84,29 @@ def with_next(docs: DataFrame, key: str, values: list[str], *, rows_each: int =
     ranges' first keys reach the driver.
     """
     order = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
-    keyed = docs.withColumn("__o", order)
+    o, p = unused(docs, "order_"), unused(docs, "place_")
+    keyed = docs.withColumn(o, order)
     n = keyed.count()
     count = max(1, min(most_buckets, n // rows_each))
     cuts: list[int] = []
     if count > 1:
         at = [i / count for i in range(1, count)]
-        cuts = sorted(set(keyed.agg(F.percentile_approx("__o", at, 20 * count)).first()[0]))
-    ranged = keyed.select(_range(F.col("__o"), cuts).alias("r"), "__o")
-    starts = sorted(x["s"] for x in ranged.groupBy("r").agg(F.min("__o").alias("s")).collect())
-    own = _range(F.col("__o"), starts)
+        cuts = sorted(set(keyed.agg(F.percentile_approx(o, at, 20 * count)).first()[0]))
+    ranged = keyed.select(_range(F.col(o), cuts).alias("r"), F.col(o).alias("o"))
+    starts = sorted(x["s"] for x in ranged.groupBy("r").agg(F.min("o").alias("s")).collect())
+    own = _range(F.col(o), starts)
     last = len(starts)
     places = F.array(F.struct(own.alias("r"), F.lit(0).alias("guest")))
     if starts:
-        is_first = F.array_contains(F.array(*[F.lit(s) for s in starts]), F.col("__o")) if last <= 64 else (
-            F.element_at(F.array(*[F.lit(s) for s in starts]), own) == F.col("__o"))
+        is_first = F.array_contains(F.array(*[F.lit(s) for s in starts]), F.col(o)) if last <= 64 else (
+            F.element_at(F.array(*[F.lit(s) for s in starts]), own) == F.col(o))
         before = F.when(own == 1, F.lit(last)).otherwise(own - 1)
         places = F.when(is_first, F.concat(places, F.array(F.struct(before.alias("r"), F.lit(1).alias("guest"))))).otherwise(places)
-    spread = keyed.select("*", F.explode(places).alias("__p"))
+    spread = keyed.select("*", F.explode(places).alias(p))
     tie = [F.xxhash64(v) for v in values]
-    window = Window.partitionBy("__p.r").orderBy("__p.guest", "__o", *tie)
+    window = Window.partitionBy(f"{p}.r").orderBy(f"{p}.guest", o, *tie)
     return (spread.select("*", *[F.lead(v).over(window).alias(f"next_{v}") for v in values])
-            .where("__p.guest = 0").drop("__p", "__o"))
+            .where(f"{p}.guest = 0").drop(p, o))
 
 
 def _range(o: Column, starts: list[int]) -> Column:

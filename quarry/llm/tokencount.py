@@ -13,7 +13,7 @@ Each worker keeps its trie between batches and starts anew at ``most_nodes``, wh
 bounds its memory and never changes a count.
 
 Defined cases: null and empty texts have 0 tokens. Repeated rows each get their
-row; other columns are ignored, whatever their names.
+row; other columns are carried, and one named like an output column is replaced by it.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import carried, unused
 from quarry.llm.pieces import SPACE, Vocabulary, pre_tokens
 
 UNKNOWN_PENALTY = 10.0
@@ -103,11 +104,8 @@ class PrefixTrie:
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text",
                  keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (default: all others but the text), n_pretokens, n_tokens."""
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    clash = set(keep) & {"n_pretokens", "n_tokens"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} would be written twice; leave them out of keep")
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
+    keep, body = carried(docs, keep, [text], ["n_pretokens", "n_tokens"]), unused(docs, "text_")
+    rows = docs.select(*keep, F.col(text).cast("string").alias(body))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields]
                        + ["n_pretokens long", "n_tokens long"])
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -120,7 +118,7 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text",
             trie = _TRIES[v.key] = PrefixTrie(v)
         for pdf in batches:
             words, tokens = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-            for i, t in enumerate(pdf["__text"]):
+            for i, t in enumerate(pdf[body]):
                 if not t:
                     continue
                 pre = pre_tokens(t)
@@ -130,6 +128,6 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text",
                 words[i], tokens[i] = len(pre), sum(map(trie.terminal.__getitem__, pre))
                 if len(trie.best) > trie.most_nodes:
                     trie.reset()
-            yield pdf.drop(columns="__text").assign(n_pretokens=words, n_tokens=tokens)
+            yield pdf.drop(columns=body).assign(n_pretokens=words, n_tokens=tokens)
 
     return rows.mapInPandas(count, schema)
