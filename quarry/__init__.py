@@ -4,4 +4,4 @@ Every query is a function ``(spark, sf_dir) -> DataFrame`` built from
 DataFrame operations; see ``quarry.plans.registry`` for the full list.
 """
 
-__all__ = ["session", "sources", "functions", "operators", "plans", "sinks", "streaming"]
+__all__ = ["session", "sources", "functions", "operators", "plans", "sinks"]

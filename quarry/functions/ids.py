@@ -1,39 +1,47 @@
-"""Consecutive row ids without a global sort.
-
-``with_row_ids`` numbers the rows 1..n in scan order: a first pass counts the
-rows of every input partition (one small row per partition), a window over
-those counts gives each partition its offset, and the offsets are broadcast
-back (their size is bounded by the number of partitions, not by the data).
-Every row keeps its partition and its position inside the partition, so the
-ids are unique and dense; they are stable as long as the input is split the
-same way, which holds for a re-read of the same files.
+"""Stable row ids: a hash of the row's natural key and a number among equal keys.
+
+The id of a row depends on the row alone, never on how the input was split, so a
+re-read gives the same ids. 128 hash bits keep different keys apart at any size;
+rows with equal keys are interchangeable and get the numbers 0, 1, 2, ...
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_PID = "__pid"
-_MID = "__mid"
-
-
-def _local_index() -> Column:
-    # monotonically_increasing_id() = (partition index << 33) + row position.
-    return F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-
-
-def with_row_ids(df: DataFrame, name: str, start: int = 1) -> DataFrame:
-    tagged = df.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
-    # The tagged frame is evaluated twice (counts, then rows); checkpointing it
-    # to the shared checkpoint folder pins one evaluation, so both passes see
-    # identical partitions even if the source is re-split after a lost executor.
-    tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        _PID,
-        (F.coalesce(F.sum("__n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
-                    F.lit(0))).alias("__off"))
-    return (tagged.join(F.broadcast(offsets), _PID)
-            .withColumn(name, (F.col("__off") + _local_index() + F.lit(start)).cast("long"))
-            .drop(_PID, _MID, "__off"))
+#: Equal rows written out by one generator step.
+_CHUNK = 10_000
+
+
+def key_hash(columns: list[str]) -> Column:
+    """Hex md5 of the columns' text; a NULL differs from every text."""
+    return F.md5(F.concat_ws("|", *[
+        F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in columns]))
+
+
+def with_stable_ids(df: DataFrame, name: str, key: list[str] | None = None) -> DataFrame:
+    """``df`` with the id column ``name`` in front: hash of ``key`` (default: all
+    columns), "-", number among equal keys.
+
+    Equal rows are counted (combined map-side, so a row that makes up a third of the
+    input is one partial row per task) and written out again from their count in
+    bounded chunks: no window over all rows of a key. Only rows that share a key but
+    differ elsewhere meet in a window, over their distinct contents.
+    """
+    cols = df.columns
+    key = key or cols
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).withColumn("__h", key_hash(key))
+    if set(key) == set(cols):
+        based = counted.withColumn("__base", F.lit(0).cast("long"))
+    else:
+        others = [c for c in cols if c not in key]
+        before = F.expr("sum(__n) over (partition by __h order by "
+                        + ", ".join(f"`{c}`" for c in others)
+                        + " rows between unbounded preceding and current row)") - F.col("__n")
+        based = counted.withColumn("__base", before)
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / _CHUNK).cast("long"))
+    rows = based.withColumn("__c", F.explode(chunks))
+    last = F.least(F.col("__n"), (F.col("__c") + 1) * _CHUNK) - 1
+    rows = rows.withColumn("__k", F.explode(F.sequence((F.col("__c") * _CHUNK).cast("long"), last.cast("long"))))
+    return rows.select(F.concat("__h", F.lit("-"), (F.col("__base") + F.col("__k")).cast("string")).alias(name), *cols)

@@ -7,6 +7,7 @@ configuration wins, and only settings that are unset get a default here.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,11 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir`` (a shared file system);
-    that value is always used. Only a session without one (tests, local
-    runs) gets a fresh scratch folder of its own.
+    that value is always used. Without one, a session on this machine alone
+    (``local[...]``: tests, trials) gets a fresh folder of its own; any other
+    master raises, since a folder of the driver's machine is no shared one.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[.*\])?$", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set on master {master!r}: intermediate "
+                               "tables need a folder that all executors share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:

@@ -1,34 +1,34 @@
 """Ingest of delivered feeds into the model (ING-01..14).
 
 A feed is a directory of CSV or Parquet files, one directory per sheet of
-the original workbooks (``edd/samples/``, ``edd/results/``, ...). Loads are
-bulk projections: explicit schemas instead of inference, ``try_cast`` so one
-bad cell becomes NULL instead of failing the job, blank and NaN cells as
-NULL, the declared column defaults, and a full-refresh overwrite of the
-target (the reference deletes and re-inserts row by row).
+the original workbooks (``edd/samples/``, ``edd/results/``, ...), or a file of its
+own. Cells are read by column name: each file's own header counts, files may order
+their columns differently or leave some out. Loads are bulk projections: explicit
+schemas instead of inference, ``try_cast`` so one bad cell becomes NULL instead of
+failing the job (``rejected_cells`` counts them), blank and NaN cells as NULL, the
+declared column defaults, and a full-refresh overwrite of the target.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
-from collections.abc import Iterable
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from quarry.functions.classify import analyte_group
-from quarry.functions.ids import with_row_ids
+from quarry.functions.ids import with_stable_ids
 from quarry.sources import reference_data as ref
 from quarry.sources.model import EraModel, RetailModel
 
 # ------------------------------------------------------------------ schemas
 
 
-def _strings(names: Iterable[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-
-
+# The column names of the feeds, an interface.
 FEED_COLUMNS = {
     "customers": ["customer_id", "customer_name", "region", "segment", "email", "created_date"],
     "products": ["product_id", "product_name", "category", "unit_price", "stock_quantity"],
@@ -48,11 +48,6 @@ FEED_COLUMNS = {
                          "target_organ"],
 }
 
-# Text schemas in the standard column order; the streaming file source needs
-# one up front (batch reads take the names from the header line instead).
-FEED_SCHEMAS = {name: _strings(cols) for name, cols in FEED_COLUMNS.items()}
-
-
 # ------------------------------------------------------------------ ING-01/02/03/13
 
 def discover_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
@@ -67,70 +62,150 @@ def discover_files(spark: SparkSession, directory: str, glob: str = "*") -> Data
 
 
 def input_inventory(spark: SparkSession, directory: str, expected: dict[str, str]) -> DataFrame:
-    """ING-02: expected feed -> (file, path, exists Yes/No)."""
+    """ING-02: expected feed -> (file, path, exists Yes/No). ``path`` is a file's path
+    below ``directory``; only a missing directory counts as no files."""
     exp = spark.createDataFrame(sorted(expected.items()), "file string, path string")
     try:
-        seen = discover_files(spark, directory).select(F.col("file_name").alias("path")).distinct()
-        seen = seen.withColumn("_seen", F.lit(True))
-    except Exception:  # noqa: BLE001 - a missing directory means no file exists
-        seen = spark.createDataFrame([], "path string, _seen boolean")
+        found = discover_files(spark, directory).select("path")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "DATA_SOURCE_PATH_NOT_FOUND"):
+            raise
+        found = spark.createDataFrame([], "path string")
+    seen = found.select(_below(F.col("path"), directory).alias("path")).distinct().withColumn("_seen", F.lit(True))
     return (exp.join(seen, "path", "left")
             .select("file", "path", F.when(F.col("_seen"), F.lit("Yes")).otherwise(F.lit("No"))
                     .alias("exists"))
             .orderBy("file"))
 
 
-def read_feed(spark: SparkSession, path: str, feed: str | None = None, fmt: str = "csv",
-              with_source: bool = False) -> DataFrame:
-    """ING-03/13: read one feed directory (all its files).
+def _below(path: Column, directory: str) -> Column:
+    """A listed file's path below ``directory`` (listed paths carry a scheme)."""
+    root = directory.rstrip("/").split("://")[-1]
+    root = root if root.startswith("/") else "/" + root.split("/", 1)[-1]
+    return F.substring_index(path, root.rstrip("/") + "/", -1)
+
+
+def header_lines(spark: SparkSession, paths: list[str], recursive: bool = False) -> dict[str, list[str]]:
+    """The distinct header lines of CSV files, each with its files.
+
+    One pass over the files' text, aggregated per file to its first line; what reaches
+    the driver is a line per distinct header and the file names that Spark's listing
+    holds there anyway.
+    """
+    lines = (spark.read.option("recursiveFileLookup", str(recursive).lower()).text(paths)
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return {r["header"]: r["files"] for r in sorted(rows, key=lambda r: r["header"])}
+
+
+def _cells(line: str) -> list[str]:
+    return [c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]))]
+
 
-    CSV cells are read as text named by the header line (no inference pass
-    over the data; a sheet may order or omit columns, as a workbook can), and
-    typed by the load projections. ``feed`` checks that the key columns of
-    that feed are present. ``with_source`` keeps each row's file.
+def read_feed(spark: SparkSession, path: str | list[str], feed: str | None = None, fmt: str = "csv",
+              with_source: bool = False, with_position: bool = False) -> DataFrame:
+    """ING-03/13: read one feed (all files of a directory, or given files).
+
+    CSV cells are text (no inference pass), named by their own file's header line:
+    files are grouped by header, each group is read with its own names, and the groups
+    are put together by name (a column that a file lacks is NULL there). ``feed``
+    checks that the key column of that feed is present. ``with_source`` keeps each
+    row's file, ``with_position`` a sortable place (file, offset, row), which does not
+    depend on how files are split.
     """
-    reader = spark.read.format(fmt)
+    paths = [path] if isinstance(path, str) else list(path)
+
+    def marked(df: DataFrame) -> DataFrame:
+        extra = []
+        if with_source:
+            extra.append(F.col("_metadata.file_path").alias("source_file"))
+        if with_position:
+            extra.append(F.struct(F.col("_metadata.file_path").alias("file"),
+                                  F.col("_metadata.file_block_start").alias("offset"),
+                                  F.monotonically_increasing_id().alias("row")).alias("_position"))
+        return df.select("*", *extra)
+
     if fmt == "csv":
-        reader = reader.option("header", "true").option("inferSchema", "false") \
-            .option("mode", "PERMISSIVE")
-    df = reader.load(path)
+        parts = []
+        for line, files in header_lines(spark, paths).items():
+            schema = T.StructType([T.StructField(c, T.StringType(), True) for c in _cells(line)])
+            parts.append(marked(spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
+                                .csv(files)))
+        if not parts:
+            raise ValueError(f"no rows in {paths}")
+        df = parts[0]
+        for part in parts[1:]:
+            df = df.unionByName(part, allowMissingColumns=True)
+    else:
+        df = marked(spark.read.format(fmt).option("mergeSchema", "true").load(paths))
     if feed:
         first = FEED_COLUMNS[feed][0]
         if first not in df.columns:
             raise ValueError(f"feed {feed!r} at {path} has no column {first!r}")
-    if with_source:
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
 
 
-def raw_table_name(file_stem: str) -> str:
-    """ING-03 naming: ``sample_orders`` -> ``raw_orders``."""
-    stem = file_stem.split(".")[0]
-    return "raw_" + stem[len("sample_"):] if stem.startswith("sample_") else "raw_" + stem
+def raw_table_name(stem: str) -> str:
+    """ING-03 naming: ``sample_orders`` -> ``raw_orders``, other names stay."""
+    return stem.split(".")[0].replace("sample_", "raw_")
 
 
 def register_raw(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """ING-03: every feed directory below ``directory`` becomes one raw view.
-
-    The feed directories come from Spark's file listing (any file system
-    Spark reads); only the distinct directory names reach the driver.
-    """
+    """ING-03: every file lying in ``directory`` and every folder with files below it
+    becomes one raw view, named by the file's stem or the folder's path (its parts
+    joined by "_"). Only names reach the driver."""
     root = directory.rstrip("/")
-    files = discover_files(spark, root, f"*.{fmt}")
-    parent = F.element_at(F.split(F.col("path"), "/"), -2)
-    own = root.split("/")[-1]
-    feeds = sorted(r.feed for r in files.select(parent.alias("feed")).distinct().collect()
-                   if r.feed and r.feed != own)
-    out = {}
-    for entry in feeds:
-        feed = entry[len("sample_"):] if entry.startswith("sample_") else entry
-        df = read_feed(spark, f"{root}/{entry}", feed if feed in FEED_SCHEMAS else None, fmt)
-        name = raw_table_name(entry)
+    below = _below(F.col("path"), root)
+    folder = F.when(F.instr(below, "/") > 0, F.regexp_replace(below, "/[^/]*$", "")).otherwise(below)
+    entries = [r.entry for r in discover_files(spark, root, f"*.{fmt}").select(folder.alias("entry"))
+               .distinct().orderBy("entry").collect()]
+    out: dict[str, DataFrame] = {}
+    for entry in entries:
+        name = raw_table_name(entry.replace("/", "_"))
+        if name in out:
+            raise ValueError(f"{root}/{entry} and another entry are both named {name}")
+        plain = name.removeprefix("raw_")
+        df = read_feed(spark, os.path.join(root, entry), plain if plain in FEED_COLUMNS else None, fmt)
         df.createOrReplaceTempView(name)
         out[name] = df
     return out
 
 
+# Columns that loads convert, by feed: what ``rejected_cells`` looks at.
+TYPED_COLUMNS = {
+    "customers": {"created_date": "date"},
+    "products": {"unit_price": "decimal(10,2)", "stock_quantity": "int"},
+    "orders": {"quantity": "double", "unit_price": "decimal(10,2)", "total_amount": "decimal(10,2)",
+               "order_date": "date"},
+    "locations": {"latitude": "decimal(10,6)", "longitude": "decimal(10,6)", "elevation_ft": "decimal(8,2)",
+                  "total_depth_ft": "decimal(6,2)", "install_date": "date"},
+    "samples": {"sample_date": "date", "depth_top_ft": "decimal(6,2)", "depth_bottom_ft": "decimal(6,2)"},
+    "results": {"result_value": "decimal(15,6)", "detection_limit": "decimal(15,6)",
+                "quantitation_limit": "decimal(15,6)", "dilution_factor": "decimal(8,2)",
+                "analysis_date": "date", "prep_date": "date", "percent_moisture": "decimal(5,2)",
+                "validation_date": "date"},
+    "field_measurements": {"result": "decimal(12,4)"},
+    "screening_levels": {c: "decimal(15,6)" for c in ref.THRESHOLD_COLUMNS},
+}
+
+
+def rejected_cells(df: DataFrame, feed: str) -> DataFrame:
+    """(feed, column_name, rejected): cells that hold something, but not of the column's
+    type, and so load as NULL. One pass; columns without such cells are left out."""
+    counts = {}
+    for c, dtype in TYPED_COLUMNS[feed].items():
+        if c in df.columns:
+            value = first10_date(F.col(c)) if dtype == "date" else typed(F.col(c), dtype)
+            counts[c] = F.count(F.when(blank_to_null(F.col(c)).isNotNull() & value.isNull(), F.lit(1)))
+    if not counts:
+        return df.sparkSession.createDataFrame([], "feed string, column_name string, rejected bigint")
+    wide = df.agg(*[n.alias(c) for c, n in counts.items()])
+    return (wide.unpivot([], list(counts), "column_name", "rejected").filter("rejected > 0")
+            .select(F.lit(feed).alias("feed"), "column_name", "rejected"))
+
+
 # ------------------------------------------------------------------ cell cleaning
 
 
@@ -152,7 +227,7 @@ def typed(c: Column, dtype: str) -> Column:
 
 def first10_date(c: Column) -> Column:
     """Date from the first 10 characters (``2024-03-05 00:00:00`` -> date)."""
-    return F.to_date(F.substring(blank_to_null(c), 1, 10))
+    return F.substring(blank_to_null(c), 1, 10).try_cast("date")
 
 
 # ------------------------------------------------------------------ ING-04/05/06/14
@@ -207,13 +282,21 @@ def results_projection(df: DataFrame) -> DataFrame:
         blank_to_null(_col(df, "analysis_method")).alias("analysis_method"),
         first10_date(_col(df, "analysis_date")).alias("analysis_date"),
         blank_to_null(_col(df, "basis")).alias("basis"),
-        typed(_col(df, "percent_moisture"), "decimal(5,2)").alias("percent_moisture"))
+        typed(_col(df, "percent_moisture"), "decimal(5,2)").alias("percent_moisture"),
+        *[(typed(F.col(c), dtype) if dtype.startswith("decimal") else first10_date(F.col(c)) if dtype == "date"
+           else blank_to_null(F.col(c))).alias(c) for c, dtype in CARRIED_RESULT_COLUMNS.items() if c in df.columns])
+
+
+# Result columns that are taken along where a feed has them.
+CARRIED_RESULT_COLUMNS = {
+    "quantitation_limit": "decimal(15,6)", "prep_method": "string", "prep_date": "date",
+    "validation_qualifier": "string", "validated_by": "string", "validation_date": "date"}
 
 
 def load_results(df: DataFrame) -> DataFrame:
-    """ING-06: results -> fact_results with surrogate ``result_id`` 1..n."""
-    proj = results_projection(df)
-    return with_row_ids(proj, "result_id").select("result_id", *proj.columns)
+    """ING-06: results -> fact_results with a surrogate ``result_id`` that depends on
+    the row alone, not on how the feed was split."""
+    return with_stable_ids(results_projection(df), "result_id")
 
 
 def load_field_measurements(df: DataFrame) -> DataFrame:
@@ -227,7 +310,7 @@ def load_field_measurements(df: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("measurement_time"),
         F.lit(None).cast("string").alias("instrument_id"),
         blank_to_null(_col(df, "notes")).alias("notes"))
-    return with_row_ids(proj, "measurement_id")
+    return with_stable_ids(proj, "measurement_id")
 
 
 # ------------------------------------------------------------------ ING-07/08/09
@@ -269,29 +352,31 @@ def load_screening_levels(df: DataFrame, load_date: dt.date) -> DataFrame:
         *[typed(_col(df, c), "decimal(15,6)").alias(c) for c in ref.THRESHOLD_COLUMNS],
         blank_to_null(_col(df, "carcinogen")).alias("carcinogen"),
         blank_to_null(_col(df, "target_organ")).alias("target_organ"),
-        F.lit(load_date).cast("date").alias("update_date"))
+        F.lit(load_date).cast("date").alias("update_date"),
+        *(["_position"] if "_position" in df.columns else []))
 
 
 def upsert_replace_levels(existing: DataFrame | None, loads: list[DataFrame]) -> DataFrame:
     """ING-08: INSERT OR REPLACE by cas_rn - the latest load wins.
 
-    ``loads`` are typed threshold frames in load order; inside one load the
-    last occurrence of a key wins (scan order). The survivor per key is a
-    ``max_by`` aggregation on (load, position): partial aggregation keeps one
-    candidate per key and task, so a key repeated a billion times costs no
-    more than one that appears once (no window over a whole key group).
+    ``loads`` are typed threshold frames in load order; inside one load the last
+    occurrence of a key wins, by the place ``read_feed(with_position=True)`` gives, or
+    without one by the row's own values (so never by how the input was split). The
+    survivor per key is a ``max_by`` aggregation: partial aggregation keeps one
+    candidate per key and task, so a key repeated a billion times costs no more than
+    one that appears once.
     """
-    frames = [] if existing is None else [existing.withColumn("_seq", F.lit(-1))]
-    for i, ld in enumerate(loads):
-        frames.append(ld.withColumn("_seq", F.lit(i)))
-    allrows = frames[0]
-    for f in frames[1:]:
-        allrows = allrows.unionByName(f)
-    cols = [c for c in allrows.columns if c != "_seq"]
-    allrows = allrows.withColumn("_pos", F.monotonically_increasing_id())
-    return (allrows.groupBy("cas_rn")
-            .agg(F.max_by(F.struct(*cols), F.struct("_seq", "_pos")).alias("_v"))
-            .select("_v.*"))
+    frames = ([] if existing is None else [existing]) + list(loads)
+    cols = [c for c in frames[-1].columns if c != "_position"]
+    offset = 0 if existing is None else -1
+    place = "struct<file:string,offset:bigint,row:bigint>"
+    rows = None
+    for i, f in enumerate(frames):
+        at = F.col("_position") if "_position" in f.columns else F.lit(None)
+        f = f.select(F.struct(*cols).alias("v"), F.lit(i + offset).alias("seq"), at.cast(place).alias("at"))
+        rows = f if rows is None else rows.unionByName(f)
+    best = F.max_by("v", F.struct("seq", "at", F.to_json("v")))
+    return rows.groupBy(F.col("v.cas_rn").alias("key")).agg(best.alias("v")).select("v.*")
 
 
 def analytes_from_levels(existing: DataFrame, levels: DataFrame) -> DataFrame:
@@ -307,24 +392,25 @@ EMPTY_ANALYTES = "cas_rn string, analyte_name string, analyte_group string"
 
 
 def typed_retail(customers: DataFrame, products: DataFrame, orders: DataFrame) -> RetailModel:
-    """ING-12: raw retail feeds -> typed dims and fact (CTAS casts)."""
+    """ING-12: raw retail feeds -> typed dims and fact (CTAS casts). Keys stay text,
+    as delivered."""
     c = customers.select(
-        typed(_col(customers, "customer_id"), "bigint").alias("customer_id"),
+        blank_to_null(_col(customers, "customer_id")).alias("customer_id"),
         blank_to_null(_col(customers, "customer_name")).alias("customer_name"),
         blank_to_null(_col(customers, "region")).alias("region"),
         blank_to_null(_col(customers, "segment")).alias("segment"),
         blank_to_null(_col(customers, "email")).alias("email"),
         first10_date(_col(customers, "created_date")).alias("created_date"))
     p = products.select(
-        typed(_col(products, "product_id"), "bigint").alias("product_id"),
+        blank_to_null(_col(products, "product_id")).alias("product_id"),
         blank_to_null(_col(products, "product_name")).alias("product_name"),
         blank_to_null(_col(products, "category")).alias("category"),
         typed(_col(products, "unit_price"), "decimal(10,2)").alias("unit_price"),
         typed(_col(products, "stock_quantity"), "int").alias("stock_quantity"))
     o = orders.select(
-        typed(_col(orders, "order_id"), "bigint").alias("order_id"),
-        typed(_col(orders, "customer_id"), "bigint").alias("customer_id"),
-        typed(_col(orders, "product_id"), "bigint").alias("product_id"),
+        blank_to_null(_col(orders, "order_id")).alias("order_id"),
+        blank_to_null(_col(orders, "customer_id")).alias("customer_id"),
+        blank_to_null(_col(orders, "product_id")).alias("product_id"),
         typed(_col(orders, "quantity"), "double").alias("quantity"),
         typed(_col(orders, "unit_price"), "decimal(10,2)").alias("unit_price"),
         typed(_col(orders, "total_amount"), "decimal(10,2)").alias("total_amount"),

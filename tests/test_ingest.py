@@ -52,8 +52,8 @@ def test_samples_blank_nan_and_defaults(spark, edd):
 
 def test_results_defaults_and_ids(spark, edd):
     r = feeds.load_results(feeds.read_feed(spark, f"{edd}/results", "results"))
-    rows = r.orderBy("result_id").collect()
-    assert [x.result_id for x in rows] == [1, 2, 3, 4]
+    rows = r.collect()
+    assert len({x.result_id for x in rows}) == 4
     by_cas = {(x.sample_id, x.cas_rn): x for x in rows}
     b = by_cas[("S2", "71-43-2")]
     assert b.detect_flag == "Y" and b.lab_qualifier == "" and b.dilution_factor == D("1.00")
@@ -63,11 +63,64 @@ def test_results_defaults_and_ids(spark, edd):
     assert by_cas[("S2", "NEW-1")].result_value is None  # unparseable -> NULL, no failure
 
 
-def test_row_ids_dense_over_many_partitions(spark):
-    from quarry.functions.ids import with_row_ids
-    df = with_row_ids(spark.range(0, 1000, numPartitions=7), "rid")
-    ids = sorted(r.rid for r in df.collect())
-    assert ids == list(range(1, 1001))
+def test_ids_do_not_depend_on_the_split(spark):
+    from quarry.functions import ids
+    rows = [(i % 300, None if i % 7 == 0 else f"v{i % 11}") for i in range(3000)] + [(5, "same")] * 40
+    df = spark.createDataFrame(rows, "k int, v string")
+    one = ids.with_stable_ids(df.coalesce(1), "rid").collect()
+    many = ids.with_stable_ids(df.repartition(64), "rid").collect()
+    assert sorted(map(str, one)) == sorted(map(str, many))
+    assert len({r.rid for r in one}) == len(rows)
+    assert sorted((r.k, str(r.v)) for r in one) == sorted((k, str(v)) for k, v in rows)
+    by_key = ids.with_stable_ids(df, "rid", key=["k"]).collect()
+    assert len({r.rid for r in by_key}) == len(rows)
+    assert len({r.rid.split("-")[0] for r in by_key}) == 300
+
+
+def test_equal_rows_beyond_a_chunk(spark, monkeypatch):
+    from quarry.functions import ids
+    monkeypatch.setattr(ids, "_CHUNK", 16)
+    out = ids.with_stable_ids(spark.range(100).selectExpr("1 as x"), "rid").collect()
+    assert sorted(int(r.rid.split("-")[1]) for r in out) == list(range(100))
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    """Two files of a feed with their columns in different order, one missing some."""
+    root = f"{tmp_path}/results"
+    write_csv(f"{root}/a.csv", ["sample_id", "cas_rn", "result_value", "detection_limit"], [("S1", "A", "12", "1")])
+    write_csv(f"{root}/b.csv", ["detection_limit", "cas_rn", "sample_id", "result_value", "lab_qualifier"],
+              [("2", "B", "S2", "24", "J")])
+    write_csv(f"{root}/c.csv", ["cas_rn", "sample_id"], [("C", "S3")])
+    rows = {r.sample_id: r for r in feeds.load_results(feeds.read_feed(spark, root, "results")).collect()}
+    assert (rows["S1"].result_value, rows["S1"].detection_limit) == (D(12), D(1))
+    assert (rows["S2"].result_value, rows["S2"].detection_limit, rows["S2"].lab_qualifier) == (D(24), D(2), "J")
+    assert rows["S3"].result_value is None and rows["S3"].cas_rn == "C"
+
+
+def test_rejected_cells_are_counted(spark, edd):
+    rows = feeds.rejected_cells(feeds.read_feed(spark, f"{edd}/results", "results"), "results").collect()
+    assert [(r.feed, r.column_name, r.rejected) for r in rows] == [("results", "result_value", 1)]
+    assert feeds.rejected_cells(feeds.read_feed(spark, f"{edd}/samples", "samples"), "samples").count() == 0
+
+
+def test_flat_and_nested_folders_load_completely(spark, tmp_path):
+    write_csv(f"{tmp_path}/in/sample_orders.csv", ["order_id", "status"], [("1", "x")])
+    write_csv(f"{tmp_path}/in/prices.csv", ["p"], [("2",)])
+    write_csv(f"{tmp_path}/in/in/part.csv", ["a"], [("1",), ("2",)])
+    write_csv(f"{tmp_path}/in/y/in/part.csv", ["a"], [("3",)])
+    raw = feeds.register_raw(spark, f"{tmp_path}/in")
+    assert {k: v.count() for k, v in raw.items()} == {"raw_orders": 1, "prices": 1, "in": 2, "y_in": 1}
+
+
+def test_last_row_of_a_load_wins_by_its_place(spark, tmp_path):
+    write_csv(f"{tmp_path}/lv/a.csv", ["cas_rn", "analyte_name", "rsl_mcl_ug_l"],
+              [("A", f"n{i}", str(900 - i)) for i in range(400)])
+    write_csv(f"{tmp_path}/lv/b.csv", ["cas_rn", "analyte_name", "rsl_mcl_ug_l"], [("A", "last", "7"), ("B", "b", "1")])
+    sheet = feeds.read_feed(spark, f"{tmp_path}/lv", with_position=True)
+    lv = {r.cas_rn: r for r in feeds.upsert_replace_levels(
+        None, [feeds.load_screening_levels(sheet, dt.date(2024, 1, 1))]).collect()}
+    assert lv["A"].analyte_name == "last" and lv["A"].rsl_mcl_ug_l == D(7) and len(lv) == 2
+    assert "_position" not in lv["A"].asDict()
 
 
 def test_late_analyte_and_levels_last_wins(spark, edd):
@@ -100,9 +153,11 @@ def test_analyte_group_prefixes(spark):
 
 def test_inventory_and_raw_names(spark, edd):
     inv = {r.file: r.exists for r in feeds.input_inventory(
-        spark, edd, {"locations": "part-0.csv", "field_measurements": "field.csv"}).collect()}
+        spark, edd, {"locations": "locations/part-0.csv", "field_measurements": "part-0.csv"}).collect()}
     assert inv == {"locations": "Yes", "field_measurements": "No"}
-    assert feeds.raw_table_name("sample_orders.xlsx") == "raw_orders"
+    none = feeds.input_inventory(spark, f"{edd}/nowhere", {"locations": "locations/part-0.csv"}).collect()
+    assert [r.exists for r in none] == ["No"]
+    assert feeds.raw_table_name("sample_orders.xlsx") == "raw_orders" and feeds.raw_table_name("prices") == "prices"
     files = feeds.discover_files(spark, edd, "*.csv").count()
     assert files == 3
 
@@ -114,12 +169,12 @@ def test_typed_retail_and_full_refresh(spark, tmp_path):
     write_csv(f"{root}/sample_products/a.csv", feeds.FEED_COLUMNS["products"],
               [(10, "Widget", "Hardware", "2.5", 5)])
     write_csv(f"{root}/sample_orders/a.csv", feeds.FEED_COLUMNS["orders"],
-              [(100, 1, 10, 2, "2.5", "5.0", "2024-01-05", "Completed")])
+              [(100, "C001", 10, 2, "2.5", "5.0", "2024-01-05", "Completed")])
     raw = feeds.register_raw(spark, root)
     assert set(raw) == {"raw_customers", "raw_products", "raw_orders"}
     m = feeds.typed_retail(raw["raw_customers"], raw["raw_products"], raw["raw_orders"])
     o = m.orders.collect()[0]
-    assert o.total_amount == D("5.00") and o.order_date == dt.date(2024, 1, 5)
+    assert o.total_amount == D("5.00") and o.order_date == dt.date(2024, 1, 5) and o.customer_id == "C001"
     assert m.customers.collect()[0].email is None
     target = f"{root}/out/fact_orders"
     feeds.full_refresh(m.orders, target)
@@ -133,7 +188,7 @@ def test_field_measurements(spark, tmp_path):
     fm = feeds.load_field_measurements(feeds.read_feed(spark, f"{tmp_path}/field", "field_measurements"))
     rows = {r.parameter_name: r for r in fm.collect()}
     assert rows["pH"].result_value == D("7.1000") and rows["DO"].result_value is None
-    assert sorted(r.measurement_id for r in rows.values()) == [1, 2]
+    assert len({r.measurement_id for r in rows.values()}) == 2
 
 
 def test_duplicate_primary_key_found(spark):
