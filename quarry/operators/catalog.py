@@ -6,7 +6,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
+
+
+def table_schemas(tables: dict[str, DataFrame]) -> DataFrame:
+    """CAT-02 of several tables at once."""
+    parts = [describe(df).withColumn("table_name", F.lit(n)) for n, df in sorted(tables.items())]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _count_rows(name: str, df: DataFrame, label: str, extra: dict[str, str] | None = None):
@@ -46,7 +52,5 @@ def run_sql(spark: SparkSession, text: str) -> tuple[DataFrame | None, str | Non
     back as a message instead of an exception."""
     try:
         return spark.sql(text), None
-    except AnalysisException as e:
-        return None, str(e)
-    except Exception as e:  # noqa: BLE001 - parse errors surface as other types
+    except (AnalysisException, ParseException) as e:
         return None, str(e)

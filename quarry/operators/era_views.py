@@ -114,12 +114,14 @@ def _pair_counts(m: EraModel) -> DataFrame:
                  sum_when(F.col("detect_flag") == "N").alias("n_nd"),
                  F.min(det_value).alias("min_det"),
                  F.max(det_value).alias("max_det"),
-                 F.sum(det_value.cast(CONC_SUM)).alias("sum_det")))
+                 F.sum(det_value.cast(CONC_SUM)).alias("sum_det"),
+                 F.count(det_value).alias("v_det")))
 
 
 def detection_summary(m: EraModel) -> DataFrame:
     """ERA-02: analyte, group, matrix, unit -> n, detects, % (1 dp), detect
-    min/max/mean. Analyte and matrix are INNER joins here."""
+    min/max/mean (of the detects that have a value). Analyte and matrix are
+    INNER joins here."""
     p = _pair_counts(m)
     named = (p.join(m.analytes.select("cas_rn", "analyte_name", "analyte_group"), "cas_rn", "inner")
              .join(m.matrix.select("matrix_code", "matrix_name"), "matrix_code", "inner"))
@@ -128,13 +130,13 @@ def detection_summary(m: EraModel) -> DataFrame:
               F.sum("n_det").cast("bigint").alias("detected_count"),
               F.min("min_det").alias("min_detected"),
               F.max("max_det").alias("max_detected"),
-              F.sum("sum_det").alias("_sum")))
+              F.sum("sum_det").alias("_sum"), F.sum("v_det").alias("_values")))
     return g.select("analyte_name", "analyte_group", "matrix_name", "total_samples",
                     "detected_count",
                     round_half_up(percent("detected_count", "total_samples"), 1)
                     .alias("detection_frequency_pct"),
                     "min_detected", "max_detected",
-                    ratio("_sum", "detected_count").alias("mean_detected"),
+                    ratio("_sum", "_values").alias("mean_detected"),
                     "result_unit")
 
 
@@ -154,15 +156,12 @@ def location_summary(m: EraModel) -> DataFrame:
     mat = m.matrix.select("matrix_code", "matrix_name")
     g = (per_group_samples.join(loc, "location_id", "inner").join(mat, "matrix_code", "inner")
          .join(per_group_results, ["location_id", "matrix_code"], "left"))
-    # Grouped by location and matrix name as in the view; matrix names are
-    # unique per code, so the re-grouping only renames.
-    return (g.groupBy("location_id", "location_name", "location_type", "matrix_name")
-            .agg(F.sum("sample_count").cast("bigint").alias("sample_count"),
-                 F.min("first_sample").alias("first_sample"),
-                 F.max("last_sample").alias("last_sample"),
-                 F.coalesce(F.sum("analytes_tested"), F.lit(0)).cast("bigint").alias("analytes_tested"),
-                 F.coalesce(F.sum("total_detections"), F.lit(0)).cast("bigint")
-                 .alias("total_detections")))
+    # One row per location and matrix already; the fixed list has one name per
+    # code and the location key is unique, so the names only label the rows.
+    return g.select("location_id", "location_name", "location_type", "matrix_name",
+                    "sample_count", "first_sample", "last_sample",
+                    F.coalesce("analytes_tested", F.lit(0)).cast("bigint").alias("analytes_tested"),
+                    F.coalesce("total_detections", F.lit(0)).cast("bigint").alias("total_detections"))
 
 
 def load_summary(m: EraModel) -> DataFrame:

@@ -113,6 +113,7 @@ def qc_panel(m: EraModel) -> DataFrame:
 
 # ------------------------------------------------------------- DQ-08/09
 
+# The names of the checks are output values.
 def key_checks(table: str, df: DataFrame, key: str) -> DataFrame:
     """Duplicate and NULL values of a declared primary key in one aggregation:
     rows per key value (partial aggregation absorbs a hot key), then the
@@ -147,6 +148,9 @@ def pk_violations(era: EraModel, retail: RetailModel) -> DataFrame:
         key_checks("dim_qualifiers", era.qualifiers, "qualifier"),
         key_checks("ref_screening_levels", era.levels, "cas_rn"),
         key_checks("fact_samples", era.samples, "sample_id"),
+        key_checks("fact_results", era.results, "result_id"),
+        *([] if era.measurements is None else [
+            key_checks("fact_field_measurements", era.measurements, "measurement_id")]),
         key_checks("dim_customers", retail.customers, "customer_id"),
         key_checks("dim_products", retail.products, "product_id"),
         key_checks("fact_orders", retail.orders, "order_id"),
@@ -177,6 +181,9 @@ def fk_violations(era: EraModel, retail: RetailModel) -> DataFrame:
         fk_check("fact_results", era.results, "sample_id", "fact_samples", era.samples,
                  "sample_id"),
         fk_check("fact_results", era.results, "cas_rn", "dim_analytes", era.analytes, "cas_rn"),
+        *([] if era.measurements is None else [
+            fk_check("fact_field_measurements", era.measurements, "sample_id", "fact_samples",
+                     era.samples, "sample_id")]),
         fk_check("fact_orders", retail.orders, "customer_id", "dim_customers", retail.customers,
                  "customer_id"),
         fk_check("fact_orders", retail.orders, "product_id", "dim_products", retail.products,

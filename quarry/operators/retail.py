@@ -131,15 +131,24 @@ def order_details(m: RetailModel, n: int = 20) -> DataFrame:
 
 
 def order_totals(m: RetailModel) -> DataFrame:
-    """RET-05: global distinct counts, revenue, mean line, date range."""
-    o = m.orders
-    return (o.agg(F.countDistinct("order_id").alias("total_orders"),
-                  F.countDistinct("customer_id").alias("unique_customers"),
-                  F.countDistinct("product_id").alias("unique_products"),
-                  exact_sum("total_amount").alias("total_revenue"),
-                  F.count("total_amount").alias("_n"),
-                  F.min("order_date").alias("first_order"),
-                  F.max("order_date").alias("last_order"))
+    """RET-05: global distinct counts, revenue, mean line, date range.
+
+    Lines are reduced to one row per order and customer first, products to their
+    keys, so no distinct aggregate expands the lines.
+    """
+    per_order = (m.orders.groupBy("order_id", "customer_id")
+                 .agg(exact_sum("total_amount").alias("rev"), F.count("total_amount").alias("n"),
+                      F.min("order_date").alias("lo"), F.max("order_date").alias("hi")))
+    per_customer = (per_order.groupBy("customer_id")
+                    .agg(F.sum("rev").alias("rev"), F.sum("n").alias("n"),
+                         F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    orders = per_order.select("order_id").distinct().agg(F.count("order_id").alias("total_orders"))
+    products = m.orders.select("product_id").distinct().agg(F.count("product_id").alias("unique_products"))
+    totals = per_customer.agg(F.count("customer_id").alias("unique_customers"),
+                              F.sum("rev").alias("total_revenue"), F.sum("n").alias("_n"),
+                              F.min("lo").alias("first_order"), F.max("hi").alias("last_order"))
+    return (totals.withColumn("total_orders", orders.scalar())
+            .withColumn("unique_products", products.scalar())
             .select("total_orders", "unique_customers", "unique_products", "total_revenue",
                     mean_of(F.col("total_revenue"), F.col("_n")).alias("avg_order_value"),
                     "first_order", "last_order"))

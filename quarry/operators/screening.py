@@ -7,6 +7,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ def _check(scenario: str, matrix: str) -> None:
 
 
 def screening_summary(m: EraModel, scenario: str = "residential", matrix: str = "all",
-                      exclude_rejected: bool = False) -> DataFrame:
+                      exclude_rejected: bool = False,
+                      sample_types: tuple[str, ...] | None = None) -> DataFrame:
     """ERA-10: per analyte, matrix, unit, threshold and carcinogen flag: number
     of detects, min, max, max/threshold (2 dp) and EXCEEDS/BELOW.
 
@@ -33,8 +36,8 @@ def screening_summary(m: EraModel, scenario: str = "residential", matrix: str =
     that key, is attached to the reduced rows.
     """
     _check(scenario, matrix)
-    if exclude_rejected:
-        m = validated(m, exclude_rejected=True)
+    if exclude_rejected or sample_types:
+        m = validated(m, exclude_rejected=exclude_rejected, sample_types=sample_types)
     f = result_rows(m, result_cols=["result_value", "result_unit"],
                     sample_cols=["matrix_code"], detects_only=True,
                     matrix_code=MATRIX_FILTER[matrix])
@@ -131,18 +134,23 @@ def hazard_index(m: EraModel, scenario: str = "residential", matrix: str = "all"
 
     As in the screening pages, the matrix choice does not filter this table
     unless ``matrix`` is given explicitly here. HQs are summed per analyte
-    first, so the distinct analyte count needs no second distinct pass.
+    first (in decimals of 9 places), so the distinct analyte count needs no
+    second distinct pass and the sums are the same for any partitioning.
     """
     _check(scenario, matrix)
     f = _screened_detects(m, scenario, matrix, result_cols=["result_value"],
                           sample_cols=["location_id", "matrix_code"],
                           level_extra=["target_organ"])
-    hq = f.withColumn("hq", ratio("result_value", "screening_level")).filter(F.col("hq").isNotNull())
-    per_analyte = (hq.groupBy("location_id", "matrix_code", "target_organ", "cas_rn")
-                   .agg(F.sum("hq").alias("hq_sum")))
-    g = (per_analyte.groupBy("location_id", "matrix_code", "target_organ")
-         .agg(F.count("cas_rn").alias("analyte_count"), F.sum("hq_sum").alias("hi"))
-         .filter(F.col("hi") > 0.1))
+    f = f.filter(F.col("result_value").isNotNull() & (F.col("screening_level") != 0))
+    keys = ["location_id", "matrix_code", "target_organ"]
+    # The values of an analyte are summed exactly and divided once; the quotients
+    # are added as decimals, so no sum depends on the order of its rows.
+    per_analyte = (f.groupBy(*keys, "cas_rn", "screening_level")
+                   .agg(F.sum(F.col("result_value").cast("decimal(38,6)")).alias("total"))
+                   .withColumn("hq", round_half_up(ratio("total", "screening_level"), 9).cast("decimal(28,9)")))
+    g = (per_analyte.groupBy(*keys, "cas_rn").agg(F.sum("hq").alias("hq")).groupBy(*keys)
+         .agg(F.count("cas_rn").alias("analyte_count"), F.sum("hq").alias("hi"))
+         .filter(F.col("hi") > F.lit(Decimal("0.1"))))
     g = g.join(m.locations.select("location_id", "location_name"), "location_id", "left")
     return (g.select("location_id", "location_name", "matrix_code", "target_organ",
                      "analyte_count", round_half_up("hi", 3).alias("hazard_index"),

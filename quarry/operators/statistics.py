@@ -2,17 +2,23 @@
 concentrations (ERA-15..20, RPT-05).
 
 All statistics are algebraic: one ``groupBy(cas_rn, matrix_code)`` computes
-counts, min/max and exact DECIMAL sums and sums of squares (partial
-aggregation on the map side, so a hot analyte moves only one partial row
-per task), and the 95% upper confidence limits follow from those numbers.
-No rows are pulled to the driver and no Python runs per row or per group.
-
-Non-detects enter the substitution statistics at half their detection
-limit. The t quantile is ``quarry.functions.tquantile.t95``.
+counts, min/max and exact sums and sums of squares (partial aggregation on the
+map side, so a hot analyte moves only one partial row per task), and the 95%
+upper confidence limits follow from those numbers. No rows are pulled to the
+driver and no Python runs per row or per group.
+
+Non-detects (flag N) enter the substitution statistics at half their detection
+limit; rows with another flag count among all rows, but give no value. A
+statistic that uses a missing value is missing: where a detect has no value, or a
+non-detect that a mean or limit uses has no detection limit, that mean, limit and
+what follows from them are NULL. SQL averages (ERA-02, ERA-20) leave out missing
+values instead. The t quantile is ``quarry.functions.tquantile.t95``.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,46 +26,74 @@ from quarry.functions.numeric import as_double, percent, ratio, round_half_up, s
 from quarry.functions.tquantile import Z_UCL, t95
 from quarry.plans.era_base import TAP, detected, result_rows, sample_fact
 from quarry.sources.model import EraModel
-from decimal import Decimal
 
 X_TYPE = "decimal(18,7)"        # value or half detection limit, exact
 SUM_X = "decimal(38,7)"
-SUM_X2 = "decimal(38,14)"
+LIMB = "decimal(28,0)"          # a product of two parts of a value; its sums are DECIMAL(38,0)
+
+# The method labels of the three variants.
+T_UCL, KM, MAX_DETECT, HALF_MAX_DL = ("Student's t-UCL", "Kaplan-Meier (simplified)", "Max Detect",
+                                      "1/2 Max Detection Limit")
+T_UCL95, Z_UCL95, HALF_DL = "t-UCL95", "z-UCL95", "1/2 DL"
+UCL_T, MAXIMUM = "95% UCL (t)", "Maximum"
+
+
+def nondetect() -> Column:
+    return F.col("detect_flag") == "N"
 
 
 def _x() -> Column:
-    """Substituted value: the result for a detect, half the DL otherwise."""
+    """Substituted value: the result of a detect, half the DL of a non-detect."""
     return F.when(detected(), F.col("result_value").cast(X_TYPE)) \
-        .otherwise((F.col("detection_limit") * F.lit(Decimal("0.5"))).cast(X_TYPE))
+        .when(nondetect(), (F.col("detection_limit") * F.lit(Decimal("0.5"))).cast(X_TYPE))
+
+
+def _square_sums(x: Column, name: str) -> list[Column]:
+    """Exact sums of the parts of x squared. With X = x * 10^7 = h * 10^8 + l, X^2 =
+    h^2 10^16 + 2 h l 10^8 + l^2; each part is below 10^16, so its DECIMAL(38,0)
+    sum holds for 10^22 rows of the largest value there is."""
+    whole = (x * F.lit(10_000_000)).cast("long")
+    high = F.call_function("div", whole, F.lit(100_000_000).cast("long"))
+    low = whole - high * 100_000_000
+    return [F.sum((u * v).cast(LIMB)).alias(f"{name}_{k}") for u, v, k in
+            ((high, high, "hh"), (high, low, "hl"), (low, low, "ll"))]
+
+
+def squares(name: str) -> Column:
+    """The sum of squares in DOUBLE from its exact parts."""
+    hh, hl, ll = (as_double(f"{name}_{k}") for k in ("hh", "hl", "ll"))
+    return hh * F.lit(100.0) + hl * F.lit(2e-6) + ll * F.lit(1e-14)
 
 
 def moments(f: DataFrame, keys: list[str], det_sums: bool = True,
             x_sums: bool = True) -> DataFrame:
     """Algebraic per-group aggregates for the statistics.
 
-    n, n_det, min/max of detects, max DL of non-detects, and exact sums and
-    sums of squares of detects (``det_sums``) and of substituted values
-    (``x_sums``); a statistic asks only for the sums it uses, as the DECIMAL
-    sums of squares are the costly part of the aggregation.
+    n rows, n_det detects, n_nd non-detects, those of them with a value (v_det) or a
+    detection limit (v_nd), min/max of detects, max DL of non-detects, and exact sums
+    and sums of squares of detects (``det_sums``) and of substituted values
+    (``x_sums``); a statistic asks only for the sums it uses.
     """
     x = _x()
     det = F.when(detected(), F.col("result_value").cast(X_TYPE))
+    dl = F.when(nondetect(), F.col("detection_limit"))
+    value = F.when(detected(), F.col("result_value"))
     aggs = [
         F.count(F.lit(1)).alias("n"),
-        sum_when(detected()).alias("n_det"),
-        F.min(F.when(detected(), F.col("result_value"))).alias("min_det"),
-        F.max(F.when(detected(), F.col("result_value"))).alias("max_det"),
-        F.max(F.when(~detected(), F.col("detection_limit"))).alias("max_dl_nd"),
+        sum_when(detected()).alias("n_det"), sum_when(nondetect()).alias("n_nd"),
+        F.count(value).alias("v_det"), F.count(dl).alias("v_nd"),
+        F.min(value).alias("min_det"), F.max(value).alias("max_det"), F.max(dl).alias("max_dl_nd"),
     ]
     if det_sums:
-        aggs += [F.sum(det.cast(SUM_X)).alias("sum_det"),
-                 F.sum((det * det).cast(SUM_X2)).alias("sumsq_det")]
+        aggs += [F.sum(det.cast(SUM_X)).alias("sum_det"), *_square_sums(det, "sq_det")]
     if x_sums:
-        aggs += [F.sum(x.cast(SUM_X)).alias("sum_x"),
-                 F.sum((x * x).cast(SUM_X2)).alias("sumsq_x")]
+        aggs += [F.sum(x.cast(SUM_X)).alias("sum_x"), *_square_sums(x, "sq_x")]
     return f.groupBy(*keys).agg(*aggs)
 
 
+_ADDED = ("n", "n_det", "n_nd", "v_det", "v_nd")
+
+
 def pair_moments(f: DataFrame, det_sums: bool = True, x_sums: bool = True) -> DataFrame:
     """``moments`` per (cas_rn, matrix_code) plus the group's unit.
 
@@ -69,25 +103,36 @@ def pair_moments(f: DataFrame, det_sums: bool = True, x_sums: bool = True) -> Da
     and unit. Sums re-add exactly (DECIMAL), counts add, min/max compose.
     """
     per_unit = moments(f, ["cas_rn", "matrix_code", "result_unit"], det_sums, x_sums)
-    sums = [c for c in ("sum_det", "sumsq_det", "sum_x", "sumsq_x") if c in per_unit.columns]
+    sums = [c for c in per_unit.columns if c.startswith(("sum_", "sq_"))]
     return per_unit.groupBy("cas_rn", "matrix_code").agg(
-        F.sum("n").alias("n"), F.sum("n_det").alias("n_det"),
+        *[F.sum(c).alias(c) for c in _ADDED],
         F.min("min_det").alias("min_det"), F.max("max_det").alias("max_det"),
         F.max("max_dl_nd").alias("max_dl_nd"),
         *[F.sum(c).alias(c) for c in sums],
         F.min("result_unit").alias("result_unit"))
 
 
-def sample_sd(s: str, ss: str, n: str) -> Column:
+def sample_sd(s: str, ss: str, n: Column) -> Column:
     """Sample standard deviation (ddof 1) from exact sums; NULL for n < 2."""
     nn = as_double(n)
     sd = as_double(s)
-    var = (as_double(ss) - sd * sd / nn) / (nn - F.lit(1.0))
-    return F.when(F.col(n) > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+    var = (squares(ss) - sd * sd / F.nullif(nn, F.lit(0.0))) / F.nullif(nn - F.lit(1.0), F.lit(0.0))
+    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+
+
+def root(n: Column) -> Column:
+    """Square root of a count; NULL for 0."""
+    return F.nullif(F.sqrt(as_double(n)), F.lit(0.0))
 
 
-def mean(s: str, n: str) -> Column:
-    return ratio(s, n)
+def detects_known() -> Column:
+    """Every detect of the group has its value."""
+    return F.col("v_det") == F.col("n_det")
+
+
+def all_known() -> Column:
+    """Every detect has its value and every non-detect its detection limit."""
+    return detects_known() & (F.col("v_nd") == F.col("n_nd"))
 
 
 def _names(m: EraModel, g: DataFrame) -> DataFrame:
@@ -159,31 +204,30 @@ def analyte_statistics(m: EraModel) -> DataFrame:
     g = moments(f.filter(F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()),
                 ["cas_rn", "matrix_code"])
     n, nd = F.col("n"), F.col("n_det")
-    mean_x = mean("sum_x", "n")
-    sd_x = sample_sd("sum_x", "sumsq_x", "n")
-    se_x = sd_x / F.sqrt(as_double("n"))
+    used = nd + F.col("n_nd")  # rows with a substituted value
+    mean_x = F.when(all_known(), ratio("sum_x", used))
+    se_x = sample_sd("sum_x", "sq_x", used) / root(used)
     t_branch = 10 * nd >= 8 * n
     z_branch = 2 * nd >= n
-    ucl_t = F.when(n > 1, mean_x + t95(n - 1) * se_x).otherwise(mean_x)
-    ucl_z = F.when(n > 1, mean_x + F.lit(Z_UCL) * se_x).otherwise(mean_x)
-    half_dl = as_double("max_dl_nd") / F.lit(2.0)
-    method = (F.when(t_branch, F.lit("Student's t-UCL"))
-              .when(z_branch, F.lit("Kaplan-Meier (simplified)"))
-              .when(nd > 0, F.lit("Max Detect"))
-              .otherwise(F.lit("1/2 Max Detection Limit")))
-    ucl = (F.when(t_branch, ucl_t).when(z_branch, ucl_z)
-           .when(nd > 0, as_double("max_det")).otherwise(half_dl))
-    mean_val = (F.when(t_branch | z_branch, mean_x)
-                .when(nd > 0, mean("sum_det", "n_det")))
-    sd_det = F.when(nd > 1, sample_sd("sum_det", "sumsq_det", "n_det")) \
+    ucl_t = F.when(used > 1, mean_x + t95(used - 1) * se_x).otherwise(mean_x)
+    ucl_z = F.when(used > 1, mean_x + F.lit(Z_UCL) * se_x).otherwise(mean_x)
+    max_det = F.when(detects_known(), as_double("max_det"))
+    half_dl = F.when(F.col("v_nd") == F.col("n_nd"), as_double("max_dl_nd") / F.lit(2.0))
+    mean_det = F.when(detects_known(), ratio("sum_det", "n_det"))
+    method = (F.when(t_branch, F.lit(T_UCL)).when(z_branch, F.lit(KM))
+              .when(nd > 0, F.lit(MAX_DETECT)).otherwise(F.lit(HALF_MAX_DL)))
+    ucl = F.when(t_branch, ucl_t).when(z_branch, ucl_z).when(nd > 0, max_det).otherwise(half_dl)
+    mean_val = F.when(t_branch | z_branch, mean_x).when(nd > 0, mean_det)
+    sd_det = F.when(nd > 1, F.when(detects_known(), sample_sd("sum_det", "sq_det", nd))) \
         .when(nd == 1, F.lit(0.0))
     out = g.select(
         "cas_rn", "matrix_code",
         F.col("n").alias("n_total"), F.col("n_det").alias("n_detect"),
         (n - nd).alias("n_nondetect"),
         round_half_up(percent("n_det", "n"), 1).alias("detect_freq_pct"),
-        F.col("min_det").alias("min_detect"), F.col("max_det").alias("max_detect"),
-        round_half_up(mean("sum_det", "n_det"), 4).alias("mean_detect"),
+        F.when(detects_known(), F.col("min_det")).alias("min_detect"),
+        F.when(detects_known(), F.col("max_det")).alias("max_detect"),
+        round_half_up(mean_det, 4).alias("mean_detect"),
         round_half_up(sd_det, 4).alias("std_detect"),
         method.alias("method"),
         round_half_up(mean_val, 4).alias("mean_value"),
@@ -220,16 +264,17 @@ def epc_summary(m: EraModel) -> DataFrame:
          .withColumn("rsl", _pair_level())
          .filter(F.col("max_det") > F.col("rsl")))
     n, nd = F.col("n"), F.col("n_det")
-    mean_x = mean("sum_x", "n")
-    sd_x = sample_sd("sum_x", "sumsq_x", "n")
+    used = nd + F.col("n_nd")
+    mean_x = F.when(all_known(), ratio("sum_x", used))
+    se_x = sample_sd("sum_x", "sq_x", used) / root(used)
     t_branch = (10 * nd >= 8 * n) & (nd >= 4)
     z_branch = 2 * nd >= n
-    epc = (F.when(t_branch, mean_x + t95(n - 1) * (sd_x / F.sqrt(as_double("n"))))
-           .when(z_branch, mean_x + F.lit(Z_UCL) * sd_x / F.sqrt(as_double("n")))
-           .when(nd > 0, as_double("max_det"))
-           .otherwise(as_double("max_dl_nd") / F.lit(2.0)))
-    method = (F.when(t_branch, F.lit("t-UCL95")).when(z_branch, F.lit("z-UCL95"))
-              .when(nd > 0, F.lit("Max Detect")).otherwise(F.lit("1/2 DL")))
+    epc = (F.when(t_branch, mean_x + t95(used - 1) * se_x)
+           .when(z_branch, mean_x + F.lit(Z_UCL) * se_x)
+           .when(nd > 0, F.when(detects_known(), as_double("max_det")))
+           .when(F.col("v_nd") == F.col("n_nd"), as_double("max_dl_nd") / F.lit(2.0)))
+    method = (F.when(t_branch, F.lit(T_UCL95)).when(z_branch, F.lit(Z_UCL95))
+              .when(nd > 0, F.lit(MAX_DETECT)).otherwise(F.lit(HALF_DL)))
     x = _names(m, g.withColumn("epc", epc).withColumn("method", method))
     return (x.select("cas_rn", "matrix_code", "analyte_name", "matrix_name",
                      F.col("n").cast("bigint").alias("n"),
@@ -253,11 +298,10 @@ def table_epc(m: EraModel) -> DataFrame:
     g = pair_moments(f.filter(F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()),
                      x_sums=False)
     n = F.col("n")
-    mean_d = mean("sum_det", "n")
-    sd_d = sample_sd("sum_det", "sumsq_det", "n")
-    epc = F.when(n >= 4, mean_d + t95(n - 1) * (sd_d / F.sqrt(as_double("n")))) \
-        .otherwise(as_double("max_det"))
-    method = F.when(n >= 4, F.lit("95% UCL (t)")).otherwise(F.lit("Maximum"))
+    mean_d = F.when(detects_known(), ratio("sum_det", "n"))
+    epc = F.when(n >= 4, mean_d + t95(n - 1) * (sample_sd("sum_det", "sq_det", n) / root(n))) \
+        .otherwise(F.when(detects_known(), as_double("max_det")))
+    method = F.when(n >= 4, F.lit(UCL_T)).otherwise(F.lit(MAXIMUM))
     lv = m.levels.select("cas_rn", "rsl_residential_soil_mg_kg", TAP)
     x = (g.withColumn("epc", epc).withColumn("method", method)
          .join(lv, "cas_rn", "left").withColumn("rsl", _pair_level()))
@@ -265,10 +309,11 @@ def table_epc(m: EraModel) -> DataFrame:
     return (x.select("cas_rn", "matrix_code", "analyte_name", "matrix_name",
                      F.col("n").cast("bigint").alias("n"),
                      round_half_up(mean_d, 4).alias("mean"),
-                     round_half_up("max_det", 4).alias("max"),
+                     F.when(detects_known(), round_half_up("max_det", 4)).alias("max"),
                      round_half_up("epc", 4).alias("epc"),
                      "result_unit", "method", "rsl",
-                     F.when(F.col("rsl") != 0, round_half_up(ratio("epc", "rsl"), 2)).alias("hq"))
+                     F.when((F.col("epc") != 0) & (F.col("rsl") != 0),
+                            round_half_up(ratio("epc", "rsl"), 2)).alias("hq"))
             .orderBy("cas_rn", "matrix_code"))
 
 
@@ -276,7 +321,8 @@ def table_epc(m: EraModel) -> DataFrame:
 
 def background_comparison(m: EraModel) -> DataFrame:
     """ERA-20: detects by analyte, matrix and area (Background when the
-    location name contains "Background", else Site): n, min, max, mean (4 dp).
+    location name contains "Background", else Site): n, min, max, mean (4 dp, of
+    the detects that have a value).
 
     Detects are reduced per (analyte, matrix, location) first; the location
     name - and so the area - is attached to that reduced relation.
@@ -286,17 +332,20 @@ def background_comparison(m: EraModel) -> DataFrame:
                .groupBy("cas_rn", "matrix_code", "location_id")
                .agg(F.count(F.lit(1)).alias("n"), F.min("result_value").alias("min_val"),
                     F.max("result_value").alias("max_val"),
-                    F.sum(F.col("result_value").cast("decimal(38,6)")).alias("_sum")))
+                    F.sum(F.col("result_value").cast("decimal(38,6)")).alias("_sum"),
+                    F.count("result_value").alias("_values")))
     loc = m.locations.select("location_id", "location_name")
     area = (F.when(F.col("location_name").contains("Background"), F.lit("Background"))
             .otherwise(F.lit("Site")))
     per_area = (per_loc.join(loc, "location_id", "left").withColumn("area", area)
                 .groupBy("cas_rn", "matrix_code", "area")
                 .agg(F.sum("n").alias("n"), F.min("min_val").alias("min_val"),
-                     F.max("max_val").alias("max_val"), F.sum("_sum").alias("_sum")))
+                     F.max("max_val").alias("max_val"), F.sum("_sum").alias("_sum"),
+                     F.sum("_values").alias("_values")))
     g = (_names(m, per_area).groupBy("analyte_name", "matrix_name", "area")
          .agg(F.sum("n").cast("bigint").alias("n"), F.min("min_val").alias("min_val"),
-              F.max("max_val").alias("max_val"), F.sum("_sum").alias("_sum")))
+              F.max("max_val").alias("max_val"), F.sum("_sum").alias("_sum"),
+              F.sum("_values").alias("_values")))
     return (g.select("analyte_name", "matrix_name", "area", "n", "min_val", "max_val",
-                     round_half_up(ratio("_sum", "n"), 4).alias("mean_val"))
+                     round_half_up(ratio("_sum", "_values"), 4).alias("mean_val"))
             .orderBy("analyte_name", "matrix_name", "area"))

@@ -12,9 +12,9 @@ relation) is shuffled as little as possible:
   several times smaller than results), then results join samples once on
   ``sample_id`` with results on the streamed side, so AQE can split a hot
   sample's partition;
-* analyte attributes and thresholds are both keyed on ``cas_rn``; after the
-  first of the two joins the fact is already partitioned on ``cas_rn``, so the
-  second one adds no shuffle (or both become broadcasts when they are small);
+* analyte attributes and thresholds are both keyed on ``cas_rn``: they are put
+  together into one dimension first and join the fact once, since AQE gives up
+  splitting a hot analyte's partition when a second join needs the same one;
 * the fixed matrix and qualifier lists are broadcast.
 
 Only the columns a query asks for are selected; Catalyst prunes the rest
@@ -29,7 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.sources.model import EraModel
-from quarry.sources.reference_data import THRESHOLD_COLUMNS
+from quarry.sources.reference_data import QUALIFIERS, THRESHOLD_COLUMNS
+
+#: Qualifiers whose results are not to be used.
+REJECTED = [code for code, _, _, use, _ in QUALIFIERS if not use]
 
 
 def detected() -> Column:
@@ -94,6 +97,14 @@ def with_analyte_names(m: EraModel, f: DataFrame, cols: Sequence[str]) -> DataFr
     return f.join(m.analytes.select("cas_rn", *cols), "cas_rn", "left")
 
 
+def analyte_dimension(m: EraModel, analyte_cols: Sequence[str], level_cols: Sequence[str]) -> DataFrame:
+    """Analytes and thresholds as one dimension on cas_rn, for one fact join.
+    ``has_level`` is TRUE where a threshold row exists, NULL elsewhere."""
+    a = m.analytes.select("cas_rn", *analyte_cols)
+    lv = m.levels.select("cas_rn", *level_cols, F.lit(True).alias("has_level"))
+    return a.join(lv, "cas_rn", "full")
+
+
 def stored_levels(m: EraModel) -> bool:
     """The model's pre-joined fact carries the thresholds of each result."""
     return m.fact is not None and "has_level" in m.fact.columns
@@ -152,9 +163,14 @@ def result_rows(m: EraModel, *, result_cols: Sequence[str] = (), sample_cols: Se
             r = r.filter(result_filter)
         s = samples_with(m, sample_cols, location_cols, matrix_cols, matrix_code)
         f = r.join(s, "sample_id", "inner")
-    if analyte_cols and not analytes_here:
-        f = f.join(m.analytes.select("cas_rn", *analyte_cols), "cas_rn", "left")
-    if want_levels and not levels_here:
+    acols = list(analyte_cols) if analyte_cols and not analytes_here else []
+    if acols and want_levels and not levels_here:
+        f = f.join(analyte_dimension(m, acols, level_cols), "cas_rn", "left")
+        if levels_inner:
+            f = f.filter(F.col("has_level"))
+    elif acols:
+        f = f.join(m.analytes.select("cas_rn", *acols), "cas_rn", "left")
+    elif want_levels and not levels_here:
         lv = m.levels.select("cas_rn", *level_cols, F.lit(True).alias("has_level"))
         f = f.join(lv, "cas_rn", "inner" if levels_inner else "left")
     if qualifier_cols:
@@ -204,14 +220,12 @@ def validated(m: EraModel, exclude_rejected: bool = True,
     """
     results, samples, fact = m.results, m.samples, m.fact
     if exclude_rejected:
-        # The qualifier code list is a fixed table of a few rows: broadcast.
-        rejected = m.qualifiers.filter(~F.col("use_result")).select(
-            F.col("qualifier").alias("lab_qualifier"))
-        results = results.join(F.broadcast(rejected), "lab_qualifier", "left_anti") \
-            .select(*m.results.columns)
+        # Fixed codes, so a filter that reaches the scan instead of a join.
+        q = F.col("lab_qualifier")
+        usable = q.isNull() | ~q.isin(REJECTED)
+        results = results.filter(usable)
         if fact is not None:
-            fact = fact.join(F.broadcast(rejected), "lab_qualifier", "left_anti") \
-                .select(*m.fact.columns)
+            fact = fact.filter(usable)
     if sample_types is not None:
         samples = samples.filter(F.col("sample_type").isin(list(sample_types)))
         keep = samples.select("sample_id")
@@ -220,4 +234,4 @@ def validated(m: EraModel, exclude_rejected: bool = True,
             fact = fact.join(keep, "sample_id", "left_semi")
     return EraModel(locations=m.locations, analytes=m.analytes, matrix=m.matrix,
                     qualifiers=m.qualifiers, levels=m.levels, samples=samples,
-                    results=results, fact=fact)
+                    results=results, measurements=m.measurements, fact=fact)

@@ -35,6 +35,7 @@ VIEWS: dict[str, tuple[list[str], Builder]] = {
     "ref_screening_levels": ([], lambda s, r, e: e.levels),
     "fact_samples": ([], lambda s, r, e: e.samples),
     "fact_results": ([], lambda s, r, e: e.results),
+    "fact_field_measurements": ([], lambda s, r, e: e.measurements),
     "vw_screening_comparison": (["fact_results", "fact_samples", "dim_locations", "dim_matrix",
                                  "dim_analytes", "dim_qualifiers", "ref_screening_levels"],
                                 lambda s, r, e: era_views.screening_comparison(e)),
@@ -44,7 +45,8 @@ VIEWS: dict[str, tuple[list[str], Builder]] = {
                             lambda s, r, e: era_views.location_summary(e)),
     "vw_exceedances": (["vw_screening_comparison"], lambda s, r, e: s.table(
         "vw_screening_comparison").filter(F.col("screening_status") == "EXCEEDS")),
-    "vw_copcs": (["vw_screening_comparison"], lambda s, r, e: era_views.copcs_view(e)),
+    "vw_copcs": (["fact_results", "fact_samples", "dim_matrix", "dim_analytes", "ref_screening_levels"],
+                 lambda s, r, e: era_views.copcs_view(e)),
 }
 
 
@@ -70,7 +72,8 @@ def dependency_order(views: dict[str, tuple[list[str], object]]) -> list[str]:
 
 def register_views(spark: SparkSession, r: RetailModel, e: EraModel) -> list[str]:
     """Create every relation as a temp view, inputs first; returns the order."""
-    order = dependency_order(VIEWS)
+    views = {k: v for k, v in VIEWS.items() if k != "fact_field_measurements" or e.measurements is not None}
+    order = dependency_order(views)
     for name in order:
         VIEWS[name][1](spark, r, e).createOrReplaceTempView(name)
     return order

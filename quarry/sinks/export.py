@@ -1,7 +1,7 @@
 """Report sinks (SNK-01..07).
 
 A report is one table written as a dataset directory
-``{out}/{report}/report_date=YYYYMMDD/`` (Parquet by default, CSV with a
+``{out}/{report}/as_of=YYYYMMDD/`` (Parquet by default, CSV with a
 header on request). Row counts for the manifest are observed while the data
 is written (``DataFrame.observe``), so no second pass over a report is made.
 Spreadsheet styling is not rebuilt; highlighting becomes a boolean column.
@@ -27,7 +27,7 @@ def write_report(df: DataFrame, out_dir: str, report: str, report_date: dt.date,
                  fmt: str = "parquet") -> tuple[str, int]:
     """SNK-01: write one report table; returns (path, rows written)."""
     name = report.lower().replace(" ", "_")
-    path = os.path.join(out_dir, name, f"report_date={report_date.strftime('%Y%m%d')}")
+    path = os.path.join(out_dir, name, f"as_of={report_date.strftime('%Y%m%d')}")
     obs = Observation(f"rows_{name}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode("overwrite").format(fmt)
@@ -131,6 +131,10 @@ def read_package(spark: SparkSession, manifest: DataFrame, fmt: str = "parquet")
     return out
 
 
-def fetch(df: DataFrame, limit: int | None = None):
-    """SNK-07: a (small, aggregated) result to the client as pandas."""
-    return (df.limit(limit) if limit else df).toPandas()
+def fetch(df: DataFrame, limit: int):
+    """SNK-07: a small, aggregated result to the client as pandas. A result of more
+    than ``limit`` rows raises: write it as a report instead."""
+    rows = df.limit(limit + 1).toPandas()
+    if len(rows) > limit:
+        raise ValueError(f"the result has more than {limit} rows; write it with write_report")
+    return rows

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from quarry.sinks import export
 from tests.micro import era_micro, retail_micro
 
@@ -17,7 +19,9 @@ def test_era_package_round_trip(spark, tmp_path):
     scr = back["table_screening"]
     assert scr.filter("flag_exceeds").count() == 4
     assert {r.site_name for r in scr.collect()} == {"Site X"}
-    assert "report_date=20240506" in man.collect()[0].path
+    assert "as_of=20240506" in man.collect()[0].path
+    assert {r.report_date for r in scr.collect()} == {dt.date(2024, 5, 6)}
+    assert {r.report_date for r in spark.read.parquet(f"{tmp_path}/table_screening").collect()} == {dt.date(2024, 5, 6)}
 
 
 def test_retail_exports(spark, tmp_path):
@@ -30,4 +34,6 @@ def test_retail_exports(spark, tmp_path):
                      "product_performance_20240101"]
     one = export.export_report(m, "Monthly Summary", str(tmp_path / "c"), dt.date(2024, 1, 1))
     assert one.collect()[0].rows == 2
-    assert len(export.fetch(export.RETAIL_REPORTS["Customer Report"](m))) == 3
+    assert len(export.fetch(export.RETAIL_REPORTS["Customer Report"](m), 10)) == 3
+    with pytest.raises(ValueError):
+        export.fetch(m.orders, 2)
