@@ -7,8 +7,7 @@ per parameter combination with a different meaning.
 
 from __future__ import annotations
 
-import os
-import warnings
+import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
@@ -16,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from quarry.functions.classify import analyte_group
 from quarry.operators import catalog, era_views, quality, reports, retail, screening, statistics
-from quarry.plans.store import era_store, retail_store
-from quarry.sources.model import EraModel, RetailModel, era_from_driver, retail_from_driver
+from quarry.plans import store
+from quarry.sources import feeds
+from quarry.sources.model import EraModel, RetailModel
 from quarry.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,31 +29,13 @@ OBSERVATION_CAS = 7
 OBSERVATION_MATRIX = "SO"
 
 
-def use_store() -> bool:
-    """Queries read the materialised model store unless QUARRY_STORE=0, in
-    which case every query adapts the driver's tables itself."""
-    return os.environ.get("QUARRY_STORE", "1") != "0"
-
-
-def _stored(build, direct, spark: SparkSession, sf_dir: str):
-    """The stored model, or the plain adapters when the store is switched off
-    or cannot be written (same rows either way; the store only saves work)."""
-    if not use_store():
-        return direct(spark, sf_dir)
-    try:
-        return build(spark, sf_dir)
-    except Exception as e:  # noqa: BLE001 - e.g. no writable checkpoint folder
-        warnings.warn(f"model store unavailable ({type(e).__name__}: {e}); "
-                      "queries adapt the input tables directly", RuntimeWarning)
-        return direct(spark, sf_dir)
-
-
 def era_model(spark: SparkSession, sf_dir: str) -> EraModel:
-    return _stored(era_store, era_from_driver, spark, sf_dir)
+    """The stored model where ``store.load`` has built it, else the adapters."""
+    return store.model(spark, sf_dir, "era")
 
 
 def retail_model(spark: SparkSession, sf_dir: str) -> RetailModel:
-    return _stored(retail_store, retail_from_driver, spark, sf_dir)
+    return store.model(spark, sf_dir, "retail")
 
 
 def _retail(op) -> Query:
@@ -84,9 +67,93 @@ def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _model_tables(spark, sf_dir)
-    tables.pop("dim_matrix"), tables.pop("dim_qualifiers")
-    return quality.null_profile(tables)
+    return quality.null_profile(_model_tables(spark, sf_dir))
+
+
+# ------------------------------------------------------- ingest over the driver's tables
+
+def cas_text(part: DataFrame) -> DataFrame:
+    """Parts as a threshold list in feed form: number-size as the CAS number."""
+    return part.select(
+        F.concat_ws("-", "p_partkey", "p_size").alias("cas_rn"),
+        F.concat(F.col("p_name"), F.lit(" "), F.col("p_partkey").cast("string")).alias("analyte_name"),
+        F.col("p_partkey"), F.col("p_size"))
+
+
+def _analyte_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TRF-01 over every part."""
+    return cas_text(read_table(spark, sf_dir, "part")).select("cas_rn", analyte_group("cas_rn").alias("analyte_group"))
+
+
+def results_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as a results sheet: every cell text, some blank, "nan" or unreadable."""
+    line = read_table(spark, sf_dir, "lineitem")
+    n, key = F.col("l_linenumber"), F.col("l_orderkey")
+    return line.select(
+        key.cast("string").alias("sample_id"), F.col("l_partkey").cast("string").alias("cas_rn"),
+        F.concat(F.lit("lab "), F.col("l_suppkey").cast("string")).alias("analyte_name"),
+        F.when(key % 13 == 0, F.lit("<5")).when(key % 17 == 0, F.lit("nan"))
+         .otherwise((F.col("l_partkey") * 10 + n).cast("string")).alias("result_value"),
+        F.lit(" mg/kg ").alias("result_unit"),
+        F.when(n == 1, F.lit("")).otherwise(F.lit("0.5")).alias("detection_limit"),
+        F.when(n == 2, F.lit("")).when(n == 3, F.lit("N")).otherwise(F.lit("Y")).alias("detect_flag"),
+        F.when(n == 4, F.lit("NaN")).otherwise(F.col("l_returnflag")).alias("lab_qualifier"),
+        F.concat(F.col("l_shipdate").cast("date").cast("string"), F.lit(" 00:00:00")).alias("analysis_date"))
+
+
+def _results_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-06."""
+    return feeds.load_results(results_feed(spark, sf_dir)).select(
+        "result_id", "sample_id", "cas_rn", "analyte_name", "result_value", "result_unit", "detection_limit",
+        "detect_flag", "lab_qualifier", "dilution_factor", "analysis_date")
+
+
+def _analytes_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-07: two thirds of the parts are known analytes, the results name them all."""
+    known = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") % 3 != 0).select(
+        F.col("p_partkey").cast("string").alias("cas_rn"), F.col("p_name").alias("analyte_name"),
+        F.col("p_type").alias("analyte_group"))
+    return feeds.analytes_from_results(known, results_feed(spark, sf_dir))
+
+
+def _levels_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-08: a second load replaces the thresholds of every second part."""
+    part = cas_text(read_table(spark, sf_dir, "part"))
+
+    def level(rows: DataFrame, times: int, day: str) -> DataFrame:
+        sheet = rows.select("cas_rn", "analyte_name",
+                            (F.col("p_size") * times).cast("string").alias("rsl_residential_soil_mg_kg"),
+                            F.lit("n/a").alias("rsl_mcl_ug_l"), F.lit(" Yes").alias("carcinogen"))
+        return feeds.load_screening_levels(sheet, dt.date.fromisoformat(day))
+
+    both = feeds.upsert_replace_levels(None, [
+        level(part, 2000, "2024-01-01"), level(part.filter(F.col("p_partkey") % 2 == 0), 2500, "2024-06-01")])
+    return both.select("cas_rn", "analyte_name", "rsl_residential_soil_mg_kg", "rsl_mcl_ug_l", "carcinogen",
+                       "update_date")
+
+
+def _levels_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-09: the analytes of a threshold list with their groups; known ones stay."""
+    part = cas_text(read_table(spark, sf_dir, "part"))
+    known = part.filter(F.col("p_partkey") % 5 == 0).select("cas_rn", "analyte_name", F.lit("Known").alias("analyte_group"))
+    return feeds.analytes_from_levels(known, part)
+
+
+def _orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-12: the order sheet, every cell text, to the typed fact."""
+    line, orders = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
+    sheet = line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+        F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("order_id"),
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.when(F.col("l_linenumber") == 5, F.lit(" ")).otherwise(F.col("l_partkey").cast("string")).alias("product_id"),
+        F.col("l_linenumber").cast("string").alias("quantity"),
+        F.when(F.col("l_orderkey") % 19 == 0, F.lit("twelve")).otherwise(
+            F.concat(F.col("l_partkey").cast("string"), F.lit(".25"))).alias("unit_price"),
+        F.concat(F.col("l_suppkey").cast("string"), F.lit(".5")).alias("total_amount"),
+        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T00:00")).alias("order_date"),
+        F.col("o_orderstatus").alias("status"))
+    return feeds.typed_retail(line.sparkSession.createDataFrame([], "customer_id string"),
+                              line.sparkSession.createDataFrame([], "product_id string"), sheet).orders
 
 
 def reported(df: DataFrame) -> DataFrame:
@@ -117,6 +184,13 @@ def registry() -> dict[str, Query]:
         "monthly_kpi": _retail(retail.monthly_kpi),
         "orders_by_category": _retail(retail.orders_by_category),
         "order_line_export": _retail(retail.order_line_export),
+        # ingest and transforms (ING-06..09, 12, TRF-01)
+        "analyte_group": _analyte_groups,
+        "results_typed": _results_typed,
+        "analytes_upsert": _analytes_upsert,
+        "levels_upsert": _levels_upsert,
+        "levels_grouped": _levels_grouped,
+        "orders_typed": _orders_typed,
         # catalog (CAT-01, 03, 04)
         "table_inventory": lambda spark, d: catalog.table_inventory(_model_tables(spark, d)),
         "row_counts": _row_counts,
@@ -146,6 +220,10 @@ def registry() -> dict[str, Query]:
         "screening_counts": _era(screening.screening_counts),
         "screening_summary_validated": _era(partial(screening.screening_summary,
                                                     exclude_rejected=True)),
+        "screening_summary_normal_samples": _era(partial(screening.screening_summary,
+                                                         sample_types=("N",))),
+        "screening_summary_eco_plants_soil": _era(partial(
+            screening.screening_summary, scenario="eco_ssl_plants_mg_kg", matrix="soil")),
         "location_exceedances_residential_all": _era(partial(
             screening.location_exceedances, scenario="residential", matrix="all")),
         "location_exceedances_industrial_soil": _era(partial(

@@ -2,41 +2,79 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from quarry.plans import store
+from quarry.plans.registry import registry
 
 
+from pyspark.sql import functions as F
+
+from quarry.plans.era_base import result_rows, validated
+from quarry.sources.model import EraModel, era_from_driver
 from tests.plans import plan
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registry()))
 def test_no_python_udf(spark, small_sf, key):
-    p = plan(entry.queries()[key](spark, small_sf))
+    p = plan(registry()[key](spark, small_sf))
     for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                  "MapInPandas"):
         assert node not in p, f"{key} runs Python: {node}"
 
 
-def test_filter_and_columns_reach_scan(spark, small_sf, monkeypatch):
-    q = entry.queries()["analyte_observations"]
-    # Store path: the matrix filter prunes partitions, the analyte filter is
-    # pushed into the Parquet reader.
-    p = plan(q(spark, small_sf))
-    assert "PartitionFilters: [isnotnull(matrix_code" in p
-    assert "EqualTo(cas_rn,7)" in p
+def test_filter_and_columns_reach_scan(spark, small_sf):
+    q = registry()["analyte_observations"]
     # Direct path: filters and column pruning reach the driver's scan.
-    monkeypatch.setenv("QUARRY_STORE", "0")
     p = plan(q(spark, small_sf))
     assert "PushedFilters: [IsNotNull(l_partkey), EqualTo(l_partkey,7)" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in p
     assert "l_shipdate" not in p  # an unused column is not read
+    # Store path: the matrix filter prunes partitions, the analyte filter is
+    # pushed into the Parquet reader.
+    try:
+        store.load(spark, small_sf, "era")
+        p = plan(q(spark, small_sf))
+    finally:
+        store.forget(spark)
+    assert "PartitionFilters: [isnotnull(matrix_code" in p
+    assert "EqualTo(cas_rn,7)" in p
+
+
+def test_rejected_codes_are_a_pushed_filter(spark, small_sf):
+    m = validated(era_from_driver(spark, small_sf))
+    p = plan(m.results)
+    assert "Join" not in p and "lab_qualifier" not in p.split("Scan")[0]
+
+
+def test_hot_analyte_is_split(spark, small_sf):
+    """Half of all results on one analyte, no broadcast: the fact joins the analyte's
+    attributes and thresholds once, and that join's hot partition is split."""
+    m = era_from_driver(spark, small_sf.replace("sf0.001", "sf0.01"))
+    hot = m.results.withColumn("cas_rn", F.when(F.col("result_id") % 2 == 0, F.lit(7)).otherwise(F.col("cas_rn")))
+    m = EraModel(**{**m.__dict__, "results": hot})
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for df in (store.enriched_results(m, True, True),
+                   result_rows(m, result_cols=["result_id", "result_value"], analyte_cols=["analyte_name"], level_cols=["rsl_mcl_ug_l"])):
+            df.collect()
+            p = plan(df)
+            assert "skew=true" in p
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_fixed_lists_are_broadcast(spark, small_sf):
-    p = plan(entry.queries()["detection_summary"](spark, small_sf))
+    p = plan(registry()["detection_summary"](spark, small_sf))
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
 
 
 def test_statistics_single_aggregation_per_pair(spark, small_sf):
-    p = plan(entry.queries()["analyte_statistics"](spark, small_sf))
+    p = plan(registry()["analyte_statistics"](spark, small_sf))
     assert "Expand" not in p  # no distinct aggregation in the statistics
     assert "partial_sum" in p  # map-side partial aggregation

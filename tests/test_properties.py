@@ -1,12 +1,19 @@
 """Properties: results do not depend on the number of shuffle partitions;
 subset relations between screening tables; the entry contract."""
 
+import os
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 import __spark_entry__ as entry
+from quarry.plans import store
+from quarry.session import ensure_checkpoint_dir
+from quarry.sources.model import era_from_driver, retail_from_driver
+from tests.plans import plan as explain
 
 KEYS = ["epc_summary", "analyte_statistics", "customer_report", "hazard_index_residential",
-        "location_summary", "monthly_summary"]
+        "location_summary", "monthly_summary", "order_totals", "results_typed"]
 
 
 def collect_sorted(df):
@@ -38,7 +45,9 @@ def test_copc_subset_of_exceeding_summary(spark, small_sf):
 
 def test_detects_plus_nondetects(spark, small_sf):
     df = entry.queries()["detection_frequency"](spark, small_sf)
-    assert df.filter("n_detect + n_nondetect <> n_samples").count() == 0
+    # Results without a flag are neither.
+    assert df.filter("n_detect + n_nondetect > n_samples").count() == 0
+    assert df.filter("n_detect + n_nondetect < n_samples").count() > 0
 
 
 def test_entry_smoke(spark):
@@ -46,94 +55,111 @@ def test_entry_smoke(spark):
     assert df.count() >= 0 and "epc" in df.columns
 
 
+@pytest.fixture
+def loaded(spark, small_sf):
+    yield {kind: store.load(spark, small_sf, kind) for kind in ("era", "retail")}
+    store.forget(spark)
+
+
 @pytest.mark.parametrize("key", ["epc_summary", "location_summary", "background_comparison",
                                  "screening_summary_residential_soil", "table_samples",
-                                 "monthly_summary", "null_profile", "exceedances",
+                                 "monthly_summary", "null_profile", "exceedances", "fk_violations",
                                  "location_exceedances_residential_all"])
-def test_store_and_direct_plans_agree(spark, small_sf, key, monkeypatch):
+def test_store_and_direct_plans_agree(spark, small_sf, key, request):
     """The materialised store (pre-joined fact) and the plain adapters give
     the same rows."""
     q = entry.queries()[key]
-    stored = collect_sorted(q(spark, small_sf))
-    monkeypatch.setenv("QUARRY_STORE", "0")
+    store.forget(spark)
     direct = collect_sorted(q(spark, small_sf))
-    assert stored == direct
+    request.getfixturevalue("loaded")
+    assert direct == collect_sorted(q(spark, small_sf))
 
 
-def test_store_fact_is_partitioned_by_matrix(spark, small_sf):
-    from quarry.plans.store import era_store
-    m = era_store(spark, small_sf)
-    from tests.plans import plan as explain
-    plan = explain(m.fact.filter("matrix_code = 'SO'"))
+def test_store_fact_is_partitioned_by_matrix(loaded):
+    plan = explain(loaded["era"].fact.filter("matrix_code = 'SO'"))
     assert "PartitionFilters: [isnotnull(matrix_code" in plan and "(matrix_code" in plan
 
 
-def test_interrupted_store_is_rebuilt(spark, small_sf, tmp_path):
-    """A store without its completion marker (a build cut short) is rebuilt,
-    never read half-written; a complete one is reused."""
-    from quarry.plans import store
-    root = str(tmp_path / "era")
-    m = __import__("quarry.sources.model", fromlist=["x"]).era_from_driver(spark, small_sf)
-    store._write(m.samples.limit(3), root + "/fact_samples")  # partial output, no marker
-    assert not store._done(spark, root)
-    store.write_era(m, root)
-    assert store._done(spark, root)
-    back = store.read_era(spark, root, m)
-    assert back.samples.count() == m.samples.count()
-    assert back.results.count() == m.results.count()
-    assert back.fact.count() == m.results.join(m.samples, "sample_id").count()
-
-
-def test_stored_thresholds_remove_the_threshold_join(spark, small_sf):
-    """Row-level threshold screens read thresholds stored on the fact rows:
-    the plan has no join on cas_rn for them."""
-    p = entry.queries()["copc_residential_all"](spark, small_sf)
-    from tests.plans import plan as explain
-    plan = explain(p)
-    assert "ref_screening_levels" not in plan
-    assert "fact_results" in plan
-
-
-def test_duplicate_threshold_keys_keep_the_join(spark, small_sf):
-    """If the threshold key were not unique, thresholds are not stored on the
-    fact (that would multiply result rows)."""
-    from quarry.plans.store import enriched_results, levels_unique
-    from quarry.sources.model import EraModel, era_from_driver
-    m = era_from_driver(spark, small_sf)
-    dup = EraModel(**{**m.__dict__, "levels": m.levels.unionByName(m.levels.limit(1))})
-    assert levels_unique(m) and not levels_unique(dup)
-    assert enriched_results(m, True).count() == m.results.count()
-
-
-def test_stored_analytes_remove_the_analyte_join(spark, small_sf):
-    """Exceedance reports read analyte names stored on the fact rows: the
-    analyte dimension is not scanned."""
-    from tests.plans import plan as explain
+def test_stored_attributes_remove_the_joins(spark, small_sf, loaded):
+    """Thresholds and analyte names stored on the fact rows are not joined again."""
+    plan = explain(entry.queries()["copc_residential_all"](spark, small_sf))
+    assert "ref_screening_levels" not in plan and "fact_results" in plan
     for key in ("exceedances", "location_exceedances_residential_all"):
         plan = explain(entry.queries()[key](spark, small_sf))
-        assert "dim_analytes" not in plan
-        assert "fact_results" in plan
+        assert "dim_analytes" not in plan and "fact_results" in plan
 
 
-def test_duplicate_analyte_keys_keep_the_join(spark, small_sf):
-    """If the analyte key were not unique, names are not stored on the fact
-    (that would multiply result rows)."""
-    from quarry.plans.store import enriched_results, key_unique
-    from quarry.sources.model import era_from_driver
+def test_duplicate_keys_are_not_stored(spark, small_sf):
+    """A threshold or analyte key that is not unique would multiply result rows."""
     m = era_from_driver(spark, small_sf)
-    dup = m.analytes.unionByName(m.analytes.limit(1))
-    assert key_unique(m.analytes, "cas_rn") and not key_unique(dup, "cas_rn")
-    assert enriched_results(m, False, True).count() == m.results.count()
-
-
-def test_store_failure_falls_back_to_adapters(spark, small_sf, monkeypatch):
-    from quarry.plans import registry as reg
-
-    def broken(spark, sf_dir):
-        raise PermissionError("read-only checkpoint folder")
-
-    monkeypatch.setattr(reg, "era_store", broken)
-    with pytest.warns(RuntimeWarning):
-        got = collect_sorted(entry.queries()["epc_summary"](spark, small_sf))
-    monkeypatch.setenv("QUARRY_STORE", "0")
-    assert got == collect_sorted(entry.queries()["epc_summary"](spark, small_sf))
+    assert store.key_unique(m.levels, "cas_rn") and store.key_unique(m.analytes, "cas_rn")
+    assert not store.key_unique(m.levels.unionByName(m.levels.limit(1)), "cas_rn")
+    for options in ((True, False), (False, True), (True, True)):
+        assert store.enriched_results(m, *options).count() == m.results.count()
+
+
+@pytest.fixture
+def own_copy(spark, small_sf, tmp_path):
+    for t in store.INPUTS["retail"]:
+        spark.read.parquet(f"{small_sf}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    yield str(tmp_path)
+    store.forget(spark)
+
+
+def test_changed_input_is_noticed_within_a_session(spark, small_sf, own_copy):
+    q = lambda: {r.category: r["count"] for r in entry.queries()["load_summary"](spark, own_copy).collect()}
+    store.load(spark, own_copy, "era")
+    key = (spark.sparkContext.applicationId, own_copy, "era")
+    first, before = store._CURRENT[key][1], q()
+    assert store.load(spark, own_copy, "era") is store._CURRENT[key][2]  # unchanged: not built again
+    spark.read.parquet(f"{small_sf}/lineitem.parquet").limit(100).write.mode("overwrite").parquet(f"{own_copy}/lineitem.parquet")
+    spark.catalog.refreshByPath(f"{own_copy}/lineitem.parquet")
+    assert before["Results"] > 100 and q()["Results"] == 100
+    assert store._CURRENT[key][1] != first and not os.path.exists(first)  # the replaced store is gone
+
+
+def test_changed_code_and_other_sessions_get_their_own_store(spark, own_copy, monkeypatch):
+    store.load(spark, own_copy, "retail")
+    key = (spark.sparkContext.applicationId, own_copy, "retail")
+    first = store._CURRENT[key][1]
+    assert key[0] in first
+    monkeypatch.setattr(store, "code_tag", lambda: "other code")
+    store.load(spark, own_copy, "retail")
+    assert store._CURRENT[key][1] != first
+
+
+def test_builds_at_once_and_builds_cut_short(spark, own_copy, tmp_path):
+    base = f"{tmp_path}/stores"
+    m = retail_from_driver(spark, own_copy)
+    store._write(m.customers.limit(3), f"{base}/half/dim_customers")  # no pointer: never read
+    assert store.published(spark, base) is None
+    with ThreadPoolExecutor(2) as pool:
+        def build(name):
+            store.write_retail(m, f"{base}/{name}")
+            store.publish(spark, base, name)
+        list(pool.map(build, ["b", "a"]))
+    assert store.published(spark, base) == f"{base}/a"
+    for name in "ab":
+        assert store.read_retail(spark, f"{base}/{name}").orders.count() == m.orders.count()
+
+
+def test_store_failure_raises(spark, own_copy, monkeypatch):
+    def broken(*_):
+        raise PermissionError("read-only folder")
+
+    monkeypatch.setattr(store, "write_retail", broken)
+    with pytest.raises(PermissionError):
+        store.load(spark, own_copy, "retail")
+
+
+def test_a_cluster_needs_its_shared_folder():
+    class Conf:
+        def __init__(self, **kv):
+            self.kv = {k.replace("_", "."): v for k, v in kv.items()}
+
+        def get(self, key, default=None):
+            return self.kv.get(key, default)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", ""):
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(type("S", (), {"conf": Conf(spark_master=master)})())
