@@ -9,6 +9,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from quarry.oracle_sql import all_oracles
+from quarry.plans.registry import registry
 from quarry.sources.tables import DRIVER_TABLES, table_path
 
 duckdb = pytest.importorskip("duckdb")
@@ -37,10 +39,11 @@ def con(small_sf):
 
 
 def test_keys_match():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(all_oracles()) == set(registry())
+    assert set(registry()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registry()))
 def test_query_matches_oracle(spark, con, small_sf, key):
     df = entry.queries()[key](spark, small_sf)
     cols = sorted(df.columns)
