@@ -13,12 +13,13 @@ other characters outside the vocabulary are bytes, and so is a literal space mar
 
 Defined cases: a null text encodes to null ids (decoded: null), an empty one to no
 ids. Repeated rows are encoded alike. A null id takes stream 0. Other columns are
-carried, whatever their names, unless they clash with the output's.
+carried; one named like an output column is replaced by it.
 """
 
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,80 +30,101 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarry.llm.pieces import SPACE, Vocabulary, pre_tokens
+from quarry.llm.common import carried, unused
+from quarry.llm.pieces import SPACE, Vocabulary
 
 _CACHES: dict[tuple, "Segmenter"] = {}
 
 
-def merge_part(s: str, vocabulary: Vocabulary, limit: int, seed: int, stream: int) -> list[str]:
-    """Segment one part. ``limit`` = dropout * 2**64 on the hash's scale."""
+#: Parts up to this long keep their agenda as a plain list that is scanned for its
+#: best entry, which is quicker than a heap there; the result is the same.
+_SHORT = 40
+_NONE = 1 << 60
+
+
+def merge_part(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[str]:
+    """Segment one part. A candidate is dropped where the hash of its place (its
+    first character's) and piece under ``key`` is below ``limit``."""
+    if len(s) > _SHORT:
+        return _merge_long(s, vocabulary, limit, key)
+    rank, none, hashed = vocabulary.rank.get, _NONE, xxhash.xxh64_intdigest
+    symbols, starts = list(s), list(range(len(s)))
+    agenda = [rank(a + b, none) for a, b in zip(s, s[1:])]
+    left = len(agenda)
+    while left:
+        best = min(agenda)
+        if best == none:
+            break
+        i = agenda.index(best)
+        joined = symbols[i] + symbols[i + 1]
+        if limit and hashed(f"{starts[i]}:{joined}", key) < limit:
+            agenda[i] = none
+            continue
+        symbols[i] = joined
+        del symbols[i + 1], starts[i + 1], agenda[i]
+        left -= 1
+        if i < left:
+            agenda[i] = rank(joined + symbols[i + 1], none)
+        if i:
+            agenda[i - 1] = rank(symbols[i - 1] + joined, none)
+    return symbols
+
+
+def _merge_long(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[str]:
+    """The same with a heap: n log n for parts of any length."""
     rank, n = vocabulary.rank, len(s)
-    if n == 1:
-        return [s]
     symbol: list[str | None] = list(s)
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
     agenda = [(r, i) for i in range(n - 1) if (r := rank.get(s[i:i + 2])) is not None]
     heapq.heapify(agenda)
-    held = {i: s[i:i + 2] for _, i in agenda}  # the pair now waiting at each place
-    key = seed * 1_000_003 + stream
+    waiting = {i: s[i:i + 2] for _, i in agenda}  # the pair at each place
     while agenda:
         popped, i = heapq.heappop(agenda)
-        left = symbol[i]
-        j = after[i]
+        left, j = symbol[i], after[i]
         if left is None or j >= n:
             continue
         joined = left + symbol[j]
-        if rank.get(joined) != popped or held.get(i) != joined:
+        if rank.get(joined) != popped or waiting.get(i) != joined:
             continue  # one side has changed since
-        del held[i]
+        del waiting[i]
         if limit and xxhash.xxh64_intdigest(f"{i}:{joined}", key) < limit:
             continue
         symbol[i], symbol[j] = joined, None
-        held.pop(j, None)
+        waiting.pop(j, None)
         k = after[i] = after[j]
         if k < n:
             before[k] = i
-            pair = joined + symbol[k]
-            r = rank.get(pair)
-            if r is not None:
-                held[i] = pair
-                heapq.heappush(agenda, (r, i))
-        h = before[i]
-        if h >= 0:
-            pair = symbol[h] + joined
+        for place, pair in ((i, joined + symbol[k] if k < n else ""), (before[i], (symbol[before[i]] or "") + joined)):
+            if place < 0 or not pair:
+                continue
             r = rank.get(pair)
-            if r is not None:
-                held[h] = pair
-                heapq.heappush(agenda, (r, h))
+            if r is None:
+                waiting.pop(place, None)
             else:
-                held.pop(h, None)
+                waiting[place] = pair
+                heapq.heappush(agenda, (r, place))
     return [x for x in symbol if x is not None]
 
 
 class Segmenter:
-    """Encodes pre-tokens; remembers up to ``most`` segmentations per worker."""
+    """Encodes pre-tokens; remembers up to ``most`` of their segmentations per worker."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 500_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 600_000) -> None:
         self.v, self.seed, self.most = vocabulary, seed, most
         self.limit = min(int(dropout * 2.0 ** 64), 2 ** 64)
         self.known: dict[int, dict[str, bytes]] = {}
-        self.parts: dict[int, dict[str, bytes]] = {}
         self.size = 0
 
     def part(self, s: str, stream: int) -> bytes:
-        got = self.parts.setdefault(stream, {}).get(s)
-        if got is None:
-            ids = self.v.ids
+        symbols = merge_part(s, self.v, self.limit, self.seed * 1_000_003 + stream)
+        try:
+            return array("i", map(self.v.ids.__getitem__, symbols)).tobytes()
+        except KeyError:
             out: list[int] = []
-            for piece in merge_part(s, self.v, self.limit, self.seed, stream):
-                i = ids.get(piece)
-                if i is not None:
-                    out.append(i)
-                else:
-                    out += self.v.fallback(piece)
-            got = self.parts[stream][s] = np.array(out, dtype=np.int32).tobytes()
-            self.size += 1
-        return got
+            for piece in symbols:
+                i = self.v.ids.get(piece)
+                out += self.v.fallback(piece) if i is None else [i]
+            return array("i", out).tobytes()
 
     def token(self, t: str, stream: int) -> bytes:
         parts = self.v.parts(t)
@@ -112,35 +134,35 @@ class Segmenter:
 
     def encode(self, text: str, stream: int) -> np.ndarray:
         if self.size > self.most:
-            self.known, self.parts, self.size = {}, {}, 0
-        tokens = pre_tokens(text)
+            self.known, self.size = {}, 0
+        tokens = self.v.pre_tokens(text)
         known = self.known.setdefault(stream, {})
-        new = set(tokens).difference(known)
-        self.size += len(new)
-        for t in new:
+        for t in set(tokens).difference(known):
             known[t] = self.token(t, stream)
+            self.size += 1
         return np.frombuffer(b"".join(map(known.__getitem__, tokens)), dtype=np.int32)
 
 
 def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
     """The text of ``ids``: pieces and bytes joined, without the dummy space."""
+    ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
     return b"".join(map(vocabulary.raw.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key: str = "doc_id",
            dropout: float = 0.1, seed: int = 17, variants: int = 4,
-           keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (default: all), token_ids, n_tokens."""
-    keep = list(docs.columns) if keep is None else keep
-    clash = set(keep) & {"token_ids", "n_tokens"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} would be written twice; leave them out of keep")
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"),
+           keep: list[str] | None = None, lossless: str | None = None) -> DataFrame:
+    """Columns ``keep`` (default: all), token_ids, n_tokens, and with ``lossless`` a
+    column of that name: whether the ids decode to the text (null for a null one)."""
+    keep = carried(docs, keep, [], ["token_ids", "n_tokens", lossless])
+    body, stream = unused(docs, "text_"), unused(docs, "stream_")
+    rows = docs.select(*keep, F.col(text).cast("string").alias(body),
                        F.coalesce(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(variants)),
-                                  F.lit(0)).cast("int").alias("__stream"))
+                                  F.lit(0)).cast("int").alias(stream))
     out = T.StructType(rows.select(*keep).schema.fields
                        + [T.StructField("token_ids", T.ArrayType(T.IntegerType(), False)),
-                          T.StructField("n_tokens", T.LongType())])
+                          T.StructField("n_tokens", T.LongType())]
+                       + ([T.StructField(lossless, T.BooleanType())] if lossless else []))
     arrow = to_arrow_schema(out)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -152,7 +174,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key:
             _CACHES.clear()
             seg = _CACHES[name] = Segmenter(v, dropout, seed)
         for batch in batches:
-            texts, streams = batch["__text"].to_pylist(), batch["__stream"].to_pylist()
+            texts, streams = batch[body].to_pylist(), batch[stream].to_pylist()
             at = 0
             while at < len(texts):
                 ids, end, held = [], at, 0
@@ -163,6 +185,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key:
                 lists = _lists(ids)
                 counts = pa.array([None if x is None else len(x) for x in ids], pa.int64())
                 cols = [batch[c].slice(at, end - at) for c in keep] + [lists, counts]
+                if lossless:
+                    cols.append(pa.array([None if x is None else decode(x, v) == t
+                                          for x, t in zip(ids, texts[at:end])], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
                 at = end
 

@@ -18,6 +18,21 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _pre_token_pattern(pairs: frozenset[str]) -> re.Pattern:
+    """Pre-tokens: runs of letters and runs of other characters, each with the spaces
+    before them. Letters that some piece joins with other characters count as others."""
+    odd: set[str] = set()
+    while True:
+        def letter(c: str) -> bool:
+            return c.isalpha() and c not in odd
+        more = {c for p in pairs if letter(p[0]) != letter(p[1]) and SPACE not in p for c in p if letter(c)}
+        if not more:
+            break
+        odd |= more
+    kept_out = "".join(map(re.escape, sorted(odd)))
+    return re.compile(rf" *[^\W\d_{kept_out}]+| *(?:[^\w \n{SPACE}]|[\d_{kept_out}])+| +|[\n{SPACE}]")
+
+
 @dataclass
 class Vocabulary:
     """Ordinary pieces with their rank by score (0 is the best; equal scores share
@@ -28,7 +43,7 @@ class Vocabulary:
     byte_ids: list[int]
     raw: list[bytes]                       # id -> the bytes it decodes to
     pairs: frozenset[str] = field(repr=False)  # neighbours inside some piece
-    longest: int
+    words: re.Pattern
     key: str
 
     @classmethod
@@ -52,12 +67,21 @@ class Vocabulary:
         place = {x: r for r, x in enumerate(scores)}
         pairs = frozenset(p[k:k + 2] for p in ids for k in range(len(p) - 1))
         return cls(ids, {p: place[m.get_score(i)] for p, i in ids.items()}, byte_ids, raw, pairs,
-                   max(map(len, ids), default=1), f"{path}:{len(raw)}")
+                   _pre_token_pattern(pairs), f"{path}:{len(raw)}")
+
+    def pre_tokens(self, text: str) -> list[str]:
+        """The text with its leading dummy space, cut where no piece crosses: before a
+        run of spaces, around line feeds and literal space marks, and between a run of
+        letters and what is none. Joined they give it back; an empty text has none."""
+        return self.words.findall(" " + text) if text else []
 
     def parts(self, token: str) -> list[str]:
-        """A pre-token as pieces write it, cut where no piece crosses; nothing for a
-        literal space mark, which is no piece but its bytes."""
-        return [] if token == SPACE else self.cut(token.replace(" ", SPACE))
+        """A pre-token as pieces write it, cut further where no piece crosses (runs of
+        letters stay whole); nothing for a literal space mark, which is its bytes."""
+        if token == SPACE:
+            return []
+        token = token.replace(" ", SPACE)
+        return [token] if token[-1].isalpha() else self.cut(token)
 
     def fallback(self, char: str) -> list[int]:
         """The byte pieces of a character (or of a literal space mark)."""
@@ -73,14 +97,3 @@ class Vocabulary:
                 at = k
         out.append(token[at:])
         return out
-
-
-#: Pre-tokens: spaces belong to the word they precede; a line feed and a literal
-#: space mark stand alone.
-_PRE = re.compile(f" *[^ \n{SPACE}]+| +|[\n{SPACE}]")
-
-
-def pre_tokens(text: str) -> list[str]:
-    """The text with its leading dummy space, split before every run of spaces and
-    around line feeds; joined they give it back. Nothing for an empty text."""
-    return _PRE.findall(" " + text) if text else []

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import carried, unused
-from quarry.llm.pieces import SPACE, Vocabulary, pre_tokens
+from quarry.llm.pieces import SPACE, Vocabulary
 
 UNKNOWN_PENALTY = 10.0
 _TRIES: dict[str, "PrefixTrie"] = {}
@@ -121,7 +121,7 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text",
             for i, t in enumerate(pdf[body]):
                 if not t:
                     continue
-                pre = pre_tokens(t)
+                pre = v.pre_tokens(t)
                 new = set(pre).difference(trie.terminal)
                 for token in sorted(new):
                     trie.insert(token)

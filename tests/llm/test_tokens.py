@@ -39,7 +39,7 @@ def test_counts_match_plain_programming(vocabulary, texts):
     trie = tokencount.PrefixTrie(vocabulary)
     for t in texts[:25]:
         if t:
-            got = sum(trie.insert(w) for w in pieces.pre_tokens(t))
+            got = sum(trie.insert(w) for w in vocabulary.pre_tokens(t))
             assert got == plain_count(t, trie.scores, trie.unknown), t[:60]
 
 
@@ -56,7 +56,7 @@ def test_counts_match_the_library_with_the_same_scores(vocabulary, texts):
     library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
     trie = tokencount.PrefixTrie(vocabulary)
     for t in texts:
-        assert sum(trie.insert(w) for w in pieces.pre_tokens(t)) == len(library.encode(t))
+        assert sum(trie.insert(w) for w in vocabulary.pre_tokens(t)) == len(library.encode(t))
 
 
 def test_a_full_trie_starts_anew_with_the_same_counts(spark, vocabulary, odd_docs, no_docs):
@@ -64,7 +64,7 @@ def test_a_full_trie_starts_anew_with_the_same_counts(spark, vocabulary, odd_doc
     trie = tokencount.PrefixTrie(vocabulary, most_nodes=5)
     for r, d in zip(out, odd_docs.collect()):
         want = 0
-        for w in pieces.pre_tokens(d.text or ""):
+        for w in vocabulary.pre_tokens(d.text or ""):
             want += trie.insert(w)
             trie.reset()
         assert r.n_tokens == want
