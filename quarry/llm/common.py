@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the
-    lineage with files every executor can read, and recomputes nothing later."""
+    lineage with files every executor can read, and recomputes nothing later. The files
+    stay until ``drop_intermediates``, since results read them when they are used."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession) -> str:
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/quarry-llm/{spark.sparkContext.applicationId}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete the tables that operators of this application have written in between.
+    Call it when their results have been written or are not needed any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
@@ -43,6 +58,18 @@ def crc_mod(col: str, m: int) -> Column:
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(m))
 
 
+_WORKER: dict[object, object] = {}
+
+
+def worker_cache(key: object, make: Callable[[], object]) -> object:
+    """The cache ``key`` of this Python worker, made when it is not there. A worker
+    serves the tasks of many operators; it keeps the cache of the last one only."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]
+
+
 def carried(docs: DataFrame, keep: list[str] | None, without: list[str], new: list[str]) -> list[str]:
     """The input columns an operator hands on: ``keep``, or all but ``without``. A
     column named like one of the operator's ``new`` ones is replaced by it."""
@@ -58,6 +85,42 @@ def unused(docs: DataFrame, name: str) -> str:
     return name
 
 
+Columns = dict[str, np.ndarray]
+
+
+def in_groups(rows: DataFrame, keys: list[str], order: list[str], schema: str,
+              work: Callable[[Columns, int, int], tuple[Sequence, ...]]) -> DataFrame:
+    """``work`` on each group of ``keys`` (all columns and the group's range of rows),
+    many small groups a batch: rows are dealt by the keys and sorted, and a group that
+    runs over a batch's end is carried over. ``work`` returns the columns of ``schema``."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def frame(parts: list[tuple[Sequence, ...]]) -> pd.DataFrame:
+        return pd.DataFrame({c: np.concatenate([np.asarray(p[k]) for p in parts]) for k, c in enumerate(names)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: Columns | None = None
+        for pdf in batches:
+            cols = {c: pdf[c].to_numpy() for c in pdf.columns}
+            if held is not None:
+                cols = {c: np.concatenate([held[c], x]) for c, x in cols.items()}
+            n = len(cols[keys[0]])
+            if not n:
+                continue
+            new = np.zeros(n - 1, dtype=bool)
+            for k in keys:
+                new |= cols[k][1:] != cols[k][:-1]
+            cuts = [0, *(np.nonzero(new)[0] + 1).tolist()]
+            out = [r for at, end in zip(cuts, cuts[1:]) if len((r := work(cols, at, end))[0])]
+            held = {c: x[cuts[-1]:] for c, x in cols.items()}
+            if out:
+                yield frame(out)
+        if held is not None and len((r := work(held, 0, len(held[keys[0]])))[0]):
+            yield frame([r])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected edge list by alternating large-star
     and small-star rounds: (node, component), component = the smallest node.
@@ -68,6 +131,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     one checksum row per round. Raises when it has not settled in
     ``max_rounds`` (it halves path lengths, so 60 is far beyond any input).
     """
+    ensure_checkpoint_dir(edges.sparkSession)
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where("u <> v").distinct().checkpoint())
     before = None

@@ -32,15 +32,16 @@ component. Repeated rows each get their row. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import contextlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import components, materialise
+from quarry.llm.common import Columns, components, in_groups, materialise, worker_cache
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25], dtype=np.uint64)
@@ -51,24 +52,23 @@ _PER_BIN = 8
 class _WordHashes(dict):
     """word -> 64-bit hash; forgets all when it holds ``most`` words."""
 
-    most = 500_000
+    most = 200_000
 
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
-_WORDS = _WordHashes()
-
 
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes (int64) of a text's word n-grams."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, dtype=np.int64)
-    if len(_WORDS) > _WORDS.most:
-        _WORDS.clear()
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    known = worker_cache("word hashes", _WordHashes)
+    if len(known) > known.most:
+        known.clear()
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     width = min(n, len(h))
     s = np.full(len(h) - width + 1, width, dtype=np.uint64)
     for k in range(width):
@@ -114,45 +114,6 @@ def set_rows(docs: DataFrame, text: str, key: str, n: int, percent: int) -> Data
     return rows.mapInPandas(read, "id long, size long, same string, first array<long>, bins binary")
 
 
-def in_groups(rows: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame | None],
-              schema: str) -> DataFrame:
-    """``work`` on each group of ``keys``, many small groups a batch: rows are dealt by
-    the keys and sorted, and a group that runs over a batch's end is carried over."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        last = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            k = pdf[keys].to_numpy()
-            ends = np.append(np.nonzero((k[1:] != k[:-1]).any(axis=1))[0] + 1, len(pdf))
-            if last is not None and (k[0] != last).any():
-                out = work(pd.concat(held, ignore_index=True))
-                if out is not None:
-                    yield out
-                held = []
-            at, outs = 0, []
-            for end in ends[:-1]:
-                group = pdf.iloc[at:end]
-                if held:
-                    group, held = pd.concat([*held, group]), []
-                out = work(group)
-                if out is not None:
-                    outs.append(out)
-                at = end
-            held.append(pdf.iloc[at:])
-            last = k[-1]
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
-        if held:
-            out = work(pd.concat(held, ignore_index=True))
-            if out is not None:
-                yield out
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
-
-
 class _Forest:
     """Union-find over small ints that says which links join two trees."""
 
@@ -185,44 +146,62 @@ def _fold(bins: list[bytes], logs: np.ndarray, log: int) -> np.ndarray:
     return out
 
 
-def possible_links(group: pd.DataFrame, percent: int) -> pd.DataFrame | None:
+def overlap_bound(x: bytes, y: bytes) -> int:
+    """Upper bound of the overlap of two sets by their histograms."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) > len(b):
+        a = a.reshape(-1, len(b)).sum(axis=0)
+    return int(np.minimum(a, b).sum())
+
+
+def possible_links(cols: Columns, at: int, end: int, percent: int) -> tuple[list, list]:
     """A spanning forest of the pairs that size and histogram leave possible among
-    documents meeting at one n-gram; where some are dense, of the pairs with one, and
-    in a pair of blocks of the pairs across."""
-    group = group.drop_duplicates("node").sort_values("size", kind="stable")
-    size = group["size"].to_numpy()
-    if len(size) < 2:
-        return None
-    dense = group["dense"].to_numpy(dtype=bool)
-    hot = bool(group["hot"].iloc[0])
-    block = group["block"].to_numpy()
-    across = group["lo"].iloc[0] != group["hi"].iloc[0]
-    logs, bins, ids = bins_of(size), group["bins"].tolist(), group["node"].to_numpy()
+    documents meeting at one n-gram (rows by size); where it is hot, of the pairs with
+    a dense document, and in a pair of blocks of the pairs across."""
+    n = end - at
+    size, ids, bins = cols["size"][at:end], cols["node"][at:end], cols["bins"][at:end]
+    dense, block = cols["dense"][at:end], cols["block"][at:end]
+    hot, across = bool(cols["hot"][at]), cols["lo"][at] != cols["hi"][at]
+    forest, a, b = _Forest(n), [], []
+    if n <= 12:
+        for i in range(n - 1):
+            for j in range(i + 1, n):
+                if 100 * size[i] < percent * size[j]:
+                    break
+                if hot and not (dense[i] or dense[j]) or across and block[i] == block[j]:
+                    continue
+                if forest.root(i) == forest.root(j):
+                    continue
+                bound = overlap_bound(bins[i], bins[j]) if bins[i] and bins[j] else size[i]
+                if 100 * bound >= percent * (size[i] + size[j] - bound):
+                    forest.join(i, j)
+                    a.append(ids[i])
+                    b.append(ids[j])
+        return a, b
+    logs = bins_of(size)
     folded: dict[int, tuple[int, np.ndarray]] = {}
-    forest, a, b = _Forest(len(size)), [], []
-    label = np.arange(len(size))  # grows stale only towards more comparisons
-    for i in range(len(size) - 1):
-        end = int(np.searchsorted(size, size[i] * 100 // percent, side="right"))
-        j = np.arange(i + 1, end)
+    label = np.arange(n)  # grows stale only towards more comparisons
+    for i in range(n - 1):
+        top = int(np.searchsorted(size, size[i] * 100 // percent, side="right"))
+        j = np.arange(i + 1, top)
         if hot and not dense[i]:
-            j = j[dense[i + 1:end]]
+            j = j[dense[i + 1:top]]
         if across:
             j = j[block[j] != block[i]]
         j = j[label[j] != label[i]]
         if not len(j):
             continue
         log = int(logs[i])
-        if log not in folded:
-            top = int(np.searchsorted(logs, log + 1, side="right"))
-            folded = {log: (i, _fold(bins[i:top], logs[i:top], log))}
+        if log not in folded or j[-1] - folded[log][0] >= len(folded[log][1]):
+            last = max(top, int(np.searchsorted(logs, log, side="right")))
+            folded = {log: (i, _fold(bins[i:last], logs[i:last], log))}
         low, m = folded[log]
-        if j[-1] - low >= len(m):
-            folded[log] = low, m = i, _fold(bins[i:end], logs[i:end], log)
         bound = np.empty(len(j), dtype=np.int64)
         step = max(1, 4_000_000 >> log)
-        for at in range(0, len(j), step):
-            part = j[at:at + step] - low
-            bound[at:at + step] = np.minimum(m[i - low], m[part]).sum(axis=1, dtype=np.int64)
+        for k in range(0, len(j), step):
+            bound[k:k + step] = np.minimum(m[i - low], m[j[k:k + step] - low]).sum(axis=1, dtype=np.int64)
         ok = 100 * bound >= percent * (size[i] + size[j] - bound)
         for other in j[ok]:
             if forest.join(i, int(other)):
@@ -230,44 +209,73 @@ def possible_links(group: pd.DataFrame, percent: int) -> pd.DataFrame | None:
                 b.append(ids[other])
         if ok.any():
             label[j[ok]] = label[i]
-    return pd.DataFrame({"a": a, "b": b}) if a else None
+    return a, b
 
 
-def families(nodes: DataFrame, percent: int, hot: int, block: int) -> DataFrame:
-    """(node, component) of the candidate families, from rows (node, size, first, bins)."""
+@contextlib.contextmanager
+def runtime_filters(spark: SparkSession) -> Iterator[None]:
+    """Spark's runtime Bloom filters (of bounded size, spark.sql.optimizer.runtime.
+    bloomFilter.maxNumBits) also before joins of small scans: rows without a partner
+    are left out before the shuffle."""
+    base = "spark.sql.optimizer.runtime.bloomFilter."
+    wanted = {base + "enabled": "true", base + "applicationSideScanSizeThreshold": "0",
+              base + "creationSideThreshold": "1g"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def families(nodes: DataFrame, sets: DataFrame, percent: int, hot: int, block: int) -> DataFrame:
+    """(node, component) of the candidate families, from rows (node, size, first, bins)
+    and the rows of all documents, whose n-grams are counted (copies count too, which
+    only moves n-grams in the order, and spares dealing the nodes out for the count)."""
     grams = nodes.select("node", F.posexplode("first").alias("pos", "gram"))
-    shared = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df >= 2")
+    shared = (sets.select(F.explode("first").alias("gram")).groupBy("gram")
+              .agg(F.count("*").alias("df")).where("df >= 2"))
     met = grams.join(shared, "gram").select("node", F.struct("pos", "gram", (F.col("df") >= hot).alias("hot")).alias("g"))
     # Each document's shared first n-grams, at most as many as its ``first``.
     mine = met.groupBy("node").agg(F.array_sort(F.collect_list("g")).alias("g"))
     size = F.col("size")
     prefix = size - F.ceil(size * percent / 100) + 1
     number_hot = F.size(F.filter("g", lambda g: g["hot"]))
-    dense = F.size("first") - number_hot < F.least(prefix, size)
-    rows = mine.join(nodes, "node").select("node", "size", "bins", "g", prefix.alias("prefix"), dense.alias("dense"))
+    dense = F.col("n_first") - number_hot < F.least(prefix, size)
+    rows = mine.join(nodes.select("node", "size"), "node").withColumn(
+        "n_first", F.least(size, prefix + F.floor(prefix / 4) + 8)).select("node", "size", "g", prefix.alias("prefix"), dense.alias("dense"))
     # Place among the n-grams that are not hot: all places before, less the hot ones.
     usual = F.filter("g", lambda g: ~g["hot"] & (
         g["pos"] - F.size(F.filter("g", lambda h: h["hot"] & (h["pos"] < g["pos"]))) < F.col("prefix")))
     plain = F.filter("g", lambda g: g["pos"] < F.col("prefix"))
     plain_hot = F.filter("g", lambda g: g["hot"] & (g["pos"] < F.col("prefix")))
-    chosen = F.when(F.col("dense"), plain).when(number_hot > 0, F.concat(usual, plain_hot)).otherwise(plain)
-    spread = rows.select("node", "size", "bins", "dense", F.explode(chosen).alias("g")).select(
-        "node", "size", "bins", "dense", F.col("g.gram").alias("gram"), F.col("g.hot").alias("hot"))
+    chosen = (F.when(F.col("dense") | (number_hot == 0), plain).otherwise(F.concat(usual, plain_hot)))
+    spread = rows.select("node", "size", "dense", F.explode(chosen).alias("g")).select(
+        "node", "size", "dense", F.col("g.gram").alias("gram"), F.col("g.hot").alias("hot"))
     # At hot n-grams only groups with a dense document matter, and only within a
     # range of sizes: each document enters its own range and the next.
     band = F.floor(F.log(F.col("size")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
     spread = spread.select("*", F.explode(F.when(F.col("hot"), F.array(band, band + 1)).otherwise(
         F.array(F.lit(-1)))).alias("band"))
     spread = materialise(spread, "meetings")
-    groups = (spread.groupBy("gram", "band").agg(F.count("*").alias("n"), F.max("dense").alias("any"), F.max("hot").alias("h"))
-              .where("n >= 2 and (any or not h)")
-              .select("gram", "band", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    dealt = (spread.join(groups, ["gram", "band"])
+    # Near copies meet at many n-grams: of the groups of the same documents (two
+    # 64-bit sums of their hashes) one is enough.
+    groups = (spread.groupBy("gram", "band").agg(
+        F.count("*").alias("n"), F.max("dense").alias("any"), F.max("hot").alias("h"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+        .where("n >= 2 and (any or not h)")
+        .groupBy("x", "y", "n").agg(F.min(F.struct("gram", "band")).alias("g"))
+        .select("g.gram", "g.band", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    dealt = (spread.drop("size").join(groups, ["gram", "band"])
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("lo", F.least("block", "o")).withColumn("hi", F.greatest("block", "o"))
-             .drop("o", "blocks"))
-    edges = in_groups(dealt, ["gram", "band", "lo", "hi"], lambda g: possible_links(g, percent), "a long, b long")
+             .drop("o", "blocks")
+             .join(nodes.select("node", "size", "bins"), "node"))
+    edges = in_groups(dealt, ["gram", "band", "lo", "hi"], ["size", "node"], "a long, b long",
+                      lambda cols, at, end: possible_links(cols, at, end, percent))
     return components(edges)
 
 
@@ -391,14 +399,12 @@ def tree_join(ids: np.ndarray, sets: list[np.ndarray], percent: int,
     return a, b
 
 
-def family_links(group: pd.DataFrame, percent: int) -> pd.DataFrame | None:
-    group = group.drop_duplicates("node")
-    if len(group) < 2:
-        return None
-    sets = [np.frombuffer(s, np.int64) for s in group["grams"]]
-    across = group["lo"].iloc[0] != group["hi"].iloc[0]
-    a, b = tree_join(group["node"].to_numpy(), sets, percent, group["block"].to_numpy() if across else None)
-    return pd.DataFrame({"a": a, "b": b}) if a else None
+def family_links(cols: Columns, at: int, end: int, percent: int) -> tuple[list, list]:
+    if end - at < 2:
+        return [], []
+    sets = [np.frombuffer(s, np.int64) for s in cols["grams"][at:end]]
+    across = cols["lo"][at] != cols["hi"][at]
+    return tree_join(cols["node"][at:end], sets, percent, cols["block"][at:end] if across else None)
 
 
 def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id", n: int = 4, percent: int = 85,
@@ -407,17 +413,20 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
     intersection >= percent * union``. ``cell``: n-grams of a family in one group."""
     sets = materialise(set_rows(docs, text, key, n, percent), "sets")
     some = sets.where("size > 0 and id is not null")
-    classes = some.groupBy("same").agg(F.min("id").alias("node"))
-    classes = materialise(classes, "classes")
-    picked = some.withColumnRenamed("id", "node").join(classes, ["same", "node"]).dropDuplicates(["node"])
-    nodes = materialise(picked.select("node", "size", "first", "bins"), "nodes")
-    family = materialise(families(nodes, percent, hot, block), "families")
-    members = family.join(nodes.select("node", "size"), "node").join(classes, "node").dropDuplicates(["node"])
+    # A row for each id, and the smallest id for each set.
+    classes = materialise(some.groupBy("same").agg(F.min("id").alias("node")), "classes")
+    # Dealt by the id alone, so that keeping one row of it moves nothing again.
+    nodes = (some.withColumnRenamed("id", "node").join(classes.withColumnRenamed("same", "rep"), "node")
+             .where("same = rep").select("node", "same", "size", "first", "bins").dropDuplicates(["node"]))
+    family = materialise(families(nodes, sets, percent, hot, block), "families")
+    about = nodes.select("node", "size", "same")
+    members = family.join(about, "node")
     weights = members.groupBy("component").agg(F.ceil(F.sum("size") / cell).cast("int").alias("blocks"))
     members = members.join(weights, "component").withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
+    members = materialise(members.select("node", "same", "component", "block", "blocks"), "members")
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
-    whole = texts.join(members.select("node", "same", "component", "block", "blocks"), "node")
+    whole = texts.join(members.where("blocks >= 1"), "node")
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -429,7 +438,10 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("node", "component", "block", F.least("block", "o").alias("lo"),
                      F.greatest("block", "o").alias("hi"), "grams"))
-    links = in_groups(cells, ["component", "lo", "hi"], lambda g: family_links(g, percent), "a long, b long")
+    links = in_groups(cells, ["component", "lo", "hi"], ["node"], "a long, b long",
+                      lambda cols, at, end: family_links(cols, at, end, percent))
+    with runtime_filters(docs.sparkSession):
+        links = materialise(links, "links")
     comp = components(links).withColumnRenamed("component", "component_id")
     return (sets.select("id", "size", "same").join(classes, "same", "left").join(comp, "node", "left")
             .select("id", F.col("size").alias("n_shingles"),
