@@ -30,14 +30,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import components, materialise
+from quarry.llm.common import Columns, components, in_groups, materialise
 
 _EDGE = "src long, dst long, sim double"
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
+def _matrix(vectors: np.ndarray) -> np.ndarray:
     """Unit rows in double precision."""
-    x = np.stack(vectors.to_numpy()).astype(np.float64)
+    x = np.stack(vectors).astype(np.float64)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -69,7 +69,7 @@ def leaf_edges(nodes: DataFrame, n: int, k: int, trees: range, leaf: int, seed:
         for pdf in batches:
             out = []
             for dim, part in pdf.groupby("dim"):
-                x = _matrix(part["vec"])
+                x = _matrix(part["vec"].to_numpy())
                 for t in trees:
                     rng = np.random.default_rng([seed, t, int(dim)])
                     signs = (x @ rng.standard_normal((int(dim), planes)) > 0).astype(np.int64)
@@ -85,18 +85,17 @@ def leaf_edges(nodes: DataFrame, n: int, k: int, trees: range, leaf: int, seed:
              .withColumn("chunk", F.pmod(F.xxhash64("node", "tree"), F.col("chunks")))
              .join(nodes.select("node", "vec"), "node"))
 
-    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, x = pdf["node"].to_numpy(), _matrix(pdf["vec"])
+    def nearest(cols: Columns, at: int, end: int) -> tuple:
+        ids, x = cols["node"][at:end], _matrix(cols["vec"][at:end])
         sims = x @ x.T
         np.fill_diagonal(sims, -2)
         take = min(k, len(ids) - 1)
         if take < 1:
-            return pd.DataFrame({"src": [], "dst": [], "sim": []})
+            return [], [], []
         best = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-        return pd.DataFrame({"src": np.repeat(ids, take), "dst": ids[best.ravel()],
-                             "sim": np.take_along_axis(sims, best, axis=1).ravel()})
+        return np.repeat(ids, take), ids[best.ravel()], np.take_along_axis(sims, best, axis=1).ravel()
 
-    return dealt.groupBy("tree", "dim", "leaf", "chunk").applyInPandas(nearest, _EDGE)
+    return in_groups(dealt, ["tree", "dim", "leaf", "chunk"], ["node"], _EDGE, nearest)
 
 
 def best_lists(edges: DataFrame, lists: DataFrame | None, k: int, threshold: float) -> DataFrame:
@@ -128,16 +127,16 @@ def refine(graph: DataFrame, nodes: DataFrame, threshold: float, block: int) ->
             .join(worst, F.col("p") == F.col("src")).drop("src")
             .join(nodes.select(F.col("node").alias("p"), "vec"), "p"))
 
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, x = pdf["p"].to_numpy(), _matrix(pdf["vec"])
+    def meet(cols: Columns, at: int, end: int) -> tuple:
+        ids, x = cols["p"][at:end], _matrix(cols["vec"][at:end])
         sims = x @ x.T
-        fresh = pdf["fresh"].to_numpy(dtype=bool)
-        better = (sims > pdf["worst"].to_numpy()[:, None]) & (fresh[:, None] | fresh[None, :])
+        fresh = cols["fresh"][at:end].astype(bool)
+        better = (sims > cols["worst"][at:end, None]) & (fresh[:, None] | fresh[None, :])
         np.fill_diagonal(better, False)
         i, j = np.nonzero(better)
-        return pd.DataFrame({"src": ids[i], "dst": ids[j], "sim": sims[i, j]})
+        return ids[i], ids[j], sims[i, j]
 
-    return near.groupBy("v", "block").applyInPandas(meet, _EDGE)
+    return in_groups(near, ["v", "block"], ["p"], _EDGE, meet)
 
 
 def neighbour_graph(nodes: DataFrame, n: int, *, k: int, threshold: float, trees: range, leaf: int,
@@ -169,19 +168,15 @@ def block_links(nodes: DataFrame, comp: DataFrame, threshold: float, block: int)
         "node", "component", "b", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"))
     rows = cells.join(nodes, "node")
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        for _, part in pdf.groupby("dim"):
-            ids, copies, own = part["node"].to_numpy(), part["copies"].to_numpy(), part["b"].to_numpy()
-            linked = (sims := (x := _matrix(part["vec"])) @ x.T) >= threshold
-            np.fill_diagonal(linked, False)
-            if lo != hi:  # pairs within one block are another group's
-                linked &= own[:, None] != own[None, :]
-            out.append(pd.DataFrame({"node": ids, "links": linked @ copies, "partners": linked.sum(axis=1)}))
-        return pd.concat(out)
-
-    counted = rows.groupBy("component", "lo", "hi").applyInPandas(count, "node long, links long, partners long")
+    def count(cols: Columns, at: int, end: int) -> tuple:
+        x, own = _matrix(cols["vec"][at:end]), cols["b"][at:end]  # links join equal lengths only
+        linked = x @ x.T >= threshold
+        np.fill_diagonal(linked, False)
+        if cols["lo"][at] != cols["hi"][at]:  # pairs within one block are another group's
+            linked &= own[:, None] != own[None, :]
+        return cols["node"][at:end], linked @ cols["copies"][at:end], linked.sum(axis=1)
+
+    counted = in_groups(rows, ["component", "lo", "hi"], ["node"], "node long, links long, partners long", count)
     return counted.groupBy("node").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners"))
 
 
@@ -194,7 +189,7 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int, n:
     asked = picked.select("node", "dim", "vec").toPandas()
     if asked.empty:
         return 1.0
-    sides = {int(d): (g["node"].to_numpy(), _matrix(g["vec"])) for d, g in asked.groupby("dim")}
+    sides = {int(d): (g["node"].to_numpy(), _matrix(g["vec"].to_numpy())) for d, g in asked.groupby("dim")}
     shared = nodes.sparkSession.sparkContext.broadcast(sides)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,7 +197,7 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int, n:
             for dim, part in pdf.groupby("dim"):
                 if int(dim) in shared.value:
                     ids, q = shared.value[int(dim)]
-                    hits = ((q @ _matrix(part["vec"]).T >= threshold)
+                    hits = ((q @ _matrix(part["vec"].to_numpy()).T >= threshold)
                             & (ids[:, None] != part["node"].to_numpy()[None, :])).sum(axis=1)
                     yield pd.DataFrame({"node": ids, "truth": hits})[hits > 0]
 
