@@ -30,10 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarry.llm.common import carried, unused
+from quarry.llm.common import carried, unused, worker_cache
 from quarry.llm.pieces import SPACE, Vocabulary
 
-_CACHES: dict[tuple, "Segmenter"] = {}
 
 
 #: Parts up to this long keep their agenda as a plain list that is scanned for its
@@ -106,13 +105,26 @@ def _merge_long(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[st
     return [x for x in symbol if x is not None]
 
 
+class _Known(dict):
+    """pre-token -> ids of one stream, computed when first asked for."""
+
+    def __init__(self, segmenter: "Segmenter", stream: int) -> None:
+        super().__init__()
+        self.segmenter, self.stream = segmenter, stream
+
+    def __missing__(self, token: str) -> bytes:
+        self.segmenter.size += 1
+        ids = self[token] = self.segmenter.token(token, self.stream)
+        return ids
+
+
 class Segmenter:
     """Encodes pre-tokens; remembers up to ``most`` of their segmentations per worker."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 600_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 800_000) -> None:
         self.v, self.seed, self.most = vocabulary, seed, most
         self.limit = min(int(dropout * 2.0 ** 64), 2 ** 64)
-        self.known: dict[int, dict[str, bytes]] = {}
+        self.known: dict[int, _Known] = {}
         self.size = 0
 
     def part(self, s: str, stream: int) -> bytes:
@@ -135,12 +147,10 @@ class Segmenter:
     def encode(self, text: str, stream: int) -> np.ndarray:
         if self.size > self.most:
             self.known, self.size = {}, 0
-        tokens = self.v.pre_tokens(text)
-        known = self.known.setdefault(stream, {})
-        for t in set(tokens).difference(known):
-            known[t] = self.token(t, stream)
-            self.size += 1
-        return np.frombuffer(b"".join(map(known.__getitem__, tokens)), dtype=np.int32)
+        known = self.known.get(stream)
+        if known is None:
+            known = self.known[stream] = _Known(self, stream)
+        return np.frombuffer(b"".join(map(known.__getitem__, self.v.pre_tokens(text))), dtype=np.int32)
 
 
 def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
@@ -168,11 +178,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        name = (v.key, dropout, seed)
-        seg = _CACHES.get(name)
-        if seg is None:
-            _CACHES.clear()
-            seg = _CACHES[name] = Segmenter(v, dropout, seed)
+        seg = worker_cache(("bpe", v.key, dropout, seed), lambda: Segmenter(v, dropout, seed))
         for batch in batches:
             texts, streams = batch[body].to_pylist(), batch[stream].to_pylist()
             at = 0

@@ -30,13 +30,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import carried, unused
+from quarry.llm.common import carried, unused, worker_cache
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START, _END = 2, 3  # border marks, no code points of letters
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_CACHE: dict[str, "_WordScores"] = {}
 
 
 @dataclass
@@ -92,7 +91,7 @@ class _WordScores(dict):
     """token -> row of ``scores``; rows are computed once per distinct token and
     forgotten together when ``most`` tokens are held, which bounds the memory."""
 
-    def __init__(self, model: CrfModel, most: int = 400_000) -> None:
+    def __init__(self, model: CrfModel, most: int = 300_000) -> None:
         super().__init__()
         self.model, self.most = model, most
         self.reset()
@@ -324,7 +323,7 @@ def training_sample(docs: DataFrame, text: str, label: str, key: str, *, per_lab
 
 
 def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", keep: list[str] | None = None,
-             prefix: str = "", batch_words: int = 1_000_000) -> DataFrame:
+             prefix: str = "", batch_words: int = 400_000) -> DataFrame:
     """Label every whole text: the columns ``keep`` (default: all others but the
     text), lang_pred, score (share of the posterior mass), n_words, n_switches, these
     four with ``prefix`` before their names."""
@@ -340,25 +339,21 @@ def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", kee
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        cache = _CACHE.get(m.key)
-        if cache is None:
-            _CACHE.clear()
-            cache = _CACHE[m.key] = _WordScores(m)
+        cache = worker_cache(("langid", m.key), lambda: _WordScores(m))
         for pdf in batches:
-            tokens = [(t or "").split() for t in pdf[body]]
             result = np.zeros((len(pdf), 3))
             names = np.full(len(pdf), UNKNOWN, dtype=object)
+            texts = pdf[body].tolist()
             at = 0
-            while at < len(tokens):
-                end, held = at, 0
-                while end < len(tokens) and (end == at or held + len(tokens[end]) <= batch_words):
-                    held += len(tokens[end])
-                    end += 1
-                if len(cache) > cache.most:
-                    cache.reset()
-                ids = cache.rows([w for ts in tokens[at:end] for w in ts])
-                cut = np.cumsum([len(ts) for ts in tokens[at:end]])[:-1]
-                mass, worded, switches = marginal_mass(np.split(ids, cut), cache.scores, cache.lettered, m)
+            while at < len(texts):  # so many words at a time, whatever the batch holds
+                rows, held = [], 0
+                while at + len(rows) < len(texts) and (not rows or held <= batch_words):
+                    if len(cache) > cache.most and not rows:
+                        cache.reset()
+                    rows.append(cache.rows((texts[at + len(rows)] or "").split()))
+                    held += len(rows[-1])
+                end = at + len(rows)
+                mass, worded, switches = marginal_mass(rows, cache.scores, cache.lettered, m)
                 best = mass.argmax(axis=1)
                 some = worded > 0
                 for i in np.nonzero(some)[0]:

@@ -26,11 +26,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import carried, unused
+from quarry.llm.common import carried, unused, worker_cache
 from quarry.llm.pieces import SPACE, Vocabulary
 
 UNKNOWN_PENALTY = 10.0
-_TRIES: dict[str, "PrefixTrie"] = {}
 
 
 def zipf_scores(vocabulary: Vocabulary) -> dict[str, float]:
@@ -112,10 +111,7 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text",
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = shared.value
-        trie = _TRIES.get(v.key)
-        if trie is None:
-            _TRIES.clear()
-            trie = _TRIES[v.key] = PrefixTrie(v)
+        trie = worker_cache(("trie", v.key), lambda: PrefixTrie(v))
         for pdf in batches:
             words, tokens = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
             for i, t in enumerate(pdf[body]):
