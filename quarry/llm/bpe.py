@@ -121,7 +121,7 @@ class _Known(dict):
 class Segmenter:
     """Encodes pre-tokens; remembers up to ``most`` of their segmentations per worker."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 800_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 500_000) -> None:
         self.v, self.seed, self.most = vocabulary, seed, most
         self.limit = min(int(dropout * 2.0 ** 64), 2 ** 64)
         self.known: dict[int, _Known] = {}
@@ -161,7 +161,8 @@ def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key: str = "doc_id",
            dropout: float = 0.1, seed: int = 17, variants: int = 4,
-           keep: list[str] | None = None, lossless: str | None = None) -> DataFrame:
+           keep: list[str] | None = None, lossless: str | None = None,
+           rows_each: int = 256) -> DataFrame:
     """Columns ``keep`` (default: all), token_ids, n_tokens, and with ``lossless`` a
     column of that name: whether the ids decode to the text (null for a null one)."""
     keep = carried(docs, keep, [], ["token_ids", "n_tokens", lossless])
@@ -179,23 +180,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         seg = worker_cache(("bpe", v.key, dropout, seed), lambda: Segmenter(v, dropout, seed))
-        for batch in batches:
-            texts, streams = batch[body].to_pylist(), batch[stream].to_pylist()
-            at = 0
-            while at < len(texts):
-                ids, end, held = [], at, 0
-                while end < len(texts) and held < 4_000_000:  # ids a batch, but always a row
-                    ids.append(None if texts[end] is None else seg.encode(texts[end], streams[end]))
-                    held += 0 if ids[-1] is None else len(ids[-1])
-                    end += 1
-                lists = _lists(ids)
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows_each):  # so many texts and ids at a time
+                batch = whole.slice(at, rows_each)
+                texts, streams = batch[body].to_pylist(), batch[stream].to_pylist()
+                ids = [None if t is None else seg.encode(t, s) for t, s in zip(texts, streams)]
                 counts = pa.array([None if x is None else len(x) for x in ids], pa.int64())
-                cols = [batch[c].slice(at, end - at) for c in keep] + [lists, counts]
+                cols = [batch[c] for c in keep] + [_lists(ids), counts]
                 if lossless:
                     cols.append(pa.array([None if x is None else decode(x, v) == t
-                                          for x, t in zip(ids, texts[at:end])], pa.bool_()))
+                                          for x, t in zip(ids, texts)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
-                at = end
 
     return rows.mapInArrow(run, out)
 
