@@ -36,11 +36,17 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _slot(source: Column) -> Column:
+    """A source as a key that is never null: grouping, windows and joins on it share one
+    partitioning, so the documents are dealt out once."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit("null"))
+
+
 def _sized(docs: DataFrame, text: str, source: str, key: str, seed: str, carry: list[str]) -> DataFrame:
     """row (the carried columns), source, size, place (the keyed order), bucket."""
     place = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
     return docs.select(
-        F.struct(*carry).alias("row"), F.col(source).alias("source"),
+        F.struct(*carry).alias("row"), F.col(source).alias("source"), _slot(F.col(source)).alias("slot"),
         word_count(F.col(text)).alias("size"), place.alias("place"),
         F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("tie"),
     ).withColumn("bucket", F.conv(F.substring("place", 1, BUCKET_BITS // 4), 16, 10).cast("int"))
@@ -122,19 +128,19 @@ def curriculum(docs: DataFrame, *, text: str = "text", source: str = "source", k
     lies before that point, else not at all.
     """
     sized = _sized(docs, text, source, key, seed, carry or docs.columns)
-    sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    sums = sized.groupBy("slot", "source", "bucket").agg(F.sum("size").alias("words"))
     by_source = sums.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = plan(by_source, budget=budget, most_repeats=most_repeats)
-    running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    before = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"),
+    running = Window.partitionBy("slot").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    before = sums.select(F.col("slot").alias("s"), F.col("bucket").alias("b"),
                          (F.sum("words").over(running) - F.col("words")).alias("before"))
-    t = targets.select(F.col("source").alias("ts"), "source_size", "target", "times", "rates")
+    t = targets.select(_slot(F.col("source")).alias("ts"), "source_size", "target", "times", "rates")
     # One row a source and bucket carries what its documents need: one join for both.
-    placed = before.join(t, F.col("s").eqNullSafe(F.col("ts"))).drop("ts")
-    inside = (Window.partitionBy("source", "bucket").orderBy("place", "id", "size", "tie")
+    placed = before.join(t, F.col("s") == F.col("ts")).drop("ts")
+    inside = (Window.partitionBy("slot", "bucket").orderBy("place", "id", "size", "tie")
               .rowsBetween(Window.unboundedPreceding, 0))
     rows = (sized.withColumn("within", F.sum("size").over(inside) - F.col("size"))
-            .join(placed, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))))
+            .join(placed, (F.col("slot") == F.col("s")) & (F.col("bucket") == F.col("b"))))
     quota = F.floor("target")
     begin = F.col("before") + F.col("within")
 
