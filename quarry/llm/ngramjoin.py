@@ -261,12 +261,13 @@ def families(nodes: DataFrame, sets: DataFrame, percent: int, hot: int, block: i
         F.array(F.lit(-1)))).alias("band"))
     spread = materialise(spread, "meetings")
     # Near copies meet at many n-grams: of the groups of the same documents (two
-    # 64-bit sums of their hashes) one is enough.
+    # 64-bit sums of their hashes) one is enough, a usual one where there is one, as
+    # it compares all pairs and a hot one only those with a dense document.
     groups = (spread.groupBy("gram", "band").agg(
         F.count("*").alias("n"), F.max("dense").alias("any"), F.max("hot").alias("h"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
         .where("n >= 2 and (any or not h)")
-        .groupBy("x", "y", "n").agg(F.min(F.struct("gram", "band")).alias("g"))
+        .groupBy("x", "y", "n").agg(F.min(F.struct("h", "gram", "band")).alias("g"))
         .select("g.gram", "g.band", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
     dealt = (spread.drop("size").join(groups, ["gram", "band"])
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
