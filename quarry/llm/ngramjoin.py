@@ -26,7 +26,8 @@ of their links, never all pairs. Texts are read whole, twice.
 Defined cases: texts are lower-cased in A-Z only, words are separated by the six
 ASCII white-space characters; with fewer than n words the whole sequence is the only
 n-gram; without words (or with a null text) the set is empty and links with nothing.
-Rows that share an id share its component; a row with a null id has a null
+A row has its text's component, whatever other texts stand under its id; the
+component's number is the smallest id in it. A row with a null id has a null
 component. Repeated rows each get their row. Other columns are ignored.
 """
 
@@ -38,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Columns, components, in_groups, materialise, worker_cache
@@ -95,10 +96,16 @@ def histogram(s: np.ndarray) -> bytes:
     return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
 
 
+def text_hash(text: str) -> Column:
+    """Tells apart the texts of one id (a null text is an empty one)."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def set_rows(docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFrame:
-    """(id, size, same, first, bins): set size, 128 bits standing for the set, its
-    first n-grams in the global order (a quarter more than the prefix) and histogram."""
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    """(id, text_hash, size, same, first, bins): set size, 128 bits standing for the set,
+    its first n-grams in the global order (a quarter more than the prefix) and histogram."""
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
+                       text_hash(text).alias("text_hash"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -108,10 +115,10 @@ def set_rows(docs: DataFrame, text: str, key: str, n: int, percent: int) -> Data
                 prefix = len(s) - least_overlap(len(s), percent) + 1
                 out.append((len(s), xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None,
                             s[:prefix + prefix // 4 + 8], histogram(s) if len(s) else b""))
-            yield pd.DataFrame({"id": pdf["id"], "size": [x[0] for x in out], "same": [x[1] for x in out],
+            yield pd.DataFrame({"id": pdf["id"], "text_hash": pdf["text_hash"], "size": [x[0] for x in out], "same": [x[1] for x in out],
                                 "first": [x[2] for x in out], "bins": [x[3] for x in out]})
 
-    return rows.mapInPandas(read, "id long, size long, same string, first array<long>, bins binary")
+    return rows.mapInPandas(read, "id long, text_hash long, size long, same string, first array<long>, bins binary")
 
 
 class _Forest:
@@ -403,22 +410,55 @@ def tree_join(ids: np.ndarray, sets: list[np.ndarray], percent: int,
 def family_links(cols: Columns, at: int, end: int, percent: int) -> tuple[list, list]:
     if end - at < 2:
         return [], []
-    sets = [np.frombuffer(s, np.int64) for s in cols["grams"][at:end]]
+    nodes = cols["node"][at:end]
+    once = np.concatenate([[True], nodes[1:] != nodes[:-1]])  # rows by node; several hold a repeated row's
+    sets = [np.frombuffer(s, np.int64) for s in cols["grams"][at:end][once]]
     across = cols["lo"][at] != cols["hi"][at]
-    return tree_join(cols["node"][at:end], sets, percent, cols["block"][at:end] if across else None)
+    return tree_join(nodes[once], sets, percent, cols["block"][at:end][once] if across else None)
+
+
+def _further_nodes(classes: DataFrame, ids: DataFrame, attempts: int = 20) -> DataFrame:
+    """(same, node) of the sets whose smallest id is already another set's node: ids with
+    several texts. Their nodes are hashes, drawn anew until none is an id or another's."""
+    taken = classes.groupBy("node").agg(F.count("*").alias("n"), F.min("same").alias("own")).where("n > 1")
+    more = materialise(classes.join(taken, "node").where("same <> own").select("same"), "further")
+    if more.isEmpty():
+        return more.withColumn("node", F.lit(0).cast("long"))
+    for attempt in range(attempts):
+        named = more.withColumn("node", F.xxhash64("same", F.lit(attempt)))
+        if (named.groupBy("node").count().where("count > 1").isEmpty()
+                and named.join(ids, named["node"] == ids["id"], "left_semi").isEmpty()):
+            return named
+    raise RuntimeError("no free numbers for the further texts of ids")
 
 
 def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id", n: int = 4, percent: int = 85,
-                      hot: int = 64, block: int = 2048, cell: int = 3_000_000) -> DataFrame:
+                      hot: int = 64, block: int = 2048, cell: int = 3_000_000, stands: bool = False) -> DataFrame:
     """One row per document: id, n_shingles, component_id. Sets link where ``100 *
-    intersection >= percent * union``. ``cell``: n-grams of a family in one group."""
+    intersection >= percent * union``. ``cell``: n-grams of a family in one group. With
+    ``stands`` also text_hash and stands: whether the row has the id and text that stand
+    for its component (its smallest id); a row without words stands for itself."""
     sets = materialise(set_rows(docs, text, key, n, percent), "sets")
     some = sets.where("size > 0 and id is not null")
-    # A row for each id, and the smallest id for each set.
-    classes = materialise(some.groupBy("same").agg(F.min("id").alias("node")), "classes")
+    # A row for each id and set, and the smallest id (with one of its texts) for each set.
+    classes = materialise(some.groupBy("same").agg(F.min(F.struct("id", "text_hash")).alias("least"))
+                          .select("same", F.col("least.id").alias("node"), F.col("least.text_hash").alias("node_hash")),
+                          "classes")
+    further = _further_nodes(classes, some.select("id"))
+    several = not further.isEmpty()
+    usual = classes.join(further.select("same"), "same", "left_anti") if several else classes
     # Dealt by the id alone, so that keeping one row of it moves nothing again.
-    nodes = (some.withColumnRenamed("id", "node").join(classes.withColumnRenamed("same", "rep"), "node")
+    nodes = (some.withColumnRenamed("id", "node")
+             .join(usual.select(F.col("same").alias("rep"), "node"), "node")
              .where("same = rep").select("node", "same", "size", "first", "bins").dropDuplicates(["node"]))
+    if several:
+        nodes = nodes.unionByName(some.join(further, "same").select("node", "same", "size", "first", "bins")
+                                  .dropDuplicates(["node"]))
+        nodes = materialise(nodes, "nodes")
+        named = classes.withColumnRenamed("node", "least").join(further, "same", "left")
+        classes = materialise(named.select("same", "least", F.coalesce("node", "least").alias("node"), "node_hash"), "classes")
+    else:
+        classes = classes.withColumn("least", F.col("node"))
     family = materialise(families(nodes, sets, percent, hot, block), "families")
     about = nodes.select("node", "size", "same")
     members = family.join(about, "node")
@@ -430,12 +470,30 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
     whole = texts.join(members.where("blocks >= 1"), "node")
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        given: set[int] = set()  # of a repeated row one is enough; forgotten ones are left out later
+        for pdf in batches:
+            raw = [None if v in given else shingles(t, n).tobytes() for v, t in zip(pdf["node"], pdf["text"])]
+            right = np.array([s is not None and xxhash.xxh3_128_hexdigest(s) == same
+                              for s, same in zip(raw, pdf["same"])], dtype=bool)
+            out = pdf.drop(columns=["text", "same"]).assign(grams=raw)[right].drop_duplicates("node")
+            if len(given) > 100_000:
+                given.clear()
+            given.update(out["node"])
+            yield out
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             raw = [shingles(t, n).tobytes() for t in pdf["text"]]
-            right = np.array([xxhash.xxh3_128_hexdigest(s) == same for s, same in zip(raw, pdf["same"])], dtype=bool)
-            yield pdf.drop(columns=["text", "same"]).assign(grams=raw)[right]
-
-    cells = (whole.mapInPandas(grams, "node long, component long, block int, blocks int, grams binary")
+            yield pd.DataFrame({"same": [xxhash.xxh3_128_hexdigest(s) for s in raw], "grams": raw})
+
+    dealt = whole.mapInPandas(grams, "node long, component long, block int, blocks int, grams binary")
+    if several:  # these meet their texts by the set, as their node is no id
+        others = members.join(further.select("same"), "same", "left_semi")
+        ids = classes.join(further.select("same"), "same", "left_semi").select(F.col("least").alias("node")).distinct()
+        dealt = dealt.unionByName(
+            texts.join(ids, "node", "left_semi").select("text").mapInPandas(hashed, "same string, grams binary")
+            .join(others.where("blocks >= 1"), "same").drop("same").dropDuplicates(["node"]))
+    cells = (dealt
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("node", "component", "block", F.least("block", "o").alias("lo"),
                      F.greatest("block", "o").alias("hi"), "grams"))
@@ -443,7 +501,18 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
                       lambda cols, at, end: family_links(cols, at, end, percent))
     with runtime_filters(docs.sparkSession):
         links = materialise(links, "links")
-    comp = components(links).withColumnRenamed("component", "component_id")
-    return (sets.select("id", "size", "same").join(classes, "same", "left").join(comp, "node", "left")
-            .select("id", F.col("size").alias("n_shingles"),
-                    F.coalesce("component_id", "node", "id").alias("component_id")))
+    comp = components(links)
+    if several:  # numbered by the smallest id, with the set that holds it
+        comp = materialise(comp, "components")
+        head = comp.join(classes, "node").groupBy("component").agg(F.min(F.struct("least", "node")).alias("head"))
+        comp = comp.join(head, "component").select("node", F.col("head.least").alias("component_id"),
+                                                   F.col("head.node").alias("root"))
+    else:
+        comp = comp.select("node", F.col("component").alias("component_id"), F.col("component").alias("root"))
+    rows = sets.select("id", "text_hash", "size", "same").join(classes, "same", "left").join(comp, "node", "left")
+    out = ["id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "least", "id").alias("component_id")]
+    if stands:
+        first = (F.col("id") == F.col("least")) & (F.col("text_hash") == F.col("node_hash")) & (
+            F.coalesce("root", "node") == F.col("node"))
+        out += ["text_hash", F.when(F.col("id").isNotNull(), F.coalesce(first, F.lit(True))).alias("stands")]
+    return rows.select(*out)
