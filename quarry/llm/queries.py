@@ -82,7 +82,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document under the 4-word Jaccard join."""
-    return ngramjoin.linked_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return ngramjoin.linked_components(table(spark, sf_dir, "documents"), n=4, percent=85).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {
