@@ -7,7 +7,9 @@ whose every entry is at or above the threshold is saturated and grows to twice i
 length. When few entries change, the edges at or above the threshold are kept; their
 components are then compared exactly, block by block, so every link inside a
 component counts. A stated sample of vectors compared with all others audits the
-recall; below the target the search goes on with more trees.
+recall, as a mean over vectors, so that those of one large cluster do not hide the
+others, and apart over those with few links; below the target the search goes on
+with twice the trees, and fails when that does not reach it.
 
 Equal vectors are one node with a multiplicity, so copies are never paired. Reverse
 lists, leaves and components are dealt out in blocks of bounded length; no group is
@@ -180,10 +182,11 @@ def block_links(nodes: DataFrame, comp: DataFrame, threshold: float, block: int)
     return counted.groupBy("node").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners"))
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int, n: int) -> float:
-    """Recall: of the links that up to ``queries`` hashed nodes have among all nodes,
-    the share that ``links`` (node, partners) counts. The queries, a bounded number of
-    vectors, meet every row block by block."""
+def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int, n: int, few: int) -> float:
+    """Recall: of the links that each of up to ``queries`` hashed nodes has among all
+    nodes, the share that ``links`` (node, partners) counts; the mean over the nodes with
+    a link, or over those with at most ``few`` if that is less. The queries, a bounded
+    number of vectors, meet every row block by block."""
     share = min(1.0, queries / max(1, n))
     picked = nodes.where(F.pmod(F.xxhash64("node", F.lit(99)), F.lit(1_000_000)) < share * 1_000_000).limit(2 * queries)
     asked = picked.select("node", "dim", "vec").toPandas()
@@ -203,28 +206,32 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int, n:
 
     truth = nodes.select("node", "dim", "vec").mapInPandas(search, "node long, truth long").groupBy("node").agg(
         F.sum("truth").alias("truth"))
-    row = truth.join(links, "node", "left").agg(
-        F.sum(F.coalesce("partners", F.lit(0))).alias("found"), F.sum("truth").alias("truth")).first()
-    return 1.0 if not row["truth"] else row["found"] / row["truth"]
+    share = F.coalesce("partners", F.lit(0)) / F.col("truth")
+    row = truth.join(links, "node", "left").agg(F.avg(share), F.avg(F.when(F.col("truth") <= few, share))).first()
+    return min((x for x in row if x is not None), default=1.0)
 
 
 def near_duplicates(rows: DataFrame, *, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9,
                     k: int = 6, trees: int = 8, leaf: int = 128, rounds: int = 6, settled: float = 0.01,
                     block: int = 64, cell: int = 512, audit_queries: int = 512, least_recall: float = 0.97,
                     most_searches: int = 4, seed: int = 31) -> DataFrame:
-    """One row per id: ``key``, n_links, component_id, kept, audit_recall."""
+    """One row per id: ``key``, n_links, component_id, kept, audit_recall. Raises when the
+    audited recall is below ``least_recall`` after ``most_searches``, each with twice the
+    trees of the one before."""
     nodes, members = nodes_of(rows, key, vector)
     n = nodes.count()
     graph, recall = None, 0.0
     for search in range(most_searches):
         graph = neighbour_graph(nodes, n, k=k, threshold=threshold, leaf=leaf, rounds=rounds, settled=settled,
-                                trees=range(search * trees, (search + 1) * trees), block=block, seed=seed, start=graph)
+                                trees=range(((1 << search) - 1) * trees, ((2 << search) - 1) * trees), block=block, seed=seed, start=graph)
         edges = graph.where(F.col("sim") >= threshold).select(F.col("src").alias("a"), F.col("dst").alias("b"))
         comp = materialise(components(edges), "components")
         links = materialise(block_links(nodes, comp, threshold, cell), "links")
-        recall = audit(nodes, links, threshold, audit_queries, n)
+        recall = audit(nodes, links, threshold, audit_queries, n, k)
         if recall >= least_recall:
             break
+    else:
+        raise RuntimeError(f"audited recall {recall:.4f} is below {least_recall} after {most_searches} searches")
     by_node = (nodes.select("node", "copies").join(comp, "node", "left").join(links, "node", "left")
                .select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                        F.coalesce("component", "node").alias("component_id")))

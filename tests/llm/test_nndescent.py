@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from quarry.llm import nndescent
 from quarry.llm.common import table
@@ -60,3 +61,20 @@ def test_recall_on_the_table(spark, small_sf):
 
 def test_empty_table(spark, small_sf):
     assert nndescent.near_duplicates(table(spark, small_sf, "embeddings").limit(0)).count() == 0
+
+
+def test_a_large_cluster_does_not_hide_missed_pairs(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(24)
+    vectors = [centre + 0.05 * rng.standard_normal(24) for _ in range(60)]
+    for _ in range(5):
+        v = rng.standard_normal(24)
+        vectors += [v, v + 0.05 * rng.standard_normal(24)]
+    nodes = spark.createDataFrame([(i, 24, v.tolist()) for i, v in enumerate(vectors)], "node long, dim int, vec array<double>")
+    found = spark.createDataFrame([(i, 59) for i in range(60)], "node long, partners long")
+    assert nndescent.audit(nodes, found, 0.9, 512, 70, 6) == 0.0  # of all links 3540 of 3550 are found
+    pairs = found.union(spark.createDataFrame([(i, 1) for i in range(60, 70)], found.schema))
+    assert nndescent.audit(nodes, pairs, 0.9, 512, 70, 6) == 1.0
+    rows = nodes.selectExpr("node as vec_id", "vec as embedding").where("vec_id >= 60")
+    with pytest.raises(RuntimeError, match="recall"):
+        nndescent.near_duplicates(rows, most_searches=1, least_recall=1.5)
