@@ -1,8 +1,9 @@
 """Licence scan: sentences recognised by identifier, identifier sequences by rule.
 
 A text is cut into sentences; each is normalised (lower case, words only, British
-spelling, holders and years abstracted) and looked up in the table of known licence
-sentences. The identifiers found, in order, are matched against rules: a licence's
+spelling, without its list number and years, holders of the BSD texts abstracted) and
+looked up in the table of known licence sentences; SPDX lines are read by the SPDX
+licence list. The identifiers found, in order, are matched against rules: a licence's
 sentences in their order, each at most ``REACH`` sentences behind the one before.
 
 A sentence runs to a full stop, question or exclamation mark (behind more than one
@@ -21,10 +22,19 @@ row; other columns are carried, and one named like an output column is replaced
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import carried, let, text_or_empty
+from quarry.llm.spdx import IDS
+
+#: What an SPDX line's identifiers begin with, and old names by their present ones.
+SPDX = "spdx-"
+OLD = {f"{f}-{v}{e}": f"{f}-{v}-{'or-later' if e else 'only'}" for f, v in (
+    ("GPL", "1.0"), ("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "1.0"),
+    ("AGPL", "3.0")) for e in ("", "+")}
 
 #: Most sentences from one sentence of a rule to its next.
 REACH = 4
@@ -40,6 +50,8 @@ SENTENCES = {
     "mit-as-is": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     "mit-liability": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     "apache-title": "Apache License",
+    "apache-version": "Apache License Version 2.0, January 2004",
+    "apache-head": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
     "apache-short": "Licensed under the Apache License, Version 2.0.",
     "apache-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
     "apache-copy": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -53,6 +65,8 @@ SENTENCES = {
     "gpl-see": "See the GNU General Public License for more details.",
     "gpl-copy": "You should have received a copy of the GNU General Public License along with this program.",
     "lgpl21-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-notice": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3-notice": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
@@ -72,15 +86,6 @@ SENTENCES = {
     "cc-by-nc-sa-4-short": "Licensed under CC BY-NC-SA 4.0.",
     "cc-by-nd-4-short": "Licensed under CC BY-ND 4.0.",
     "rights": "All rights reserved.",
-    "spdx-mit": "SPDX-License-Identifier: MIT",
-    "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
-    "spdx-bsd3": "SPDX-License-Identifier: BSD-3-Clause",
-    "spdx-bsd2": "SPDX-License-Identifier: BSD-2-Clause",
-    "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0-only",
-    "spdx-gpl3-later": "SPDX-License-Identifier: GPL-3.0-or-later",
-    "spdx-gpl2": "SPDX-License-Identifier: GPL-2.0-only",
-    "spdx-mpl2": "SPDX-License-Identifier: MPL-2.0",
-    "spdx-cc-by-4": "SPDX-License-Identifier: CC-BY-4.0",
 }
 
 #: Licences by the ordered sentence identifiers that state them. A
@@ -88,24 +93,24 @@ SENTENCES = {
 RULES = [
     ("MIT", ["mit-grant", "mit-notice", "mit-as-is", "mit-liability"]),
     ("MIT", ["mit-title", "mit-grant"]),
-    ("MIT", ["mit-short"]), ("MIT", ["mit-short-2"]), ("MIT", ["mit-short-3"]), ("MIT", ["spdx-mit"]),
+    ("MIT", ["mit-short"]), ("MIT", ["mit-short-2"]), ("MIT", ["mit-short-3"]),
     ("Apache-2.0", ["apache-notice", "apache-copy", "apache-as-is", "apache-see"]),
     ("Apache-2.0", ["apache-notice", "apache-as-is"]), ("Apache-2.0", ["apache-notice"]),
-    ("Apache-2.0", ["apache-short"]), ("Apache-2.0", ["spdx-apache"]),
+    ("Apache-2.0", ["apache-short"]),
     ("GPL-3.0-or-later", ["gpl3-notice", "gpl-hope", "gpl-see", "gpl-copy"]), ("GPL-3.0-or-later", ["gpl3-notice"]),
     ("GPL-2.0-or-later", ["gpl2-notice", "gpl-hope", "gpl-see"]), ("GPL-2.0-or-later", ["gpl2-notice"]),
-    ("GPL-3.0-only", ["gpl3-short"]), ("GPL-2.0-only", ["gpl2-short"]), ("GPL-3.0-only", ["spdx-gpl3"]),
-    ("GPL-3.0-or-later", ["spdx-gpl3-later"]), ("GPL-2.0-only", ["spdx-gpl2"]),
-    ("LGPL-2.1-or-later", ["lgpl21-notice"]),
+    ("GPL-3.0-only", ["gpl3-short"]), ("GPL-2.0-only", ["gpl2-short"]),
+    ("LGPL-2.1-or-later", ["lgpl21-notice"]), ("LGPL-3.0-or-later", ["lgpl3-notice"]),
+    ("AGPL-3.0-or-later", ["agpl3-notice"]),
+    ("Apache-2.0", ["apache-head"]), ("Apache-2.0", ["apache-version"]), ("Apache-2.0", ["apache-title", "apache-copy"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is"]),
-    ("BSD-3-Clause", ["spdx-bsd3"]), ("BSD-2-Clause", ["spdx-bsd2"]),
     ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl2-notice", "mpl2-copy"]), ("MPL-2.0", ["mpl2-notice"]),
-    ("MPL-2.0", ["spdx-mpl2"]), ("Unlicense", ["unlicense"]), ("CC0-1.0", ["cc0"]),
+    ("Unlicense", ["unlicense"]), ("CC0-1.0", ["cc0"]),
     ("CC-BY-4.0", ["cc-by-4"]), ("CC-BY-SA-4.0", ["cc-by-sa-4"]), ("CC-BY-NC-4.0", ["cc-by-nc-4"]),
     ("CC-BY-4.0", ["cc-by-4-short"]), ("CC-BY-SA-4.0", ["cc-by-sa-4-short"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-4-short"]), ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4-short"]),
-    ("CC-BY-ND-4.0", ["cc-by-nd-4-short"]), ("CC-BY-4.0", ["spdx-cc-by-4"]),
+    ("CC-BY-ND-4.0", ["cc-by-nd-4-short"]),
     ("All-rights-reserved", ["rights"]),
 ]
 
@@ -115,9 +120,17 @@ HINTS = ("licen", "permission", "warrant", "redistribut", "copyright", "reserved
 _END = "\u0001"
 
 
+#: A list number or letter before a sentence ("1. ", "(b) ", "* iv) ").
+_ITEM = r"^[^\p{L}\p{N}]*(?:\p{N}{1,2}|[a-z]|[ivx]{2,4})[.)]\s+"
+_YEAR = r" (?:19|20)[0-9]{2}(?= )"
+
+
 def normal(s: Column) -> Column:
-    words = F.trim(F.regexp_replace(F.lower(s), r"[^\p{L}\p{N}]+", " "))
+    words = F.trim(F.regexp_replace(F.regexp_replace(F.lower(s), _ITEM, ""), r"[^\p{L}\p{N}]+", " "))
+    words = F.trim(F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), _YEAR, ""))
     words = F.regexp_replace(words, "licence", "license")
+    words = F.regexp_replace(words, "^this software is provided by .+? as is and any express",
+                             "this software is provided by the copyright holders and contributors as is and any express")
     return F.regexp_replace(words, "neither the name of .+? nor the names of",
                             "neither the name of the copyright holder nor the names of")
 
@@ -125,7 +138,17 @@ def normal(s: Column) -> Column:
 def normal_text(s: str) -> str:
     """The same for the module's own sentences."""
     words = " ".join("".join(c.lower() if c.isalnum() else " " for c in s).split())
-    return words.replace("licence", "license")
+    return re.sub(_YEAR, "", f" {words} ").strip().replace("licence", "license")
+
+
+def spdx_ids(sentence: Column) -> Column:
+    """The licences an SPDX line names, in their writing in the licence list (with or
+    without an exception or the old "+")."""
+    said = F.regexp_extract(sentence, r"(?i)spdx-license-identifier:[ \t]*([^\r\n]+)", 1)
+    listed = F.create_map(*[F.lit(x) for i in IDS for x in (i.lower(), OLD.get(i, i))])
+    found = F.transform(F.regexp_extract_all(F.lower(said), F.lit(r"[a-z0-9][a-z0-9.+\-]*"), F.lit(0)), lambda w: F.coalesce(
+        F.element_at(listed, w), F.element_at(listed, F.regexp_replace(w, r"[.+\-]+$", ""))))
+    return F.array_distinct(F.filter(found, lambda i: i.isNotNull()))
 
 
 def _table() -> Column:
@@ -145,9 +168,13 @@ def sentence_ids(text: Column) -> Column:
         hit = F.get(F.filter(tries, lambda i: i.isNotNull()), 0)
         return F.struct(at.cast("int").alias("at"), hit.alias("id"))
 
-    found = F.transform(F.split(cut, _END), lambda s, at: F.when(
-        F.lower(s).rlike("|".join(HINTS)), lookup(s, at)))
+    def named(sentence: Column, at: Column) -> Column:
+        return F.transform(spdx_ids(sentence), lambda i: F.struct(at.cast("int").alias("at"), F.concat(F.lit(SPDX), i).alias("id")))
+
     none = F.array().cast("array<struct<at:int,id:string>>")
+    found = F.flatten(F.transform(F.split(cut, _END), lambda s, at: F.when(
+        F.lower(s).contains("spdx-license-identifier:"), F.concat(F.array(lookup(s, at)), named(s, at))).when(
+        F.lower(s).rlike("|".join(HINTS)), F.array(lookup(s, at))).otherwise(none)))
     hinted = F.lower(text).rlike("|".join(HINTS))
     return F.when(hinted, F.filter(found, lambda f: f["id"].isNotNull())).otherwise(none)
 
@@ -173,7 +200,10 @@ def licences(found: Column) -> Column:
         starts = F.filter(found, lambda f: f["id"] == ids[0])
         return F.filter(F.transform(starts, follow), lambda m: m["sentences"] == len(ids))
 
-    every = F.concat(*[match(*r) for r in RULES])
+    named = F.transform(F.filter(found, lambda f: f["id"].startswith(SPDX)), lambda f: F.struct(
+        F.substr(f["id"], F.lit(len(SPDX) + 1)).alias("license"), f["at"].alias("first"), f["at"].alias("last"),
+        F.lit(1).alias("sentences")))
+    every = F.concat(*[match(*r) for r in RULES], named)
     none = F.array().cast("array<struct<license:string,first:int,last:int,sentences:int>>")
     kept = let(every, lambda ms: F.filter(ms, lambda m: ~F.exists(ms, lambda o: (
         (o["first"] <= m["first"]) & (o["last"] >= m["last"]) & (o["sentences"] > m["sentences"])))))

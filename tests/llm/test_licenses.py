@@ -60,3 +60,47 @@ def test_defined_cases(spark, odd_docs, no_docs):
     assert L.scan(no_docs).count() == 0
     twice = L.scan(odd_docs.withColumnRenamed("row", "licenses"))
     assert dict(twice.dtypes)["licenses"].startswith("array")
+
+
+def test_numbered_texts_holders_and_spdx_lines(spark):
+    bsd = """Copyright (c) 1990, 1993 The Regents of the University. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE REGENTS BE LIABLE.
+"""
+    third = """
+3. Neither the name of the University nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+    agpl = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU {} General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+    head = """                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+"""
+    spdx = ["LGPL-2.1-only", "AGPL-3.0-or-later", "GPL-2.0-or-later", "ISC", "CC0-1.0", "Unlicense", "MIT", "BSD-3-Clause"]
+    rows = scan(spark, bsd.format(third), bsd.format(""), agpl.format("Affero"), agpl.format("Lesser"), head,
+                "// SPDX-License-Identifier: (MIT OR Apache-2.0)\nint x;", "/* SPDX-License-Identifier: GPL-2.0+ WITH Foo */",
+                *[f"# SPDX-License-Identifier: {i}\nimport x\n" for i in spdx])
+    assert "BSD-3-Clause" in names(rows[0]) and "BSD-2-Clause" not in names(rows[0])
+    assert "BSD-2-Clause" in names(rows[1]) and "BSD-3-Clause" not in names(rows[1])
+    assert [names(r) for r in rows[2:5]] == [["AGPL-3.0-or-later"], ["LGPL-3.0-or-later"], ["Apache-2.0"]]
+    assert [names(r) for r in rows[5:7]] == [["Apache-2.0", "MIT"], ["GPL-2.0-or-later"]]
+    assert [names(r) for r in rows[7:]] == [[i] for i in spdx]
