@@ -56,21 +56,22 @@ PATTERNS = {
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<![\d-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?![\d-])",
-    "phone": r"(?<![\d(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
+    "card": r"(?<![\d-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?![\d-])"
+            r"|(?<![\d-])3[47]\d{2}[ -]?\d{6}[ -]?\d{5}(?![\d-])",
+    "phone": r"(?<![\d(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
     "name": rf"(?<=\b(?:{_ALL_TITLES})\.? ){_NAME}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
 def searched(text: Column) -> Column:
-    """Whether a text can hold a mention: every one holds a digit or an @, or stands
-    behind the = or : of a label or behind a title. The character class costs a
+    """Whether a text can hold a mention: every one holds a digit, an @ or AKIA, or
+    stands behind the = or : of a label or behind a title. The character class costs a
     fraction of the patterns, and so do the plain searches for titles."""
     title = F.lit(False)
     for t in (t for group in TITLES.values() for t in group):
         title = title | F.contains(text, F.lit(t + " ")) | F.contains(text, F.lit(t + ". "))
-    return text.rlike("[0-9@=:]") | title
+    return text.rlike("[0-9@=:]") | F.contains(text, F.lit("AKIA")) | title
 
 
 def kind(mention: Column) -> Column:
@@ -79,7 +80,8 @@ def kind(mention: Column) -> Column:
     for name in reversed([n for n in PATTERNS if n not in ("secret", "name")]):
         bare = PATTERNS[name].replace(r"(?<![\d.])", "").replace(r"(?<![\d-])", "").replace(r"(?<![\d(])", "")
         out = F.when(mention.rlike(f"^(?:{bare})$"), name).otherwise(out)
-    return F.when(mention.rlike(rf"^{_NAME}$") & ~mention.rlike("[0-9]"), "name").otherwise(out)
+    return F.when(mention.rlike(rf"^{_NAME}$") & ~mention.rlike("[0-9]") & ~mention.rlike(f"^{PATTERNS['access_key']}$"),
+                  "name").otherwise(out)
 
 
 def entity(mention: Column, type_: Column) -> Column:
