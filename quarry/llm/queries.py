@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, licenses, mixing, ngramjoin, nndescent, pieces, quality, spotsigs, surrogates, tokencount
+from quarry.llm import bpe, langid, licenses, mixing, ngramjoin, nndescent, pieces, quality, spotsigs, surrogates, tokencount, whitening
 from quarry.llm.common import crc_mod, table, text_or_empty
 from quarry.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -85,6 +85,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.linked_components(table(spark, sf_dir, "documents"), n=4, percent=85).withColumnRenamed("id", "doc_id")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16 leading whitened components of every usable embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -96,4 +101,5 @@ QUERIES = {
     "op7_licenses": op7_licenses,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op5_ngram_join": op5_ngram_join,
+    "op12_whitening": op12_whitening,
 }

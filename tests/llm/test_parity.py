@@ -29,4 +29,4 @@ def test_query_matches_sql(spark, small_sf, key):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
