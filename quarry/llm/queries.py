@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, licenses, mixing, ngramjoin, nndescent, pieces, quality, spotsigs, surrogates, tokencount, whitening
+from quarry.llm import bpe, langid, licenses, mixing, ngramjoin, nndescent, pieces, quality, repair, spotsigs, surrogates, tokencount, whitening
 from quarry.llm.common import crc_mod, table, text_or_empty
 from quarry.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -90,6 +90,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -102,4 +107,5 @@ QUERIES = {
     "op10_embedding_dedup": op10_embedding_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op12_whitening": op12_whitening,
+    "op13_conversation_repair": op13_conversation_repair,
 }
