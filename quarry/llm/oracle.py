@@ -69,4 +69,94 @@ SELECT n.doc_id, n.n_shingles, min(r.other) AS component_id
 FROM n JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n_shingles
 """
 
-ORACLE_SQL = {"op4_mixing": OP4, "op5_ngram_join": OP5}
+
+def _crc_table() -> str:
+    """The 256 remainders of CRC-32, from its reversed polynomial."""
+    out = []
+    for x in range(256):
+        for _ in range(8):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        out.append(x)
+    return "[" + ", ".join(f"{x}::BIGINT" for x in out) + "]"
+
+
+def _repair_rules() -> str:
+    """(fault, initial, state) -> state, cost, edits, kind of line, lines inserted behind:
+    every edit of a row followed by up to two insertions."""
+    step = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    insert = {0: ("user:", 2), 1: ("user:", 2), 2: ("assistant:", 3), 3: ("user:", 2)}
+    rows = []
+    for fault, more in (("", 0), ("truncated", 3), ("gone", None)):
+        for initial in ("s", "u", "a", "?"):
+            for q in range(4):
+                edits = [(q, 4, "D", "")]
+                if more is not None:
+                    if initial in step[q]:
+                        edits.append((step[q][initial], more, "K", "own"))
+                    edits += [(step[q][r[0]], 3 + more, "R", r) for r in ("user", "assistant") if r[0] in step[q]]
+                for to, cost, edit, line in edits:
+                    behind = ""
+                    for _ in range(3):
+                        rows.append(f"('{fault}', '{initial}', {q}, {to}, {cost}, '{edit}', '{line}', '{behind}')")
+                        new, to = insert[to]
+                        cost, edit, behind = cost + 3, edit + "I", behind + "\n" + new
+    return ",\n  ".join(rows)
+
+
+OP13 = r"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(
+               string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT),
+             lambda c, b: xor(c // 256, (@crc)[xor(c % 256, b) + 1])), 4294967295) % 20 AS kind
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, if(kind = 4, 'user', role) AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(if(kind = 3, 2, 1))) AS copy
+  FROM k WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+             rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen FROM d),
+f AS (
+  SELECT *, left(role, 1) AS initial,
+         CASE WHEN seen = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM o),
+rule(fault, initial, q, target, cost, edits, line, behind) AS (VALUES
+  @rules),
+path AS (
+  SELECT conv_id, 0::BIGINT AS i, q, {'cost': cost, 'audit': audit, 'lines': lines} AS best
+  FROM (SELECT DISTINCT conv_id FROM conversations),
+       (VALUES (0, 0::BIGINT, '', ''), (2, 3, 'I', chr(10) || 'user:'), (3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'))
+       s(q, cost, audit, lines)
+  UNION ALL
+  SELECT p.conv_id, f.i, r.target, min({
+           'cost': p.best.cost + r.cost, 'audit': p.best.audit || r.edits,
+           'lines': p.best.lines || CASE r.line WHEN '' THEN '' WHEN 'own' THEN chr(10) || f.role || ':' || f.text
+                                         ELSE chr(10) || r.line || ':' || f.text END || r.behind})
+  FROM path p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+  JOIN rule r ON r.q = p.q AND r.fault = if(f.fault IN ('blank', 'duplicate'), 'gone', f.fault)
+             AND r.initial = if(f.initial IN ('s', 'u', 'a'), f.initial, '?')
+  GROUP BY p.conv_id, f.i, r.target),
+c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM f GROUP BY conv_id),
+a AS (SELECT DISTINCT conv_id FROM conversations),
+e AS (
+  SELECT a.conv_id, min(p.best) AS best
+  FROM a LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+  JOIN path p ON p.conv_id IS NOT DISTINCT FROM a.conv_id AND p.i = coalesce(c.n, 0) AND p.q IN (0, 3)
+  GROUP BY a.conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, e.best.cost::BIGINT AS cost, e.best.audit AS audit,
+       sha256(substr(e.best.lines, 2)) AS repaired_sha256
+FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+""".replace("@crc", _crc_table()).replace("@rules", _repair_rules())
+
+ORACLE_SQL = {"op4_mixing": OP4, "op5_ngram_join": OP5, "op13_conversation_repair": OP13}

@@ -15,7 +15,7 @@ duckdb = pytest.importorskip("duckdb")
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, small_sf, key):
     con = duckdb.connect()
-    for t in [*DRIVER_TABLES, "documents"]:
+    for t in [*DRIVER_TABLES, "documents", "labels", "conversations"]:
         if os.path.exists(p := table_path(small_sf, t)):
             con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     df = QUERIES[key](spark, small_sf)
