@@ -159,4 +159,94 @@ SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 """.replace("@crc", _crc_table()).replace("@rules", _repair_rules())
 
-ORACLE_SQL = {"op4_mixing": OP4, "op5_ngram_join": OP5, "op13_conversation_repair": OP13}
+
+#: name, measure, above, cutoffs from the strictest.
+_RULES = [("symbols", "100 * n_symbols, n_words", ">", "5, 10, 20, 30, 50, 80, 120, 200"),
+          ("repeated_words", "100 * n_repeat_words, n_words", ">", "5, 10, 15, 20, 30, 40"),
+          ("repeated_lines", "100 * n_dup_lines, n_lines", ">", "10, 20, 30, 40, 50, 60"),
+          ("long_words", "10 * word_chars, n_words", ">", "60, 65, 70, 75, 80, 90, 100"),
+          ("short_words", "10 * word_chars, n_words", "<", "45, 42, 40, 38, 35, 30")]
+
+
+def _risk_steps() -> str:
+    """One step a rule: the cutoff of the most gain among the rows the rules before let
+    through, then the rows it lets through."""
+    out, before = [], "tune"
+    for i, (name, measure, sign, cutoffs) in enumerate(_RULES):
+        part, whole = measure.split(", ")
+        out.append(f"""
+g{i} AS (
+  SELECT lang, cut, place, count(*) FILTER (NOT good) - 20 * count(*) FILTER (good) AS gain
+  FROM {before}, (SELECT unnest([{cutoffs}]) AS cut, unnest(range({len(cutoffs.split(', '))})) AS place)
+  WHERE {part} {sign} cut * {whole} GROUP BY lang, cut, place),
+c{i} AS (SELECT lang, arg_max(cut, gain * 100 + place) AS cut FROM g{i} WHERE gain > 0 GROUP BY lang),
+t{i} AS (
+  SELECT {before}.* FROM {before} LEFT JOIN c{i} ON c{i}.lang IS NOT DISTINCT FROM {before}.lang
+  WHERE NOT coalesce({part} {sign} c{i}.cut * {whole}, FALSE)),
+v{i} AS (
+  SELECT lang, cut, {i} AS step FROM c{i})""")
+        before = f"t{i}"
+    return ",".join(out)
+
+
+def _fails(step: int, limit: str) -> str:
+    part, whole = _RULES[step][1].split(", ")
+    return f"coalesce({part} {_RULES[step][2]} {limit} * {whole}, FALSE)"
+
+
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS row, * FROM documents),
+w AS (
+  SELECT row, doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM d),
+win AS (
+  SELECT row, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS win
+  FROM (SELECT row, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (
+  SELECT row, count(DISTINCT i + k) AS n
+  FROM (SELECT row, i, count(*) OVER (PARTITION BY row, win) AS times FROM win), (VALUES (0), (1), (2)) x(k)
+  WHERE times > 1 GROUP BY row),
+m AS (
+  SELECT w.row, doc_id, lang, len(ws)::BIGINT AS n_words,
+         coalesce(list_sum(list_transform(ws, lambda x: len(x))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+         len(ls)::BIGINT AS n_lines,
+         (len(ws) < 50 OR 100 * coalesce(rep.n, 0) > 50 * len(ws)) AS base_failed
+  FROM w LEFT JOIN rep ON rep.row = w.row),
+y AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+k AS (
+  SELECT m.*, good, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(m.doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+           lambda c, b: xor(c // 256, (@crc)[xor(c % 256, b) + 1])), 4294967295) % 3 <> 0 AS holdout
+  FROM m JOIN y ON y.doc_id = m.doc_id WHERE NOT base_failed),
+tune AS (SELECT * FROM k WHERE NOT holdout),
+held AS (SELECT * FROM k WHERE holdout AND good),
+n AS (SELECT 0.05::DOUBLE / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT lang FROM k))) AS error),
+@steps,
+test AS (@tests),
+p AS (
+  SELECT lang, step, cut,
+         coalesce((SELECT sum(exp(lgamma(total + 1.0) - lgamma(j + 1.0) - lgamma(total - j + 1.0) + j * ln(0.02::DOUBLE) + (total - j) * ln(0.98::DOUBLE)))
+                   FROM (SELECT unnest(range(bad + 1)) AS j)), 1) AS chance, total, bad
+  FROM test),
+ok AS (
+  SELECT lang, step, cut FROM (
+    SELECT *, bool_and(total > 0 AND bad < 0.02::DOUBLE * total AND chance <= (SELECT error FROM n))
+                OVER (PARTITION BY lang ORDER BY step) AS passed FROM p)
+  WHERE passed)
+SELECT m.doc_id, m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words, m.base_failed,
+       NOT m.base_failed AND @failed IS NULL AS kept,
+       CASE WHEN NOT m.base_failed THEN @failed END AS failed_rule
+FROM m @joins
+""".replace("@crc", _crc_table()).replace("@steps", _risk_steps().lstrip()).replace(
+    "@tests", "\n  UNION ALL ".join(
+        f"SELECT v{i}.lang, v{i}.step, any_value(v{i}.cut) AS cut, count(h.row) AS total, count(h.row) FILTER ("
+        + " OR ".join(_fails(j, f"u{j}.cut") for j in range(i + 1)) + f") AS bad FROM v{i} "
+        + " ".join(f"LEFT JOIN c{j} u{j} ON u{j}.lang IS NOT DISTINCT FROM v{i}.lang" for j in range(i + 1))
+        + f" LEFT JOIN held h ON h.lang IS NOT DISTINCT FROM v{i}.lang GROUP BY v{i}.lang, v{i}.step" for i in range(len(_RULES)))).replace(
+    "@failed", "CASE " + " ".join(f"WHEN {_fails(i, f'o{i}.cut')} THEN '{r[0]}'" for i, r in enumerate(_RULES)) + " END").replace(
+    "@joins", " ".join(f"LEFT JOIN ok o{i} ON o{i}.step = {i} AND o{i}.lang IS NOT DISTINCT FROM m.lang" for i in range(len(_RULES))))
+
+ORACLE_SQL = {"op4_mixing": OP4, "op5_ngram_join": OP5, "op11_quality_rules": OP11, "op13_conversation_repair": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, langid, licenses, mixing, ngramjoin, nndescent, pieces, quality, repair, spotsigs, surrogates, tokencount, whitening
+from quarry.llm import bpe, langid, licenses, mixing, ngramjoin, nndescent, pieces, quality, repair, riskrules, spotsigs, surrogates, tokencount, whitening
 from quarry.llm.common import crc_mod, table, text_or_empty
 from quarry.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -85,6 +85,14 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.linked_components(table(spark, sf_dir, "documents"), n=4, percent=85).withColumnRenamed("id", "doc_id")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every whole text, and whether certified rules keep it."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged = riskrules.judge(docs, labels, strata=["lang"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept", "failed_rule")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 16 leading whitened components of every usable embedding."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -106,6 +114,7 @@ QUERIES = {
     "op7_licenses": op7_licenses,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op5_ngram_join": op5_ngram_join,
+    "op11_quality_rules": op11_quality_rules,
     "op12_whitening": op12_whitening,
     "op13_conversation_repair": op13_conversation_repair,
 }
