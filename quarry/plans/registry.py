@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quarry.functions.classify import analyte_group
-from quarry.operators import catalog, era_views, quality, reports, retail, screening, statistics
+from quarry.operators import catalog, censored, era_views, quality, reports, retail, screening, statistics
 from quarry.plans import store
 from quarry.sources import feeds
 from quarry.sources.model import EraModel, RetailModel
@@ -238,6 +238,9 @@ def registry() -> dict[str, Query]:
                                              matrix_code=OBSERVATION_MATRIX)),
         "analyte_statistics": _era(statistics.analyte_statistics),
         "epc_summary": _era(statistics.epc_summary),
+        "analyte_km": _era(censored.kaplan_meier),
+        "analyte_ros": _era(censored.order_statistics),
+        "analyte_fit": _era(censored.goodness_of_fit),
         "background_comparison": _era(statistics.background_comparison),
         "table_samples": _era(reports.table_samples),
         "table_detection": _era(reports.table_detection),

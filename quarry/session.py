@@ -9,8 +9,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults that matter for the plans in this package. AQE re-plans joins from
 # runtime sizes (a sort-merge join becomes a broadcast join when the shuffled
@@ -75,6 +76,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later plans start from the files,
+    and what depends on how rows were dealt out (partition ids) is settled. The files of an
+    application stay until ``drop_written``, since results read them when they are used."""
+    spark = df.sparkSession
+    path = f"{_written_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _written_folder(spark: SparkSession) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "quarry-tables", spark.sparkContext.applicationId)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete the tables that ``written`` has made for this application."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written_folder(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written table."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
