@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quarry.functions.classify import analyte_group
-from quarry.operators import catalog, censored, era_views, quality, reports, retail, screening, statistics
+from quarry.operators import catalog, censored, era_views, quality, reports, retail, screening, statistics, units
 from quarry.plans import store
 from quarry.sources import feeds
-from quarry.sources.model import EraModel, RetailModel
+from quarry.sources.model import EraModel, RetailModel, era_from_driver
 from quarry.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,23 @@ def _era(op) -> Query:
     return lambda spark, sf_dir: op(era_model(spark, sf_dir))
 
 
+def lab_model(spark: SparkSession, sf_dir: str) -> EraModel:
+    """The adapted model with what laboratories say of a result besides its value: other
+    units of the same quantities, basis, moisture and dilution, by rule of the result's id."""
+    m = era_from_driver(spark, sf_dir)
+    i, unit = F.col("result_id"), F.col("result_unit")
+    other = (F.when(i % 13 == 0, F.lit("ug/kg")).when(i % 17 == 0, F.lit(" MG/L ")).when(i % 19 == 0, F.lit("pCi/g"))
+             .when(i % 23 == 0, F.lit("\u00b5g/L")).otherwise(unit))
+    return replace(m, results=m.results.withColumn("result_unit", other).withColumn(
+        "basis", F.when(i % 29 == 0, F.lit("as is")).when(i % 5 == 0, F.lit("Dry")).when(i % 5 == 1, F.lit("")).when(i % 5 > 2, F.lit("Wet")))
+        .withColumn("percent_moisture", F.when(i % 31 == 0, F.lit(100)).when(i % 7 != 0, i % 60 / 2).cast("decimal(5,2)"))
+        .withColumn("dilution_factor", F.when(i % 11 == 0, F.lit(10)).when(i % 11 < 9, F.lit(1)).cast("decimal(8,2)")))
+
+
+def _lab(op) -> Query:
+    return lambda spark, sf_dir: op(lab_model(spark, sf_dir))
+
+
 def _both(op) -> Query:
     return lambda spark, sf_dir: op(era_model(spark, sf_dir), retail_model(spark, sf_dir))
 
@@ -241,6 +259,11 @@ def registry() -> dict[str, Query]:
         "analyte_km": _era(censored.kaplan_meier),
         "analyte_ros": _era(censored.order_statistics),
         "analyte_fit": _era(censored.goodness_of_fit),
+        # units, basis, moisture and dilution (section 2.9)
+        "results_comparable": _lab(partial(units.comparable_results, diluted=True)),
+        "unit_mismatches": _lab(units.unit_mismatches),
+        "screening_summary_converted": _lab(lambda m: screening.screening_summary(units.converted(m))),
+        "epc_summary_converted": _lab(lambda m: statistics.epc_summary(units.converted(m, diluted=True))),
         "background_comparison": _era(statistics.background_comparison),
         "table_samples": _era(reports.table_samples),
         "table_detection": _era(reports.table_detection),

@@ -86,3 +86,29 @@ def dim_matrix(spark: SparkSession) -> DataFrame:
 
 def dim_qualifiers(spark: SparkSession) -> DataFrame:
     return F.broadcast(spark.createDataFrame(QUALIFIERS, QUALIFIER_SCHEMA))
+
+# Units a delivery may use, the quantity each measures, and its factor to
+# the unit of the screening levels of that quantity (mg/kg, ug/L).
+UNITS = [
+    ("g/kg", "mass per mass", 1000.0),
+    ("mg/g", "mass per mass", 1000.0),
+    ("mg/kg", "mass per mass", 1.0),
+    ("ug/g", "mass per mass", 1.0),
+    ("ug/kg", "mass per mass", 0.001),
+    ("ng/g", "mass per mass", 0.001),
+    ("ng/kg", "mass per mass", 0.000001),
+    ("pg/g", "mass per mass", 0.000001),
+    ("g/l", "mass per volume", 1000000.0),
+    ("mg/l", "mass per volume", 1000.0),
+    ("ug/l", "mass per volume", 1.0),
+    ("ng/ml", "mass per volume", 1.0),
+    ("ng/l", "mass per volume", 0.001),
+    ("pg/l", "mass per volume", 0.000001),
+    ("mg/m3", "mass per volume of air", 1000.0),
+    ("ug/m3", "mass per volume of air", 1.0),
+    ("ng/m3", "mass per volume of air", 0.001),
+]
+# The unit of the levels, by the kind of matrix.
+LEVEL_UNITS = {"solid": "mg/kg", "water": "ug/L"}
+SOLID_MATRICES = ("SO", "SE")
+WATER_MATRICES = ("GW", "SW", "DW", "WW")
