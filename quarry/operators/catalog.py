@@ -43,8 +43,13 @@ def describe(df: DataFrame) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """CAT-04: first ``n`` rows in a repeatable order (all columns)."""
-    return df.orderBy(*df.columns).limit(n)
+    """CAT-04: first ``n`` rows in a repeatable order (all columns, NULLs first).
+
+    Only rows of the ``n`` smallest first cells can be among them: one column is read to
+    find the largest of those (a scalar subquery), and only rows up to it are sorted."""
+    key = F.col(df.columns[0])
+    cut = df.select(key).orderBy(key).limit(n).agg(F.max(key).alias("cut"))
+    return df.filter(key.isNull() | (key <= cut.scalar())).orderBy(*df.columns).limit(n)
 
 
 def run_sql(spark: SparkSession, text: str) -> tuple[DataFrame | None, str | None]:

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import percent, ratio, round_half_up, sum_when
-from quarry.plans.era_base import (TAP, detected, result_rows, sample_fact, stored_analytes,
-                                   view_level, with_analyte_names)
+from quarry.plans.era_base import TAP, detected, result_rows, sample_fact, view_level
 from quarry.sources.model import EraModel
 
 CONC_SUM = "decimal(38,6)"
@@ -49,14 +48,14 @@ def screening_comparison(m: EraModel) -> DataFrame:
 def _exceeding_rows(m: EraModel, analyte_cols: tuple[str, ...] = ()) -> DataFrame:
     """Rows of the comparison view with status EXCEEDS (threshold row required).
 
-    ``analyte_cols`` are taken along only when the stored fact carries them;
-    otherwise the caller joins them to the (much smaller) exceeding rows.
+    ``analyte_cols`` come with the thresholds, in one join on the analyte: a second join
+    on that key would keep Spark from splitting a hot analyte's partition.
     """
     f = result_rows(
         m, result_cols=["result_value", "result_unit", "detection_limit", "detect_flag",
                         "lab_qualifier"],
         sample_cols=["location_id", "sample_date", "matrix_code"],
-        analyte_cols=list(analyte_cols) if stored_analytes(m) else [],
+        analyte_cols=list(analyte_cols),
         level_cols=["rsl_residential_soil_mg_kg", TAP, "carcinogen"], levels_inner=True)
     return (f.withColumn("screening_level", view_level())
             .filter(F.col("result_value") > F.col("screening_level"))
@@ -68,11 +67,10 @@ def _exceeding_rows(m: EraModel, analyte_cols: tuple[str, ...] = ()) -> DataFram
 def exceedances(m: EraModel) -> DataFrame:
     """ERA-04: the comparison view filtered on EXCEEDS, HQ descending.
 
-    The filter needs a threshold, so thresholds join inner and the remaining
-    dimensions are attached to the (much smaller) exceeding rows only.
+    The filter needs a threshold, so thresholds join inner (with the analyte's names) and
+    the remaining dimensions are attached to the (much smaller) exceeding rows only.
     """
-    names = ("analyte_name", "analyte_group")
-    x = with_analyte_names(m, _exceeding_rows(m, names), names)
+    x = _exceeding_rows(m, ("analyte_name", "analyte_group"))
     s_loc = m.locations.select("location_id", "location_name")
     x = (x.join(s_loc, "location_id", "left")
          .join(m.matrix.select("matrix_code", "matrix_name"), "matrix_code", "left")

@@ -1,8 +1,11 @@
 """Data-quality checks (DQ-01..09).
 
 Spark does not enforce keys, so primary and foreign keys are checked here
-as queries. Anti joins keep the checked table on the streamed side (AQE can
-split a hot key there) and reduce the referenced side to distinct keys.
+as queries. An existence check needs a key once, however often it occurs: the checked
+table is counted by key first (combined map-side, so a key that holds a third of all rows
+crosses the exchange as one row a task), and its keys meet the referenced ones in an anti
+join that uses the exchange of that count. The referenced side is taken as it is: an anti
+join needs no distinct keys.
 """
 
 from __future__ import annotations
@@ -40,12 +43,19 @@ def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
 
 # ------------------------------------------------------------- DQ-02/03
 
+def unmatched_rows(rows: DataFrame, key: str, referenced: DataFrame, referenced_key: str, label: str) -> DataFrame:
+    """One row: the number of ``rows`` whose ``key`` is no key of ``referenced`` (a NULL
+    key is none)."""
+    per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    known = referenced.select(F.col(referenced_key).alias(key))
+    return per_key.join(known, key, "left_anti").agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias(label))
+
+
 def orphan_count(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Rows of ``fact`` whose ``key`` has no row in ``dim`` (NULL keys count,
     as with LEFT JOIN ... IS NULL)."""
-    keys = dim.select(key).distinct()
-    return fact.select(key).join(keys, key, "left_anti").agg(
-        F.count(F.lit(1)).alias("orphan_count"))
+    return unmatched_rows(fact, key, dim, key, "orphan_count")
 
 
 def orphan_customers(m: RetailModel) -> DataFrame:
@@ -164,11 +174,9 @@ def pk_violations(era: EraModel, retail: RetailModel) -> DataFrame:
 def fk_check(table: str, child: DataFrame, col: str, ref_table: str, parent: DataFrame,
              ref_col: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row."""
-    keys = parent.select(F.col(ref_col).alias(col)).distinct()
-    bad = child.select(col).filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
-    return bad.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
-        F.lit(ref_table).alias("referenced_table"), "violations")
+    bad = unmatched_rows(child.filter(F.col(col).isNotNull()), col, parent, ref_col, "violations")
+    return bad.select(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
+                      F.lit(ref_table).alias("referenced_table"), "violations")
 
 
 def fk_violations(era: EraModel, retail: RetailModel) -> DataFrame:

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import count_when, ratio, round_half_up
 from quarry.plans.era_base import (MATRIX_FILTER, result_rows, scenario_level,
-                                   scenario_level_cols, soil_column, stored_analytes,
-                                   validated, with_analyte_names)
+                                   scenario_level_cols, soil_column, validated)
 from quarry.sources.model import EraModel
 
 
@@ -111,9 +110,8 @@ def location_exceedances(m: EraModel, scenario: str = "residential",
                           result_cols=["result_value", "result_unit", "sample_id"],
                           sample_cols=["location_id", "matrix_code", "sample_date",
                                        "depth_top_ft", "depth_bottom_ft"],
-                          analyte_cols=["analyte_name"] if stored_analytes(m) else [])
+                          analyte_cols=["analyte_name"])
     x = f.filter(F.col("result_value") > F.col("screening_level"))
-    x = with_analyte_names(m, x, ["analyte_name"])
     x = (x.join(m.locations.select("location_id", "location_name", "location_type"),
                 "location_id", "left")
          .join(m.matrix.select("matrix_code", "matrix_name"), "matrix_code", "left"))

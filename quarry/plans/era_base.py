@@ -67,7 +67,7 @@ def samples_with(m: EraModel, cols: Sequence[str] = (), location_cols: Sequence[
     return s
 
 
-SAMPLE_ATTRS = ("matrix_code", "location_id", "sample_date", "depth_top_ft", "depth_bottom_ft")
+SAMPLE_ATTRS = ("matrix_code", "location_id", "sample_date", "depth_top_ft", "depth_bottom_ft", "sample_type")
 
 
 def sample_fact(m: EraModel, result_cols: Sequence[str], sample_cols: Sequence[str]) -> DataFrame:
@@ -84,19 +84,6 @@ def sample_fact(m: EraModel, result_cols: Sequence[str], sample_cols: Sequence[s
     return m.results.select(*rcols).join(s, "sample_id", "inner")
 
 
-def stored_analytes(m: EraModel) -> bool:
-    """The model's pre-joined fact carries each result's analyte name and group."""
-    return m.fact is not None and "analyte_name" in m.fact.columns
-
-
-def with_analyte_names(m: EraModel, f: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Attach analyte attributes to (already reduced) result rows: a join on
-    cas_rn, unless the rows already carry them from the stored fact."""
-    if all(c in f.columns for c in cols):
-        return f
-    return f.join(m.analytes.select("cas_rn", *cols), "cas_rn", "left")
-
-
 def analyte_dimension(m: EraModel, analyte_cols: Sequence[str], level_cols: Sequence[str]) -> DataFrame:
     """Analytes and thresholds as one dimension on cas_rn, for one fact join.
     ``has_level`` is TRUE where a threshold row exists, NULL elsewhere."""
@@ -227,11 +214,13 @@ def validated(m: EraModel, exclude_rejected: bool = True,
         if fact is not None:
             fact = fact.filter(usable)
     if sample_types is not None:
-        samples = samples.filter(F.col("sample_type").isin(list(sample_types)))
-        keep = samples.select("sample_id")
-        results = results.join(keep, "sample_id", "left_semi")
-        if fact is not None:
-            fact = fact.join(keep, "sample_id", "left_semi")
+        of_types = F.col("sample_type").isin(list(sample_types))
+        samples = samples.filter(of_types)
+        # Operators that need a result's sample take it from here, so the results meet
+        # the samples once; only those that read results alone run the semi join.
+        fact = (results.join(samples.select("sample_id", *SAMPLE_ATTRS), "sample_id") if fact is None
+                else fact.filter(of_types))
+        results = results.join(samples.select("sample_id"), "sample_id", "left_semi")
     return EraModel(locations=m.locations, analytes=m.analytes, matrix=m.matrix,
                     qualifiers=m.qualifiers, levels=m.levels, samples=samples,
                     results=results, measurements=m.measurements, fact=fact)
