@@ -1,58 +1,58 @@
 """Report sinks (SNK-01..07).
 
 A report is one table written as a dataset directory
-``{out}/{report}/as_of=YYYYMMDD/`` (Parquet by default, CSV with a
-header on request). Row counts for the manifest are observed while the data
-is written (``DataFrame.observe``), so no second pass over a report is made.
+``{out}/{report}/as_of=YYYYMMDD/run=.../`` (Parquet by default, CSV with a
+header on request). A package is published whole (``quarry.sinks.published``): its
+manifest is written last, and ``current_package`` reads what the newest one names. Row
+counts for the manifest are observed while the data is written (``DataFrame.observe``),
+so no second pass over a report is made.
 Spreadsheet styling is not rebuilt; highlighting becomes a boolean column.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.classify import report_file_name
 from quarry.operators import reports, retail, statistics
+from quarry.sinks import published
 from quarry.sources.model import EraModel, RetailModel
 
-MANIFEST_SCHEMA = "report string, path string, rows long"
+def _folder(report: str) -> str:
+    return report.lower().replace(" ", "_")
 
 
-def write_report(df: DataFrame, out_dir: str, report: str, report_date: dt.date,
-                 fmt: str = "parquet") -> tuple[str, int]:
-    """SNK-01: write one report table; returns (path, rows written)."""
-    name = report.lower().replace(" ", "_")
-    path = os.path.join(out_dir, name, f"as_of={report_date.strftime('%Y%m%d')}")
-    obs = Observation(f"rows_{name}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        w = w.option("header", "true")
-    w.save(path)
-    return path, int(obs.get["rows"])
+def _as_of(report_date: dt.date) -> str:
+    return report_date.strftime("%Y%m%d")
 
 
-def _manifest(spark: SparkSession, rows: list[tuple[str, str, int]]) -> DataFrame:
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+def write_report(df: DataFrame, out_dir: str, report: str, report_date: dt.date,
+                 fmt: str = "parquet") -> tuple[str, int]:
+    """SNK-01: write and publish one report table; returns (path, rows written)."""
+    row = export_package(df.sparkSession, {report: df}, out_dir, report_date, fmt, package=_folder(report)).first()
+    return row["path"], row["rows"]
 
 
 def export_package(spark: SparkSession, relations: dict[str, DataFrame], out_dir: str,
                    report_date: dt.date, fmt: str = "parquet",
-                   constants: dict[str, object] | None = None) -> DataFrame:
-    """Write several relations, one directory each; return the manifest
-    (report, path, rows). ``constants`` become columns on every table."""
-    rows = []
-    for name, df in relations.items():
-        for k, v in (constants or {}).items():
-            df = df.withColumn(k, F.lit(v))
-        path, n = write_report(df, out_dir, name, report_date, fmt)
-        rows.append((name, path, n))
-    return _manifest(spark, rows)
+                   constants: dict[str, object] | None = None, package: str = "package") -> DataFrame:
+    """Write several relations, one directory each, and publish them together; return the
+    manifest (package, run, as_of, report, path, format, rows). ``constants`` become
+    columns on every table."""
+    tables = {name: df.withColumns({k: F.lit(v) for k, v in (constants or {}).items()}) if constants else df
+              for name, df in relations.items()}
+    return published.publish(spark, tables, out_dir, package, _as_of(report_date), fmt,
+                             {name: _folder(name) for name in tables})
+
+
+def current_package(spark: SparkSession, out_dir: str, package: str = "package",
+                    report_date: dt.date | None = None) -> dict[str, DataFrame]:
+    """The tables of the newest whole package (of a date); none where none is published."""
+    return published.read_current(spark, out_dir, package, report_date and _as_of(report_date))
 
 
 RETAIL_REPORTS: dict[str, Callable[[RetailModel], DataFrame]] = {
@@ -68,9 +68,9 @@ def export_report(m: RetailModel, report: str, out_dir: str, report_date: dt.dat
     spark = m.orders.sparkSession
     if report == "Full Export":
         return full_export(m, out_dir, report_date, fmt)
-    path, n = write_report(RETAIL_REPORTS[report](m), out_dir,
-                           report_file_name(report, report_date), report_date, fmt)
-    return _manifest(spark, [(report, path, n)])
+    name = report_file_name(report, report_date)
+    return export_package(spark, {name: RETAIL_REPORTS[report](m)}, out_dir, report_date, fmt,
+                          package=_folder(report)).withColumn("report", F.lit(report))
 
 
 def full_export(m: RetailModel, out_dir: str, report_date: dt.date,
@@ -78,14 +78,14 @@ def full_export(m: RetailModel, out_dir: str, report_date: dt.date,
     """SNK-02: three report views and three tables in one package."""
     rel = {name: fn(m) for name, fn in RETAIL_REPORTS.items()}
     rel.update({"Customers": m.customers, "Products": m.products, "Orders": m.orders})
-    return export_package(m.orders.sparkSession, rel, out_dir, report_date, fmt)
+    return export_package(m.orders.sparkSession, rel, out_dir, report_date, fmt, package="full_export")
 
 
 def batch_export(m: RetailModel, out_dir: str, report_date: dt.date,
                  fmt: str = "parquet") -> DataFrame:
     """SNK-03: the three retail reports in one action; returns the manifest."""
     rel = {report_file_name(name, report_date): fn(m) for name, fn in RETAIL_REPORTS.items()}
-    return export_package(m.orders.sparkSession, rel, out_dir, report_date, fmt)
+    return export_package(m.orders.sparkSession, rel, out_dir, report_date, fmt, package="batch_export")
 
 
 def flag_exceedances(df: DataFrame, table: str) -> DataFrame:
@@ -97,6 +97,7 @@ def flag_exceedances(df: DataFrame, table: str) -> DataFrame:
     return df.withColumn("flag_exceeds", F.lit(False))
 
 
+ERA_PACKAGE = "era"
 ERA_TABLES: dict[str, Callable[[EraModel], DataFrame]] = {
     "table_samples": reports.table_samples,
     "table_detection": reports.table_detection,
@@ -114,7 +115,7 @@ def era_package(m: EraModel, out_dir: str, site_name: str, report_date: dt.date,
     """
     rel = {name: flag_exceedances(fn(m), name) for name, fn in ERA_TABLES.items()}
     return export_package(m.samples.sparkSession, rel, out_dir, report_date, fmt,
-                          {"site_name": site_name, "report_date": report_date})
+                          {"site_name": site_name, "report_date": report_date}, ERA_PACKAGE)
 
 
 def read_package(spark: SparkSession, manifest: DataFrame, fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -122,13 +123,8 @@ def read_package(spark: SparkSession, manifest: DataFrame, fmt: str = "parquet")
 
     The manifest is a handful of rows (one per table), so it is collected.
     """
-    out = {}
-    for row in manifest.select("report", "path").collect():
-        r = spark.read.format(fmt)
-        if fmt == "csv":
-            r = r.option("header", "true")
-        out[row["report"]] = r.load(row["path"])
-    return out
+    return {row["report"]: published.open_table(spark, row["path"], fmt)
+            for row in manifest.select("report", "path").collect()}
 
 
 def fetch(df: DataFrame, limit: int):

@@ -14,6 +14,8 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import os
+import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,19 +87,46 @@ def _below(path: Column, directory: str) -> Column:
     return F.substring_index(path, root.rstrip("/") + "/", -1)
 
 
+#: Bytes of a file read at once for its first line.
+FIRST_BYTES = 1 << 16
+_LINE_END = re.compile(rb"\r\n|\n|\r")
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file (compressed ones by their ending); None for an empty
+    file. Only the file's beginning is read, whatever its length."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    target = hadoop.fs.Path(path)
+    stream = target.getFileSystem(conf).open(target)
+    try:
+        codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+        source = stream if codec is None else codec.createInputStream(stream)
+        data = b""
+        while more := bytes(source.readNBytes(FIRST_BYTES)):
+            data += more
+            if end := _LINE_END.search(data):
+                return data[:end.start()].decode("utf-8", "replace")
+        return data.decode("utf-8", "replace") if data else None
+    finally:
+        stream.close()
+
+
 def header_lines(spark: SparkSession, paths: list[str], recursive: bool = False) -> dict[str, list[str]]:
     """The distinct header lines of CSV files, each with its files.
 
-    One pass over the files' text, aggregated per file to its first line; what reaches
-    the driver is a line per distinct header and the file names that Spark's listing
-    holds there anyway.
+    Spark lists the files; of each only the first bytes are read, some files at a time,
+    over the file system it is on. What the driver holds is a line per distinct header
+    and the file names that Spark's listing holds there anyway.
     """
-    lines = (spark.read.option("recursiveFileLookup", str(recursive).lower()).text(paths)
-             .select("value", F.col("_metadata.file_path").alias("file"),
-                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    rows = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return {r["header"]: r["files"] for r in sorted(rows, key=lambda r: r["header"])}
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+              .load(paths).select("path", "length").filter("length > 0"))
+    files = sorted(r["path"] for r in listed.collect())
+    out: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for path, line in zip(files, pool.map(lambda f: first_line(spark, f), files)):
+            if line is not None:
+                out.setdefault(line, []).append(path)
+    return dict(sorted(out.items()))
 
 
 def _cells(line: str) -> list[str]:
@@ -436,7 +465,9 @@ def era_from_feeds(spark: SparkSession, locations: DataFrame, samples: DataFrame
 
 def full_refresh(df: DataFrame, path: str, fmt: str = "parquet",
                  partition_by: list[str] | None = None) -> str:
-    """ING-11: replace the target table with ``df`` (overwrite, not append)."""
+    """ING-11: replace the target table with ``df`` (overwrite in place, not append). Where
+    others read the table meanwhile, ``quarry.sinks.published.refresh`` keeps the old
+    version readable until the new one is whole."""
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

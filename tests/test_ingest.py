@@ -215,3 +215,27 @@ def test_views_in_dependency_order_and_sql(spark):
 
 def test_report_file_name():
     assert report_file_name("Monthly Summary", dt.date(2024, 5, 6)) == "monthly_summary_20240506"
+
+
+def test_headers_are_read_without_the_files(spark, tmp_path):
+    """Bytes read for the headers do not grow with the files' length."""
+    import gzip
+
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes(b"\xef\xbb\xbfsample_id,cas_rn\r\n" + b"S1,67-64-1\r\n" * 2_000_000)
+    (folder / "b.csv").write_text("sample_id,cas_rn,note\n" + "S2,71-43-2,x\n" * 1_000_000)
+    (folder / "c.csv").write_text("")
+    (folder / "d.csv").write_text("sample_id,cas_rn,note")
+    with gzip.open(folder / "e.csv.gz", "wt") as f:
+        f.write("sample_id,cas_rn,note\nS3,1-2-3,y\n")
+    wide = ",".join(f"column_{i}" for i in range(20_000))
+    (folder / "f.csv").write_text(wide + "\n" + "1" + "\n")
+    reads = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    total = lambda: sum(s.getBytesRead() for s in reads)
+    before = total()
+    found = feeds.header_lines(spark, [str(folder)])
+    assert total() - before < 2_000_000 < (folder / "a.csv").stat().st_size
+    names = {tuple(feeds._cells(line)): [f.rsplit("/", 1)[1] for f in files] for line, files in found.items()}
+    assert names.pop(tuple(wide.split(","))) == ["f.csv"]
+    assert names == {("sample_id", "cas_rn"): ["a.csv"], ("sample_id", "cas_rn", "note"): ["b.csv", "d.csv", "e.csv.gz"]}

@@ -3,8 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from quarry.sinks import export
+from quarry.sinks import export, published
 from tests.micro import era_micro, retail_micro
 
 
@@ -37,3 +38,40 @@ def test_retail_exports(spark, tmp_path):
     assert len(export.fetch(export.RETAIL_REPORTS["Customer Report"](m), 10)) == 3
     with pytest.raises(ValueError):
         export.fetch(m.orders, 2)
+
+
+def test_a_run_cut_short_leaves_the_old_package_readable(spark, tmp_path):
+    m, out, day = era_micro(spark), str(tmp_path), dt.date(2024, 5, 6)
+    export.era_package(m, out, "First", day)
+    good = m.results
+    # The run fails while its fourth table is written: three new tables lie there, unseen.
+    m.results = good.withColumn("result_value", F.when(F.col("cas_rn") == "A", F.raise_error(F.lit("lost"))).otherwise(F.col("result_value")))
+    with pytest.raises(Exception, match="lost"):
+        export.era_package(m, out, "Second", day)
+    tables = export.current_package(spark, out, export.ERA_PACKAGE)
+    assert set(tables) == set(export.ERA_TABLES)
+    assert {r.site_name for t in tables.values() for r in t.select("site_name").distinct().collect()} == {"First"}
+    m.results = good
+    export.era_package(m, out, "Third", day)
+    export.era_package(m, out, "Fourth", dt.date(2024, 6, 7))
+    assert {r.site_name for r in export.current_package(spark, out, export.ERA_PACKAGE, day)["table_epc"].collect()} == {"Third"}
+    assert {r.site_name for r in export.current_package(spark, out, export.ERA_PACKAGE)["table_epc"].collect()} == {"Fourth"}
+    # The first run's tables are still there until they are dropped; the newest of each date stays.
+    old = tables["table_epc"].count()
+    assert old == 6 and published.drop_superseded(spark, out, export.ERA_PACKAGE) == 1
+    assert export.current_package(spark, out, export.ERA_PACKAGE, day)["table_epc"].count() == 6
+    assert published.manifests(spark, out, export.ERA_PACKAGE).select("run").distinct().count() == 2
+    assert export.current_package(spark, out, "never published") == {}
+
+
+def test_refresh_keeps_the_old_version_until_the_new_one_is_whole(spark, tmp_path):
+    out = str(tmp_path)
+    published.refresh(spark.range(10), out, "samples")
+    before = published.read_table(spark, out, "samples")
+    with pytest.raises(Exception, match="lost"):
+        published.refresh(spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id")), out, "samples")
+    assert published.read_table(spark, out, "samples").count() == 10
+    published.refresh(spark.range(3).withColumn("k", F.col("id") % 2), out, "samples", partition_by=["k"])
+    assert published.read_table(spark, out, "samples").count() == 3 and before.count() == 10
+    with pytest.raises(ValueError):
+        published.read_table(spark, out, "other")
