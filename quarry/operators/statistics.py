@@ -94,6 +94,17 @@ def moments(f: DataFrame, keys: list[str], det_sums: bool = True,
 _ADDED = ("n", "n_det", "n_nd", "v_det", "v_nd")
 
 
+def merged_units(per_unit: DataFrame) -> DataFrame:
+    """Moments per (cas_rn, matrix_code, result_unit) merged per pair, with its unit."""
+    sums = [c for c in per_unit.columns if c.startswith(("sum_", "sq_"))]
+    return per_unit.groupBy("cas_rn", "matrix_code").agg(
+        *[F.sum(c).alias(c) for c in _ADDED],
+        F.min("min_det").alias("min_det"), F.max("max_det").alias("max_det"),
+        F.max("max_dl_nd").alias("max_dl_nd"),
+        *[F.sum(c).alias(c) for c in sums],
+        F.min("result_unit").alias("result_unit"))
+
+
 def pair_moments(f: DataFrame, det_sums: bool = True, x_sums: bool = True) -> DataFrame:
     """``moments`` per (cas_rn, matrix_code) plus the group's unit.
 
@@ -102,14 +113,7 @@ def pair_moments(f: DataFrame, det_sums: bool = True, x_sums: bool = True) -> Da
     units of a pair are merged in a second aggregation over one row per pair
     and unit. Sums re-add exactly (DECIMAL), counts add, min/max compose.
     """
-    per_unit = moments(f, ["cas_rn", "matrix_code", "result_unit"], det_sums, x_sums)
-    sums = [c for c in per_unit.columns if c.startswith(("sum_", "sq_"))]
-    return per_unit.groupBy("cas_rn", "matrix_code").agg(
-        *[F.sum(c).alias(c) for c in _ADDED],
-        F.min("min_det").alias("min_det"), F.max("max_det").alias("max_det"),
-        F.max("max_dl_nd").alias("max_dl_nd"),
-        *[F.sum(c).alias(c) for c in sums],
-        F.min("result_unit").alias("result_unit"))
+    return merged_units(moments(f, ["cas_rn", "matrix_code", "result_unit"], det_sums, x_sums))
 
 
 def sample_sd(s: str, ss: str, n: Column) -> Column:
@@ -149,9 +153,9 @@ def _pair_counts(m: EraModel) -> DataFrame:
                  sum_when(F.col("detect_flag") == "N").alias("n_nd")))
 
 
-def detection_frequency(m: EraModel) -> DataFrame:
+def detection_frequency(m: EraModel, state: DataFrame | None = None) -> DataFrame:
     """ERA-15: analyte, group, matrix, unit -> n, detects, non-detects, % (1 dp)."""
-    p = (_pair_counts(m)
+    p = ((_pair_counts(m) if state is None else state)
          .join(m.analytes.select("cas_rn", "analyte_name", "analyte_group"), "cas_rn", "left")
          .join(m.matrix.select("matrix_code", "matrix_name"), "matrix_code", "left"))
     g = (p.groupBy("analyte_name", "analyte_group", "matrix_name", "result_unit")
@@ -192,17 +196,21 @@ def analyte_observations(m: EraModel, cas_rn, matrix_code: str) -> DataFrame:
 
 # --------------------------------------------------------------- STAT-A
 
-def analyte_statistics(m: EraModel) -> DataFrame:
-    """ERA-18 (STAT-A) for every (analyte, matrix) pair at once.
+def analyte_statistics(m: EraModel, state: DataFrame | None = None) -> DataFrame:
+    """ERA-18 (STAT-A) for every (analyte, matrix) pair at once; from the merged
+    ``state`` (``quarry.plans.state.pairs``) where one is given.
 
     Detect frequency >= 80%: t-UCL on substituted values; >= 50%: z-UCL
     (z = 1.645); any detect: the maximum detect; none: half the largest DL.
     A single row gives its own value for the UCL branches.
     """
-    f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag"],
-                    sample_cols=["matrix_code"])
-    g = moments(f.filter(F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()),
-                ["cas_rn", "matrix_code"])
+    keyed = F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()
+    if state is not None:
+        g = merged_units(state.filter(keyed))
+    else:
+        f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag"],
+                        sample_cols=["matrix_code"])
+        g = moments(f.filter(keyed), ["cas_rn", "matrix_code"])
     n, nd = F.col("n"), F.col("n_det")
     used = nd + F.col("n_nd")  # rows with a substituted value
     mean_x = F.when(all_known(), ratio("sum_x", used))
@@ -242,7 +250,7 @@ def _pair_level() -> Column:
     return F.when(mc == "SO", F.col("rsl_residential_soil_mg_kg")).when(mc == "GW", F.col(TAP))
 
 
-def epc_summary(m: EraModel) -> DataFrame:
+def epc_summary(m: EraModel, state: DataFrame | None = None) -> DataFrame:
     """ERA-19 (STAT-B): exposure point concentration of every COPC pair.
 
     A pair (analyte, SO or GW) is a COPC when one of its detects exceeds the
@@ -255,12 +263,16 @@ def epc_summary(m: EraModel) -> DataFrame:
     else the maximum detect; else half the largest DL. HQ = EPC / threshold
     (2 dp), NULL when either is 0 or missing.
     """
-    f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag",
-                                    "result_unit"],
-                    sample_cols=["matrix_code"])
-    f = f.filter(F.col("matrix_code").isin("SO", "GW"))
+    leveled = F.col("matrix_code").isin("SO", "GW")
+    if state is not None:
+        g = merged_units(state.filter(leveled))
+    else:
+        f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag",
+                                        "result_unit"],
+                        sample_cols=["matrix_code"])
+        g = pair_moments(f.filter(leveled), det_sums=False)
     lv = m.levels.select("cas_rn", "rsl_residential_soil_mg_kg", TAP)
-    g = (pair_moments(f, det_sums=False).join(lv, "cas_rn", "inner")
+    g = (g.join(lv, "cas_rn", "inner")
          .withColumn("rsl", _pair_level())
          .filter(F.col("max_det") > F.col("rsl")))
     n, nd = F.col("n"), F.col("n_det")
@@ -289,14 +301,18 @@ def epc_summary(m: EraModel) -> DataFrame:
 
 # --------------------------------------------------------------- STAT-C
 
-def table_epc(m: EraModel) -> DataFrame:
+def table_epc(m: EraModel, state: DataFrame | None = None) -> DataFrame:
     """RPT-05 (STAT-C): EPC of every detected (analyte, matrix) pair from
     detects only: 95% UCL (t) with 4 or more detects, else the maximum."""
-    f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag",
-                                    "result_unit"],
-                    sample_cols=["matrix_code"], detects_only=True)
-    g = pair_moments(f.filter(F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()),
-                     x_sums=False)
+    keyed = F.col("cas_rn").isNotNull() & F.col("matrix_code").isNotNull()
+    if state is not None:
+        # The detects of a state's row are its rows here; units without any do not count.
+        g = merged_units(state.filter(keyed & (F.col("n_det") > 0)).withColumn("n", F.col("n_det")))
+    else:
+        f = result_rows(m, result_cols=["result_value", "detection_limit", "detect_flag",
+                                        "result_unit"],
+                        sample_cols=["matrix_code"], detects_only=True)
+        g = pair_moments(f.filter(keyed), x_sums=False)
     n = F.col("n")
     mean_d = F.when(detects_known(), ratio("sum_det", "n"))
     epc = F.when(n >= 4, mean_d + t95(n - 1) * (sample_sd("sum_det", "sq_det", n) / root(n))) \
@@ -319,7 +335,16 @@ def table_epc(m: EraModel) -> DataFrame:
 
 # --------------------------------------------------------------- ERA-20
 
-def background_comparison(m: EraModel) -> DataFrame:
+def place_values(detects: DataFrame) -> DataFrame:
+    """Detects per analyte, matrix and location: counts, min, max and exact sum."""
+    return (detects.groupBy("cas_rn", "matrix_code", "location_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("result_value").alias("min_val"),
+                 F.max("result_value").alias("max_val"),
+                 F.sum(F.col("result_value").cast("decimal(38,6)")).alias("_sum"),
+                 F.count("result_value").alias("_values")))
+
+
+def background_comparison(m: EraModel, state: DataFrame | None = None) -> DataFrame:
     """ERA-20: detects by analyte, matrix and area (Background when the
     location name contains "Background", else Site): n, min, max, mean (4 dp, of
     the detects that have a value).
@@ -327,13 +352,10 @@ def background_comparison(m: EraModel) -> DataFrame:
     Detects are reduced per (analyte, matrix, location) first; the location
     name - and so the area - is attached to that reduced relation.
     """
-    f = sample_fact(m, ["cas_rn", "result_value", "detect_flag"], ["matrix_code", "location_id"])
-    per_loc = (f.filter(detected())
-               .groupBy("cas_rn", "matrix_code", "location_id")
-               .agg(F.count(F.lit(1)).alias("n"), F.min("result_value").alias("min_val"),
-                    F.max("result_value").alias("max_val"),
-                    F.sum(F.col("result_value").cast("decimal(38,6)")).alias("_sum"),
-                    F.count("result_value").alias("_values")))
+    per_loc = state
+    if per_loc is None:
+        f = sample_fact(m, ["cas_rn", "result_value", "detect_flag"], ["matrix_code", "location_id"])
+        per_loc = place_values(f.filter(detected()))
     loc = m.locations.select("location_id", "location_name")
     area = (F.when(F.col("location_name").contains("Background"), F.lit("Background"))
             .otherwise(F.lit("Site")))

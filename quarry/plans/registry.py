@@ -8,6 +8,7 @@ per parameter combination with a different meaning.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial
@@ -18,10 +19,13 @@ from pyspark.sql.types import DecimalType
 
 from quarry.functions.classify import analyte_group
 from quarry.operators import catalog, censored, era_views, quality, reports, retail, screening, statistics, units
-from quarry.plans import store
+from quarry.plans import state, store
+from quarry.plans.era_base import SAMPLE_ATTRS, sample_fact
+from quarry.session import scratch_path
+from quarry.sinks import upsert
 from quarry.sources import feeds
 from quarry.sources.model import EraModel, RetailModel, era_from_driver
-from quarry.sources.tables import read_table
+from quarry.sources.tables import by_footers, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,8 +73,9 @@ def _both(op) -> Query:
 
 
 def _model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    t = dict(retail_model(spark, sf_dir).tables())
-    t.update(era_model(spark, sf_dir).tables())
+    """All tables, for counts: from file footers where a table is stored as it is."""
+    t = dict(store.counting_model(spark, sf_dir, "retail").tables())
+    t.update(store.counting_model(spark, sf_dir, "era").tables())
     return t
 
 
@@ -80,8 +85,9 @@ LOADED_SOURCES = {"customer": "customer.parquet", "nation": "nation.parquet",
 
 
 def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.row_counts({name: (read_table(spark, sf_dir, name), src)
-                               for name, src in LOADED_SOURCES.items()})
+    with by_footers(spark):
+        return catalog.row_counts({name: (read_table(spark, sf_dir, name), src)
+                                   for name, src in LOADED_SOURCES.items()})
 
 
 def _null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +156,41 @@ def _levels_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "update_date")
 
 
+def _levels_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-08 on a target in buckets: of a second load, one part in eight, only the
+    buckets it touches are read and written."""
+    part = cas_text(read_table(spark, sf_dir, "part"))
+
+    def level(rows: DataFrame, times: int, day: str) -> DataFrame:
+        sheet = rows.select("cas_rn", "analyte_name",
+                            (F.col("p_size") * times).cast("string").alias("rsl_residential_soil_mg_kg"))
+        return feeds.load_screening_levels(sheet, dt.date.fromisoformat(day))
+
+    path = scratch_path(spark, f"levels-{uuid.uuid4().hex}")
+    upsert.create(feeds.upsert_replace_levels(None, [level(part, 2000, "2024-01-01")]), path, "cas_rn")
+    upsert.upsert(spark, path, "cas_rn", level(part.filter(F.col("p_partkey") % 8 == 0), 2500, "2024-06-01"),
+                  lambda old, new: feeds.upsert_replace_levels(old, [new]))
+    return upsert.read(spark, path).select("cas_rn", "analyte_name", "rsl_residential_soil_mg_kg", "update_date")
+
+
+#: Deliveries the driver's results are cut into for the keys that merge statistics.
+DELIVERIES = 3
+
+
+def _by_delivery(report: Callable[[EraModel, DataFrame], DataFrame], kept=state.pairs) -> Query:
+    """A report from the merged state of deliveries, each added by itself."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = era_model(spark, sf_dir)
+        path = scratch_path(spark, f"statistics-{uuid.uuid4().hex}")
+        part = F.pmod(F.xxhash64("result_id"), F.lit(DELIVERIES))
+        fact = sample_fact(m, ["result_id", *[c for c in m.results.columns if c != "result_id"]], list(SAMPLE_ATTRS))
+        for k in range(DELIVERIES):
+            state.add_delivery(replace(m, results=m.results.filter(part == k), fact=fact.filter(part == k)), path, f"d{k}")
+        return report(m, kept(spark, path))
+
+    return run
+
+
 def _levels_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING-09: the analytes of a threshold list with their groups; known ones stay."""
     part = cas_text(read_table(spark, sf_dir, "part"))
@@ -208,6 +249,7 @@ def registry() -> dict[str, Query]:
         "analytes_upsert": _analytes_upsert,
         "levels_upsert": _levels_upsert,
         "levels_grouped": _levels_grouped,
+        "levels_touched": _levels_touched,
         "orders_typed": _orders_typed,
         # catalog (CAT-01, 03, 04)
         "table_inventory": lambda spark, d: catalog.table_inventory(_model_tables(spark, d)),
@@ -230,7 +272,7 @@ def registry() -> dict[str, Query]:
         "location_summary": _era(era_views.location_summary),
         "exceedances": _era(era_views.exceedances),
         "copcs_view": _era(era_views.copcs_view),
-        "load_summary": _era(era_views.load_summary),
+        "load_summary": lambda spark, d: era_views.load_summary(store.counting_model(spark, d, "era")),
         "matrix_distribution": _era(era_views.matrix_distribution),
         "qualifier_distribution": _era(era_views.qualifier_distribution),
         "rsl_coverage": _era(era_views.rsl_coverage),
@@ -259,6 +301,12 @@ def registry() -> dict[str, Query]:
         "analyte_km": _era(censored.kaplan_meier),
         "analyte_ros": _era(censored.order_statistics),
         "analyte_fit": _era(censored.goodness_of_fit),
+        # from statistics kept per delivery
+        "analyte_statistics_by_delivery": _by_delivery(statistics.analyte_statistics),
+        "epc_summary_by_delivery": _by_delivery(statistics.epc_summary),
+        "table_epc_by_delivery": _by_delivery(statistics.table_epc),
+        "detection_frequency_by_delivery": _by_delivery(statistics.detection_frequency),
+        "background_comparison_by_delivery": _by_delivery(statistics.background_comparison, state.places),
         # units, basis, moisture and dilution (section 2.9)
         "results_comparable": _lab(partial(units.comparable_results, diluted=True)),
         "unit_mismatches": _lab(units.unit_mismatches),

@@ -39,7 +39,7 @@ from quarry.plans.era_base import SAMPLE_ATTRS, analyte_dimension
 from quarry.session import scratch_path
 from quarry.sources import reference_data as ref
 from quarry.sources.model import EraModel, RetailModel, era_from_driver, retail_from_driver
-from quarry.sources.tables import table_path
+from quarry.sources.tables import by_footers, table_path
 
 INPUTS = {"era": ("customer", "part", "orders", "lineitem"),
           "retail": ("customer", "nation", "region", "part", "orders", "lineitem")}
@@ -221,6 +221,19 @@ def model(spark: SparkSession, sf_dir: str, kind: str) -> EraModel | RetailModel
     return _adapted(spark, sf_dir, kind)
 
 
+def counting_model(spark: SparkSession, sf_dir: str, kind: str) -> EraModel | RetailModel:
+    """``model`` over tables that answer counts from their files' footers."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key in _CURRENT:
+        load(spark, sf_dir, kind)
+    with by_footers(spark):
+        adapted = _adapted(spark, sf_dir, kind)
+        if key not in _CURRENT:
+            return adapted
+        root = _CURRENT[key][1]
+        return read_era(spark, root, adapted) if kind == "era" else read_retail(spark, root)
+
+
 def forget(spark: SparkSession) -> None:
     """Queries of this application go back to the adapters."""
     for key in [k for k in _CURRENT if k[0] == spark.sparkContext.applicationId]:
