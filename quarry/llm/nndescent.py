@@ -17,9 +17,11 @@ ever gathered whole. Work between the rounds is written to the shared folder.
 
 Cosine is computed in double precision. Defined cases: vectors that are null, empty,
 zero, or hold a null or non-finite component link with nothing (n_links 0, their own
-component); vectors of different lengths link with nothing of another length. Rows
-that share an id share its links. An empty table gives an empty result. Other
-columns are ignored, whatever their names.
+component); vectors of different lengths link with nothing of another length. Every row
+gives a row: repeated rows count each other as links, rows that share an id but not a
+vector have each their own links, and a null id is no smallest id (the component of null
+ids alone is null). An empty table gives an empty result. Other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -43,22 +45,24 @@ def _matrix(vectors: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def nodes_of(rows: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
-    """(nodes, members): distinct usable vectors (node, copies, dim, vec) with node the
-    smallest id, and (id, node) of every row, node null for unusable vectors."""
+def nodes_of(rows: DataFrame, key: str, vector: str, attempts: int = 20) -> tuple[DataFrame, DataFrame]:
+    """(nodes, members): the distinct usable vectors (node, same, copies, low, dim, vec),
+    ``low`` their smallest id, and (id, same) of every row, ``same`` null for unusable
+    vectors. A node is named by its content, never by an id, which may have several."""
     v = F.col("vec")
     usable = v.isNotNull() & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))), F.lit(False)) \
         & F.exists(v, lambda x: x != 0)
-    all_rows = rows.select(F.col(key).alias("id"), F.col(vector).alias("vec"))
-    good = all_rows.where(F.coalesce(usable, F.lit(False)))
-    # 256 bits of the vector's exact values stand for it; ids travel, not vectors.
-    good = good.withColumn("same", F.sha2(F.to_json(F.struct("vec")), 256))
-    classes = good.groupBy("same").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
-    ids = good.select("id", "same").join(classes.select("same", "node"), "same").select("id", "node")
-    first = (good.join(classes, (good.same == classes.same) & (good.id == classes.node))
-             .select("node", "copies", F.size("vec").alias("dim"), "vec").dropDuplicates(["node"]))
-    members = all_rows.select("id").distinct().join(ids.distinct(), "id", "left")
-    return materialise(first, "nodes"), members
+    # 256 bits of the vector's exact values stand for it.
+    same = F.when(F.coalesce(usable, F.lit(False)), F.sha2(F.to_json(F.struct("vec")), 256))
+    all_rows = rows.select(F.col(key).alias("id"), F.col(vector).alias("vec")).withColumn("same", same)
+    classes = (all_rows.where(F.col("same").isNotNull()).groupBy("same")
+               .agg(F.count("*").alias("copies"), F.min("id").alias("low"), F.first("vec").alias("vec")))
+    for attempt in range(attempts):
+        nodes = materialise(classes.select(F.xxhash64("same", F.lit(attempt)).alias("node"), "same", "copies", "low",
+                                           F.size("vec").alias("dim"), "vec"), "nodes")
+        if nodes.groupBy("node").count().where("count > 1").isEmpty():
+            return nodes, all_rows.select("id", "same")
+    raise RuntimeError("no distinct numbers for the distinct vectors")
 
 
 def leaf_edges(nodes: DataFrame, n: int, k: int, trees: range, leaf: int, seed: int) -> DataFrame:
@@ -215,7 +219,7 @@ def near_duplicates(rows: DataFrame, *, key: str = "vec_id", vector: str = "embe
                     k: int = 6, trees: int = 8, leaf: int = 128, rounds: int = 6, settled: float = 0.01,
                     block: int = 64, cell: int = 512, audit_queries: int = 512, least_recall: float = 0.97,
                     most_searches: int = 4, seed: int = 31) -> DataFrame:
-    """One row per id: ``key``, n_links, component_id, kept, audit_recall. Raises when the
+    """One row per row: ``key``, n_links, component_id, kept, audit_recall. Raises when the
     audited recall is below ``least_recall`` after ``most_searches``, each with twice the
     trees of the one before."""
     nodes, members = nodes_of(rows, key, vector)
@@ -232,11 +236,14 @@ def near_duplicates(rows: DataFrame, *, key: str = "vec_id", vector: str = "embe
             break
     else:
         raise RuntimeError(f"audited recall {recall:.4f} is below {least_recall} after {most_searches} searches")
-    by_node = (nodes.select("node", "copies").join(comp, "node", "left").join(links, "node", "left")
-               .select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                       F.coalesce("component", "node").alias("component_id")))
-    out = members.join(by_node, "node", "left")
+    named = nodes.select("node", "same", "copies", "low").join(comp, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("low").alias("component_id"))
+    # Written, so that a vector that a third of all rows hold is split in the join below.
+    by_same = materialise(named.join(links, "node", "left").join(least, "component").select(
+        "same", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "classes")
+    out = members.join(by_same, "same", "left")
+    component = F.when(F.col("same").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("component_id", "id").alias("component_id"),
-                      F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)).alias("kept"),
+                      component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"),
                       F.lit(float(recall)).alias("audit_recall"))

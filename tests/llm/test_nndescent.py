@@ -78,3 +78,21 @@ def test_a_large_cluster_does_not_hide_missed_pairs(spark):
     rows = nodes.selectExpr("node as vec_id", "vec as embedding").where("vec_id >= 60")
     with pytest.raises(RuntimeError, match="recall"):
         nndescent.near_duplicates(rows, most_searches=1, least_recall=1.5)
+
+
+def test_repeated_rows_and_ids(spark):
+    """Every row its row: an id on two vectors keeps both vectors' links, copies and null
+    ids count, ties of equal similarity are links all the same."""
+    a, b = [1.0, 0.0, 0.0, 0.2], [0.0, 1.0, 0.0, 0.0]
+    near_a, near_b = [1.0, 0.1, 0.0, 0.2], [0.0, 1.0, 0.2, 0.0]
+    other_b = [0.0, 1.0, -0.2, 0.0]  # as far from b as near_b is
+    rows = [(1, a), (1, b), (2, near_a), (3, near_b), (4, other_b), (5, a), (5, a), (None, near_b), (None, [0.0, 0.0, 0.0, 1.0]),
+            (7, None), (7, None), (None, None), (8, [0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(nndescent.near_duplicates(df).drop("audit_recall").collect(), key=str)
+    want = [(1, 3, 1, True), (1, 3, 1, True), (2, 3, 1, False), (3, 3, 1, False), (4, 3, 1, False), (5, 3, 1, False), (5, 3, 1, False),
+            (None, 3, 1, False), (None, 0, None, True), (7, 0, 7, True), (7, 0, 7, True), (None, 0, None, True), (8, 0, 8, True)]
+    # b: near_b twice and other_b; near_b: b, its copy, other_b (cosine 0.923); other_b: b and near_b twice.
+    assert [tuple(r) for r in got] == sorted(want, key=lambda r: str(type(got[0])(*r)))
+    n, comp = truth([v for _, v in rows])
+    assert sorted(r.n_links for r in got) == sorted(n)
