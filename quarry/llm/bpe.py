@@ -2,29 +2,35 @@
 
 A pre-token starts as its characters. An agenda holds every neighbouring pair whose
 union is a piece, best rank first and leftmost on ties; a popped pair is merged,
-unless a keyed hash of its stream, place and piece falls below ``dropout``, in which
-case that candidate is gone for good. Each document takes one of ``variants``
-streams by a keyed hash of its id, so the same word is cut differently in different
-documents, while a re-run cuts everything as before. With ``dropout`` 0 the
-result is the library's own encoding.
+unless the draw for this candidate drops it, in which case it is gone for good. The draws
+are keyed by the seed, the document's id and the pre-token's number in it: every
+occurrence of a word is cut by itself, and a re-run cuts everything as before. As each
+candidate is dropped with the same chance, what is drawn is the number of candidates up
+to the next dropped one. With ``dropout`` 0 the result is the library's own encoding.
+
+What a worker remembers of a pre-token depends on no draw: the segmentation where nothing
+is dropped, the one where the first candidate is, the second, and so on, each made when
+first asked for. An occurrence looks up the number of candidates it lets through, and
+goes on from there if a drop lies before the last of them. Draws are made for all
+occurrences of a batch at once.
 
 Decoding gives the text back exactly, whatever was dropped: spaces are pieces,
 other characters outside the vocabulary are bytes, and so is a literal space mark.
 
 Defined cases: a null text encodes to null ids (decoded: null), an empty one to no
-ids. Repeated rows are encoded alike. A null id takes stream 0. Other columns are
+ids. Repeated rows are encoded alike. A null id is an id of its own. Other columns are
 carried; one named like an output column is replaced by it.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,20 +40,37 @@ from quarry.llm.common import carried, unused, worker_cache
 from quarry.llm.pieces import SPACE, Vocabulary
 
 
-
 #: Parts up to this long keep their agenda as a plain list that is scanned for its
-#: best entry, which is quicker than a heap there; the result is the same.
+#: best entry, which is quicker than a heap there; the result is the same. Pre-tokens up
+#: to this long are remembered.
 _SHORT = 40
 _NONE = 1 << 60
+#: More candidates than a remembered pre-token can have: each merge makes two new ones.
+_MOST_CANDIDATES = 3 * _SHORT + 8
+
+
+class Drops:
+    """The candidates to drop, by their number among all that are popped."""
+
+    def __init__(self, numbers: Iterator[int]) -> None:
+        self.numbers, self.at = numbers, 0
+        self.next = next(numbers, _NONE)
 
+    def drop(self) -> bool:
+        """Whether the candidate now popped is dropped."""
+        self.at += 1
+        if self.at <= self.next:
+            return False
+        self.next = next(self.numbers, _NONE)
+        return True
 
-def merge_part(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[str]:
-    """Segment one part. A candidate is dropped where the hash of its place (its
-    first character's) and piece under ``key`` is below ``limit``."""
+
+def merge_part(s: str, vocabulary: Vocabulary, drops: Drops) -> list[str]:
+    """Segment one part."""
     if len(s) > _SHORT:
-        return _merge_long(s, vocabulary, limit, key)
-    rank, none, hashed = vocabulary.rank.get, _NONE, xxhash.xxh64_intdigest
-    symbols, starts = list(s), list(range(len(s)))
+        return _merge_long(s, vocabulary, drops)
+    rank, none = vocabulary.rank.get, _NONE
+    symbols = list(s)
     agenda = [rank(a + b, none) for a, b in zip(s, s[1:])]
     left = len(agenda)
     while left:
@@ -55,12 +78,14 @@ def merge_part(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[str
         if best == none:
             break
         i = agenda.index(best)
-        joined = symbols[i] + symbols[i + 1]
-        if limit and hashed(f"{starts[i]}:{joined}", key) < limit:
+        drops.at += 1
+        if drops.at > drops.next:
+            drops.next = next(drops.numbers, none)
             agenda[i] = none
             continue
+        joined = symbols[i] + symbols[i + 1]
         symbols[i] = joined
-        del symbols[i + 1], starts[i + 1], agenda[i]
+        del symbols[i + 1], agenda[i]
         left -= 1
         if i < left:
             agenda[i] = rank(joined + symbols[i + 1], none)
@@ -69,7 +94,7 @@ def merge_part(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[str
     return symbols
 
 
-def _merge_long(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[str]:
+def _merge_long(s: str, vocabulary: Vocabulary, drops: Drops) -> list[str]:
     """The same with a heap: n log n for parts of any length."""
     rank, n = vocabulary.rank, len(s)
     symbol: list[str | None] = list(s)
@@ -86,7 +111,7 @@ def _merge_long(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[st
         if rank.get(joined) != popped or waiting.get(i) != joined:
             continue  # one side has changed since
         del waiting[i]
-        if limit and xxhash.xxh64_intdigest(f"{i}:{joined}", key) < limit:
+        if drops.drop():
             continue
         symbol[i], symbol[j] = joined, None
         waiting.pop(j, None)
@@ -105,30 +130,153 @@ def _merge_long(s: str, vocabulary: Vocabulary, limit: int, key: int) -> list[st
     return [x for x in symbol if x is not None]
 
 
-class _Known(dict):
-    """pre-token -> ids of one stream, computed when first asked for."""
-
-    def __init__(self, segmenter: "Segmenter", stream: int) -> None:
-        super().__init__()
-        self.segmenter, self.stream = segmenter, stream
-
-    def __missing__(self, token: str) -> bytes:
-        self.segmenter.size += 1
-        ids = self[token] = self.segmenter.token(token, self.stream)
-        return ids
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A well mixed word of each (the finaliser of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _times(x: np.ndarray) -> np.ndarray:
+    """A multiple of the step for each number, modulo 2^64."""
+    return np.asarray(x).astype(np.uint64) * np.array([_STEP])
+
+
+class Agendas:
+    """The agendas of many short pre-tokens worked on at once, each step popping one
+    candidate of every one of them; the same as ``merge_part`` on each."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        names = list(vocabulary.ids) + sorted({c for p in vocabulary.ids for c in p if c not in vocabulary.ids})
+        number = {x: i for i, x in enumerate(names)}
+        self.of_char = {c: i for c, i in number.items() if len(c) == 1}
+        self.ids = np.array([vocabulary.ids.get(x, -1) for x in names], dtype=np.int32)
+        self.n = len(names)
+        pairs = [(number[p[:k]] * self.n + number[p[k:]], vocabulary.rank[p], number[p]) for p in vocabulary.ids
+                 for k in range(1, len(p)) if p[:k] in number and p[k:] in number]
+        table = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 3)
+        self.pairs, self.ranks, self.joined = (np.ascontiguousarray(c) for c in table.T)
+
+    def pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and number of the union of two symbols; ``_NONE`` where it is no piece."""
+        if not len(self.pairs):
+            return np.full(a.shape, _NONE), np.zeros(a.shape, dtype=np.int64)
+        key = a * self.n + b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        fits = (self.pairs[at] == key) & (a >= 0) & (b >= 0)
+        return np.where(fits, self.ranks[at], _NONE), self.joined[at]
+
+    def run(self, words: list[str], paths: list[tuple[int, ...]]) -> tuple[list[bytes | None], np.ndarray]:
+        """Ids of each word (None where it holds what is no piece) and the number of
+        candidates popped, the candidates of its path being dropped."""
+        n, width = len(words), max(map(len, words)) + 1
+        sizes = np.array([len(w) for w in words])
+        symbol = np.full((n, width), -1, dtype=np.int64)
+        flat = np.fromiter((self.of_char.get(c, -1) for w in words for c in w), dtype=np.int64, count=int(sizes.sum()))
+        symbol[np.arange(width)[None, :] < sizes[:, None]] = flat
+        alive = np.arange(width)[None, :] < sizes[:, None]
+        after = np.tile(np.arange(1, width + 1), (n, 1))
+        before = np.tile(np.arange(-1, width - 1), (n, 1))
+        agenda = np.full((n, width), _NONE, dtype=np.int64)
+        agenda[:, :-1], joins = self.pair(symbol[:, :-1], symbol[:, 1:])
+        joined = np.zeros((n, width), dtype=np.int64)
+        joined[:, :-1] = joins
+        drops = np.full((n, max(map(len, paths)) + 1), _NONE, dtype=np.int64)
+        for i, path in enumerate(paths):
+            drops[i, :len(path)] = path
+        popped, passed = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        rows = np.arange(n)
+        while len(rows):
+            best = agenda[rows].argmin(axis=1)
+            some = agenda[rows, best] < _NONE
+            rows, best = rows[some], best[some]
+            gone = popped[rows] == drops[rows, passed[rows]]
+            popped[rows] += 1
+            agenda[rows[gone], best[gone]] = _NONE
+            passed[rows[gone]] += 1
+            r, i = rows[~gone], best[~gone]
+            j = after[r, i]
+            symbol[r, i] = joined[r, i]
+            alive[r, j] = False
+            agenda[r, j] = _NONE
+            k = after[r, j]
+            after[r, i] = k
+            inside = k < sizes[r]
+            before[r[inside], k[inside]] = i[inside]
+            agenda[r, i] = _NONE
+            agenda[r[inside], i[inside]], joined[r[inside], i[inside]] = self.pair(symbol[r[inside], i[inside]], symbol[r[inside], k[inside]])
+            h = before[r, i]
+            led = h >= 0
+            agenda[r[led], h[led]], joined[r[led], h[led]] = self.pair(symbol[r[led], h[led]], symbol[r[led], i[led]])
+        found = np.where(symbol >= 0, self.ids[symbol], -1)
+        whole = ~((found < 0) & alive).any(axis=1)
+        ends = np.cumsum(alive.sum(axis=1)) * 4
+        data, out, at = found[alive].astype(np.int32).tobytes(), [], 0
+        for end, good in zip(ends.tolist(), whole.tolist()):
+            out.append(data[at:end] if good else None)
+            at = end
+        return out, popped
 
 
 class Segmenter:
-    """Encodes pre-tokens; remembers up to ``most`` of their segmentations per worker."""
-
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 500_000) -> None:
-        self.v, self.seed, self.most = vocabulary, seed, most
-        self.limit = min(int(dropout * 2.0 ** 64), 2 ** 64)
-        self.known: dict[int, _Known] = {}
-        self.size = 0
-
-    def part(self, s: str, stream: int) -> bytes:
-        symbols = merge_part(s, self.v, self.limit, self.seed * 1_000_003 + stream)
+    """Encodes pre-tokens; remembers up to ``most`` of their segmentations per worker.
+
+    A remembered segmentation is a node: its ids, the number of candidates popped after
+    its last drop, and by the number let through before a further drop the next node."""
+
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 600_000) -> None:
+        self.v, self.seed, self.most, self.dropout = vocabulary, seed, most, dropout
+        self.agendas = Agendas(vocabulary)
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids: list[bytes] = []
+        self.paths: list[tuple[str, tuple[int, ...]]] = []
+        self.left = np.zeros(1024, dtype=np.int64)
+        self.first: dict[str, int] = {}
+        self.further: dict[int, int] = {}
+
+    def _nodes(self, asked: list[tuple[str, tuple[int, ...]]]) -> range:
+        """New nodes of pre-tokens and the candidates dropped."""
+        start = len(self.ids)
+        end = start + len(asked)
+        if end > len(self.left):
+            self.left = np.concatenate([self.left, np.zeros(max(end, 2 * start), dtype=np.int64)])
+        self.ids += [b""] * len(asked)
+        self.paths += asked
+        by_width: dict[int, list[int]] = {}
+        for i, (token, _) in enumerate(asked):
+            by_width.setdefault(-(-len(token) // 6), []).append(i)
+        for places in by_width.values():
+            for at in range(0, len(places), 8192):
+                some = places[at:at + 8192]
+                ids, popped = self.agendas.run([asked[i][0].replace(" ", SPACE) for i in some], [asked[i][1] for i in some])
+                for i, x, n in zip(some, ids, popped.tolist()):
+                    token, path = asked[i]
+                    if x is None or token == SPACE:
+                        drops = Drops(iter(path))
+                        x, n = self.token(token, drops), drops.at
+                    self.ids[start + i] = x
+                    self.left[start + i] = n - (path[-1] + 1 if path else 0)
+        return range(start, end)
+
+    def _further_nodes(self, keys: list[int]) -> None:
+        asked = []
+        for key in keys:
+            node, let_through = divmod(key, _MOST_CANDIDATES)
+            token, path = self.paths[node]
+            asked.append((token, (*path, (path[-1] + 1 if path else 0) + let_through)))
+        self.further.update(zip(keys, self._nodes(asked)))
+
+    def token(self, t: str, drops: Drops) -> bytes:
+        """The ids of a pre-token; long ones are cut where no piece crosses."""
+        if t == SPACE:
+            return np.array(self.v.fallback(t), dtype=np.int32).tobytes()
+        parts = [t.replace(" ", SPACE)] if len(t) <= _SHORT else self.v.parts(t)
+        symbols = [x for s in parts for x in merge_part(s, self.v, drops)]
         try:
             return array("i", map(self.v.ids.__getitem__, symbols)).tobytes()
         except KeyError:
@@ -138,19 +286,62 @@ class Segmenter:
                 out += self.v.fallback(piece) if i is None else [i]
             return array("i", out).tobytes()
 
-    def token(self, t: str, stream: int) -> bytes:
-        parts = self.v.parts(t)
-        if not parts:
-            return np.array(self.v.fallback(t), dtype=np.int32).tobytes()
-        return b"".join([self.part(s, stream) for s in parts])
-
-    def encode(self, text: str, stream: int) -> np.ndarray:
-        if self.size > self.most:
-            self.known, self.size = {}, 0
-        known = self.known.get(stream)
-        if known is None:
-            known = self.known[stream] = _Known(self, stream)
-        return np.frombuffer(b"".join(map(known.__getitem__, self.v.pre_tokens(text))), dtype=np.int32)
+    def let_through(self, keys: np.ndarray, number: int) -> np.ndarray:
+        """How many candidates each occurrence lets through before its next drop."""
+        uniform = ((_mixed(keys + _times([number + 1])) >> np.uint64(11)) + np.uint64(1)) * 2.0 ** -53
+        if self.dropout >= 1:
+            return np.zeros(len(keys), dtype=np.int64)
+        return np.minimum(np.log(uniform) / math.log1p(-self.dropout), 2.0 ** 62).astype(np.int64)
+
+    def _own(self, token: str, key: np.uint64) -> bytes:
+        """A pre-token too long to be remembered, with its own draws."""
+        def numbers() -> Iterator[int]:
+            at = number = 0
+            while True:
+                at += int(self.let_through(np.array([key], dtype=np.uint64), number)[0])
+                yield at
+                at, number = at + 1, number + 1
+
+        return self.token(token, Drops(numbers() if self.dropout > 0 else iter(())))
+
+    def encode_all(self, texts: list[str], documents: list[int]) -> list[np.ndarray]:
+        """The ids of each text, its draws keyed by its document's number."""
+        if len(self.ids) > self.most:
+            self.forget()
+        cut = [self.v.pre_tokens(t) for t in texts]
+        tokens = [x for own in cut for x in own]
+        new = [t for t in dict.fromkeys(tokens) if t not in self.first]
+        short = [t for t in new if len(t) <= _SHORT]
+        self.first.update(zip(short, self._nodes([(t, ()) for t in short])))
+        self.first.update((t, -1) for t in new if len(t) > _SHORT)
+        node = np.fromiter(map(self.first.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        ends = np.cumsum([len(own) for own in cut], dtype=np.int64)
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(cut) else ends
+        keys = np.zeros(0, dtype=np.uint64)
+        if self.dropout > 0 and len(tokens):
+            document = _mixed(np.array(documents, dtype=np.int64).astype(np.uint64) + _times([self.seed + 1]))
+            lengths = ends - starts
+            place = (np.arange(len(tokens)) - np.repeat(starts, lengths)).astype(np.uint64)
+            keys = _mixed(np.repeat(document, lengths) + _times(place + 1))
+            open_, number = np.flatnonzero(node >= 0), 0
+            while len(open_):
+                let = self.let_through(keys[open_], number)
+                hit = let < self.left[node[open_]]
+                open_, let, number = open_[hit], let[hit], number + 1
+                asked = node[open_] * _MOST_CANDIDATES + let
+                if more := [k for k in np.unique(asked).tolist() if k not in self.further]:
+                    self._further_nodes(more)
+                node[open_] = np.fromiter(map(self.further.__getitem__, asked.tolist()), dtype=np.int64, count=len(open_))
+        made, ids = node.tolist(), self.ids
+        own = {i: self._own(tokens[i], keys[i] if len(keys) else np.uint64(0)) for i in np.flatnonzero(node < 0).tolist()}
+        out = []
+        for at, end in zip(starts.tolist(), ends.tolist()):
+            pieces = [ids[n] if n >= 0 else own[at + j] for j, n in enumerate(made[at:end])] if own else map(ids.__getitem__, made[at:end])
+            out.append(np.frombuffer(b"".join(pieces), dtype=np.int32))
+        return out
+
+    def encode(self, text: str, document: int) -> np.ndarray:
+        return self.encode_all([text], [document])[0]
 
 
 def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
@@ -160,16 +351,13 @@ def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key: str = "doc_id",
-           dropout: float = 0.1, seed: int = 17, variants: int = 4,
-           keep: list[str] | None = None, lossless: str | None = None,
+           dropout: float = 0.1, seed: int = 17, keep: list[str] | None = None, lossless: str | None = None,
            rows_each: int = 256) -> DataFrame:
     """Columns ``keep`` (default: all), token_ids, n_tokens, and with ``lossless`` a
     column of that name: whether the ids decode to the text (null for a null one)."""
     keep = carried(docs, keep, [], ["token_ids", "n_tokens", lossless])
-    body, stream = unused(docs, "text_"), unused(docs, "stream_")
-    rows = docs.select(*keep, F.col(text).cast("string").alias(body),
-                       F.coalesce(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(variants)),
-                                  F.lit(0)).cast("int").alias(stream))
+    body, document = unused(docs, "text_"), unused(docs, "document_")
+    rows = docs.select(*keep, F.col(text).cast("string").alias(body), F.xxhash64(F.col(key).cast("string")).alias(document))
     out = T.StructType(rows.select(*keep).schema.fields
                        + [T.StructField("token_ids", T.ArrayType(T.IntegerType(), False)),
                           T.StructField("n_tokens", T.LongType())]
@@ -183,8 +371,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key:
         for whole in batches:
             for at in range(0, whole.num_rows, rows_each):  # so many texts and ids at a time
                 batch = whole.slice(at, rows_each)
-                texts, streams = batch[body].to_pylist(), batch[stream].to_pylist()
-                ids = [None if t is None else seg.encode(t, s) for t, s in zip(texts, streams)]
+                texts = batch[body].to_pylist()
+                known = [i for i, t in enumerate(texts) if t is not None]
+                numbers = batch[document].to_pylist()
+                ids: list[np.ndarray | None] = [None] * len(texts)
+                for i, x in zip(known, seg.encode_all([texts[i] for i in known], [numbers[i] for i in known])):
+                    ids[i] = x
                 counts = pa.array([None if x is None else len(x) for x in ids], pa.int64())
                 cols = [batch[c] for c in keep] + [_lists(ids), counts]
                 if lossless:

@@ -96,7 +96,70 @@ def test_both_agendas_agree(vocabulary):
     rng = np.random.default_rng(3)
     for _ in range(500):
         s = "".join(rng.choice(list("thendrigso▁é"), rng.integers(1, 38)))
-        assert bpe.merge_part(s, vocabulary, 2 ** 62, 5) == bpe._merge_long(s, vocabulary, 2 ** 62, 5)
+        path = sorted(rng.choice(40, rng.integers(0, 8), replace=False).tolist())
+        short, long = bpe.Drops(iter(path)), bpe.Drops(iter(path))
+        assert bpe.merge_part(s, vocabulary, short) == bpe._merge_long(s, vocabulary, long)
+        assert short.at == long.at
+
+
+def test_many_agendas_at_once_agree(vocabulary):
+    rng = np.random.default_rng(4)
+    agendas = bpe.Agendas(vocabulary)
+    words = ["".join(rng.choice(list("thendrigsoac▁"), rng.integers(1, 30))) for _ in range(2000)]
+    paths = [tuple(sorted(rng.choice(30, rng.integers(0, 6), replace=False).tolist())) for _ in words]
+    ids, popped = agendas.run(words, paths)
+    for w, path, x, n in zip(words, paths, ids, popped):
+        drops = bpe.Drops(iter(path))
+        assert np.frombuffer(x, np.int32).tolist() == [vocabulary.ids[p] for p in bpe.merge_part(w, vocabulary, drops)]
+        assert n == drops.at
+
+
+def test_every_occurrence_is_cut_by_itself(vocabulary):
+    """One pre-token: each occurrence's cut is what its own draws give, remembered or not;
+    the cuts grow with the corpus, and each candidate is dropped with the asked chance."""
+    seg = bpe.Segmenter(vocabulary, 0.1, 17)
+    word = "international"
+    cuts, kept = set(), 0
+    undropped = bpe.Segmenter(vocabulary, 0.0, 17).encode(word, 0).tobytes()
+    seg.encode(word, 0)
+    candidates = seg.left[seg.first[" " + word]]
+    for document in range(40):
+        text = " ".join([word] * 100)
+        got = seg.encode(text, document)
+        again = bpe.Segmenter(vocabulary, 0.1, 17, most=1).encode(text, document)
+        assert np.array_equal(got, again) and bpe.decode(got, vocabulary) == text
+    nodes = [i for i, (t, _) in enumerate(seg.paths) if t == " " + word]
+    cuts = {seg.ids[i] for i in nodes}
+    assert len(cuts) > 30  # four streams gave four
+    counted = [seg.encode(word, d).tobytes() for d in range(20_000)]
+    share = sum(c == undropped for c in counted) / len(counted)
+    same = {seg.ids[i] for i in nodes if seg.ids[i] == undropped}
+    assert same and share >= 0.9 ** candidates - 0.02
+    exact = [int(x) for x in seg.let_through(np.arange(100_000, dtype=np.uint64) * np.uint64(7919), 0)]
+    assert abs(np.mean([x >= candidates for x in exact]) - 0.9 ** candidates) < 0.01
+    assert abs(np.mean([x == 0 for x in exact]) - 0.1) < 0.005
+
+
+def test_draws_step_by_step(vocabulary):
+    """The remembered segmentations against one pass over each occurrence with its draws."""
+    seg = bpe.Segmenter(vocabulary, 0.3, 5)
+    text = "the international understanding of  these things, 1234567 http://foo.com " * 20
+    got = seg.encode(text, 99)
+    tokens = vocabulary.pre_tokens(text)
+    document = bpe._mixed(np.array([99], dtype=np.uint64) + bpe._times([6]))
+    keys = bpe._mixed(np.repeat(document, len(tokens)) + bpe._times(np.arange(len(tokens)) + 1))
+    want = b"".join(seg._own(t, k) for t, k in zip(tokens, keys))
+    assert got.tobytes() == want
+
+
+def test_long_and_dropped_to_characters(vocabulary):
+    seg = bpe.Segmenter(vocabulary, 1.0, 17)
+    for t in ("understanding of things", "x" * 5000, ""):
+        assert len(seg.encode(t, 1)) == (len(t) + 1 if t else 0)
+        assert bpe.decode(seg.encode(t, 1), vocabulary) == t
+    long = bpe.Segmenter(vocabulary, 0.1, 17)
+    a, b = long.encode("thend" * 20_000, 1), long.encode("thend" * 20_000, 2)
+    assert not np.array_equal(a, b) and bpe.decode(a, vocabulary) == "thend" * 20_000
 
 
 def test_encode_defined_cases(spark, vocabulary, odd_docs, no_docs):
