@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
@@ -21,14 +22,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths of the tables written in the open ``scratch`` scopes, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the
     lineage with files every executor can read, and recomputes nothing later. The files
-    stay until ``drop_intermediates``, since results read them when they are used."""
+    stay until they are discarded (``discard``, ``scratch``, ``drop_intermediates``), since
+    results read them when they are used."""
     spark = df.sparkSession
     path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Delete written tables that nothing reads any more, and let Spark's cleaner find the
+    shuffle files of finished steps: it frees what the driver's collector has seen gone."""
+    for t in tables:
+        if path := t if isinstance(t, str) else t.__dict__.get("written_to"):
+            _delete(spark, path)
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The paths of all tables that ``materialise`` writes inside."""
+    _SCOPES.append([])
+    try:
+        yield _SCOPES[-1]
+    finally:
+        inner = _SCOPES.pop()
+        for scope in _SCOPES[-1:]:
+            scope.extend(inner)
 
 
 def _folder(spark: SparkSession) -> str:
@@ -39,8 +75,7 @@ def _folder(spark: SparkSession) -> str:
 def drop_intermediates(spark: SparkSession) -> None:
     """Delete the tables that operators of this application have written in between.
     Call it when their results have been written or are not needed any more."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _delete(spark, _folder(spark))
 
 
 def text_or_empty(col: str = "text") -> Column:
@@ -121,6 +156,44 @@ def in_groups(rows: DataFrame, keys: list[str], order: list[str], schema: str,
     return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
 
+def spanning(edges: DataFrame, each: int = 100_000) -> DataFrame:
+    """Edges (u, v), u > v, that connect what ``edges`` does: of every ``each`` edges of a
+    partition a spanning forest, its nodes tied to the smallest one. A group whose every
+    pair is an edge shrinks to about its nodes before it is moved."""
+    def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+
+        def trees() -> pd.DataFrame:
+            up: dict[int, int] = {}
+            for a, b in np.concatenate(held).tolist():
+                for x in (a, b):
+                    up.setdefault(x, x)
+                while up[a] != a:
+                    up[a] = a = up[up[a]]
+                while up[b] != b:
+                    up[b] = b = up[up[b]]
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+            out = []
+            for x in up:
+                root = x
+                while up[root] != root:
+                    root = up[root]
+                if root != x:
+                    out.append((x, root))
+            return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+        for pdf in batches:
+            held.append(pdf[["u", "v"]].to_numpy())
+            if sum(map(len, held)) >= each:
+                yield trees()
+                held.clear()
+        if held:
+            yield trees()
+
+    return edges.mapInPandas(forest, "u long, v long")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected edge list by alternating large-star
     and small-star rounds: (node, component), component = the smallest node.
@@ -132,8 +205,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     ``max_rounds`` (it halves path lengths, so 60 is far beyond any input).
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-         .where("u <> v").distinct().checkpoint())
+    e = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v")
+    e = spanning(e).distinct().checkpoint()
     before = None
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Columns, components, in_groups, materialise, worker_cache
+from quarry.llm.common import Columns, components, discard, in_groups, materialise, worker_cache
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25], dtype=np.uint64)
@@ -284,7 +284,9 @@ def families(nodes: DataFrame, sets: DataFrame, percent: int, hot: int, block: i
              .join(nodes.select("node", "size", "bins"), "node"))
     edges = in_groups(dealt, ["gram", "band", "lo", "hi"], ["size", "node"], "a long, b long",
                       lambda cols, at, end: possible_links(cols, at, end, percent))
-    return components(edges)
+    found = materialise(components(edges), "families")
+    discard(nodes.sparkSession, spread)
+    return found
 
 
 class PrefixTree:
@@ -459,7 +461,7 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
         classes = materialise(named.select("same", "least", F.coalesce("node", "least").alias("node"), "node_hash"), "classes")
     else:
         classes = classes.withColumn("least", F.col("node"))
-    family = materialise(families(nodes, sets, percent, hot, block), "families")
+    family = families(nodes, sets, percent, hot, block)
     about = nodes.select("node", "size", "same")
     members = family.join(about, "node")
     weights = members.groupBy("component").agg(F.ceil(F.sum("size") / cell).cast("int").alias("blocks"))
@@ -501,7 +503,9 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
                       lambda cols, at, end: family_links(cols, at, end, percent))
     with runtime_filters(docs.sparkSession):
         links = materialise(links, "links")
+    discard(docs.sparkSession, family, members)
     comp = components(links)
+    discard(docs.sparkSession, links)
     if several:  # numbered by the smallest id, with the set that holds it
         comp = materialise(comp, "components")
         head = comp.join(classes, "node").groupBy("component").agg(F.min(F.struct("least", "node")).alias("head"))
