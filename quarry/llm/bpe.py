@@ -152,7 +152,10 @@ class Agendas:
     def __init__(self, vocabulary: Vocabulary) -> None:
         names = list(vocabulary.ids) + sorted({c for p in vocabulary.ids for c in p if c not in vocabulary.ids})
         number = {x: i for i, x in enumerate(names)}
-        self.of_char = {c: i for c, i in number.items() if len(c) == 1}
+        self.of_char = np.full(0x110000, -1, dtype=np.int32)
+        for c, i in number.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = i
         self.ids = np.array([vocabulary.ids.get(x, -1) for x in names], dtype=np.int32)
         self.n = len(names)
         pairs = [(number[p[:k]] * self.n + number[p[k:]], vocabulary.rank[p], number[p]) for p in vocabulary.ids
@@ -175,18 +178,17 @@ class Agendas:
         n, width = len(words), max(map(len, words)) + 1
         sizes = np.array([len(w) for w in words])
         symbol = np.full((n, width), -1, dtype=np.int64)
-        flat = np.fromiter((self.of_char.get(c, -1) for w in words for c in w), dtype=np.int64, count=int(sizes.sum()))
-        symbol[np.arange(width)[None, :] < sizes[:, None]] = flat
         alive = np.arange(width)[None, :] < sizes[:, None]
+        symbol[alive] = self.of_char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         after = np.tile(np.arange(1, width + 1), (n, 1))
         before = np.tile(np.arange(-1, width - 1), (n, 1))
         agenda = np.full((n, width), _NONE, dtype=np.int64)
         agenda[:, :-1], joins = self.pair(symbol[:, :-1], symbol[:, 1:])
         joined = np.zeros((n, width), dtype=np.int64)
         joined[:, :-1] = joins
-        drops = np.full((n, max(map(len, paths)) + 1), _NONE, dtype=np.int64)
-        for i, path in enumerate(paths):
-            drops[i, :len(path)] = path
+        lengths = np.array([len(path) for path in paths])
+        drops = np.full((n, lengths.max() + 1), _NONE, dtype=np.int64)
+        drops[np.arange(drops.shape[1])[None, :] < lengths[:, None]] = np.array([x for path in paths for x in path], dtype=np.int64)
         popped, passed = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         rows = np.arange(n)
         while len(rows):
@@ -260,7 +262,7 @@ class Segmenter:
                         drops = Drops(iter(path))
                         x, n = self.token(token, drops), drops.at
                     self.ids[start + i] = x
-                    self.left[start + i] = n - (path[-1] + 1 if path else 0)
+                    self.left[start + i] = n - (path[-1] + 1) if path else n
         return range(start, end)
 
     def _further_nodes(self, keys: list[int]) -> None:
