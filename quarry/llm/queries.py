@@ -67,7 +67,7 @@ def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text with its personal data replaced, and the types found in it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return surrogates.replace_entities(docs, types_column="entity_types")
+    return surrogates.replace_entities(docs, types_column="entity_types", check_digit=True)
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """Personal data and secrets replaced by keyed, type-consistent surrogates.
 
-Detected: e-mail addresses, phone, card and social-security numbers, IBANs, IPv4
-addresses, access keys, labelled secrets, long hexadecimal secrets, and person
-names behind a title. An entity is what its mentions have in common (a phone
-number's last ten digits, an address in lower case), so all mentions of one entity,
-in whatever format and document, get the same surrogate, written in the mention's
-own format. A surrogate keeps the type (country, network or key prefix, digits for
+Detected: e-mail addresses, phone, card and social-security
+numbers, IBANs, IPv4 addresses, access keys, labelled secrets, long hexadecimal secrets,
+and person names behind a title. A name found so is looked for again in its whole text:
+in full without a title, and its surname alone, titled or not, which is the same person
+(of several of that surname the one of the title's gender, else the first by name).
+An entity is what its mentions have in common (a phone number's last ten digits, an
+address in lower case, a name with the gender its titles in the text give it), so all
+mentions of one entity, in whatever format and document, get the same surrogate, written
+in the mention's own format. A surrogate keeps the type (country, network or key prefix, digits for
 digits, letters for letters in their script and case, a valid check digit where the
 original has one; a name's gender, from its title, and its script).
 
@@ -16,7 +19,8 @@ some entity itself or is already another's, so distinct entities stay distinct.
 Only DataFrame functions are used. Only documents that can hold a mention (a digit, an
 @, a label's sign or a title) are searched, only those with one are written and take
 part in the join, and the join's rows are the mentions; the others pass through. Entities are counted once before
-the join, so one that a third of all documents mention is a single row there.
+the join, so one that a third of all documents mention is a single row there. A text is
+replaced once, however many documents have it, and meets their rows as a written table.
 
 Defined cases: a null or empty text stays as it is. Repeated rows are treated alike.
 Ids are not read. Other columns are carried, whatever their names; one named like
@@ -28,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import carried, materialise
+from quarry.llm.common import carried, materialise, unused
 
 #: Titles by gender, and given names by gender and script.
 TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Mme", "Señora", "Sra", "Госпожа"),
@@ -193,65 +197,118 @@ def written_as(mention: Column, type_: Column, new: Column) -> Column:
 
 
 def gender_of(text: Column, mention: Column) -> Column:
-    """Gender of the title before a name's first mention in its text."""
+    """Gender of the titles before a name's mentions in its text ('' without any; of
+    both, that of the first mention)."""
     out = F.lit("")
     before = F.substr(text, F.lit(1), F.instr(text, mention) - 1)
+    for g in ("f", "m"):
+        titled = F.concat(F.lit(rf"\b(?:{'|'.join(TITLES[g])})\.? \Q"), mention, F.lit(r"\E(?![\p{L}\p{N}])"))
+        out = F.when(F.regexp_count(text, titled) > 0, g).otherwise(out)
     for g in ("f", "m"):
         out = F.when(before.rlike(rf"\b(?:{'|'.join(TITLES[g])})\.? $"), g).otherwise(out)
     return out
 
 
+def surname(name: Column) -> Column:
+    return F.substring_index(name, " ", -1)
+
+
+def is_name(mention: Column) -> Column:
+    return kind(mention) == "name"
+
+
+def known_names(mentions: Column) -> Column:
+    """The full names among a text's mentions, each once and in order."""
+    return F.array_sort(F.array_distinct(F.filter(mentions, lambda m: F.contains(m, F.lit(" ")) & is_name(m))))
+
+
+def with_known(names: Column) -> Column:
+    """The pattern of all mentions in a text that has ``names``: theirs in full and their
+    surnames too, also in capitals, as whole words and longer ones first."""
+    def quoted(xs: Column) -> Column:
+        return F.array_join(F.transform(F.array_distinct(F.concat(xs, F.transform(xs, F.upper))),
+                                        lambda x: F.concat(F.lit(r"\Q"), x, F.lit(r"\E"))), "|")
+    more = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?:"), quoted(names), F.lit("|"), quoted(F.transform(names, surname)),
+                    F.lit(r")(?![\p{L}\p{N}])"))
+    return F.when(F.size(names) > 0, more).otherwise(F.lit(ANY))
+
+
 def assign(entities: DataFrame, key: str, max_attempts: int = 50) -> DataFrame:
-    """(type, entity, gender) -> with ``surrogate``: distinct, and none an entity.
+    """(type, entity, gender) with ``surrogate``: distinct, and none an entity.
 
     Every round settles, of the entities still open, the smallest one of each
     surrogate that is neither an entity nor already given; the others try again.
     """
+    who = ["type", "entity", "gender"]
     originals = entities.select("type", F.col("entity").alias("surrogate"))
     left, done = entities, None
     for attempt in range(max_attempts):
         tried = left.withColumn("surrogate", surrogate(F.col("type"), F.col("entity"), F.col("gender"), key, F.lit(attempt)))
         taken = originals if done is None else originals.union(done.select("type", "surrogate"))
-        first = tried.groupBy("type", "surrogate").agg(F.min("entity").alias("winner"))
+        first = tried.groupBy("type", "surrogate").agg(F.min(F.struct("entity", "gender")).alias("winner"))
         free = first.join(taken, ["type", "surrogate"], "left_anti")
-        won = tried.join(free, ["type", "surrogate"]).where("entity = winner")
-        settled = won.select("type", "entity", "surrogate")
+        won = tried.join(free, ["type", "surrogate"]).where("entity = winner.entity and gender = winner.gender")
+        settled = won.select(*who, "surrogate")
         done = materialise(settled if done is None else done.union(settled), "surrogates")
-        left = entities.join(done, ["type", "entity"], "left_anti")
+        left = entities.join(done, who, "left_anti")
         if left.isEmpty():
             return done
     raise RuntimeError(f"entities without a free surrogate after {max_attempts} attempts")
 
 
 def replace_entities(docs: DataFrame, *, text: str = "text", key: str = "quarry-surrogates",
-                     types_column: str | None = None) -> DataFrame:
+                     types_column: str | None = None, check_digit: bool = False) -> DataFrame:
     """``docs`` with its text's mentions replaced; with ``types_column`` also the
-    types of the mentions in order (empty without any)."""
+    types of the mentions in order (empty without any). With ``check_digit`` a number is a
+    card only if its check digit is right; other numbers of its form stay."""
     body = F.col(text)
     mentions = F.when(searched(body), F.regexp_extract_all(body, F.lit(ANY), F.lit(0)))
-    # All columns travel in one struct, so no name of theirs can clash.
-    rows = docs.select(F.struct(*docs.columns).alias("row"), body.alias("body"), mentions.alias("mentions"))
+    # The other columns travel in one struct, so no name of theirs can clash.
+    others = [c for c in carried(docs, None, [], [types_column]) if c != text]
+    rows = materialise(docs.select(F.struct(*others, F.lit(0).alias(unused(docs, "_"))).alias("row"), body.alias("body"), mentions.alias("mentions")),
+                       "searched")
     plain = rows.where(F.coalesce(F.size("mentions"), F.lit(0)) <= 0)
-    hit = materialise(rows.where(F.size("mentions") > 0).withColumn("rid", F.xxhash64("body")), "hit")
-    types = F.transform("mentions", kind)
-    # Rows with equal texts share a map; equal hashes of different texts would merge
-    # two maps, which changes neither text's own mentions.
-    each = (hit.select("rid", "body", F.explode(F.array_distinct("mentions")).alias("mention"))
-            .withColumn("type", kind(F.col("mention")))
-            .withColumn("entity", entity(F.col("mention"), F.col("type")))
-            .withColumn("gender", F.when(F.col("type") == "name", gender_of(F.col("body"), F.col("mention"))).otherwise(""))
-            .select("rid", "mention", "type", "entity", "gender").distinct())
+    hit = rows.where(F.size("mentions") > 0).withColumn("rid", F.sha2("body", 256))
+    # Each text once: combined where it is read, so a text of a third of all rows is one row.
+    texts = hit.groupBy("rid").agg(F.first("body").alias("body"), F.first("mentions").alias("mentions"))
+    texts = texts.withColumn("names", known_names(F.col("mentions"))).withColumn("pattern", with_known(F.col("names")))
+    texts = materialise(texts.withColumn("mentions", F.when(F.size("names") > 0, F.regexp_extract_all("body", F.col("pattern"), F.lit(0)))
+                                         .otherwise(F.col("mentions"))), "texts")
+    each = (texts.select("rid", "body", "names", F.explode(F.array_distinct("mentions")).alias("mention"))
+            .withColumn("type", kind(F.col("mention"))))
+    if check_digit:
+        each = each.where((F.col("type") != "card") | (F.pmod(_luhn_sum(F.regexp_replace("mention", "[^0-9]", "")), F.lit(10)) == 0))
+    named_ = F.col("type") == "name"
+    each = each.withColumn("gender", F.when(named_, gender_of(F.col("body"), F.col("mention"))).otherwise(""))
+    # A surname alone is the person of that surname in the text.
+    bearers = F.filter("names", lambda n: F.lower(surname(n)) == F.lower("mention"))
+    each = each.withColumn("full", F.when(named_ & ~F.contains("mention", F.lit(" ")) & (F.size(bearers) > 0), F.coalesce(
+        F.get(F.filter(bearers, lambda n: (F.col("gender") != "") & (gender_of(F.col("body"), n) == F.col("gender"))), 0), F.get(bearers, 0))))
+    each = each.withColumn("alone", F.col("full").isNotNull()).withColumn("entity", F.coalesce(
+        F.lower("full"), entity(F.col("mention"), F.col("type")))).select("rid", "mention", "type", "entity", "gender", "alone")
+    each = materialise(each, "mentions")
+    # One gender a person and text: of the mentions in full, else of the others.
+    settled = each.where(named_).groupBy("rid", "entity").agg(F.max(F.struct(
+        (~F.col("alone") & (F.col("gender") != "")).alias("full"), "gender")).alias("g")).select("rid", "entity", F.col("g.gender").alias("settled"))
+    each = each.join(settled.withColumn("type", F.lit("name")), ["rid", "type", "entity"], "left").withColumn(
+        "gender", F.coalesce("settled", F.lit(""))).drop("settled")
     each = materialise(each, "mentions")
-    named = assign(each.groupBy("type", "entity").agg(F.max("gender").alias("gender")), key)
-    new = written_as(F.col("mention"), F.col("type"), F.col("surrogate"))
-    maps = (each.join(named, ["type", "entity"]).select("rid", F.struct("mention", new.alias("new")).alias("pair"))
+    named = assign(each.select("type", "entity", "gender").distinct(), key)
+    whole = F.when(F.col("alone"), surname(F.col("surrogate"))).otherwise(F.col("surrogate"))
+    new = written_as(F.col("mention"), F.col("type"), whole)
+    maps = (each.join(named, ["type", "entity", "gender"]).select("rid", F.struct("mention", new.alias("new")).alias("pair"))
             .groupBy("rid").agg(F.map_from_entries(F.array_distinct(F.collect_list("pair"))).alias("news")))
-    joined = hit.join(maps, "rid")
-    parts = F.split("body", ANY, -1)
-    replaced = F.array_join(F.flatten(F.zip_with(parts, F.transform("mentions", lambda m: F.element_at(F.col("news"), m)),
+    joined = texts.join(maps, "rid")
+    parts = F.when(F.size("names") > 0, F.split("body", F.col("pattern"), -1)).otherwise(F.split("body", ANY, -1))
+    replaced = F.array_join(F.flatten(F.zip_with(parts, F.transform("mentions", lambda m: F.coalesce(F.try_element_at(F.col("news"), m), m)),
                                                  lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))), "")
+    types = F.transform(F.filter("mentions", lambda m: F.map_contains_key("news", m)), kind)
+    made = materialise(joined.select("rid", replaced.alias("new_body"), types.alias("types")), "replaced")
+    none = F.array().cast("array<string>")
+    # Two plain tables, so a text that most rows have is split. A text without an entity
+    # (its only mention a wrong card number) is not in ``made``.
+    changed = hit.join(made, "rid", "left").select("row", F.coalesce("new_body", "body").alias("new_body"), F.coalesce("types", none).alias("types"))
+    same = plain.select("row", F.col("body").alias("new_body"), none.alias("types"))
     out = [F.col("new_body").alias(c) if c == text else F.col("row")[c].alias(c) for c in carried(docs, None, [], [types_column])]
     tail = [F.col("types").alias(types_column)] if types_column else []
-    changed = joined.select("row", replaced.alias("new_body"), types.alias("types"))
-    same = plain.select("row", F.col("body").alias("new_body"), F.array().cast("array<string>").alias("types"))
     return changed.unionByName(same).select(*out, *tail)

@@ -91,3 +91,71 @@ def test_keys_of_letters_amex_and_spaced_phones(spark):
     assert spaced.replace(" ", "") == dashed.replace("-", "") == plain and luhn(plain)
     assert phone.types == ["phone"] * 2 and "5132" not in phone.text
     assert re.search(r"call (\d{3}) 555 (\d{4}) or \1-555-\2", phone.text)
+
+
+def replaced(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(surrogates.replace_entities(docs, types_column="types", check_digit=True).collect())]
+
+
+def test_untitled_and_surname_mentions_are_the_same_person(spark):
+    text = ("Mrs. Anna Smith met Bob. Anna Smith left; SMITH was late. Mr. Peter Jones came; Mr. Jones left, "
+            "Jones and Joneses met. Dr. Lee Brown and Mrs. Mary Brown: Mrs. Brown spoke, Smithson did not.")
+    new, = replaced(spark, [text])
+    pattern = ("Mrs. (G S) met Bob. (G S) left; (U) was late. Mr. (G S) came; Mr. (S) left, (S) and Joneses met. "
+               "Dr. (G S) and Mrs. (G S): Mrs. (S) spoke, Smithson did not.")
+    shape = re.escape(pattern).replace(r"\(G\ S\)", r"(\w+ \w+)").replace(r"\(S\)", r"(\w+)").replace(r"\(U\)", r"(\w+)")
+    anna, again, late, peter, mr, untitled, lee, mary, mrs = re.fullmatch(shape, new).groups()
+    assert anna == again and late == anna.split()[1].upper()
+    assert mr == untitled == peter.split()[1]
+    assert mrs == mary.split()[1] != lee.split()[1]
+    assert not {"Anna", "Smith", "Peter", "Jones", "Brown", "Mary", "Lee"} & set(re.findall(r"\w+", new))
+
+
+def test_gender_is_settled_in_each_text(spark):
+    texts = ["Mrs. Anna Smith and Anna Smith.", "Mr. Anna Smith left.", "Mrs. Anna Smith here.", "Dr. Anna Smith; Mrs. Anna Smith."]
+    new = replaced(spark, texts)
+    given = [re.search(r"(?:Mrs|Mr|Dr)\. (\w+)", t)[1] for t in new]
+    female, male = surrogates.GIVEN["f", "latin"], surrogates.GIVEN["m", "latin"]
+    assert given[0] in female and given[1] in male and given[2] == given[0] == given[3]
+
+
+def test_numbers_without_a_right_check_digit_stay(spark):
+    right, wrong = "4111111111111111", "4111111111111112"
+    texts = [f"card {right} and number {wrong}", f"number {wrong}", f"{wrong} a@b.org {wrong}"]
+    new = replaced(spark, texts)
+    assert wrong in new[0] and right not in new[0] and new[1] == texts[1]
+    assert new[2].count(wrong) == 2 and "a@b.org" not in new[2]
+
+
+def test_detection_and_assignment_against_a_plain_version(spark, small_sf):
+    """Every text by a loop over its matches: what is replaced, by what, and what stays."""
+    docs = table(spark, small_sf, "documents").select("doc_id", "text")
+    simple = re.compile(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)|\+1 \(\d{3}\) \d{3}-\d{4}"
+                        r"|(?<![\d-])\d{16}(?![\d-])|\b(?=[0-9a-f]*[0-9])[0-9a-f]{32,}\b", re.A)
+    out = {r.doc_id: r.text for r in surrogates.replace_entities(docs, check_digit=True).collect()}
+    given, compared = {}, 0
+    for r in docs.collect():
+        text = r.text or ""
+        found = [m for m in simple.finditer(text) if not re.fullmatch(r"\d{16}", m[0]) or (m[0][0] in "3456" and luhn(m[0]))]
+        if not found or re.search(r"AKIA|password|IBAN|secret", text, re.I):
+            continue
+        shape, at = "", 0
+        for m in found:
+            shape += re.escape(text[at:m.start()]) + "(.{%d,}?)" % 3
+            at = m.end()
+        got = re.fullmatch(shape + re.escape(text[at:]), out[r.doc_id], re.S)
+        assert got, r.doc_id
+        for m, new in zip(found, got.groups()):
+            assert given.setdefault(m[0].lower(), new.lower()) == new.lower() and new != m[0]
+            compared += 1
+    assert compared > 20 and len(set(given.values())) == len(given)
+
+
+def test_repeated_rows_hot_and_long_texts(spark):
+    long = "the word of the day. " * 60_000 + "Mail a.long@b.org. Mrs. Ann Long, Ms. Long. " + "and so on " * 60_000
+    rows = ["write to hot@x.org"] * 300 + ["write to cold@x.org", long, long, None, ""]
+    new = replaced(spark, rows)
+    assert len(new) == len(rows) and len(set(new[:300])) == 1 and "hot@" not in new[0] and new[0] != new[300]
+    assert new[301] == new[302] and "a.long@" not in new[301] and "Long" not in new[301] and len(new[301]) > 1_800_000
+    assert new[303:] == [None, ""]
