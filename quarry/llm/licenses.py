@@ -10,7 +10,8 @@ A sentence runs to a full stop, question or exclamation mark (behind more than o
 letter, so not in "v. 2") or a colon (but that of an SPDX line) before white space,
 or to a blank line. As lines before a licence line may lack a stop, every stretch of a
 sentence that starts at a line's start is looked up too, the longest first, and so
-is every single line; a sentence counts once.
+is every single line; a sentence counts once. Stretches of more letters than ``LONGEST``
+can be no known sentence, so the time grows with the text, not with its square.
 
 Only DataFrame functions are used and no row moves: the table and the rules are a
 fixed list of this module. Texts without any of the words that every known sentence
@@ -141,6 +142,10 @@ def normal_text(s: str) -> str:
     return re.sub(_YEAR, "", f" {words} ").strip().replace("licence", "license")
 
 
+#: Letters and digits of the longest known sentence, and room for a holder and years.
+LONGEST = max(len(normal_text(x).replace(" ", "")) for x in SENTENCES.values()) + 500
+
+
 def spdx_ids(sentence: Column) -> Column:
     """The licences an SPDX line names, in their writing in the licence list (with or
     without an exception or the old "+")."""
@@ -160,12 +165,27 @@ def sentence_ids(text: Column) -> Column:
     known = _table()
     cut = F.regexp_replace(text, r"(?<=[^\s.][^\s.][.!?])\s+|(?<=:)(?<!dentifier:)\s+|\n[ \t]*\n", _END)
 
-    def lookup(sentence: Column, at: Column) -> Column:
-        lines = F.split(sentence, "\n")
-        tails = F.transform(F.sequence(F.lit(1), F.size(lines)), lambda k: F.array_join(
+    def tails(lines: Column) -> Column:
+        """The whole sentence, and the stretches from a line's start to its end that are
+        not too long to be known: those of the last lines with ``LONGEST`` letters."""
+        def last_lines(letters: Column) -> Column:
+            start = F.struct(F.lit(0).alias("letters"), F.lit(0).alias("lines"))
+            return F.aggregate(F.reverse(letters), start, lambda s, n: F.when(
+                s["letters"] + n <= LONGEST, F.struct((s["letters"] + n).alias("letters"), (s["lines"] + 1).alias("lines")))
+                .otherwise(F.struct(F.lit(LONGEST + 1).alias("letters"), s["lines"].alias("lines"))))["lines"]
+
+        def starts(letters: Column) -> Column:
+            return let(last_lines(letters), lambda n: F.filter(
+                F.sequence(F.greatest(F.lit(2), F.size(letters) - n + 1), F.size(letters) + 1),
+                lambda k: F.coalesce(F.get(letters, k - 1) > 0, F.lit(False))))
+
+        letters = F.transform(lines, lambda line: F.length(F.regexp_replace(line, r"[^\p{L}\p{N}]", "")))
+        return F.transform(F.concat(F.array(F.lit(1)), let(letters, starts)), lambda k: F.array_join(
             F.slice(lines, k, F.size(lines)), " "))
-        tries = F.transform(F.concat(tails, lines), lambda c: F.element_at(known, normal(c)))
-        hit = F.get(F.filter(tries, lambda i: i.isNotNull()), 0)
+
+    def lookup(sentence: Column, at: Column) -> Column:
+        hit = let(F.split(sentence, "\n"), lambda lines: F.get(F.filter(F.transform(
+            F.concat(tails(lines), lines), lambda c: F.element_at(known, normal(c))), lambda i: i.isNotNull()), 0))
         return F.struct(at.cast("int").alias("at"), hit.alias("id"))
 
     def named(sentence: Column, at: Column) -> Column:

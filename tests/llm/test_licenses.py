@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from quarry.llm import licenses as L
 from quarry.llm.common import table
 
@@ -104,3 +106,25 @@ DISCLAIMED. IN NO EVENT SHALL THE REGENTS BE LIABLE.
     assert [names(r) for r in rows[2:5]] == [["AGPL-3.0-or-later"], ["LGPL-3.0-or-later"], ["Apache-2.0"]]
     assert [names(r) for r in rows[5:7]] == [["Apache-2.0", "MIT"], ["GPL-2.0-or-later"]]
     assert [names(r) for r in rows[7:]] == [[i] for i in spdx]
+
+
+def test_long_texts_without_stops_take_time_in_proportion(spark):
+    """2 MB of lines without a full stop, a hint word in each hundredth: the licence line
+    at the end and one in the middle are found, and twice the text takes no four times."""
+    import time
+
+    def text(lines):
+        rows = [f"row {i} of the table, warranty column {i % 7}" if i % 100 == 0 else f"value {i} * {i % 13} ; next" for i in range(lines)]
+        rows[lines // 2] = "Released under the MIT License."
+        return "\n".join(rows + ["Licensed under the Apache License, Version 2.0."])
+
+    took = []
+    for lines in (20_000, 40_000, 80_000):
+        df = spark.createDataFrame([(1, text(lines))], "doc_id long, text string")
+        L.scan(df.withColumn("text", F.lit("warm up the MIT License"))).collect()
+        start = time.perf_counter()
+        row = L.scan(df).first()
+        took.append(time.perf_counter() - start)
+        assert [m.license for m in row.licenses] == ["Apache-2.0", "MIT"] or {m.license for m in row.licenses} == {"Apache-2.0", "MIT"}
+    assert len(text(80_000)) > 1_800_000
+    assert took[2] < 6 * took[1] + 2 and took[2] < 60, took
