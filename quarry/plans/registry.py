@@ -132,6 +132,45 @@ def _results_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "detect_flag", "lab_qualifier", "dilution_factor", "analysis_date")
 
 
+def _locations_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-04: customers as a locations sheet, some cells blank, "nan" or unreadable."""
+    c = read_table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    sheet = c.select(
+        key.cast("string").alias("location_id"), F.concat(F.lit("  "), "c_name", F.lit(" ")).alias("location_name"),
+        F.when(key % 7 == 0, F.lit(" ")).otherwise(F.col("c_mktsegment")).alias("location_type"),
+        F.when(key % 11 == 0, F.lit("north")).otherwise((key % 90).cast("string")).alias("latitude"),
+        F.when(key % 5 == 0, F.lit("2024-02-30")).otherwise(F.lit("2024-03-05 10:00:00")).alias("install_date"),
+        F.when(key % 3 == 0, F.lit("nan")).when(key % 3 == 1, F.lit("Closed")).alias("status"))
+    return feeds.load_locations(sheet).select("location_id", "location_name", "location_type", "latitude", "longitude",
+                                              "install_date", "status")
+
+
+def _samples_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-05: orders as a samples sheet; missing depths and types take their defaults."""
+    o = read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    sheet = o.select(
+        key.cast("string").alias("sample_id"), F.col("o_custkey").cast("string").alias("location_id"),
+        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit(" 00:00:00")).alias("sample_date"),
+        F.substring("o_orderpriority", 3, 2).alias("matrix_code"),
+        F.when(key % 4 == 0, F.lit("")).when(key % 4 == 1, F.lit("FD")).alias("sample_type"),
+        F.when(key % 6 == 0, F.lit("deep")).when(key % 6 < 4, (key % 6).cast("string")).alias("depth_top_ft"))
+    return feeds.load_samples(sheet).select("sample_id", "location_id", "sample_date", "matrix_code", "sample_type",
+                                            "depth_top_ft", "depth_bottom_ft")
+
+
+def _measurements_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING-14: every third order as a field measurement, parameter and result renamed."""
+    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 3 == 0)
+    key = F.col("o_orderkey")
+    sheet = o.select(key.cast("string").alias("sample_id"), F.lit(" pH ").alias("parameter"),
+                     F.when(key % 9 == 0, F.lit("acid")).otherwise((key % 140).cast("string")).alias("result"),
+                     F.when(key % 2 == 0, F.lit("SU")).otherwise(F.lit("NaN")).alias("unit"))
+    return feeds.load_field_measurements(sheet).select("sample_id", "parameter_code", "parameter_name", "result_value",
+                                                       "result_unit", "notes")
+
+
 def _analytes_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING-07: two thirds of the parts are known analytes, the results name them all."""
     known = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") % 3 != 0).select(
@@ -246,6 +285,9 @@ def registry() -> dict[str, Query]:
         # ingest and transforms (ING-06..09, 12, TRF-01)
         "analyte_group": _analyte_groups,
         "results_typed": _results_typed,
+        "locations_loaded": _locations_loaded,
+        "samples_loaded": _samples_loaded,
+        "measurements_loaded": _measurements_loaded,
         "analytes_upsert": _analytes_upsert,
         "levels_upsert": _levels_upsert,
         "levels_grouped": _levels_grouped,
