@@ -229,7 +229,7 @@ class Segmenter:
     A remembered segmentation is a node: its ids, the number of candidates popped after
     its last drop, and by the number let through before a further drop the next node."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 600_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 200_000) -> None:
         self.v, self.seed, self.most, self.dropout = vocabulary, seed, most, dropout
         self.agendas = Agendas(vocabulary)
         self.forget()

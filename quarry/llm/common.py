@@ -38,21 +38,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     out.written_to = path
     for scope in _SCOPES[-1:]:
         scope.append(path)
+    release(spark)
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner find the shuffle files of the steps behind the last written
+    table: it deletes those whose plans the driver's collector has seen gone, which on its
+    own it does every half hour only."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def discard(spark: SparkSession, *tables: DataFrame | str) -> None:
-    """Delete written tables that nothing reads any more, and let Spark's cleaner find the
-    shuffle files of finished steps: it frees what the driver's collector has seen gone."""
+    """Delete written tables that nothing reads any more."""
     for t in tables:
         if path := t if isinstance(t, str) else t.__dict__.get("written_to"):
             _delete(spark, path)
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
 
 
 @contextlib.contextmanager
