@@ -27,7 +27,9 @@ from __future__ import annotations
 import heapq
 import math
 from array import array
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -229,7 +231,7 @@ class Segmenter:
     A remembered segmentation is a node: its ids, the number of candidates popped after
     its last drop, and by the number let through before a further drop the next node."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 200_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 300_000) -> None:
         self.v, self.seed, self.most, self.dropout = vocabulary, seed, most, dropout
         self.agendas = Agendas(vocabulary)
         self.forget()
@@ -240,6 +242,7 @@ class Segmenter:
         self.left = np.zeros(1024, dtype=np.int64)
         self.first: dict[str, int] = {}
         self.further: dict[int, int] = {}
+        self.once: set[str] = set()
 
     def _nodes(self, asked: list[tuple[str, tuple[int, ...]]]) -> range:
         """New nodes of pre-tokens and the candidates dropped."""
@@ -247,8 +250,15 @@ class Segmenter:
         end = start + len(asked)
         if end > len(self.left):
             self.left = np.concatenate([self.left, np.zeros(max(end, 2 * start), dtype=np.int64)])
-        self.ids += [b""] * len(asked)
+        made = self._segmented(asked)
         self.paths += asked
+        self.ids += [ids for ids, _ in made]
+        self.left[start:end] = [n - (path[-1] + 1 if path else 0) for (_, path), (_, n) in zip(asked, made)]
+        return range(start, end)
+
+    def _segmented(self, asked: list[tuple[str, tuple[int, ...]]]) -> list[tuple[bytes, int]]:
+        """Ids and number of candidates popped, of short pre-tokens and what is dropped."""
+        out: list[tuple[bytes, int]] = [(b"", 0)] * len(asked)
         by_width: dict[int, list[int]] = {}
         for i, (token, _) in enumerate(asked):
             by_width.setdefault(-(-len(token) // 6), []).append(i)
@@ -261,9 +271,8 @@ class Segmenter:
                     if x is None or token == SPACE:
                         drops = Drops(iter(path))
                         x, n = self.token(token, drops), drops.at
-                    self.ids[start + i] = x
-                    self.left[start + i] = n - (path[-1] + 1) if path else n
-        return range(start, end)
+                    out[i] = (x, n)
+        return out
 
     def _further_nodes(self, keys: list[int]) -> None:
         asked = []
@@ -295,6 +304,24 @@ class Segmenter:
             return np.zeros(len(keys), dtype=np.int64)
         return np.minimum(np.log(uniform) / math.log1p(-self.dropout), 2.0 ** 62).astype(np.int64)
 
+    def _own_all(self, tokens: list[str], keys: np.ndarray, places: list[int]) -> dict[int, bytes]:
+        """The ids of occurrences that are not remembered, each with its own draws."""
+        short = [i for i in places if len(tokens[i]) <= _SHORT]
+        paths: list[list[int]] = [[] for _ in short]
+        at, number = np.zeros(len(short), dtype=np.int64), 0
+        bound = np.array([3 * len(tokens[i]) for i in short], dtype=np.int64)
+        open_ = np.arange(len(short)) if self.dropout > 0 else np.zeros(0, dtype=np.int64)
+        while len(open_):
+            at[open_] += np.minimum(self.let_through(keys[np.array(short)[open_]], number), bound[open_])
+            open_, number = open_[at[open_] < bound[open_]], number + 1
+            for k, x in zip(open_.tolist(), at[open_].tolist()):
+                paths[k].append(x)
+            at[open_] += 1
+        out = {i: self._own(tokens[i], keys[i] if len(keys) else np.uint64(0)) for i in places if len(tokens[i]) > _SHORT}
+        made = self._segmented([(tokens[i], tuple(path)) for i, path in zip(short, paths)])
+        out.update((i, ids) for i, (ids, _) in zip(short, made))
+        return out
+
     def _own(self, token: str, key: np.uint64) -> bytes:
         """A pre-token too long to be remembered, with its own draws."""
         def numbers() -> Iterator[int]:
@@ -312,11 +339,14 @@ class Segmenter:
             self.forget()
         cut = [self.v.pre_tokens(t) for t in texts]
         tokens = [x for own in cut for x in own]
-        new = [t for t in dict.fromkeys(tokens) if t not in self.first]
-        short = [t for t in new if len(t) <= _SHORT]
-        self.first.update(zip(short, self._nodes([(t, ()) for t in short])))
-        self.first.update((t, -1) for t in new if len(t) > _SHORT)
-        node = np.fromiter(map(self.first.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        # What is met for the first time is not remembered yet: most such never come again.
+        new = {t: n for t, n in Counter(tokens).items() if t not in self.first}
+        if len(self.once) > 2 * self.most:
+            self.once.clear()
+        again = [t for t, n in new.items() if len(t) <= _SHORT and (n > 1 or t in self.once or self.dropout <= 0)]
+        self.first.update(zip(again, self._nodes([(t, ()) for t in again])))
+        self.once.update(t for t in new if t not in self.first)
+        node = np.fromiter(map(self.first.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
         ends = np.cumsum([len(own) for own in cut], dtype=np.int64)
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(cut) else ends
         keys = np.zeros(0, dtype=np.uint64)
@@ -335,7 +365,7 @@ class Segmenter:
                     self._further_nodes(more)
                 node[open_] = np.fromiter(map(self.further.__getitem__, asked.tolist()), dtype=np.int64, count=len(open_))
         made, ids = node.tolist(), self.ids
-        own = {i: self._own(tokens[i], keys[i] if len(keys) else np.uint64(0)) for i in np.flatnonzero(node < 0).tolist()}
+        own = self._own_all(tokens, keys, np.flatnonzero(node < 0).tolist())
         out = []
         for at, end in zip(starts.tolist(), ends.tolist()):
             pieces = [ids[n] if n >= 0 else own[at + j] for j, n in enumerate(made[at:end])] if own else map(ids.__getitem__, made[at:end])
