@@ -21,7 +21,7 @@ from quarry.functions.classify import analyte_group
 from quarry.operators import catalog, censored, era_views, quality, reports, retail, screening, statistics, units
 from quarry.plans import state, store
 from quarry.plans.era_base import SAMPLE_ATTRS, sample_fact
-from quarry.session import scratch_path
+from quarry.session import bound_tasks, scratch_path
 from quarry.sinks import upsert
 from quarry.sources import feeds
 from quarry.sources.model import EraModel, RetailModel, era_from_driver
@@ -266,7 +266,11 @@ def reported(df: DataFrame) -> DataFrame:
 
 
 def _reporting(fn: Query) -> Query:
-    return lambda spark, sf_dir: reported(fn(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bound_tasks(spark)
+        return reported(fn(spark, sf_dir))
+
+    return run
 
 
 def registry() -> dict[str, Query]:

@@ -28,6 +28,19 @@ _DEFAULTS = {
 }
 
 
+#: Shuffled bytes that one task reads, at most, unless a key is hot. What a task sorts and
+#: hashes is some twenty times its compressed share, so Spark's 64 MB are above 1 GB a task.
+SHARE = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+
+
+def bound_tasks(spark: SparkSession) -> None:
+    """Let adaptive execution deal large shuffles out in shares of ``SHARE``, where the
+    submitter has set no size: tasks grow in number with the input, not in memory."""
+    key, size = SHARE
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
+
+
 def get_session(master: str | None = None, app_name: str = "quarry",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
