@@ -1,6 +1,7 @@
 """Statistics merged from deliveries, upserts by touched buckets, counts from footers."""
 
 import os
+import re
 from dataclasses import replace
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import catalog, quality, statistics
 from quarry.plans import state, store
+from quarry.plans.era_base import sample_fact
 from quarry.plans.registry import registry
 from quarry.sinks import upsert
 from quarry.sources.feeds import upsert_ignore_analytes
@@ -47,6 +49,23 @@ def test_a_delivery_added_again_replaces_itself_and_reads_no_other(spark, tmp_pa
     assert "result_value" not in p.split("== ")[0]  # the fact is in no scan
 
 
+def exchanges(df):
+    return len(re.findall(r"[-: ]Exchange \(", plan(df).split("\n\n")[0]))
+
+
+def test_a_delivery_is_shuffled_once_after_its_join(spark, tmp_path):
+    """What is kept is written by the tasks that summed it."""
+    m = era_micro(spark)
+    joined = exchanges(sample_fact(m, ["cas_rn"], ["matrix_code"]))
+    for f in state.of_delivery(m, "a").values():
+        assert exchanges(f) <= joined + 1
+
+
+def test_units_of_a_pair_merge_without_another_shuffle(spark, tmp_path):
+    state.add_delivery(era_micro(spark), str(tmp_path), "a")
+    assert exchanges(statistics.merged_units(state.pairs(spark, str(tmp_path)))) == 1
+
+
 def files_of(path):
     return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
 
