@@ -21,7 +21,8 @@ join finds every pair of nodes with Jaccard similarity at or above the threshold
 
 Families, and the documents that meet at an n-gram, are dealt out in blocks of
 bounded size, every pair of blocks being one group; groups return a spanning forest
-of their links, never all pairs. Texts are read whole, twice.
+of their links, never all pairs. Texts are read whole, twice, and dealt to the groups as
+texts, whose shuffle compresses, where hashes of n-grams do not.
 
 Defined cases: texts are lower-cased in A-Z only, words are separated by the six
 ASCII white-space characters; with fewer than n words the whole sequence is the only
@@ -220,13 +221,8 @@ def possible_links(cols: Columns, at: int, end: int, percent: int) -> tuple[list
 
 
 @contextlib.contextmanager
-def runtime_filters(spark: SparkSession) -> Iterator[None]:
-    """Spark's runtime Bloom filters (of bounded size, spark.sql.optimizer.runtime.
-    bloomFilter.maxNumBits) also before joins of small scans: rows without a partner
-    are left out before the shuffle."""
-    base = "spark.sql.optimizer.runtime.bloomFilter."
-    wanted = {base + "enabled": "true", base + "applicationSideScanSizeThreshold": "0",
-              base + "creationSideThreshold": "1g"}
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Spark settings for the jobs that run inside."""
     before = {k: spark.conf.get(k) for k in wanted}
     try:
         for k, v in wanted.items():
@@ -237,6 +233,14 @@ def runtime_filters(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
+#: Runtime Bloom filters (of bounded size, spark.sql.optimizer.runtime.bloomFilter.maxNumBits)
+#: also before joins of small scans: rows without a partner are left out before the shuffle.
+RUNTIME_FILTERS = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in (
+    ("enabled", "true"), ("applicationSideScanSizeThreshold", "0"), ("creationSideThreshold", "1g"))}
+#: Rows handed to Python at once: whole texts, of which a worker holds several forms.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
 def families(nodes: DataFrame, sets: DataFrame, percent: int, hot: int, block: int) -> DataFrame:
     """(node, component) of the candidate families, from rows (node, size, first, bins)
     and the rows of all documents, whose n-grams are counted (copies count too, which
@@ -409,14 +413,13 @@ def tree_join(ids: np.ndarray, sets: list[np.ndarray], percent: int,
     return a, b
 
 
-def family_links(cols: Columns, at: int, end: int, percent: int) -> tuple[list, list]:
+def family_links(cols: Columns, at: int, end: int, n: int, percent: int) -> tuple[list, list]:
+    """A spanning forest of the links in a group of texts, one a node."""
     if end - at < 2:
         return [], []
-    nodes = cols["node"][at:end]
-    once = np.concatenate([[True], nodes[1:] != nodes[:-1]])  # rows by node; several hold a repeated row's
-    sets = [np.frombuffer(s, np.int64) for s in cols["grams"][at:end][once]]
+    sets = [shingles(text, n) for text in cols["text"][at:end]]
     across = cols["lo"][at] != cols["hi"][at]
-    return tree_join(nodes[once], sets, percent, cols["block"][at:end][once] if across else None)
+    return tree_join(cols["node"][at:end], sets, percent, cols["block"][at:end] if across else None)
 
 
 def _further_nodes(classes: DataFrame, ids: DataFrame, attempts: int = 20) -> DataFrame:
@@ -440,7 +443,8 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
     intersection >= percent * union``. ``cell``: n-grams of a family in one group. With
     ``stands`` also text_hash and stands: whether the row has the id and text that stand
     for its component (its smallest id); a row without words stands for itself."""
-    sets = materialise(set_rows(docs, text, key, n, percent), "sets")
+    with settings(docs.sparkSession, SMALL_BATCHES):
+        sets = materialise(set_rows(docs, text, key, n, percent), "sets")
     some = sets.where("size > 0 and id is not null")
     # A row for each id and set, and the smallest id (with one of its texts) for each set.
     classes = materialise(some.groupBy("same").agg(F.min(F.struct("id", "text_hash")).alias("least"))
@@ -451,59 +455,52 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
     usual = classes.join(further.select("same"), "same", "left_anti") if several else classes
     # Dealt by the id alone, so that keeping one row of it moves nothing again.
     nodes = (some.withColumnRenamed("id", "node")
-             .join(usual.select(F.col("same").alias("rep"), "node"), "node")
-             .where("same = rep").select("node", "same", "size", "first", "bins").dropDuplicates(["node"]))
+             .join(usual.select(F.col("same").alias("rep"), "node", "node_hash"), "node")
+             .where("same = rep").select("node", "same", "node_hash", "size", "first", "bins").dropDuplicates(["node"]))
     if several:
-        nodes = nodes.unionByName(some.join(further, "same").select("node", "same", "size", "first", "bins")
+        nodes = nodes.unionByName(some.join(further, "same").select("node", "same", F.lit(None).cast("long").alias("node_hash"), "size", "first", "bins")
                                   .dropDuplicates(["node"]))
         nodes = materialise(nodes, "nodes")
         named = classes.withColumnRenamed("node", "least").join(further, "same", "left")
         classes = materialise(named.select("same", "least", F.coalesce("node", "least").alias("node"), "node_hash"), "classes")
     else:
         classes = classes.withColumn("least", F.col("node"))
+    about = nodes.select("node", "size", "same", "node_hash")
     family = families(nodes, sets, percent, hot, block)
-    about = nodes.select("node", "size", "same")
     members = family.join(about, "node")
     weights = members.groupBy("component").agg(F.ceil(F.sum("size") / cell).cast("int").alias("blocks"))
     members = members.join(weights, "component").withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
-    members = materialise(members.select("node", "same", "component", "block", "blocks"), "members")
+    members = materialise(members.select("node", "same", "node_hash", "component", "block", "blocks"), "members")
+    # The first n-grams and histograms have done their work: the rest of the rows is small.
+    rows = materialise(sets.select("id", "text_hash", "size", "same"), "rows")
+    discard(docs.sparkSession, family, sets, *([nodes] if several else []))
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
-    whole = texts.join(members.where("blocks >= 1"), "node")
-
-    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        given: set[int] = set()  # of a repeated row one is enough; forgotten ones are left out later
-        for pdf in batches:
-            raw = [None if v in given else shingles(t, n).tobytes() for v, t in zip(pdf["node"], pdf["text"])]
-            right = np.array([s is not None and xxhash.xxh3_128_hexdigest(s) == same
-                              for s, same in zip(raw, pdf["same"])], dtype=bool)
-            out = pdf.drop(columns=["text", "same"]).assign(grams=raw)[right].drop_duplicates("node")
-            if len(given) > 100_000:
-                given.clear()
-            given.update(out["node"])
-            yield out
-
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            raw = [shingles(t, n).tobytes() for t in pdf["text"]]
-            yield pd.DataFrame({"same": [xxhash.xxh3_128_hexdigest(s) for s in raw], "grams": raw})
-
-    dealt = whole.mapInPandas(grams, "node long, component long, block int, blocks int, grams binary")
+    # Of the texts and repeated rows under a node's id, one that has its set.
+    dealt = (texts.join(members.where("blocks >= 1"), "node").where(text_hash("text") == F.col("node_hash"))
+             .select("node", "component", "block", "blocks", "text").dropDuplicates(["node"]))
     if several:  # these meet their texts by the set, as their node is no id
         others = members.join(further.select("same"), "same", "left_semi")
         ids = classes.join(further.select("same"), "same", "left_semi").select(F.col("least").alias("node")).distinct()
+
+        def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield pdf.assign(same=[xxhash.xxh3_128_hexdigest(shingles(t, n).tobytes()) for t in pdf["text"]])
+
         dealt = dealt.unionByName(
-            texts.join(ids, "node", "left_semi").select("text").mapInPandas(hashed, "same string, grams binary")
-            .join(others.where("blocks >= 1"), "same").drop("same").dropDuplicates(["node"]))
+            texts.join(ids, "node", "left_semi").select("text").mapInPandas(hashed, "text string, same string")
+            .join(others.where("blocks >= 1"), "same").select("node", "component", "block", "blocks", "text")
+            .dropDuplicates(["node"]))
+    # The texts are dealt out, not their n-grams.
     cells = (dealt
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("node", "component", "block", F.least("block", "o").alias("lo"),
-                     F.greatest("block", "o").alias("hi"), "grams"))
+                     F.greatest("block", "o").alias("hi"), "text"))
     links = in_groups(cells, ["component", "lo", "hi"], ["node"], "a long, b long",
-                      lambda cols, at, end: family_links(cols, at, end, percent))
-    with runtime_filters(docs.sparkSession):
+                      lambda cols, at, end: family_links(cols, at, end, n, percent))
+    with settings(docs.sparkSession, RUNTIME_FILTERS | SMALL_BATCHES):
         links = materialise(links, "links")
-    discard(docs.sparkSession, family, members)
+    discard(docs.sparkSession, members)
     comp = components(links)
     discard(docs.sparkSession, links)
     if several:  # numbered by the smallest id, with the set that holds it
@@ -513,7 +510,7 @@ def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id
                                                    F.col("head.node").alias("root"))
     else:
         comp = comp.select("node", F.col("component").alias("component_id"), F.col("component").alias("root"))
-    rows = sets.select("id", "text_hash", "size", "same").join(classes, "same", "left").join(comp, "node", "left")
+    rows = rows.join(classes, "same", "left").join(comp, "node", "left")
     out = ["id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "least", "id").alias("component_id")]
     if stands:
         first = (F.col("id") == F.col("least")) & (F.col("text_hash") == F.col("node_hash")) & (
