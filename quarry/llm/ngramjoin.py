@@ -5,7 +5,7 @@ order of the hashes is the global order of n-grams. Equal sets are one node. The
 join finds every pair of nodes with Jaccard similarity at or above the threshold:
 
 1. *Families.* Two linked sets share one of their first ``n - ceil(t n) + 1`` n-grams
-   in any one order. The order puts n-grams that ``hot`` or more documents share last
+   in any one order. The order puts n-grams that ``hot`` or more sets share last
    (among the first ones looked at), so a passage that many documents quote makes no
    candidates, unless a document consists of such n-grams; only such *dense*
    documents also meet others at hot n-grams, in ranges of set size. Documents that
@@ -22,7 +22,9 @@ join finds every pair of nodes with Jaccard similarity at or above the threshold
 Families, and the documents that meet at an n-gram, are dealt out in blocks of
 bounded size, every pair of blocks being one group; groups return a spanning forest
 of their links, never all pairs. Texts are read whole, twice, and dealt to the groups as
-texts, whose shuffle compresses, where hashes of n-grams do not.
+texts, whose shuffle compresses, where hashes of n-grams do not. What deals out n-grams
+or their rows does so in parts, one after another, so that only one part's shuffle files
+are on disk.
 
 Defined cases: texts are lower-cased in A-Z only, words are separated by the six
 ASCII white-space characters; with fewer than n words the whole sequence is the only
@@ -43,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Columns, components, discard, in_groups, materialise, worker_cache
+from quarry.llm.common import Columns, components, discard, in_groups, materialise, union_all, worker_cache
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25], dtype=np.uint64)
@@ -241,14 +243,22 @@ RUNTIME_FILTERS = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
-def families(nodes: DataFrame, sets: DataFrame, percent: int, hot: int, block: int) -> DataFrame:
-    """(node, component) of the candidate families, from rows (node, size, first, bins)
-    and the rows of all documents, whose n-grams are counted (copies count too, which
-    only moves n-grams in the order, and spares dealing the nodes out for the count)."""
-    grams = nodes.select("node", F.posexplode("first").alias("pos", "gram"))
-    shared = (sets.select(F.explode("first").alias("gram")).groupBy("gram")
+def shared_grams(nodes: DataFrame, sets: DataFrame, hot: int, part: int, parts: int) -> DataFrame:
+    """(node, g) for the first n-grams of ``nodes`` that ``sets`` hold twice or more, of one
+    part of all n-grams."""
+    own = F.pmod("gram", F.lit(parts)) == part
+    grams = nodes.select("node", F.posexplode("first").alias("pos", "gram")).where(own)
+    shared = (sets.select(F.explode("first").alias("gram")).where(own).groupBy("gram")
               .agg(F.count("*").alias("df")).where("df >= 2"))
-    met = grams.join(shared, "gram").select("node", F.struct("pos", "gram", (F.col("df") >= hot).alias("hot")).alias("g"))
+    return grams.join(shared, "gram").select("node", F.struct("pos", "gram", (F.col("df") >= hot).alias("hot")).alias("g"))
+
+
+def families(nodes: DataFrame, sets: DataFrame, percent: int, hot: int, block: int, parts: int = 4) -> DataFrame:
+    """(node, component) of the candidate families, from rows (node, size, first, bins)
+    and the rows whose n-grams are counted (the nodes or others beside them: their
+    number only moves n-grams in the order). ``parts``: of the n-grams, dealt out in turn."""
+    dealt_out = [materialise(shared_grams(nodes, sets, hot, part, parts), "met") for part in range(parts)]
+    met = union_all(dealt_out)
     # Each document's shared first n-grams, at most as many as its ``first``.
     mine = met.groupBy("node").agg(F.array_sort(F.collect_list("g")).alias("g"))
     size = F.col("size")
@@ -271,6 +281,7 @@ def families(nodes: DataFrame, sets: DataFrame, percent: int, hot: int, block: i
     spread = spread.select("*", F.explode(F.when(F.col("hot"), F.array(band, band + 1)).otherwise(
         F.array(F.lit(-1)))).alias("band"))
     spread = materialise(spread, "meetings")
+    discard(nodes.sparkSession, *dealt_out)
     # Near copies meet at many n-grams: of the groups of the same documents (two
     # 64-bit sums of their hashes) one is enough, a usual one where there is one, as
     # it compares all pairs and a hot one only those with a dense document.
@@ -438,43 +449,43 @@ def _further_nodes(classes: DataFrame, ids: DataFrame, attempts: int = 20) -> Da
 
 
 def linked_components(docs: DataFrame, *, text: str = "text", key: str = "doc_id", n: int = 4, percent: int = 85,
-                      hot: int = 64, block: int = 2048, cell: int = 3_000_000, stands: bool = False) -> DataFrame:
+                      hot: int = 64, block: int = 2048, cell: int = 3_000_000, stands: bool = False,
+                      parts: int = 4) -> DataFrame:
     """One row per document: id, n_shingles, component_id. Sets link where ``100 *
-    intersection >= percent * union``. ``cell``: n-grams of a family in one group. With
-    ``stands`` also text_hash and stands: whether the row has the id and text that stand
-    for its component (its smallest id); a row without words stands for itself."""
+    intersection >= percent * union``. ``cell``: n-grams of a family in one group. ``parts``:
+    in which wide rows, and n-grams, are dealt out one after another. With ``stands`` also
+    text_hash and stands: whether the row has the id and text that stand for its component
+    (its smallest id); a row without words stands for itself."""
     with settings(docs.sparkSession, SMALL_BATCHES):
         sets = materialise(set_rows(docs, text, key, n, percent), "sets")
-    some = sets.where("size > 0 and id is not null")
+    rows = materialise(sets.select("id", "text_hash", "size", "same"), "rows")
+    some = rows.where("size > 0 and id is not null")
     # A row for each id and set, and the smallest id (with one of its texts) for each set.
     classes = materialise(some.groupBy("same").agg(F.min(F.struct("id", "text_hash")).alias("least"))
                           .select("same", F.col("least.id").alias("node"), F.col("least.text_hash").alias("node_hash")),
                           "classes")
     further = _further_nodes(classes, some.select("id"))
     several = not further.isEmpty()
-    usual = classes.join(further.select("same"), "same", "left_anti") if several else classes
-    # Dealt by the id alone, so that keeping one row of it moves nothing again.
-    nodes = (some.withColumnRenamed("id", "node")
-             .join(usual.select(F.col("same").alias("rep"), "node", "node_hash"), "node")
-             .where("same = rep").select("node", "same", "node_hash", "size", "first", "bins").dropDuplicates(["node"]))
     if several:
-        nodes = nodes.unionByName(some.join(further, "same").select("node", "same", F.lit(None).cast("long").alias("node_hash"), "size", "first", "bins")
-                                  .dropDuplicates(["node"]))
-        nodes = materialise(nodes, "nodes")
         named = classes.withColumnRenamed("node", "least").join(further, "same", "left")
         classes = materialise(named.select("same", "least", F.coalesce("node", "least").alias("node"), "node_hash"), "classes")
     else:
         classes = classes.withColumn("least", F.col("node"))
+    # One of the rows of each node, part by part, as the rows are wide.
+    own = classes.withColumnRenamed("least", "id")
+    wide = [materialise(sets.where("size > 0").where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part).drop("text_hash")
+                        .join(own, ["id", "same"]).dropDuplicates(["id", "same"]).drop("id"), "nodes") for part in range(parts)]
+    nodes = union_all(wide)
+    discard(docs.sparkSession, sets)
     about = nodes.select("node", "size", "same", "node_hash")
-    family = families(nodes, sets, percent, hot, block)
+    family = families(nodes, nodes, percent, hot, block, parts)
     members = family.join(about, "node")
     weights = members.groupBy("component").agg(F.ceil(F.sum("size") / cell).cast("int").alias("blocks"))
     members = members.join(weights, "component").withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
     members = materialise(members.select("node", "same", "node_hash", "component", "block", "blocks"), "members")
-    # The first n-grams and histograms have done their work: the rest of the rows is small.
-    rows = materialise(sets.select("id", "text_hash", "size", "same"), "rows")
-    discard(docs.sparkSession, family, sets, *([nodes] if several else []))
+    # The first n-grams and histograms have done their work.
+    discard(docs.sparkSession, family, *wide)
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
     # Of the texts and repeated rows under a node's id, one that has its set.
     dealt = (texts.join(members.where("blocks >= 1"), "node").where(text_hash("text") == F.col("node_hash"))
