@@ -12,7 +12,8 @@ What a worker remembers of a pre-token depends on no draw: the segmentation wher
 is dropped, the one where the first candidate is, the second, and so on, each made when
 first asked for. An occurrence looks up the number of candidates it lets through, and
 goes on from there if a drop lies before the last of them. Draws are made for all
-occurrences of a batch at once.
+occurrences of a batch at once. When too much is remembered, what has not been met again
+lately is forgotten.
 
 Decoding gives the text back exactly, whatever was dropped: spaces are pieces,
 other characters outside the vocabulary are bytes, and so is a literal space mark.
@@ -47,6 +48,13 @@ _SHORT = 40
 _NONE = 1 << 60
 #: More candidates than a remembered pre-token can have: each merge makes two new ones.
 _MOST_CANDIDATES = 3 * _SHORT + 8
+#: An agenda's entry is a rank and a place below this, so that the least one is the best,
+#: leftmost on ties; entries from ``_FREE`` on are none.
+_PLACES = 64
+_FREE = 1 << 30
+#: How often what is remembered may be cleared of what was not met since, until a
+#: pre-token that was met again is forgotten.
+_STAYS = 3
 
 
 class Drops:
@@ -158,71 +166,116 @@ class Agendas:
                 self.of_char[ord(c)] = i
         self.ids = np.array([vocabulary.ids.get(x, -1) for x in names], dtype=np.int32)
         self.n = len(names)
-        pairs = [(number[p[:k]] * self.n + number[p[k:]], vocabulary.rank[p], number[p]) for p in vocabulary.ids
-                 for k in range(1, len(p)) if p[:k] in number and p[k:] in number]
-        table = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 3)
-        self.pairs, self.ranks, self.joined = (np.ascontiguousarray(c) for c in table.T)
-
-    def pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and number of the union of two symbols; ``_NONE`` where it is no piece."""
-        if not len(self.pairs):
-            return np.full(a.shape, _NONE), np.zeros(a.shape, dtype=np.int64)
-        key = a * self.n + b
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        fits = (self.pairs[at] == key) & (a >= 0) & (b >= 0)
-        return np.where(fits, self.ranks[at], _NONE), self.joined[at]
+        by_left: dict[int, list[tuple[int, int]]] = {}
+        # Entries of the pieces; the last is of what is none.
+        self.entry = np.full(self.n + 1, _FREE, dtype=np.int32)
+        for p in vocabulary.ids:
+            self.entry[number[p]] = vocabulary.rank[p] * _PLACES
+            for k in range(1, len(p)):
+                if p[:k] in number and p[k:] in number:
+                    by_left.setdefault(number[p[:k]], []).append((number[p[k:]], number[p]))
+        self.of_char[ord(" ")] = self.of_char[ord(SPACE)]
+        # The unions, a row for each left symbol, all rows in one table: each is shifted so
+        # far that its entries fall on free places, which then name their row.
+        rows = sorted(by_left.items(), key=lambda x: -len(x[1]))
+        most = 8 * sum(len(row) for _, row in rows) + 1024
+        self.shift = np.full(self.n + 1, most + self.n, dtype=np.int32)  # the last one is for no symbol
+        self.owner = np.full(most + 2 * self.n + 1, -1, dtype=np.int32)
+        self.union = np.full(len(self.owner), self.n, dtype=np.int32)
+        rng = np.random.default_rng(0)
+        for left, row in rows:
+            right, union = np.array(row, dtype=np.int32).T
+            while (self.owner[(at := int(rng.integers(1, most))) + right] >= 0).any():
+                pass
+            self.shift[left] = at
+            self.owner[at + right], self.union[at + right] = left, union
+
+    def _enter(self, agenda: np.ndarray, joined: np.ndarray, at: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Enter the pairs of symbols a and b (-1: none) that begin at ``at``."""
+        slot = self.shift[a] + b
+        number = np.where(self.owner[slot] == a, self.union[slot], np.int32(self.n))
+        joined[at] = number
+        agenda[at] = self.entry[number] + place
 
     def run(self, words: list[str], paths: list[tuple[int, ...]]) -> tuple[list[bytes | None], np.ndarray]:
         """Ids of each word (None where it holds what is no piece) and the number of
-        candidates popped, the candidates of its path being dropped."""
-        n, width = len(words), max(map(len, words)) + 1
-        sizes = np.array([len(w) for w in words])
-        symbol = np.full((n, width), -1, dtype=np.int64)
-        alive = np.arange(width)[None, :] < sizes[:, None]
-        symbol[alive] = self.of_char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-        after = np.tile(np.arange(1, width + 1), (n, 1))
-        before = np.tile(np.arange(-1, width - 1), (n, 1))
-        agenda = np.full((n, width), _NONE, dtype=np.int64)
-        agenda[:, :-1], joins = self.pair(symbol[:, :-1], symbol[:, 1:])
-        joined = np.zeros((n, width), dtype=np.int64)
-        joined[:, :-1] = joins
-        lengths = np.array([len(path) for path in paths])
-        drops = np.full((n, lengths.max() + 1), _NONE, dtype=np.int64)
+        candidates popped, the candidates of its path being dropped.
+
+        Words are columns, their characters rows; places are numbered through. The last
+        row but one is free in every column, the last stands before the first."""
+        n = len(words)
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=n)
+        width = int(sizes.max()) + 1
+        alive = np.zeros((width + 1) * n, dtype=bool)
+        alive.reshape(width + 1, n)[:width] = np.arange(width)[:, None] < sizes
+        symbol = np.full(alive.shape, -1, dtype=np.int32)
+        chars = self.of_char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        starts = np.cumsum(sizes) - sizes
+        places = np.flatnonzero(alive)
+        symbol[places] = chars[starts[places % n] + places // n]
+        after = np.arange(n, len(alive) + n, dtype=np.int32)
+        before = np.arange(-n, len(alive) - n, dtype=np.int32)
+        before[:n] += len(alive)
+        agenda, joined = np.full(alive.shape, _FREE, dtype=np.int32), np.zeros(alive.shape, dtype=np.int32)
+        place = np.repeat(np.arange(width + 1, dtype=np.int32), n)
+        self._enter(agenda, joined, places, place[places], symbol[places], symbol[places + n])
+        lengths = np.fromiter(map(len, paths), dtype=np.int64, count=n)
+        drops = np.full((n, int(lengths.max()) + 1), _NONE, dtype=np.int64)
         drops[np.arange(drops.shape[1])[None, :] < lengths[:, None]] = np.array([x for path in paths for x in path], dtype=np.int64)
+        dropping = bool(lengths.any())
         popped, passed = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-        rows = np.arange(n)
-        while len(rows):
-            best = agenda[rows].argmin(axis=1)
-            some = agenda[rows, best] < _NONE
-            rows, best = rows[some], best[some]
-            gone = popped[rows] == drops[rows, passed[rows]]
-            popped[rows] += 1
-            agenda[rows[gone], best[gone]] = _NONE
-            passed[rows[gone]] += 1
-            r, i = rows[~gone], best[~gone]
-            j = after[r, i]
-            symbol[r, i] = joined[r, i]
-            alive[r, j] = False
-            agenda[r, j] = _NONE
-            k = after[r, j]
-            after[r, i] = k
-            inside = k < sizes[r]
-            before[r[inside], k[inside]] = i[inside]
-            agenda[r, i] = _NONE
-            agenda[r[inside], i[inside]], joined[r[inside], i[inside]] = self.pair(symbol[r[inside], i[inside]], symbol[r[inside], k[inside]])
-            h = before[r, i]
-            led = h >= 0
-            agenda[r[led], h[led]], joined[r[led], h[led]] = self.pair(symbol[r[led], h[led]], symbol[r[led], i[led]])
-        found = np.where(symbol >= 0, self.ids[symbol], -1)
+        by_row = agenda.reshape(width + 1, n)
+        while True:
+            best = by_row.min(axis=0)
+            rows = np.flatnonzero(best < _FREE)
+            if not len(rows):
+                break
+            i = (best[rows] & (_PLACES - 1)) * n + rows
+            agenda[i] = _FREE
+            if dropping:
+                gone = popped[rows] == drops[rows, passed[rows]]
+                passed[rows[gone]] += 1
+                popped[rows] += 1
+                i = i[~gone]
+            else:
+                popped[rows] += 1
+            j = after[i]
+            x = joined[i]
+            symbol[i], alive[j], agenda[j] = x, False, _FREE
+            k = after[j]
+            after[i] = k
+            before[k] = i
+            h = before[i]
+            self._enter(agenda, joined, i, place[i], x, symbol[k])
+            self._enter(agenda, joined, h, place[h], symbol[h], x)
+        found = np.where(symbol >= 0, self.ids[symbol], -1).astype(np.int32).reshape(width + 1, n).T
+        alive = alive.reshape(width + 1, n).T
         whole = ~((found < 0) & alive).any(axis=1)
         ends = np.cumsum(alive.sum(axis=1)) * 4
-        data, out, at = found[alive].astype(np.int32).tobytes(), [], 0
+        data, out, at = found[alive].tobytes(), [], 0
         for end, good in zip(ends.tolist(), whole.tolist()):
             out.append(data[at:end] if good else None)
             at = end
         return out, popped
 
 
+class _Numbers(dict):
+    """pre-token -> node; one met for the first time gets the next number, one too long
+    to be remembered -1."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+        self.start = 0
+
+    def __missing__(self, token: str) -> int:
+        if len(token) > _SHORT:
+            self[token] = -1
+            return -1
+        number = self[token] = self.start + len(self.new)
+        self.new.append(token)
+        return number
+
+
 class Segmenter:
     """Encodes pre-tokens; remembers up to ``most`` of their segmentations per worker.
 
@@ -238,40 +291,80 @@ class Segmenter:
         self.ids: list[bytes] = []
         self.paths: list[tuple[str, tuple[int, ...]]] = []
         self.left = np.zeros(1024, dtype=np.int64)
-        self.first: dict[str, int] = {}
-        self.further: dict[int, int] = {}
+        self.met = np.zeros(1024, dtype=np.uint8)  # lately, again after it was made
+        self.first = _Numbers()
+        self.further, self.next = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)  # sorted keys, nodes
+
+    def shrink(self) -> None:
+        """Forget what was not met again lately, or all where little would go. A node is met
+        whenever one behind it is, so those behind a forgotten one are forgotten too."""
+        met = self.met[:len(self.ids)]
+        for least in range(1, _STAYS + 1):
+            kept = np.flatnonzero(met >= least)
+            if 2 * len(kept) <= self.most:
+                break
+        else:
+            return self.forget()
+        number = np.full(len(self.ids), -1, dtype=np.int64)
+        number[kept] = np.arange(len(kept))
+        old = kept.tolist()
+        self.ids, self.paths = [self.ids[i] for i in old], [self.paths[i] for i in old]
+        left, met = self.left[kept], met[kept] - 1
+        self.left, self.met = (np.concatenate([x, np.zeros(1024, dtype=x.dtype)]) for x in (left, met))
+        first, self.first = self.first, _Numbers()
+        places = number.tolist()
+        self.first.update((t, places[i]) for t, i in first.items() if i >= 0 and places[i] >= 0)
+        stay = number[self.next] >= 0
+        key = self.further[stay]
+        self.further = number[key // _MOST_CANDIDATES] * _MOST_CANDIDATES + key % _MOST_CANDIDATES
+        self.next = number[self.next[stay]]
 
     def _nodes(self, asked: list[tuple[str, tuple[int, ...]]]) -> range:
         """New nodes of pre-tokens and the candidates dropped."""
         start = len(self.ids)
         end = start + len(asked)
         if end > len(self.left):
-            self.left = np.concatenate([self.left, np.zeros(max(end, 2 * start), dtype=np.int64)])
-        self.ids += [b""] * len(asked)
+            more = max(end, 2 * start) - len(self.left)
+            self.left, self.met = (np.concatenate([x, np.zeros(more, dtype=x.dtype)]) for x in (self.left, self.met))
         self.paths += asked
-        by_width: dict[int, list[int]] = {}
-        for i, (token, _) in enumerate(asked):
-            by_width.setdefault(-(-len(token) // 6), []).append(i)
-        for places in by_width.values():
-            for at in range(0, len(places), 8192):
-                some = places[at:at + 8192]
-                ids, popped = self.agendas.run([asked[i][0].replace(" ", SPACE) for i in some], [asked[i][1] for i in some])
-                for i, x, n in zip(some, ids, popped.tolist()):
-                    token, path = asked[i]
-                    if x is None or token == SPACE:
-                        drops = Drops(iter(path))
-                        x, n = self.token(token, drops), drops.at
-                    self.ids[start + i] = x
-                    self.left[start + i] = n - (path[-1] + 1) if path else n
+        ids: list[bytes | None] = [None] * len(asked)
+        sizes = np.fromiter((len(token) for token, _ in asked), dtype=np.int64, count=len(asked))
+        order = np.argsort(sizes, kind="stable")
+        bounds = np.searchsorted(sizes[order], np.arange(0, _SHORT + 4, 3), side="right").tolist()
+        for low, high in zip(bounds, bounds[1:]):
+            for at in range(low, high, 8192):
+                places = order[at:min(at + 8192, high)]
+                some = places.tolist()
+                found, popped = self.agendas.run([asked[i][0] for i in some], [asked[i][1] for i in some])
+                self.left[start + places] = popped
+                for i, x in zip(some, found):
+                    ids[i] = x
+        for i, (token, path) in enumerate(asked):
+            if ids[i] is None or token == SPACE:
+                drops = Drops(iter(path))
+                ids[i] = self.token(token, drops)
+                self.left[start + i] = drops.at
+        self.left[start:end] -= np.fromiter((path[-1] + 1 if path else 0 for _, path in asked), dtype=np.int64, count=len(asked))
+        self.ids += ids
         return range(start, end)
 
-    def _further_nodes(self, keys: list[int]) -> None:
+    def _further_nodes(self, keys: np.ndarray) -> None:
+        """Nodes of new keys (sorted, distinct)."""
         asked = []
-        for key in keys:
+        for key in keys.tolist():
             node, let_through = divmod(key, _MOST_CANDIDATES)
             token, path = self.paths[node]
             asked.append((token, (*path, (path[-1] + 1 if path else 0) + let_through)))
-        self.further.update(zip(keys, self._nodes(asked)))
+        made = self._nodes(asked)
+        at = np.searchsorted(self.further, keys)
+        self.further = np.insert(self.further, at, keys)
+        self.next = np.insert(self.next, at, np.arange(made.start, made.stop))
+
+    def _known(self, keys: np.ndarray) -> np.ndarray:
+        """Which keys have their node."""
+        if not len(self.further):
+            return np.zeros(len(keys), dtype=bool)
+        return self.further[np.minimum(np.searchsorted(self.further, keys), len(self.further) - 1)] == keys
 
     def token(self, t: str, drops: Drops) -> bytes:
         """The ids of a pre-token; long ones are cut where no piece crosses."""
@@ -309,14 +402,15 @@ class Segmenter:
     def encode_all(self, texts: list[str], documents: list[int]) -> list[np.ndarray]:
         """The ids of each text, its draws keyed by its document's number."""
         if len(self.ids) > self.most:
-            self.forget()
+            self.shrink()
+        older = len(self.ids)
         cut = [self.v.pre_tokens(t) for t in texts]
         tokens = [x for own in cut for x in own]
-        new = [t for t in dict.fromkeys(tokens) if t not in self.first]
-        short = [t for t in new if len(t) <= _SHORT]
-        self.first.update(zip(short, self._nodes([(t, ()) for t in short])))
-        self.first.update((t, -1) for t in new if len(t) > _SHORT)
+        self.first.start, self.first.new = older, []
         node = np.fromiter(map(self.first.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        if self.first.new:
+            self._nodes([(t, ()) for t in self.first.new])
+        self.met[node[(node >= 0) & (node < older)]] = _STAYS
         ends = np.cumsum([len(own) for own in cut], dtype=np.int64)
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(cut) else ends
         keys = np.zeros(0, dtype=np.uint64)
@@ -325,15 +419,19 @@ class Segmenter:
             lengths = ends - starts
             place = (np.arange(len(tokens)) - np.repeat(starts, lengths)).astype(np.uint64)
             keys = _mixed(np.repeat(document, lengths) + _times(place + 1))
-            open_, number = np.flatnonzero(node >= 0), 0
+            # Where nothing can be merged, nothing is drawn.
+            open_, number = np.flatnonzero((node >= 0) & (self.left[node] > 0)), 0
             while len(open_):
                 let = self.let_through(keys[open_], number)
                 hit = let < self.left[node[open_]]
                 open_, let, number = open_[hit], let[hit], number + 1
                 asked = node[open_] * _MOST_CANDIDATES + let
-                if more := [k for k in np.unique(asked).tolist() if k not in self.further]:
-                    self._further_nodes(more)
-                node[open_] = np.fromiter(map(self.further.__getitem__, asked.tolist()), dtype=np.int64, count=len(open_))
+                new = asked[~self._known(asked)]
+                if len(new):
+                    self._further_nodes(np.unique(new))
+                found = self.next[np.searchsorted(self.further, asked)]
+                node[open_] = found
+                self.met[found[found < older]] = _STAYS
         made, ids = node.tolist(), self.ids
         own = {i: self._own(tokens[i], keys[i] if len(keys) else np.uint64(0)) for i in np.flatnonzero(node < 0).tolist()}
         out = []

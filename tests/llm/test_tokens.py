@@ -140,6 +140,24 @@ def test_every_occurrence_is_cut_by_itself(vocabulary):
     assert abs(np.mean([x == 0 for x in exact]) - 0.1) < 0.005
 
 
+def test_what_is_met_again_stays_remembered(vocabulary):
+    """A full memory is cleared of what was met once; words of every text stay, and so do
+    their cuts."""
+    plain, seg, asked = bpe.Segmenter(vocabulary, 0.1, 17), bpe.Segmenter(vocabulary, 0.1, 17, most=300), []
+    make = seg._nodes
+    seg._nodes = lambda new: (asked.extend(new), make(new))[1]
+    rng = np.random.default_rng(8)
+    for document in range(60):
+        rare = ["".join(rng.choice(list("thendrigso"), 9)) for _ in range(40)]
+        text = " ".join(w for r in rare for w in (r, "international", "house"))
+        got = seg.encode(text, document)
+        assert np.array_equal(got, plain.encode(text, document))
+        assert len(seg.ids) == len(seg.paths) <= 700
+    for word in (" international", " house"):
+        assert asked.count((word, ())) == 1
+    assert len(seg.first) < 400
+
+
 def test_draws_step_by_step(vocabulary):
     """The remembered segmentations against one pass over each occurrence with its draws."""
     seg = bpe.Segmenter(vocabulary, 0.3, 5)
