@@ -299,8 +299,12 @@ def families(nodes: DataFrame, sets: DataFrame, percent: int, hot: int, block: i
              .join(nodes.select("node", "size", "bins"), "node"))
     edges = in_groups(dealt, ["gram", "band", "lo", "hi"], ["size", "node"], "a long, b long",
                       lambda cols, at, end: possible_links(cols, at, end, percent))
-    found = materialise(components(edges), "families")
+    # Written before their components: two steps of Python in one task are two workers a
+    # core, and each keeps the memory of all that it ran.
+    edges = materialise(edges, "candidates")
     discard(nodes.sparkSession, spread)
+    found = materialise(components(edges), "families")
+    discard(nodes.sparkSession, edges)
     return found
 
 
