@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -322,6 +322,14 @@ def training_sample(docs: DataFrame, text: str, label: str, key: str, *, per_lab
     return [x for l in sorted(out) for x in out[l]]
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], most: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of up to ``most`` rows: whole texts become Python's only a
+    piece at a time, as a worker keeps the memory it once had."""
+    for batch in batches:
+        for at in range(0, len(batch), most):
+            yield batch.slice(at, most)
+
+
 def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", keep: list[str] | None = None,
              prefix: str = "", batch_words: int = 400_000) -> DataFrame:
     """Label every whole text: the columns ``keep`` (default: all others but the
@@ -337,13 +345,13 @@ def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", kee
                            *[F.lit(0).cast("long").alias(c) for c in new[2:]])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         cache = worker_cache(("langid", m.key), lambda: _WordScores(m))
-        for pdf in batches:
-            result = np.zeros((len(pdf), 3))
-            names = np.full(len(pdf), UNKNOWN, dtype=object)
-            texts = pdf[body].tolist()
+        for batch in few_rows(batches):
+            result = np.zeros((len(batch), 3))
+            names = np.full(len(batch), UNKNOWN, dtype=object)
+            texts = batch.column(len(keep)).to_pylist()
             at = 0
             while at < len(texts):  # so many words at a time, whatever the batch holds
                 rows, held = [], 0
@@ -361,10 +369,10 @@ def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", kee
                 share = mass.max(axis=1) / np.where(some, worded, 1)
                 result[at:end] = np.stack([np.minimum(share, 1.0) * some, worded, switches * some], axis=1)
                 at = end
-            out = pdf.drop(columns=body)
-            yield out.assign(**dict(zip(new, (names, result[:, 0], *result[:, 1:].astype(np.int64).T))))
+            found = [pa.array(names, pa.string()), pa.array(result[:, 0]), *map(pa.array, result[:, 1:].astype(np.int64).T.copy())]
+            yield pa.RecordBatch.from_arrays(batch.columns[:len(keep)] + found, names=[*batch.schema.names[:len(keep)], *new])
 
-    return rows.mapInPandas(label, schema)
+    return rows.mapInArrow(label, schema)
 
 
 def train(docs: DataFrame, where: Column | None = None, *, text: str = "text", label: str = "lang",
