@@ -208,22 +208,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
 
     Each round is two aggregations (combined map-side) and two joins on the
     node, so a hub is split like any skewed join key; nothing is collected but
-    one checksum row per round. Raises when it has not settled in
+    one checksum row per round. A round is written and read by the next, so its plan
+    runs once and what it left on the driver goes before the next begins; the last one's
+    table stays, as the result reads it. Raises when it has not settled in
     ``max_rounds`` (it halves path lengths, so 60 is far beyond any input).
     """
-    ensure_checkpoint_dir(edges.sparkSession)
     e = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v")
-    e = spanning(e).distinct().checkpoint()
+    e = materialise(spanning(e).distinct(), "round")
     before = None
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        e = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-             .where("u <> v").distinct())
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        linked = e.join(low, "u")
-        e = (linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
-             .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct().checkpoint())
+        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .where("u <> v").distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        linked = large.join(low, "u")
+        done, e = e, materialise(linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
+                                 .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "round")
+        discard(edges.sparkSession, done)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -219,7 +219,8 @@ def fit(sample: list[tuple[str, str]], *, bits: int = 18, lexicon_size: int = 50
     """Train on (text, label) rows by Adam on the conditional log-likelihood of
     sequences of one to four spans of 5 to 40 words spliced across documents."""
     rng = np.random.default_rng(seed)
-    docs = [(label, [w for w in map(fold, text.split()) if w]) for text, label in sample]
+    once: dict[str, str] = {}  # a word is one object, wherever it stands
+    docs = [(label, [once.setdefault(w, w) for w in map(fold, text.split()) if w]) for text, label in sample]
     docs = [d for d in docs if d[1]]
     if not docs:
         return None

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import carried, materialise, unused
+from quarry.llm.common import carried, discard, materialise, unused
 
 #: Titles by gender, and given names by gender and script.
 TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Mme", "Señora", "Sra", "Госпожа"),
@@ -237,19 +237,23 @@ def assign(entities: DataFrame, key: str, max_attempts: int = 50) -> DataFrame:
     """(type, entity, gender) with ``surrogate``: distinct, and none an entity.
 
     Every round settles, of the entities still open, the smallest one of each
-    surrogate that is neither an entity nor already given; the others try again.
+    surrogate that is neither an entity nor already given; the others try again. What a
+    round draws is written first: the drawing is a large expression, which the driver then
+    plans once, not on both sides of a join and again as each of its shuffles ends.
     """
     who = ["type", "entity", "gender"]
     originals = entities.select("type", F.col("entity").alias("surrogate"))
     left, done = entities, None
     for attempt in range(max_attempts):
-        tried = left.withColumn("surrogate", surrogate(F.col("type"), F.col("entity"), F.col("gender"), key, F.lit(attempt)))
+        tried = materialise(left.withColumn("surrogate", surrogate(F.col("type"), F.col("entity"), F.col("gender"), key, F.lit(attempt))),
+                            "tried")
         taken = originals if done is None else originals.union(done.select("type", "surrogate"))
         first = tried.groupBy("type", "surrogate").agg(F.min(F.struct("entity", "gender")).alias("winner"))
         free = first.join(taken, ["type", "surrogate"], "left_anti")
         won = tried.join(free, ["type", "surrogate"]).where("entity = winner.entity and gender = winner.gender")
         settled = won.select(*who, "surrogate")
-        done = materialise(settled if done is None else done.union(settled), "surrogates")
+        before, done = done, materialise(settled if done is None else done.union(settled), "surrogates")
+        discard(entities.sparkSession, tried, *([] if before is None else [before]))
         left = entities.join(done, who, "left_anti")
         if left.isEmpty():
             return done
@@ -293,7 +297,9 @@ def replace_entities(docs: DataFrame, *, text: str = "text", key: str = "quarry-
     each = each.join(settled.withColumn("type", F.lit("name")), ["rid", "type", "entity"], "left").withColumn(
         "gender", F.coalesce("settled", F.lit(""))).drop("settled")
     each = materialise(each, "mentions")
-    named = assign(each.select("type", "entity", "gender").distinct(), key)
+    entities = materialise(each.select("type", "entity", "gender").distinct(), "entities")
+    named = assign(entities, key)
+    discard(docs.sparkSession, entities)
     whole = F.when(F.col("alone"), surname(F.col("surrogate"))).otherwise(F.col("surrogate"))
     new = written_as(F.col("mention"), F.col("type"), whole)
     maps = (each.join(named, ["type", "entity", "gender"]).select("rid", F.struct("mention", new.alias("new")).alias("pair"))

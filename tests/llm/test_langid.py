@@ -1,4 +1,5 @@
 import itertools
+import tracemalloc
 
 import numpy as np
 
@@ -73,3 +74,16 @@ def test_same_model_and_result_on_a_rerun(spark, small_sf):
     docs = table(spark, small_sf, "documents")
     a, b = langid.train(docs), langid.train(docs.repartition(7))
     assert np.array_equal(a.emission, b.emission)
+
+
+def test_fitting_holds_a_word_once():
+    """Not an object for each of its places: 800,000 of them here."""
+    sample = [(" ".join(f"wort{chr(97 + (i + k) % 26)}" for k in range(2000)), "de" if i % 2 else "en") for i in range(400)]
+    tracemalloc.start()
+    try:
+        model = langid.fit(sample, bits=10, sequences=64, epochs=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted(model.lexicon) == [f"wort{chr(97 + k)}" for k in range(26)]
+    assert peak < 25e6

@@ -56,6 +56,20 @@ def test_distinct_entities_stay_distinct(spark):
     assert taken.surrogate not in {r.surrogate for r in surrogates.assign(both, "k").collect()}
 
 
+def test_surrogates_are_drawn_in_a_plan_of_their_own(spark, monkeypatch):
+    """The drawing is a large expression: no plan with a join or a shuffle holds it."""
+    plans, materialise = {}, surrogates.materialise
+
+    def written(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return materialise(df, name)
+
+    monkeypatch.setattr(surrogates, "materialise", written)
+    assert "Anna" not in one(spark, SEEN).text
+    drawn = [name for name, plan in plans.items() if "Ольга" in plan]
+    assert drawn and not [name for name in drawn if "Join" in plans[name] or "Aggregate" in plans[name]]
+
+
 def test_corpus_has_no_original_left_and_clean_texts_stay(spark, small_sf):
     docs = table(spark, small_sf, "documents").select("doc_id", "text")
     out = {r.doc_id: r for r in surrogates.replace_entities(docs, types_column="types").collect()}
