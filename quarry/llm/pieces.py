@@ -18,9 +18,10 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _pre_token_pattern(pairs: frozenset[str]) -> re.Pattern:
+def _pre_token_patterns(pairs: frozenset[str]) -> tuple[re.Pattern, re.Pattern]:
     """Pre-tokens: runs of letters and runs of other characters, each with the spaces
-    before them. Letters that some piece joins with other characters count as others."""
+    before them. Letters that some piece joins with other characters count as others.
+    Also the runs of letters alone."""
     odd: set[str] = set()
     while True:
         def letter(c: str) -> bool:
@@ -30,7 +31,8 @@ def _pre_token_pattern(pairs: frozenset[str]) -> re.Pattern:
             break
         odd |= more
     kept_out = "".join(map(re.escape, sorted(odd)))
-    return re.compile(rf" *[^\W\d_{kept_out}]+| *(?:[^\w \n{SPACE}]|[\d_{kept_out}])+| +|[\n{SPACE}]")
+    letters = rf"[^\W\d_{kept_out}]+"
+    return re.compile(rf" *{letters}| *(?:[^\w \n{SPACE}]|[\d_{kept_out}])+| +|[\n{SPACE}]"), re.compile(letters)
 
 
 @dataclass
@@ -44,6 +46,7 @@ class Vocabulary:
     raw: list[bytes]                       # id -> the bytes it decodes to
     pairs: frozenset[str] = field(repr=False)  # neighbours inside some piece
     words: re.Pattern
+    letters: re.Pattern
     key: str
 
     @classmethod
@@ -67,7 +70,7 @@ class Vocabulary:
         place = {x: r for r, x in enumerate(scores)}
         pairs = frozenset(p[k:k + 2] for p in ids for k in range(len(p) - 1))
         return cls(ids, {p: place[m.get_score(i)] for p, i in ids.items()}, byte_ids, raw, pairs,
-                   _pre_token_pattern(pairs), f"{path}:{len(raw)}")
+                   *_pre_token_patterns(pairs), f"{path}:{len(raw)}")
 
     def pre_tokens(self, text: str) -> list[str]:
         """The text with its leading dummy space, cut where no piece crosses: before a

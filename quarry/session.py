@@ -41,6 +41,18 @@ def bound_tasks(spark: SparkSession) -> None:
         spark.conf.set(key, size)
 
 
+#: Bytes of rows that Python gets at once, at most: a task holds them in several forms, in the
+#: JVM and in its worker, and ten thousand texts (Spark's bound, whatever their size) are many.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let rows go to Python in batches of ``BATCH``, where the submitter has set no size."""
+    key, size = BATCH
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
+
+
 def get_session(master: str | None = None, app_name: str = "quarry",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:

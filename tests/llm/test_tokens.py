@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarry.llm import bpe, pieces, tokencount
@@ -180,6 +182,71 @@ def test_long_and_dropped_to_characters(vocabulary):
     assert not np.array_equal(a, b) and bpe.decode(a, vocabulary) == "thend" * 20_000
 
 
+def test_a_batch_is_cut_as_the_pattern_cuts(vocabulary, texts):
+    seg = bpe.Segmenter(vocabulary, 0.1, 17)
+    odd = texts + ["a▁b", "▁", "▁ ▁a ", " ▁\n▁", "", "_a1_ b", "é́x  ٣٤ \n\n ", "ª²½Ⅷ", "\u2028x\x00"]
+    distinct, number, counts = seg.cut(odd)
+    assert len(set(distinct)) == len(distinct)
+    tokens = [distinct[i] for i in number]
+    for t, n in zip(odd, counts):
+        assert tokens[:n] == vocabulary.pre_tokens(t), t[:60]
+        del tokens[:n]
+    assert not tokens and seg.cut(["", ""])[2].tolist() == [0, 0]
+
+
+def test_long_texts_are_few_at_a_time():
+    texts = ["x" * n for n in (400, 400, 400, 2500, 1, 0)] + [None, "é" * 1000] + ["y"] * 30
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "t": texts})
+    found = list(bpe.few_texts(batch, "t", 10, 1000))
+    assert [len(p) for p in found] == [2, 1, 1, 3, 1, 10, 10, 10]
+    assert [x for p in found for x in p["id"].to_pylist()] == batch["id"].to_pylist()
+
+
+def test_texts_reach_python_a_few_megabytes_at_a_time(spark, vocabulary):
+    docs = spark.range(3000).coalesce(1).selectExpr("id as doc_id", "repeat('some words ', 400) as text")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    bpe.encode(docs, vocabulary)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert len(found) > 2 and max(found) < 5_000_000
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "9m")
+    bpe.encode(docs, vocabulary)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "9m"  # the submitter's
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_what_is_remembered_takes_little_memory(vocabulary):
+    """A remembered cut is a few numbers in shared columns: a worker holds 200,000 and more."""
+    rng = np.random.default_rng(5)
+    seg = bpe.Segmenter(vocabulary, 0.1, 17)
+    texts = [" ".join("".join(rng.choice(list("thendrigso"), 9)) for _ in range(500)) for _ in range(20)]
+    tracemalloc.start()
+    try:
+        for document, text in enumerate(texts):
+            seg.encode(text, document)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(seg.paths) > 12_000
+    assert held / len(seg.paths) < 200
+
+
+def test_ids_that_decode_to_something_else_are_told(vocabulary, texts):
+    seg = bpe.Segmenter(vocabulary, 0.1, 17)
+    ids, counts = seg.encode_flat(texts, list(range(len(texts))))
+    assert all(seg.lossless(ids, counts, texts))
+    at = int(counts[:3].sum()) + 1  # behind the dummy space
+    ids = ids.copy()
+    ids[at] = (ids[at] + 1) % len(vocabulary.raw)
+    found = seg.lossless(ids, counts, texts)
+    assert [i for i, x in enumerate(found) if not x] == [3]
+    assert bpe.decode(ids[at - 1:at - 1 + counts[3]], vocabulary) != texts[3]
+
+
 def test_encode_defined_cases(spark, vocabulary, odd_docs, no_docs):
     out = bpe.decode_column(bpe.encode(odd_docs, vocabulary), vocabulary)
     rows = out.collect()
