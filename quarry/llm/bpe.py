@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarry.llm.common import carried, unused, worker_cache
+from quarry.llm.common import carried, give_back, unused, worker_cache
 from quarry.llm.pieces import SPACE, Vocabulary
 from quarry.session import bound_batches
 
@@ -349,7 +349,7 @@ class Segmenter:
     _COLUMNS = {"low": np.uint64, "high": np.uint64, "last": np.int16, "left": np.int16, "met": np.uint8,
                 "at": np.int64, "size": np.int32}
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 200_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, most: int = 100_000) -> None:
         self.v, self.seed, self.most, self.dropout = vocabulary, seed, most, dropout
         self.agendas = Agendas(vocabulary)
         self.kinds = _kinds(vocabulary)
@@ -584,7 +584,7 @@ def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
     return b"".join(map(vocabulary.raw.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
-def few_texts(batch: pa.RecordBatch, text: str, rows: int, chars: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+def few_texts(batch: pa.RecordBatch, text: str, rows: int, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of up to so many rows and characters, a longer text alone."""
     upto = np.cumsum(pc.fill_null(pc.utf8_length(batch[text]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
@@ -597,7 +597,7 @@ def few_texts(batch: pa.RecordBatch, text: str, rows: int, chars: int = 1_500_00
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key: str = "doc_id",
            dropout: float = 0.1, seed: int = 17, keep: list[str] | None = None, lossless: str | None = None,
-           rows_each: int = 512) -> DataFrame:
+           rows_each: int = 1024) -> DataFrame:
     """Columns ``keep`` (default: all), token_ids, n_tokens, and with ``lossless`` a
     column of that name: whether the ids decode to the text (null for a null one)."""
     keep = carried(docs, keep, [], ["token_ids", "n_tokens", lossless])
@@ -627,6 +627,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", key:
                 if lossless:
                     cols.append(pc.if_else(null, None, pa.array(seg.lossless(ids, counts, texts))))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
+        give_back()
 
     return rows.mapInArrow(run, out)
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,6 +114,14 @@ def worker_cache(key: object, make: Callable[[], object]) -> object:
     return _WORKER[key]
 
 
+def give_back() -> None:
+    """Return to the system what this Python worker has freed: it lives on through the
+    stages behind, and else keeps what its largest task had."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def carried(docs: DataFrame, keep: list[str] | None, without: list[str], new: list[str]) -> list[str]:
     """The input columns an operator hands on: ``keep``, or all but ``without``. A
     column named like one of the operator's ``new`` ones is replaced by it."""

@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import carried, unused, worker_cache
+from quarry.llm.common import carried, give_back, unused, worker_cache
+from quarry.session import bound_batches
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -345,6 +346,7 @@ def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", kee
         return rows.select(*keep, F.lit(UNKNOWN).alias(new[0]), F.lit(0.0).alias(new[1]),
                            *[F.lit(0).cast("long").alias(c) for c in new[2:]])
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    bound_batches(docs.sparkSession)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -372,6 +374,7 @@ def identify(docs: DataFrame, model: CrfModel | None, *, text: str = "text", kee
                 at = end
             found = [pa.array(names, pa.string()), pa.array(result[:, 0]), *map(pa.array, result[:, 1:].astype(np.int64).T.copy())]
             yield pa.RecordBatch.from_arrays(batch.columns[:len(keep)] + found, names=[*batch.schema.names[:len(keep)], *new])
+        give_back()
 
     return rows.mapInArrow(label, schema)
 

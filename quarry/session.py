@@ -43,7 +43,7 @@ def bound_tasks(spark: SparkSession) -> None:
 
 #: Bytes of rows that Python gets at once, at most: a task holds them in several forms, in the
 #: JVM and in its worker, and ten thousand texts (Spark's bound, whatever their size) are many.
-BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "1536k")
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from quarry.llm import bpe, pieces, tokencount
-from quarry.llm.common import table
+from quarry.llm.common import give_back, table
 
 TEXTS = ["a  b \n c", "  x\t\ty  ", "ﬁ é  x　y 日本語テキスト 😀", "\n\n\n", "    ", "1234567 http://foo.com/b?x=1 (a);\r\n",
          "supercalifragilistic " * 3 + "x" * 400, ""]
@@ -258,3 +258,15 @@ def test_encode_defined_cases(spark, vocabulary, odd_docs, no_docs):
     twice = [r.token_ids for r in rows if r.doc_id == 1]
     assert twice[0] == twice[1]
     assert bpe.encode(no_docs, vocabulary).count() == 0
+
+
+def test_what_is_freed_goes_back_to_the_system():
+    def held():
+        return int(open("/proc/self/statm").read().split()[1]) * 4096
+
+    many = [bytearray(50_000) for _ in range(4000)]
+    last = bytearray(50_000)  # behind them: what is free below it stays without a word
+    many.clear()
+    before = held()
+    give_back()
+    assert last and before - held() > 100_000_000
